@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.operators import baselines, clean, evaluate, features as fe, splits, summary
+from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, regression, splits, summary
+from tsforge.session import materialize
 from tsforge.sources import bars as B
 
 QUERIES: dict = {}
@@ -252,3 +253,120 @@ def forecast_union_tail(spark, sf):
 def hash_split_counts(spark, sf):
     s = splits.hash_split(B.bars_orders(spark, sf), ["series_id", "ts"])
     return s.groupBy("series_id", "split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+# ---- step 5/6: series statistics -------------------------------------------------------------------
+
+def _walk(spark, sf):
+    return B.bars_walk(spark, sf)
+
+
+def _levels_and_walk(spark, sf):
+    lv = B.bars_orders(spark, sf).select(F.concat(F.lit("level|"), "series_id").alias("series_id"), "ts", "close")
+    wk = _walk(spark, sf).select(F.concat(F.lit("walk|"), "series_id").alias("series_id"), "ts", "close")
+    return lv.unionByName(wk)
+
+
+@query("acf30")
+def acf30(spark, sf):
+    a = diagnostics.acf(diagnostics.autocov_sums(_walk(spark, sf), "close", 30), 30)
+    return a.select("series_id", "lag", r("acf", 8))
+
+
+@query("acf_bands")
+def acf_bands(spark, sf):
+    a = diagnostics.acf_bands(diagnostics.acf(diagnostics.autocov_sums(_walk(spark, sf), "close", 40), 40))
+    return a.select("series_id", "lag", r("acf", 8), r("acf_band", 8), r("pacf_band", 8))
+
+
+@query("ljung_box")
+def ljung_box(spark, sf):
+    lb = diagnostics.ljung_box(diagnostics.autocov_sums(_levels_and_walk(spark, sf), "close", 10), 10)
+    return lb.select("series_id", "n", r("lb_stat", 6), r("lb_pvalue", 8))
+
+
+@query("kpss")
+def kpss(spark, sf):
+    k = diagnostics.kpss(_levels_and_walk(spark, sf), "close")
+    return k.select("series_id", "n", "kpss_lags", r("kpss_stat", 8), r("kpss_pvalue", 8))
+
+
+@query("decompose_additive")
+def decompose_additive(spark, sf):
+    d = diagnostics.decompose(_walk(spark, sf), "close", 30, "additive")
+    return d.select("series_id", "ts", r("observed", 6), r("trend", 8), r("seasonal", 8), r("resid", 6), "reason")
+
+
+@query("decompose_multiplicative")
+def decompose_multiplicative(spark, sf):
+    d = diagnostics.decompose(_walk(spark, sf), "close", 30, "multiplicative")
+    return d.select("series_id", "ts", r("observed", 6), r("trend", 8), r("seasonal", 8), r("resid", 8), "reason")
+
+
+@query("decompose_type")
+def decompose_type(spark, sf):
+    lv = B.bars_orders(spark, sf).select(F.concat(F.lit("level|"), "series_id").alias("series_id"), "ts", "close")
+    df = fe.first_difference(B.bars_orders(spark, sf)).select(
+        F.concat(F.lit("diff|"), "series_id").alias("series_id"), "ts", F.col("diff").alias("close"))
+    return diagnostics.decompose_type(lv.unionByName(df), "close")
+
+
+@query("residual_anomalies")
+def residual_anomalies(spark, sf):
+    d = diagnostics.decompose(B.bars_orders(spark, sf), "close", 30, "additive")
+    a = diagnostics.residual_anomalies(d, 3.0)
+    return a.select("series_id", "ts", "observed", r("resid", 4), r("z_score", 6))
+
+
+@query("adf")
+def adf(spark, sf):
+    """T1 on level bars, the random-walk bars and the differenced walk."""
+    dw = fe.first_difference(_walk(spark, sf)).select(F.concat(F.lit("dwalk|"), "series_id").alias("series_id"), "ts",
+                                                       F.col("diff").alias("close"))
+    a = regression.adf(_levels_and_walk(spark, sf).unionByName(dw), "close")
+    return a.select("series_id", "n", r("adf_stat", 6), r("adf_pvalue", 6), "used_lag", "nobs")
+
+
+@query("pacf30")
+def pacf30(spark, sf):
+    py = diagnostics.pacf_yw(diagnostics.autocov_sums(_walk(spark, sf), "close", 30), 30, 4)
+    return diagnostics.pacf_long(py).select("series_id", "lag", r("pacf", 8))
+
+
+@query("yule_walker4")
+def yule_walker4(spark, sf):
+    dw = fe.first_difference(_walk(spark, sf)).select("series_id", "ts", F.col("diff").alias("close"))
+    py = diagnostics.pacf_yw(diagnostics.autocov_sums(dw, "close", 4), 4, 4)
+    return py.select("series_id", "n", F.transform("ar_coef", lambda x: F.round(x, 8)).alias("ar_coef"),
+                     r("sigma2", 10), r("sigma", 8))
+
+
+def _series_tests(df):
+    df = materialize(df)
+    sums = materialize(diagnostics.autocov_sums(df, "close", 40))
+    a = regression.adf(df, "close")
+    lb = diagnostics.ljung_box(sums, 10).select("series_id", "lb_pvalue")
+    k = diagnostics.kpss(df, "close", sums=sums).select("series_id", "kpss_stat", "kpss_pvalue")
+    sd = summary.std_pop(df, "close")
+    return a.join(lb, "series_id").join(k, "series_id").join(sd, "series_id")
+
+
+@query("stationarity_verdict")
+def stationarity_verdict(spark, sf):
+    """T11 on levels, the walk and the differenced walk (Testing.py and Differenced.py flows)."""
+    dw = fe.first_difference(_walk(spark, sf)).select(F.concat(F.lit("dwalk|"), "series_id").alias("series_id"), "ts",
+                                                       F.col("diff").alias("close"))
+    t = _series_tests(_levels_and_walk(spark, sf).unionByName(dw))
+    return t.select("series_id", r("adf_pvalue", 6), r("kpss_pvalue", 6),
+                    diagnostics.stationarity_verdict("adf_pvalue", "kpss_pvalue").alias("verdict"))
+
+
+@query("white_noise_gate")
+def white_noise_gate(spark, sf):
+    """T10 + A2: series of at least 50 rows, minus likely white noise (ADF p > .05, Ljung-Box
+    p > .05 and population std < 1), on differenced series as in the differenced-series flow."""
+    many = B.bars_many(spark, sf).select("series_id", "ts", "close")
+    d = clean.length_gate(fe.first_difference(many).select("series_id", "ts", F.col("diff").alias("close")), 50)
+    t = _series_tests(d)
+    noise = (F.col("adf_pvalue") > 0.05) & (F.col("lb_pvalue") > 0.05) & (F.col("std_pop") < 1.0)
+    return t.select("series_id", r("adf_pvalue", 6), r("lb_pvalue", 6), r("std_pop", 4), (~noise).alias("kept"))

@@ -246,3 +246,111 @@ SQL["forecast_union_tail"] = _w(BARS, BASELINES) + """
 select series_id, model, ts, actual, round(forecast, 4) as forecast, round(error, 4) as error from (
   select *, row_number() over (partition by series_id, model order by ts desc) as rn from u)
 where not contains(lower(model), 'exp_smoothing') or rn <= 30"""
+
+
+# ---- series statistics -------------------------------------------------------------------------
+
+WALK = f"""walk as (
+  select series_id, ts,
+         round(1000 + sum((close - mu) / sd) over ({W} rows between unbounded preceding and current row), 6) as close
+  from bars join (select series_id, avg(close) as mu, stddev_pop(close) as sd from bars group by 1) using (series_id))"""
+
+LEVELS_AND_WALK = """lw as (
+  select concat('level|', series_id) as series_id, ts, close from bars
+  union all select concat('walk|', series_id), ts, close from walk)"""
+
+
+def autocov(src: str, k: int) -> str:
+    """CTE ``sums``: n, s0..s{k} = sum e_t e_{t-k} of demeaned ``close`` per series of ``src``."""
+    lags = ", ".join(f"lag(e, {i}) over ({W}) as l{i}" for i in range(1, k + 1))
+    sums = ", ".join(["sum(e * e) as s0"] + [f"coalesce(sum(e * l{i}), 0) as s{i}" for i in range(1, k + 1)])
+    return f"""ec as (select series_id, ts, close - avg(close) over (partition by series_id) as e,
+                     count(*) over (partition by series_id) as n from {src}),
+lg_ as (select series_id, n, e, {lags} from ec),
+sums as (select series_id, any_value(n) as n, {sums} from lg_ group by 1)"""
+
+
+def acf_long(k: int) -> str:
+    cols = ", ".join(f"s{i}" for i in range(k + 1))
+    return f"""al as (select series_id, n, cast(substr(name, 2) as integer) as lag, sk / base as acf
+  from (unpivot (select *, s0 as base from sums) on {cols} into name name value sk))"""
+
+
+SQL["acf30"] = _w(BARS, WALK, autocov("walk", 30), acf_long(30)) + "select series_id, lag, round(acf, 8) as acf from al"
+
+SQL["acf_bands"] = _w(BARS, WALK, autocov("walk", 40), acf_long(40)) + """
+, cum as (select *, coalesce(sum(case when lag >= 1 then acf * acf else 0 end)
+                      over (partition by series_id order by lag rows between unbounded preceding and 1 preceding), 0) as c
+          from al)
+select series_id, lag, round(acf, 8) as acf,
+       round(1.959963984540054 * sqrt(case when lag = 0 then 0 when lag = 1 then 1.0 / n else (1 + 2 * c) / n end), 8) as acf_band,
+       round(1.959963984540054 / sqrt(n), 8) as pacf_band
+from cum"""
+
+SQL["ljung_box"] = _w(BARS, WALK, LEVELS_AND_WALK, autocov("lw", 10)) + """
+, q as (select series_id, n, n * (n + 2.0) * (""" + " + ".join(f"pow(s{i} / s0, 2) / (n - {i})" for i in range(1, 11)) + """) as q from sums)
+select series_id, n, round(q, 6) as lb_stat,
+       round(exp(-q / 2) * (1 + q / 2 + pow(q / 2, 2) / 2 + pow(q / 2, 3) / 6 + pow(q / 2, 4) / 24), 8) as lb_pvalue
+from q"""
+
+_M = "floor(pow(n, 2.0 / 9))"
+_C = [f"(case when {i} <= {_M} then s{i} / (n / 2.0) else 0.0 end)" for i in range(1, 41)]
+SQL["kpss"] = _w(BARS, WALK, LEVELS_AND_WALK, autocov("lw", 40)) + f"""
+, bw as (select *, s0 / n + (0.0 + {" + ".join(_C)}) as h0,
+                (0.0 + {" + ".join(f"{c} * {i}" for i, c in enumerate(_C, 1))}) as h1
+         from sums)
+, lags as (select *, cast(least(floor(1.1447 * pow(pow(h1 / h0, 2), 1.0 / 3) * pow(n, 1.0 / 3)), n - 1) as integer) as l from bw)
+, sig as (select series_id, n, l,
+                 (s0 + 2.0 * (0.0 + {" + ".join(f"(case when {i} <= l then s{i} * (1.0 - {i} / (l + 1.0)) else 0.0 end)" for i in range(1, 41))})) / n as sg
+          from lags)
+, eta as (select series_id, sum(cs * cs) as ss from (
+            select series_id, sum(e) over ({W} rows between unbounded preceding and current row) as cs from ec) group by 1)
+, st as (select series_id, n, l, ss / (n * n) / sg as x from sig join eta using (series_id))
+select series_id, n, l as kpss_lags, round(x, 8) as kpss_stat,
+       round(case when x <= 0.347 then 0.10
+                  when x <= 0.463 then 0.10 + (x - 0.347) * (0.05 - 0.10) / (0.463 - 0.347)
+                  when x <= 0.574 then 0.05 + (x - 0.463) * (0.025 - 0.05) / (0.574 - 0.463)
+                  when x <= 0.739 then 0.025 + (x - 0.574) * (0.01 - 0.025) / (0.739 - 0.574)
+                  else 0.01 end, 8) as kpss_pvalue
+from st"""
+
+
+def decomposition(src: str, mult: bool) -> str:
+    det = "close / trend" if mult else "close - trend"
+    sea = "pa / avg(pa) over (partition by series_id)" if mult else "pa - avg(pa) over (partition by series_id)"
+    res = "det / seasonal" if mult else "det - seasonal"
+    nonpos = "bool_or(close <= 0)" if mult else "false"
+    return f"""dp as (select series_id, ts, close, row_number() over ({W}) - 1 as i from {src}),
+dtr as (select *, (sum(close) over ({W} rows between 14 preceding and 14 following)
+                   + 0.5 * (lag(close, 15) over ({W}) + lead(close, 15) over ({W}))) / 30.0 as trend from dp),
+ddt as (select *, {det} as det, i % 30 as phase from dtr),
+dpa as (select series_id, phase, avg(det) as pa from ddt group by 1, 2),
+dse as (select series_id, phase, {sea} as seasonal from dpa),
+dgt as (select series_id, count(close) as n, {nonpos} as nonpos from {src} group by 1),
+dec as (select series_id, ts, close as observed,
+               case when n < 60 then 'needs 60 observations' when nonpos then 'multiplicative needs positive values' end as reason,
+               trend, seasonal, {res} as resid
+        from ddt join dse using (series_id, phase) join dgt using (series_id))"""
+
+
+SQL["decompose_additive"] = _w(BARS, WALK, decomposition("walk", False)) + """
+select series_id, ts, round(observed, 6) as observed, round(case when reason is null then trend end, 8) as trend,
+       round(case when reason is null then seasonal end, 8) as seasonal, round(case when reason is null then resid end, 6) as resid, reason
+from dec"""
+
+SQL["decompose_multiplicative"] = _w(BARS, WALK, decomposition("walk", True)) + """
+select series_id, ts, round(observed, 6) as observed, round(case when reason is null then trend end, 8) as trend,
+       round(case when reason is null then seasonal end, 8) as seasonal, round(case when reason is null then resid end, 8) as resid, reason
+from dec"""
+
+SQL["decompose_type"] = _w(BARS) + f"""
+, u as (select concat('level|', series_id) as series_id, close from bars
+        union all
+        select concat('diff|', series_id), d from (select series_id, close - lag(close) over ({W}) as d from bars) where d is not null)
+select series_id, bool_or(close <= 0) as has_non_positive,
+       case when bool_or(close <= 0) then 'additive' else 'multiplicative' end as model
+from u group by 1"""
+
+SQL["residual_anomalies"] = _w(BARS, decomposition("bars", False)) + """
+, z as (select *, (resid - avg(resid) over (partition by series_id)) / stddev_samp(resid) over (partition by series_id) as z from dec)
+select series_id, ts, observed, round(resid, 4) as resid, round(z, 6) as z_score from z where abs(z) > 3.0"""

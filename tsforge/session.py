@@ -57,3 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage of a DataFrame used by several downstream jobs: a reliable checkpoint
+    written to the shared ``spark.checkpoint.dir`` (survives executor loss)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

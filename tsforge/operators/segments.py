@@ -43,8 +43,13 @@ def bucket_expr(ts: str, unit: str = "month") -> Column:
 
 
 def _maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only when its measured row count is under the bound."""
-    small = small.cache()
+    """Materialise a derived per-series table and broadcast it only under a measured row bound.
+
+    The table is written as a reliable checkpoint (shared ``spark.checkpoint.dir``), which
+    also cuts its lineage: plans that derive several such tables from the same input stay
+    linear in size instead of repeating the input once per table."""
+    from tsforge.session import materialize
+    small = materialize(small)
     return F.broadcast(small) if small.count() <= max_rows else small
 
 

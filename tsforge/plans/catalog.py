@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, regression, splits, summary
+from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, regression, smoothing, splits, summary
+from tsforge.plans import forecasting
 from tsforge.session import materialize
 from tsforge.sources import bars as B
 
@@ -370,3 +371,47 @@ def white_noise_gate(spark, sf):
     t = _series_tests(d)
     noise = (F.col("adf_pvalue") > 0.05) & (F.col("lb_pvalue") > 0.05) & (F.col("std_pop") < 1.0)
     return t.select("series_id", r("adf_pvalue", 6), r("lb_pvalue", 6), r("std_pop", 4), (~noise).alias("kept"))
+
+
+# ---- step 7: forecasters -------------------------------------------------------------------------
+
+def _holdout(spark, sf, models):
+    fc = forecasting.holdout_forecasts(_walk_ohlcv(spark, sf), 30, models)
+    return fc.select("series_id", "model", "ts", "horizon", "actual", r("forecast", 4))
+
+
+def _walk_ohlcv(spark, sf):
+    """Random-walk closes with the orders bars' open and volume (for the VAR)."""
+    b = B.bars_orders(spark, sf)
+    w = B.walk(b, "close", "close")
+    o = B.walk(b, "open", "open").select("series_id", "ts", "open")
+    return w.drop("open").join(o, ["series_id", "ts"])
+
+
+@query("holt_forecast")
+def holt_forecast(spark, sf):
+    return _holdout(spark, sf, ("holt",))
+
+
+@query("arima_forecast")
+def arima_forecast(spark, sf):
+    return _holdout(spark, sf, ("arima",))
+
+
+@query("var_forecast")
+def var_forecast(spark, sf):
+    return _holdout(spark, sf, ("var",))
+
+
+@query("garch_variance")
+def garch_variance(spark, sf):
+    train, _ = forecasting.split_holdout(B.bars_orders(spark, sf), 30)
+    g = smoothing.garch_forecast(smoothing.garch_fit(train, "close"), 30)
+    return g.select("series_id", "horizon", r("variance", 2), r("volatility", 4))
+
+
+@query("model_comparison")
+def model_comparison(spark, sf):
+    """All classical forecasters and the two baselines on one common ordered holdout."""
+    m = evaluate.forecast_metrics(forecasting.holdout_forecasts(_walk_ohlcv(spark, sf), 30))
+    return m.select("series_id", "model", "n", r("rmse", 4), r("mae", 4), r("r2", 6), r("mape", 6), r("medae", 4))

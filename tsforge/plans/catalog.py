@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, regression, smoothing, splits, summary
+from pyspark.ml.functions import vector_to_array
+
+from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, ml, neural, regression, smoothing, splits, summary
 from tsforge.plans import forecasting
 from tsforge.session import materialize
 from tsforge.sources import bars as B
@@ -415,3 +417,86 @@ def model_comparison(spark, sf):
     """All classical forecasters and the two baselines on one common ordered holdout."""
     m = evaluate.forecast_metrics(forecasting.holdout_forecasts(_walk_ohlcv(spark, sf), 30))
     return m.select("series_id", "model", "n", r("rmse", 4), r("mae", 4), r("r2", 6), r("mape", 6), r("medae", 4))
+
+
+# ---- step 8/9: machine-learning forecasters ---------------------------------------------------------
+
+def _ml_metrics(fc):
+    m = evaluate.forecast_metrics(fc, key=("model",))
+    return m.select("model", "n", r("rmse", 4), r("mae", 4), r("r2", 6), r("mape", 6), r("mape_pos", 6),
+                    r("medae", 4), r("msle", 8))
+
+
+def _tree_query(spark, sf, kind):
+    """F5/F6 as in the reference (same-day features, 80/20 hash split, pooled over series)
+    and leak-free (previous-day features, same split)."""
+    bars = B.bars_many(spark, sf).withColumn("volume", F.col("volume").cast("double"))
+    out = None
+    for mode in ("same_day", "lagged"):
+        d, cols = ml.same_day_features(bars) if mode == "same_day" else ml.lagged_features(bars)
+        d = splits.hash_split(d, ["series_id", "ts"])
+        model = ml.fit_pipeline(d.filter("split = 'train'"), cols, "close", kind)
+        fc = ml.to_forecasts(model.transform(d.filter("split = 'test'")), f"{kind}_{mode}", "close")
+        out = fc if out is None else out.unionByName(fc)
+    return _ml_metrics(out)
+
+
+@query("random_forest")
+def random_forest(spark, sf):
+    return _tree_query(spark, sf, "rf")
+
+
+@query("gbt")
+def gbt(spark, sf):
+    return _tree_query(spark, sf, "gbt")
+
+
+def _windows(spark, sf, **kw):
+    return materialize(ml.window_dataset(B.bars_orders(spark, sf), "close", 20, **kw))
+
+
+@query("windowed_regression")
+def windowed_regression(spark, sf):
+    """F9/F10 re-aimed: 20-lag windows, per-series scaling fitted on training rows, last 20 %
+    of each series as test; linear and forest estimators against last value."""
+    ds = _windows(spark, sf)
+    lin = ml.windowed_regression(ds, "linear")
+    rf = ml.windowed_regression(ds, "rf", numTrees=30, maxDepth=6)
+    last = ds.filter("split = 'test'").select(
+        "series_id", F.lit("last_value").alias("model"), "ts", F.lit(None).cast("int").alias("horizon"), "actual",
+        (vector_to_array("features")[19] * (F.col("vmax") - F.col("vmin")) + F.col("vmin")).alias("forecast"))
+    return _ml_metrics(lin.unionByName(rf).unionByName(last))
+
+
+@query("random_search")
+def random_search(spark, sf):
+    """M3/M4: 10 sampled GBT configurations scored on the ordered validation tail."""
+    t = ml.random_search(_windows(spark, sf), "gbt", trials=10)
+    return t.select("trial", "params", r("valid_rmse", 6), "best")
+
+
+@query("mlp")
+def mlp(spark, sf):
+    """Data-parallel dense network on 20-lag windows, last 25 windows of each series as
+    test (as the dense-network script), early stopping on the validation tail."""
+    ds = _windows(spark, sf, test_windows=25)
+    res = neural.train_mlp(ds, hidden=(32,), epochs=15, lr=3e-3, batch=32, partitions=4)
+    return _ml_metrics(neural.mlp_forecasts(res, ds))
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf):
+    """M8 on a forest fitted to 20-row windows of five features (close, SMA 5/20, EMA 10, up
+    ratio), each feature's 20 lags permuted together across windows."""
+    feats = ["close", "sma_5", "sma_20", "ema_10", "rsi_14"]
+    f = fe.technical_features(B.bars_orders(spark, sf)).select("series_id", "ts", *feats)
+    f = fe.backfill(f, feats)
+    seq = fe.multivariate_sequences(f, feats, "close", 20)
+    wide = fe.widen(seq, "lags", n=20, fields=feats)
+    wide = splits.holdout_fraction(wide, 0.8)
+    cols = [f"{x}_{j}" for x in feats for j in range(20)]
+    wide = materialize(wide.select("series_id", "ts", "split", "target", *cols))
+    model = ml.fit_pipeline(wide.filter("split = 'train'"), cols, "target", "rf", numTrees=30, maxDepth=6)
+    imp = ml.permutation_importance(model, wide.filter("split = 'test'"), {x: [f"{x}_{j}" for j in range(20)] for x in feats},
+                                    label="target")
+    return imp.select("feature", r("mse_increase_pct", 4))

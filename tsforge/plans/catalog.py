@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, ml, neural, regression, smoothing, splits, summary
 from tsforge.plans import forecasting
 from tsforge.session import materialize
+from tsforge.streaming import bars as live, scoring
 from tsforge.sources import bars as B
 
 QUERIES: dict = {}
@@ -500,3 +501,28 @@ def permutation_importance(spark, sf):
     imp = ml.permutation_importance(model, wide.filter("split = 'test'"), {x: [f"{x}_{j}" for j in range(20)] for x in feats},
                                     label="target")
     return imp.select("feature", r("mse_increase_pct", 4))
+
+
+# ---- step 10: streaming ------------------------------------------------------------------------
+
+@query("stream_bars")
+def stream_bars(spark, sf):
+    """R1 in complete mode: the streamed hourly bars equal the batch bars."""
+    return live.run_live_bars(spark, sf, "events.parquet", "complete")
+
+
+@query("stream_lag_windows")
+def stream_lag_windows(spark, sf):
+    """R2 state: 20-value lag windows per event type kept across micro-batches."""
+    return scoring.run_lag_windows(spark, sf, "events.parquet", 20).select("series_id", "ts", "lags", "target")
+
+
+@query("stream_scoring")
+def stream_scoring(spark, sf):
+    """R2: a linear model fitted on the batch windows of the same events scores the stream."""
+    ev = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_type").alias("series_id"), "ts", F.col("value").alias("close"))
+    seq = fe.lag_sequences(ev, "close", 20)
+    train = splits.holdout_fraction(seq, 0.8).filter("split = 'train'")
+    model = ml.regressor("linear", label="target").fit(train.withColumn("features", ml.array_to_vector("lags")))
+    s = scoring.run_lag_windows(spark, sf, "events.parquet", 20, model=model)
+    return s.select("series_id", "ts", "target", r("prediction", 6))

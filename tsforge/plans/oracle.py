@@ -106,7 +106,7 @@ select l_returnflag as series_id, cast(l_shipdate as date) as ts,
        cast(sum(l_quantity) as bigint) as volume
 from lineitem group by 1, 2"""
 
-SQL["bars_hourly_events"] = """
+SQL["stream_bars"] = SQL["bars_hourly_events"] = """
 select event_type as series_id, date_trunc('hour', ts) as ts,
        min_by(value, ts) as open, max(value) as high, min(value) as low, max_by(value, ts) as close,
        cast(count(*) as bigint) as volume
@@ -354,3 +354,9 @@ from u group by 1"""
 SQL["residual_anomalies"] = _w(BARS, decomposition("bars", False)) + """
 , z as (select *, (resid - avg(resid) over (partition by series_id)) / stddev_samp(resid) over (partition by series_id) as z from dec)
 select series_id, ts, observed, round(resid, 4) as resid, round(z, 6) as z_score from z where abs(z) > 3.0"""
+
+SQL["stream_lag_windows"] = """
+select series_id, ts, lags, target from (
+  select event_type as series_id, ts, value as target,
+         list(value) over (partition by event_type order by ts rows between 20 preceding and 1 preceding) as lags
+  from events) where len(lags) = 20"""

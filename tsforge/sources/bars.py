@@ -52,7 +52,7 @@ def bars_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_events(spark: SparkSession, sf_dir: str, unit: str = "hour") -> DataFrame:
     """Hourly (or daily) bars of event values per event type. ``ts`` is a TIMESTAMP."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    t = F.date_trunc(unit, F.col("ts").cast("timestamp"))
+    t = F.date_trunc(unit, F.col("ts").cast("timestamp")).cast("timestamp_ntz")
     return ohlcv(e, F.col("event_type"), t, F.col("value"), F.col("ts"))
 
 

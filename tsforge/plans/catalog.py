@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark.ml.functions import vector_to_array
 
@@ -14,7 +15,7 @@ from tsforge.operators import baselines, clean, diagnostics, evaluate, features
 from tsforge.plans import forecasting
 from tsforge.session import materialize
 from tsforge.streaming import bars as live, scoring
-from tsforge.sources import bars as B
+from tsforge.sources import bars as B, files, sinks
 
 QUERIES: dict = {}
 
@@ -526,3 +527,78 @@ def stream_scoring(spark, sf):
     model = ml.regressor("linear", label="target").fit(train.withColumn("features", ml.array_to_vector("lags")))
     s = scoring.run_lag_windows(spark, sf, "events.parquet", 20, model=model)
     return s.select("series_id", "ts", "target", r("prediction", 6))
+
+
+# ---- sources and sinks -----------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    from tsforge.streaming.common import stream_paths
+    return stream_paths(spark, name)[1]
+
+
+@query("csv_roundtrip")
+def csv_roundtrip(spark, sf):
+    """K2 -> S1/S2: bars exported as CSV per series folder and read back with a declared schema."""
+    path = _scratch(spark, "bars_csv")
+    b = B.bars_orders(spark, sf).withColumnRenamed("series_id", "ticker")
+    sinks.write_csv(b.select("ticker", F.date_format("ts", "yyyy-MM-dd").alias("Date"), "open", "high", "low", "close", "volume"),
+                    path, ["ticker"])
+    schema = "Date string, open double, high double, low double, close double, volume bigint, ticker string"
+    back = files.read_csv(spark, path, T.StructType.fromDDL(schema), date_col="Date")
+    return back.select(F.col("ticker").alias("series_id"), F.col("Date").alias("ts"), "open", "high", "low", "close", "volume")
+
+
+@query("forecast_files")
+def forecast_files(spark, sf):
+    """K1/K2 -> S3 + O4 + W14: one forecast CSV per model (columns differ between models), read
+    back in one scan with the model taken from the file name; the exponential-smoothing-like
+    file keeps its last 30 rows per series."""
+    b = baselines.one_step_baselines(B.bars_orders(spark, sf)).filter(F.col("mean5").isNotNull())
+    base = _scratch(spark, "forecast_files")
+    outs = {
+        "naive_forecast": b.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("Date"),
+                                   F.col("close").alias("Actual"), F.col("naive").alias("Forecast")),
+        "exp_smoothing_forecast": b.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("Date"),
+                                           F.col("mean5").alias("Forecast"), F.col("close").alias("Actual")),
+        "drift_forecast": b.select("series_id", F.date_format("ts", "yyyy-MM-dd").alias("Date"), F.col("close").alias("Actual"),
+                                   F.col("drift").alias("Forecast"), (F.col("close") - F.col("drift")).alias("Error")),
+    }
+    for name, d in outs.items():
+        sinks.write_csv(d, f"{base}/{name}.csv")
+    fc = files.read_forecast_files(spark, [f"{base}/{n}.csv" for n in outs])
+    fc = fc.withColumn("ts", F.to_date("Date")).withColumnRenamed("Actual", "actual").withColumnRenamed("Forecast", "forecast")
+    t = evaluate.tail_per_model(fc, 30)
+    return t.select("series_id", "model", "ts", F.col("actual").cast("double").alias("actual"),
+                    F.round(F.col("forecast").cast("double"), 4).alias("forecast"))
+
+
+@query("parquet_partitions")
+def parquet_partitions(spark, sf):
+    """K3: forecast table written partitioned by model, read back with a partition filter
+    (only the chosen model's folder is scanned)."""
+    path = _scratch(spark, "forecasts_parquet")
+    fc = baselines.baseline_forecasts(B.bars_orders(spark, sf), 30)
+    sinks.write_parquet(fc, path, ["model"])
+    back = spark.read.parquet(path).filter(F.col("model") == "naive")
+    return back.select("series_id", "model", "ts", "horizon", "actual", F.round("forecast", 4).alias("forecast"))
+
+
+@query("sql_view")
+def sql_view(spark, sf):
+    """K5 + O3: forecast table as a temp view, first 5 rows by date through SQL."""
+    fc = baselines.baseline_forecasts(B.bars_orders(spark, sf), 30)
+    sinks.register_view(fc.withColumn("error", F.col("actual") - F.col("forecast")), "baseline_results")
+    return spark.sql("""select series_id, model, ts, actual, round(forecast, 4) as forecast, round(error, 4) as error
+                        from baseline_results order by ts, series_id, model limit 5""")
+
+
+@query("metrics_table")
+def metrics_table(spark, sf):
+    """The metrics table in the dashboard's wide layout (one column per metric) written
+    and read back, per series and model."""
+    m = _baseline_metrics(spark, sf)
+    wide = m.select("series_id", F.col("model").alias("model_name"), r("rmse", 4), r("mse", 2), r("mae", 4), r("mape", 6),
+                    r("r2", 8), r("medae", 4), r("msle", 8))
+    path = _scratch(spark, "metrics_table")
+    sinks.write_parquet(wide, path)
+    return files.read_metrics_table(spark, path)

@@ -360,3 +360,25 @@ select series_id, ts, lags, target from (
   select event_type as series_id, ts, value as target,
          list(value) over (partition by event_type order by ts rows between 20 preceding and 1 preceding) as lags
   from events) where len(lags) = 20"""
+
+SQL["csv_roundtrip"] = SQL["bars_daily"]
+
+SQL["forecast_files"] = _w(BARS, BASELINES) + """
+, u as (
+  select series_id, 'naive_forecast' as model, ts, close as actual, naive as forecast from b where mean5 is not null
+  union all select series_id, 'exp_smoothing_forecast', ts, close, mean5 from b where mean5 is not null
+  union all select series_id, 'drift_forecast', ts, close, drift from b where mean5 is not null)
+select series_id, model, ts, actual, round(forecast, 4) as forecast from (
+  select *, row_number() over (partition by series_id, model order by ts desc) as rn from u)
+where not contains(lower(model), 'exp_smoothing') or rn <= 30"""
+
+SQL["parquet_partitions"] = _w(BARS, BASELINES) + "select series_id, model, ts, horizon, actual, round(forecast, 4) as forecast from fc where model = 'naive'"
+
+SQL["sql_view"] = _w(BARS, BASELINES) + """
+select series_id, model, ts, actual, round(forecast, 4) as forecast, round(actual - forecast, 4) as error
+from fc order by ts, series_id, model limit 5"""
+
+SQL["metrics_table"] = _w(BARS, BASELINES, METRICS_CTE) + """
+select series_id, model as model_name, round(rmse, 4) as rmse, round(mse, 2) as mse, round(mae, 4) as mae,
+       round(mape, 6) as mape, round(r2, 8) as r2, round(medae, 4) as medae, round(msle, 8) as msle
+from m"""

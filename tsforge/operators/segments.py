@@ -96,8 +96,9 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 def series_layout(df: DataFrame, before: int = 0, after: int = 0, key="series_id", ts: str = "ts",
                   size: int = DEFAULT_SEGMENT_ROWS, unit: str = "month") -> DataFrame:
-    """``with_positions`` + ``segmented`` in one call."""
-    return segmented(with_positions(df, key, ts, unit), before, after, size, key)
+    """``with_positions`` (reused when ``_pos`` is already there) + ``segmented``."""
+    d = df if POS in df.columns else with_positions(df, key, ts, unit)
+    return segmented(d, before, after, size, key)
 
 
 def running_sum(df: DataFrame, value: str, out: str, key="series_id", size: int = DEFAULT_SEGMENT_ROWS) -> DataFrame:

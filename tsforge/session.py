@@ -61,7 +61,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Cut lineage of a DataFrame used by several downstream jobs: a reliable checkpoint
-    written to the shared ``spark.checkpoint.dir`` (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage of a DataFrame used by several downstream jobs: write it once as a parquet
+    table under the shared ``spark.checkpoint.dir`` and read it back. The data is computed
+    exactly once, survives executor loss (no local checkpoint), and later plans start from a
+    plain file scan."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

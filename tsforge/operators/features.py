@@ -8,7 +8,10 @@ tasks while every bounded look-back stays exact.
 
 from __future__ import annotations
 
+import inspect
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,26 +22,40 @@ from tsforge.operators import segments as sg
 
 Builder = Callable[[WindowSpec], Column]
 
-EMA_TAIL = 200  # rows folded for an adjust=False EMA; the dropped tail weighs (1-a)^199
+EMA_TAIL = 200  # rows folded by ``ema_fold``; the dropped tail weighs (1-a)^199
+
+
+@dataclass
+class Ctx:
+    """What a builder may need besides the window: the partition columns and the order column."""
+    part: list
+    order: str
+
+
+def _call(b, w, ctx):
+    return b(w, ctx) if len(inspect.signature(b).parameters) > 1 else b(w)
 
 
 def windowed(df: DataFrame, steps: list[dict[str, Builder]], before: int = 0, after: int = 0,
              key: str = "series_id", ts: str = "ts", layout: str = "segmented",
              size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month", keep_pos: bool = False) -> DataFrame:
-    """Add window columns in ``steps`` (each step a dict name -> builder(window)).
+    """Add window columns in ``steps`` (each step a dict name -> builder(window[, ctx])).
 
     Later steps may use columns of earlier ones; all steps share the same partitioning.
     ``before``/``after`` are the widest frame reach in rows over all builders.
     """
     if layout == "series":
         w = Window.partitionBy(key).orderBy(ts)
+        ctx = Ctx([key], "_rowpos")
+        d = df.withColumn("_rowpos", F.row_number().over(w))
         for step in steps:
-            df = df.withColumns({n: b(w) for n, b in step.items()})
-        return df
+            d = d.withColumns({n: _call(b, w, ctx) for n, b in step.items()})
+        return d.drop("_rowpos")
     d = sg.series_layout(df, before, after, key, ts, size, unit)
     w = sg.segment_window(key)
+    ctx = Ctx([key, sg.SEG], sg.POS)
     for step in steps:
-        d = d.withColumns({n: b(w) for n, b in step.items()})
+        d = d.withColumns({n: _call(b, w, ctx) for n, b in step.items()})
     d = sg.drop_halo(d)
     return d if keep_pos else d.drop(sg.POS)
 
@@ -73,20 +90,68 @@ def rolling_std(v, k: int) -> Builder:
     return b
 
 
-def ema(v, span: int, tail: int = EMA_TAIL) -> Builder:
-    """Exponential moving average with ``adjust=False``: y0 = x0, y = y + a (x - y), a = 2/(span+1).
-
-    Folded over the last ``tail`` values; starting the fold at the series' first row is
-    exact, later rows drop a tail weighing (1-a)^(tail-1).
-    """
+def ema_fold(v, span: int, tail: int = EMA_TAIL) -> Builder:
+    """EMA (adjust=False) folded over the last ``tail`` values (kept as a cross-check of
+    ``ema_steps``; costs ``tail`` steps per row)."""
     a = 2.0 / (span + 1.0)
 
     def b(w):
         xs = F.collect_list(c(v)).over(w.rowsBetween(-(tail - 1), 0))
-        return F.aggregate(F.slice(xs, 2, tail), xs[0], lambda acc, x: acc + F.lit(a) * (x - acc))
+        return F.aggregate(xs, F.lit(None).cast("double"),
+                           lambda acc, x: F.when(acc.isNull(), x).otherwise(acc + F.lit(a) * (x - acc)))
     return b
 
 
+def ema_block(span: int) -> int:
+    """Block length B of the EMA scan: the previous-but-one block weighs (1-a)^B <= 1e-40."""
+    d = 1.0 - 2.0 / (span + 1.0)
+    return max(1, int(math.ceil(40.0 / -math.log10(d))))
+
+
+def ema_steps(v, span: int, out: str) -> list[dict[str, Builder]]:
+    """Exponential moving average with ``adjust=False`` (y0 = x0, y = (1-a) y + a x,
+    a = 2/(span+1)) as an exact block scan, O(1) per row.
+
+    Rows are cut into blocks of B positions. Inside a block the scan from zero is
+    d^j * sum_{i<=j} d^-i z_i (d = 1-a, z = a x, z0 = x0) - one running window sum; the value
+    entering block b is the previous block's end value (older blocks weigh d^B <= 1e-40).
+    Needs ``before = ema_halo(span)`` rows of halo."""
+    a = 2.0 / (span + 1.0)
+    d = 1.0 - a
+    B = ema_block(span)
+    p = f"_{out}_"
+
+    def blk(ctx, name):
+        return Window.partitionBy(*ctx.part, p + "b").orderBy(ctx.order)
+
+    return [
+        {p + "z": lambda w, ctx: F.when(F.col(ctx.order) == 1, c(v)).otherwise(F.lit(a) * c(v)),
+         p + "j": lambda w, ctx: F.pmod(F.col(ctx.order) - 1, F.lit(B)),
+         p + "b": lambda w, ctx: F.floor((F.col(ctx.order) - 1) / B)},
+        {p + "loc": lambda w, ctx: F.pow(F.lit(d), F.col(p + "j")) * F.sum(F.col(p + "z") * F.pow(F.lit(d), -F.col(p + "j")))
+            .over(blk(ctx, "loc").rowsBetween(Window.unboundedPreceding, 0))},
+        {p + "end": lambda w, ctx: F.last(p + "loc").over(blk(ctx, "end").rowsBetween(Window.unboundedPreceding,
+                                                                                     Window.unboundedFollowing))},
+        {p + "prev": lambda w, ctx: F.lag(p + "end", 1).over(w)},
+        {p + "in": lambda w, ctx: F.first(p + "prev").over(blk(ctx, "in").rowsBetween(Window.unboundedPreceding, 0))},
+        {out: lambda w, ctx: F.col(p + "loc") + F.pow(F.lit(d), F.col(p + "j") + 1) * F.coalesce(F.col(p + "in"), F.lit(0.0))},
+    ]
+
+
+def ema_halo(span: int) -> int:
+    return 2 * ema_block(span)
+
+
+def merge_steps(*lists: list[dict]) -> list[dict]:
+    """Zip step lists so independent multi-step builders share window passes."""
+    n = max(len(x) for x in lists)
+    return [{k: v for x in lists if i < len(x) for k, v in x[i].items()} for i in range(n)]
+
+
+def drop_temp(df: DataFrame, out: str) -> DataFrame:
+    return df.drop(*[x for x in df.columns if x.startswith(f"_{out}_")])
+
+
 def up_ratio(d, k: int = 14) -> Builder:
     """RSI-like ratio mean_k(max(d,0)) / mean_k(|d|); null until ``k`` differences exist and
     null for a flat window (0/0)."""
@@ -128,7 +193,8 @@ def rolling(df, value="close", windows=(5, 20, 30), std_windows=(30,), **kw) ->
 
 
 def ema_feature(df, value="close", span=10, out=None, **kw) -> DataFrame:
-    return windowed(df, [{out or f"ema_{span}": ema(value, span)}], before=EMA_TAIL - 1, **kw)
+    out = out or f"ema_{span}"
+    return drop_temp(windowed(df, ema_steps(value, span, out), before=ema_halo(span), **kw), out)
 
 
 def rsi(df, value="close", k=14, out=None, **kw) -> DataFrame:
@@ -139,14 +205,13 @@ def technical_features(df, value="close", **kw) -> DataFrame:
     """SMA 5/20, EMA 10 and the 14-row up ratio of one value column, plus log returns and the
     30-row rolling mean/std: the feature set of the original feature-engineering step, for
     every series in one pass over one window spec."""
-    steps = [
+    steps = merge_steps([
         {"log_return": log_return(value), "_d": diff(value),
          "sma_5": rolling_mean(value, 5), "sma_20": rolling_mean(value, 20),
-         "roll_mean_30": rolling_mean(value, 30), "roll_std_30": rolling_std(value, 30),
-         "ema_10": ema(value, 10)},
+         "roll_mean_30": rolling_mean(value, 30), "roll_std_30": rolling_std(value, 30)},
         {"rsi_14": up_ratio("_d", 14)},
-    ]
-    return windowed(df, steps, before=EMA_TAIL - 1, **kw).drop("_d")
+    ], ema_steps(value, 10, "ema_10"))
+    return drop_temp(windowed(df, steps, before=max(30, ema_halo(10)), **kw), "ema_10").drop("_d")
 
 
 def lag_sequences(df, value="close", lookback=20, out="lags", target="target", **kw) -> DataFrame:

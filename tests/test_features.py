@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -74,3 +75,17 @@ def test_splits(spark):
     h1 = splits.hash_split(b, ["series_id", "ts"]).groupBy("split").count().collect()
     h2 = splits.hash_split(b.repartition(7), ["series_id", "ts"]).groupBy("split").count().collect()
     assert sorted(h1) == sorted(h2)
+
+
+def test_exact_quantiles_with_refinement(spark):
+    from tsforge.operators.summary import exact_quantiles
+    rng = np.random.default_rng(4)
+    vals = {"a": rng.standard_normal(20000), "b": rng.integers(0, 50, 5000).astype(float), "c": np.array([3.0])}
+    rows = [(k, float(v)) for k, arr in vals.items() for v in arr]
+    df = spark.createDataFrame(rows, "series_id string, v double")
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    for max_rows in (1000, 10**9):  # with and without bracket refinement rounds
+        got = {(r[0], r[1]): r[2] for r in exact_quantiles(df, "v", qs, max_rank_rows=max_rows, grid=100).collect()}
+        for k, arr in vals.items():
+            for q in qs:
+                assert got[(k, q)] == pytest.approx(np.quantile(arr, q), rel=1e-12, abs=1e-12), (k, q, max_rows)

@@ -18,37 +18,52 @@ from tsforge.operators import segments as sg
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: list[float], key="series_id", accuracy: int = 10000,
-                    margin: float = 4.0) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: list[float], key="series_id", max_rank_rows: int = 2_000_000,
+                    grid: int = 1000, accuracy: int = 10000) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas / ``quantile_cont``) per group.
 
-    Returns ``key, q, value``. The sketch's rank error is at most n/accuracy, so a bracket of
-    ``margin/accuracy`` around each q holds the wanted ranks; only rows in the bracket are
-    ranked (about 2*margin*n/accuracy per quantile)."""
+    Returns ``key, q, value``. Each wanted rank r0 = floor((n-1) q), r1 = ceil((n-1) q) is
+    found without sorting a whole group in one task: while some group has more than
+    ``max_rank_rows`` candidate rows, an approximate sketch of the candidates at ``grid + 1``
+    fixed probabilities brackets the target rank (the sketch's rank error is below one grid
+    step), rows under the bracket are only counted, and the candidates shrink about
+    ``grid / 5``-fold. The remaining candidates are ranked with a window per (group, q)."""
     keys = [key] if isinstance(key, str) else list(key)
-    d = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    eps = margin / accuracy
-    probs = sorted({min(1.0, max(0.0, q + s * eps)) for q in qs for s in (-1, 1)})
-    sk = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                            F.percentile_approx("_v", probs, accuracy).alias("_pa"),
-                            F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    qrows = []
-    for i, q in enumerate(qs):
-        lo_p, hi_p = min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))
-        lo = F.lit(None) if lo_p <= 0 else F.col("_pa")[probs.index(lo_p)]
-        hi = F.lit(None) if hi_p >= 1 else F.col("_pa")[probs.index(hi_p)]
-        qrows.append(F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q"),
-                              F.coalesce(lo, F.col("_min")).alias("lo"), F.coalesce(hi, F.col("_max")).alias("hi")))
-    br = sk.select(*keys, "_n", F.explode(F.array(*qrows)).alias("b")).select(*keys, "_n", "b.*")
+    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    qrow = F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)]))
     h = (F.col("_n") - 1) * F.col("q")
-    br = br.withColumn("_r0", F.floor(h).cast("bigint")).withColumn("_r1", F.ceil(h).cast("bigint")).withColumn("_fr", h - F.floor(h))
-    brb = sg._maybe_broadcast(br)
-    j = d.join(brb, keys)
-    below = j.groupBy(*keys, "qi").agg(F.count_if(F.col("_v") < F.col("lo")).alias("_below"))
-    cand = j.filter((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+    st = (n.select(*keys, "_n", qrow.alias("_q")).select(*keys, "_n", "_q.*")
+           .withColumn("_r0", F.floor(h).cast("bigint")).withColumn("_r1", F.ceil(h).cast("bigint"))
+           .withColumn("_fr", h - F.floor(h))
+           .withColumn("lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double"))
+           .withColumn("_below", F.lit(0).cast("bigint")).withColumn("_m", F.col("_n")))
+    st = sg._maybe_broadcast(st)
+    inside = ((F.col("lo").isNull() | (F.col("_v") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("_v") <= F.col("hi"))))
+    probs = [i / grid for i in range(grid + 1)]
+    c = int(math.ceil(grid / accuracy)) + 1
+    while (st.agg(F.max("_m")).first()[0] or 0) > max_rank_rows:
+        cand = d.join(st, keys).filter(inside)
+        sk = cand.groupBy(*keys, "qi").agg(F.percentile_approx("_v", probs, accuracy).alias("_g"),
+                                            F.count_if(F.lit(True)).alias("_mm"))
+        nx = st.join(sk, keys + ["qi"])
+        m1 = F.greatest(F.col("_m") - 1, F.lit(1))
+        g0 = F.floor((F.col("_r0") - F.col("_below")) / m1 * grid).cast("int") - c
+        g1 = F.ceil((F.col("_r1") - F.col("_below")) / m1 * grid).cast("int") + c
+        nx = (nx.withColumn("lo", F.when(g0 > 0, F.col("_g")[g0]).otherwise(F.col("lo")))
+                .withColumn("hi", F.when(g1 < grid, F.col("_g")[g1]).otherwise(F.col("hi"))).drop("_g", "_mm"))
+        cnt = d.join(nx, keys).groupBy(*keys, "qi").agg(
+            F.count_if((F.col("lo").isNotNull()) & (F.col("_v") < F.col("lo"))).alias("_b2"),
+            F.count_if((F.col("lo").isNull() | (F.col("_v") >= F.col("lo"))) &
+                       (F.col("hi").isNull() | (F.col("_v") <= F.col("hi")))).alias("_m2"))
+        nxt = nx.join(cnt, keys + ["qi"]).withColumn("_below", F.col("_b2")).withColumn("_m", F.col("_m2")).drop("_b2", "_m2")
+        nxt = sg._maybe_broadcast(nxt)
+        if nxt.agg(F.max("_m")).first()[0] >= st.agg(F.max("_m")).first()[0]:
+            st = nxt
+            break  # no progress (heavy ties): rank what is left
+        st = nxt
     w = Window.partitionBy(*keys, "qi").orderBy("_v")
-    ranked = (cand.join(below, keys + ["qi"])
-                  .withColumn("_rk", F.row_number().over(w) - 1 + F.col("_below")))
+    ranked = d.join(st, keys).filter(inside).withColumn("_rk", F.row_number().over(w) - 1 + F.col("_below"))
     pick = ranked.filter((F.col("_rk") == F.col("_r0")) | (F.col("_rk") == F.col("_r1")))
     out = pick.groupBy(*keys, "qi", "q", "_fr").agg(F.min_by("_v", "_rk").alias("_a"), F.max_by("_v", "_rk").alias("_b"))
     return out.select(*keys, "q", (F.col("_a") + F.col("_fr") * (F.col("_b") - F.col("_a"))).alias("value"))

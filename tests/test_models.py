@@ -39,7 +39,7 @@ def test_holt_exact_scan_matches_brute_force(spark):
     rng = np.random.default_rng(11)
     x = 50 + 0.3 * np.arange(150) + np.cumsum(rng.standard_normal(150))
     df = _frame(spark, {"s": x})
-    fit = smoothing.holt_fit(df, "close", size=37).collect()[0]
+    fit = smoothing.holt_fit(df, "close", size=37, fan_in=2).collect()[0]  # 5 segments, 3 merge levels
     sse, a, b, s0 = _holt_best(x)
     sse, a, b, s0 = _holt_best(x, a, b)
     assert fit["alpha"] == pytest.approx(a) and fit["beta"] == pytest.approx(b)

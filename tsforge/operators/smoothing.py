@@ -18,6 +18,8 @@ and all candidates are evaluated together as numpy vectors.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -84,56 +86,92 @@ HOLT_FIT_SCHEMA = T.StructType([
     T.StructField("level", T.DoubleType()), T.StructField("trend", T.DoubleType()), T.StructField("sse", T.DoubleType()),
 ])
 
+_SUMMARY = ("M11", "M12", "M21", "M22", "u1", "u2", "saa", "sa1", "sa2", "s11", "s12", "s22")
+
+
+def _mat(r, a, b, c, d):
+    return np.stack([np.stack([np.asarray(r[a]), np.asarray(r[b])], -1), np.stack([np.asarray(r[c]), np.asarray(r[d])], -1)], -2)
 
-def _holt_combine(pdf: pd.DataFrame) -> pd.DataFrame:
+
+def _holt_merge(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Compose ordered segment summaries into one (associative): for A then B,
+    M = M_B M_A, u = M_B u_A + u_B, and SSE_B evaluated at the state leaving A."""
     pdf = pdf.sort_values("_seg")
-    G = len(pdf["alpha"].iloc[0])
-    P = np.tile(np.eye(2), (G, 1, 1))
-    q = np.zeros((G, 2))
-    C = np.zeros(G)
-    L = np.zeros((G, 2))
-    Q = np.zeros((G, 2, 2))
-    for _, r in pdf.iterrows():
-        Gm = np.stack([np.stack([r.s11, r.s12], -1), np.stack([r.s12, r.s22], -1)], -2)
-        w = np.stack([r.sa1, r.sa2], -1)
-        M = np.stack([np.stack([r.M11, r.M12], -1), np.stack([r.M21, r.M22], -1)], -2)
-        u = np.stack([r.u1, r.u2], -1)
-        Gq = np.einsum("gij,gj->gi", Gm, q)
-        C += np.asarray(r.saa) - 2 * np.einsum("gi,gi->g", w, q) + np.einsum("gi,gi->g", q, Gq)
-        L += np.einsum("gji,gj->gi", P, Gq - w)
-        Q += np.einsum("gki,gkl,glj->gij", P, Gm, P)
-        P = np.einsum("gij,gjk->gik", M, P)
-        q = np.einsum("gij,gj->gi", M, q) + u
-    Qr = Q + 1e-12 * np.abs(Q).max() * np.eye(2)
-    s0 = -np.linalg.solve(Qr, L[..., None])[..., 0]
-    sse = C + np.einsum("gi,gi->g", L, s0)
+    rows = pdf.to_dict("records")
+    acc = None
+    for r in rows:
+        M, u = _mat(r, "M11", "M12", "M21", "M22"), np.stack([np.asarray(r["u1"]), np.asarray(r["u2"])], -1)
+        G, w = _mat(r, "s11", "s12", "s12", "s22"), np.stack([np.asarray(r["sa1"]), np.asarray(r["sa2"])], -1)
+        saa = np.asarray(r["saa"])
+        if acc is None:
+            acc = [M, u, saa, w, G]
+            continue
+        Ma, ua, sa, wa, Ga = acc
+        Gu = np.einsum("gij,gj->gi", G, ua)
+        acc = [np.einsum("gij,gjk->gik", M, Ma), np.einsum("gij,gj->gi", M, ua) + u,
+               sa + saa - 2 * np.einsum("gi,gi->g", w, ua) + np.einsum("gi,gi->g", ua, Gu),
+               wa + np.einsum("gji,gj->gi", Ma, w - Gu),
+               Ga + np.einsum("gki,gkl,glj->gij", Ma, G, Ma)]
+    M, u, saa, w, G = acc
+    first = rows[0]
+    return pd.DataFrame([[first["series_id"], int(first["_grp"]), int(pdf["m"].sum()), first["alpha"], first["beta"],
+                          M[:, 0, 0], M[:, 0, 1], M[:, 1, 0], M[:, 1, 1], u[:, 0], u[:, 1], saa, w[:, 0], w[:, 1],
+                          G[:, 0, 0], G[:, 0, 1], G[:, 1, 1]]],
+                        columns=["series_id", "_seg", "m", "alpha", "beta", *_SUMMARY])
+
+
+def _holt_finish(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Best candidate of one series from its single whole-series summary: the initial state
+    minimising saa - 2 w's + s'Gs is G^-1 w."""
+    r = pdf.iloc[0]
+    G, w = _mat(r, "s11", "s12", "s12", "s22"), np.stack([np.asarray(r["sa1"]), np.asarray(r["sa2"])], -1)
+    M, u = _mat(r, "M11", "M12", "M21", "M22"), np.stack([np.asarray(r["u1"]), np.asarray(r["u2"])], -1)
+    Gr = G + 1e-12 * np.abs(G).max() * np.eye(2)
+    s0 = np.linalg.solve(Gr, w[..., None])[..., 0]
+    sse = np.asarray(r["saa"]) - np.einsum("gi,gi->g", w, s0)
     best = int(np.nanargmin(sse))
-    fin = P[best] @ s0[best] + q[best]
-    return pd.DataFrame([[pdf["series_id"].iloc[0], int(pdf["m"].sum()), float(pdf["alpha"].iloc[0][best]),
-                          float(pdf["beta"].iloc[0][best]), float(s0[best, 0]), float(s0[best, 1]),
-                          float(fin[0]), float(fin[1]), float(sse[best])]],
+    fin = M[best] @ s0[best] + u[best]
+    return pd.DataFrame([[r["series_id"], int(r["m"]), float(r["alpha"][best]), float(r["beta"][best]), float(s0[best, 0]),
+                          float(s0[best, 1]), float(fin[0]), float(fin[1]), float(sse[best])]],
                         columns=[f.name for f in HOLT_FIT_SCHEMA.fields])
 
 
+def tree_reduce(parts: DataFrame, merge, schema: T.StructType, fan_in: int = 256) -> DataFrame:
+    """Reduce ordered per-segment summaries (``series_id, _seg, ...``) to one row per series
+    with an associative ``merge``, ``fan_in`` summaries per group and level, so no group
+    ever holds more than ``fan_in`` summaries whatever the series length."""
+    parts = parts.cache()
+    top = parts.agg(F.max("_seg")).first()[0] or 0
+    while True:
+        parts = parts.withColumn("_grp", F.floor(F.col("_seg") / fan_in).cast("bigint"))
+        parts = parts.groupBy("series_id", "_grp").applyInPandas(merge, schema)
+        if top < fan_in:
+            return parts
+        top //= fan_in
+
+
 def _training_rows(df: DataFrame, value: str, key: str, ts: str, size: int, unit: str) -> DataFrame:
     d = sg.with_positions(df.select(key, ts, F.col(value).alias("_x")).filter(F.col("_x").isNotNull()), key, ts, unit)
     return d.withColumn("_seg", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
 
 
 def holt_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts",
-             size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month") -> DataFrame:
+             size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month", fan_in: int = 256) -> DataFrame:
     """F2 fit: Holt's linear trend method, (alpha, beta) by a 0.05 grid refined to 0.005 around
     the best point, initial level/trend by exact least squares. One row per series."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
     rows = _training_rows(df, value, "series_id", ts, size, unit).cache()
     coarse = rows.withColumn("_ca", F.lit(None).cast("double")).withColumn("_cb", F.lit(None).cast("double"))
-    fit1 = (coarse.groupBy("series_id", "_seg").applyInPandas(_holt_segment, HOLT_SEG_SCHEMA)
-                  .groupBy("series_id").applyInPandas(_holt_combine, HOLT_FIT_SCHEMA))
+
+    def fit(r):
+        seg = r.groupBy("series_id", "_seg").applyInPandas(_holt_segment, HOLT_SEG_SCHEMA)
+        red = tree_reduce(seg, _holt_merge, HOLT_SEG_SCHEMA, fan_in)
+        return red.groupBy("series_id").applyInPandas(_holt_finish, HOLT_FIT_SCHEMA)
+
+    fit1 = fit(coarse)
     centre = sg._maybe_broadcast(fit1.select("series_id", F.col("alpha").alias("_ca"), F.col("beta").alias("_cb")))
-    fine = rows.join(centre, "series_id")
-    return (fine.groupBy("series_id", "_seg").applyInPandas(_holt_segment, HOLT_SEG_SCHEMA)
-                .groupBy("series_id").applyInPandas(_holt_combine, HOLT_FIT_SCHEMA))
+    return fit(rows.join(centre, "series_id"))
 
 
 def holt_forecast(fit: DataFrame, horizon: int = 30) -> DataFrame:
@@ -174,20 +212,39 @@ def _garch_pass_a(pdf: pd.DataFrame) -> pd.DataFrame:
                         columns=["series_id", "_seg", "mult", "v"])
 
 
-GARCH_IN_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("_seg", T.LongType()),
-                                T.StructField("y_in", ARR), T.StructField("y_out", ARR)])
-
-
-def _garch_chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("_seg")
-    y = None
-    out = []
-    for _, r in pdf.iterrows():
-        mult, v = np.asarray(r["mult"]), np.asarray(r["v"])
-        y_in = np.zeros_like(v) if y is None else y
-        y = mult * y_in + v
-        out.append([r["series_id"], int(r["_seg"]), y_in, y])
-    return pd.DataFrame(out, columns=["series_id", "_seg", "y_in", "y_out"])
+GARCH_MAX_BETA = 0.985
+
+
+def garch_chain_depth(size: int) -> int:
+    """Segments a variance must be carried back so that the dropped remainder, multiplied by
+    beta^(rows) <= 0.985^(depth * size), is below 1e-20 relative."""
+    return int(math.ceil(20.0 / (size * -math.log10(GARCH_MAX_BETA)))) + 1
+
+
+def _garch_chain(seg: DataFrame, depth: int) -> DataFrame:
+    """Entering variance of every segment and candidate:
+    y_in(k) = sum_{d=1..depth} (prod_{i<d} mult_{k-i}) v_{k-d}. Full segments multiply the
+    entering variance by beta^size, so ``depth`` segments are exact to double precision; the
+    per-segment table is itself laid out in bounded segments (positions = segment numbers)."""
+    t = seg.withColumnRenamed("_seg", "_gseg").withColumn(sg.POS, F.col("_gseg") + 1)
+    lay = sg.segmented(t, before=depth, size=max(depth, 100_000))
+    w = sg.segment_window()
+    steps = {}
+    for dd in range(1, depth + 1):
+        steps[f"_v{dd}"] = (lambda dd: lambda: F.lag("v", dd).over(w))(dd)()
+        steps[f"_m{dd}"] = (lambda dd: lambda: F.lag("mult", dd).over(w))(dd)()
+    lay = lay.withColumns(steps)
+    zero = F.transform(F.col("v"), lambda x: F.lit(0.0))
+    one = F.transform(F.col("v"), lambda x: F.lit(1.0))
+    acc, prod = zero, one
+    for dd in range(1, depth + 1):
+        vd = F.coalesce(F.col(f"_v{dd}"), zero)
+        md = F.coalesce(F.col(f"_m{dd}"), zero)
+        acc = F.zip_with(acc, F.zip_with(prod, vd, lambda p, v: p * v), lambda a, b: a + b)
+        prod = F.zip_with(prod, md, lambda p, m: p * m)
+    out = lay.withColumn("y_in", acc).withColumn("y_out", F.zip_with(F.zip_with(F.col("mult"), F.col("y_in"), lambda m, y: m * y),
+                                                                      F.col("v"), lambda a, b: a + b))
+    return sg.drop_halo(out).select("series_id", F.col("_gseg").alias("_seg"), "y_in", "y_out")
 
 
 GARCH_B_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("_seg", T.LongType()),
@@ -227,21 +284,22 @@ def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: s
                     keep_pos=True)
     rows = rows.withColumn("_first", F.col(sg.POS) == 1).withColumn("_seg", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
     rows = rows.select("series_id", "_seg", sg.POS, "_first", "_ep2", "_eps", "_s2").cache()
-    chain = (rows.groupBy("series_id", "_seg").applyInPandas(_garch_pass_a, GARCH_A_SCHEMA)
-                 .groupBy("series_id").applyInPandas(_garch_chain, GARCH_IN_SCHEMA)).cache()
+    seg = rows.groupBy("series_id", "_seg").applyInPandas(_garch_pass_a, GARCH_A_SCHEMA)
+    chain = _garch_chain(seg, garch_chain_depth(size)).cache()
     ll = (rows.join(chain.select("series_id", "_seg", "y_in"), ["series_id", "_seg"])
               .groupBy("series_id", "_seg").applyInPandas(_garch_pass_b, GARCH_B_SCHEMA))
     al, be = _garch_grid()
-    grid = F.array(*[F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(b)).alias("beta")) for a, b in zip(al, be)])
+    spark = df.sparkSession
+    grid = F.broadcast(spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(al, be))],
+                                             "c int, alpha double, beta double"))  # fixed size
     tot = (ll.select("series_id", F.posexplode("ll").alias("c", "ll"))
              .groupBy("series_id", "c").agg(F.sum("ll").alias("loglik")))
     best = tot.groupBy("series_id").agg(F.max_by("c", "loglik").alias("c"), F.max("loglik").alias("loglik"))
     last = chain.groupBy("series_id").agg(F.max_by("y_out", "_seg").alias("_yo"))
     last_eps = rows.groupBy("series_id").agg(F.max_by("_eps", sg.POS).alias("last_eps"))
-    out = (best.join(last, "series_id").join(last_eps, "series_id").join(s2, "series_id")
-               .withColumn("_g", grid[F.col("c")])
-               .select("series_id", "n", "mu", F.col("_s2").alias("uncond_var"), F.col("_g.alpha").alias("alpha"),
-                       F.col("_g.beta").alias("beta"), "loglik", F.col("_yo")[F.col("c")].alias("last_var"), "last_eps"))
+    out = (best.join(grid, "c").join(last, "series_id").join(last_eps, "series_id").join(s2, "series_id")
+               .select("series_id", "n", "mu", F.col("_s2").alias("uncond_var"), "alpha", "beta", "loglik",
+                       F.col("_yo")[F.col("c")].alias("last_var"), "last_eps"))
     return out.withColumn("omega", F.col("uncond_var") * (1 - F.col("alpha") - F.col("beta")))
 
 

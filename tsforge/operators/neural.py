@@ -134,14 +134,19 @@ class MLPResult:
 
 
 def train_mlp(ds: DataFrame, hidden: tuple[int, ...] = (32,), epochs: int = 15, lr: float = 1e-2, batch: int = 8,
-              dropout: float = 0.0, partitions: int = 4, patience: int = 5, lr_patience: int = 5, lr_factor: float = 0.5,
-              min_lr: float = 1e-6, seed: int = 42) -> MLPResult:
+              dropout: float = 0.0, partitions: int | None = None, patience: int = 5, lr_patience: int = 5,
+              lr_factor: float = 0.5, min_lr: float = 1e-6, seed: int = 42, chunk: str = "month") -> MLPResult:
     """F7/F8 training loop with M5 (early stopping on validation loss, best weights kept),
     M6 (learning rate halved after ``lr_patience`` epochs without improvement, floor
-    ``min_lr``) and M7 (history). ``ds`` has ``features`` (vector), ``label`` and ``split``."""
+    ``min_lr``) and M7 (history). ``ds`` has ``features`` (vector), ``label`` and ``split``.
+
+    Training rows are hash-partitioned by (series, time chunk) into ``partitions`` parts
+    (default: the cluster's parallelism), so one long series is spread over many workers;
+    a fixed count and an in-partition sort make runs repeatable."""
     spark = ds.sparkSession
+    parts_n = partitions or spark.sparkContext.defaultParallelism
     d = ds.select(vector_to_array("features").alias("x"), "label", "split", "series_id", "ts")
-    train = (d.filter("split = 'train'").repartition(partitions, "series_id")
+    train = (d.filter("split = 'train'").repartition(parts_n, "series_id", F.date_trunc(chunk, F.col("ts").cast("timestamp")))
               .sortWithinPartitions("series_id", "ts").withColumn("_pid", F.spark_partition_id()).cache())
     valid = d.filter("split = 'valid'").cache()
     n_in = len(train.select("x").first()["x"])

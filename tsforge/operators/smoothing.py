@@ -150,8 +150,15 @@ def tree_reduce(parts: DataFrame, merge, schema: T.StructType, fan_in: int = 256
         top //= fan_in
 
 
-def _training_rows(df: DataFrame, value: str, key: str, ts: str, size: int, unit: str) -> DataFrame:
-    d = sg.with_positions(df.select(key, ts, F.col(value).alias("_x")).filter(F.col("_x").isNotNull()), key, ts, unit)
+def _training_rows(df: DataFrame, value: str, key: str, ts: str, size: int, unit: str, centre: str = "mean") -> DataFrame:
+    """Positions, segment numbers and the value shifted by a per-series constant ``_c`` (the
+    mean, or the first value). Holt's recursion is shift-equivariant, so fitting the shifted
+    values changes no error and keeps the summaries well conditioned."""
+    base = df.select(key, ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    d = sg.with_positions(base, key, ts, unit)
+    agg = F.avg("_x") if centre == "mean" else F.min_by("_x", sg.POS)
+    c = sg._maybe_broadcast(d.groupBy(key).agg(agg.alias("_c")))
+    d = d.join(c, key).withColumn("_x", F.col("_x") - F.col("_c"))
     return d.withColumn("_seg", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
 
 
@@ -171,7 +178,26 @@ def holt_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: st
 
     fit1 = fit(coarse)
     centre = sg._maybe_broadcast(fit1.select("series_id", F.col("alpha").alias("_ca"), F.col("beta").alias("_cb")))
-    return fit(rows.join(centre, "series_id"))
+    out = fit(rows.join(centre, "series_id"))
+    shift = rows.groupBy("series_id").agg(F.first("_c").alias("_c"))
+    return out.join(shift, "series_id").withColumns({"level0": F.col("level0") + F.col("_c"),
+                                                    "level": F.col("level") + F.col("_c")}).drop("_c")
+
+
+def holt_sse_grid(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts",
+                  size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month", fan_in: int = 256) -> DataFrame:
+    """SSE of Holt's one-step errors for every (alpha, beta) of the coarse 0.05 grid, started
+    from level = first value and trend = 0 (values shifted by the first value, so the start
+    state is zero and the SSE is the summary's constant term). One row per series and point."""
+    if key != "series_id":
+        df = df.withColumnRenamed(key, "series_id")
+    rows = _training_rows(df, value, "series_id", ts, size, unit, centre="first")
+    coarse = rows.withColumn("_ca", F.lit(None).cast("double")).withColumn("_cb", F.lit(None).cast("double"))
+    seg = coarse.groupBy("series_id", "_seg").applyInPandas(_holt_segment, HOLT_SEG_SCHEMA)
+    red = tree_reduce(seg, _holt_merge, HOLT_SEG_SCHEMA, fan_in)
+    z = red.select("series_id", "m", F.explode(F.arrays_zip("alpha", "beta", "saa")).alias("_z"))
+    return z.select("series_id", F.col("m").alias("n"), F.col("_z.alpha").alias("alpha"), F.col("_z.beta").alias("beta"),
+                    F.col("_z.saa").alias("sse"))
 
 
 def holt_forecast(fit: DataFrame, horizon: int = 30) -> DataFrame:

@@ -602,3 +602,11 @@ def metrics_table(spark, sf):
     path = _scratch(spark, "metrics_table")
     sinks.write_parquet(wide, path)
     return files.read_metrics_table(spark, path)
+
+
+@query("holt_grid")
+def holt_grid(spark, sf):
+    """F2 grid: root mean squared one-step error of Holt's method on the 0.05 (alpha, beta) grid,
+    started from the first value with no trend, for each random-walk series."""
+    g = smoothing.holt_sse_grid(_walk(spark, sf), "close")
+    return g.select("series_id", r("alpha", 2), r("beta", 2), F.round(F.sqrt(F.col("sse") / F.col("n")), 6).alias("rmse"))

@@ -382,3 +382,17 @@ SQL["metrics_table"] = _w(BARS, BASELINES, METRICS_CTE) + """
 select series_id, model as model_name, round(rmse, 4) as rmse, round(mse, 2) as mse, round(mae, 4) as mae,
        round(mape, 6) as mape, round(r2, 8) as r2, round(medae, 4) as medae, round(msle, 8) as msle
 from m"""
+
+SQL["holt_grid"] = _w(BARS, WALK) + f"""
+, lists as (select series_id, list(close order by ts) as xs, count(*) as n from walk group by 1)
+, g as (select cast(round(0.05 * i, 2) as double) as alpha from range(1, 20) t(i))
+, h as (select cast(round(0.05 * i, 2) as double) as beta from range(1, 20) t(i))
+, runs as (
+  select series_id, n, alpha, beta,
+         list_reduce(xs, lambda acc, x: {{
+             'l': alpha * x + (1 - alpha) * (acc.l + acc.b),
+             'b': beta * ((alpha * x + (1 - alpha) * (acc.l + acc.b)) - acc.l) + (1 - beta) * acc.b,
+             's': acc.s + (x - acc.l - acc.b) * (x - acc.l - acc.b)}},
+             {{'l': xs[1], 'b': cast(0 as double), 's': cast(0 as double)}}) as r
+  from lists, g, h)
+select series_id, alpha, beta, round(sqrt(r.s / n), 6) as rmse from runs"""

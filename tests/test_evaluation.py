@@ -45,3 +45,22 @@ def test_stream_append_emits_closed_windows_only(spark):
         assert batch[(r[0], r[1])] == tuple(r[2:])
     last = max(k[1] for k in batch)
     assert all(r[1] < last for r in app)
+
+
+def test_filters_and_formatting(spark):
+    from tsforge.operators import clean
+    df = spark.createDataFrame([("a", 1234.56789, 12.345), ("b", 0.5, None)], "model string, rmse double, mape double")
+    assert [r["model"] for r in clean.keep_values(df, "model", ["b"]).collect()] == ["b"]
+    out = {r["model"]: r for r in evaluate.format_metrics(df).collect()}
+    assert out["a"]["rmse_text"] == "1,234.5679" and out["a"]["mape_text"] == "12.35%"
+    assert out["b"]["mape_text"] is None
+
+
+def test_zoned_dates_to_naive_utc(spark):
+    from tsforge.operators import clean
+    df = spark.createDataFrame([("2020-01-02 00:30:00-05:00",), ("bad",)], "Date string")
+    got = clean.to_naive_utc(df.filter("Date != 'bad'")).collect()[0]["Date"]
+    import datetime
+    assert got == datetime.datetime(2020, 1, 2, 5, 30)
+    d = clean.parse_dates(df, "Date").collect()
+    assert d[0]["Date"] == datetime.date(2020, 1, 2) and d[1]["Date"] is None

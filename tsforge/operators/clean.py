@@ -42,6 +42,11 @@ def dedupe(df: DataFrame, key: str = "series_id", ts: str = "ts") -> DataFrame:
     return df.dropDuplicates([key, ts])
 
 
+def keep_values(df: DataFrame, col: str, values) -> DataFrame:
+    """Membership filter (pushed to the scan as an In filter)."""
+    return df.filter(F.col(col).isin(list(values)))
+
+
 def positive_pairs(df: DataFrame, a: str = "actual", f: str = "forecast") -> DataFrame:
     """P10."""
     return df.filter((F.col(a) > 0) & (F.col(f) > 0))

@@ -106,3 +106,14 @@ def best_model(metrics: DataFrame, key="series_id", by="rmse") -> DataFrame:
     return metrics.filter(F.col(by).isNotNull()).groupBy(key).agg(
         F.min_by("model", F.struct(F.col(by), F.col("model"))).alias("best_model"),
         F.min(by).alias(f"best_{by}"))
+
+
+def format_metrics(metrics: DataFrame, decimals: dict[str, int] | None = None) -> DataFrame:
+    """Metric values as fixed-decimal text for reports (``1,234.5678``); MAPE gets a % sign."""
+    decimals = decimals or {"rmse": 4, "mse": 4, "mae": 4, "r2": 4, "mape": 2, "medae": 4, "msle": 4}
+    cols = {}
+    for k, d in decimals.items():
+        if k in metrics.columns:
+            txt = F.format_number(F.col(k), d)
+            cols[f"{k}_text"] = F.concat(txt, F.lit("%")) if k == "mape" else txt
+    return metrics.withColumns(cols)

@@ -610,3 +610,10 @@ def holt_grid(spark, sf):
     started from the first value with no trend, for each random-walk series."""
     g = smoothing.holt_sse_grid(_walk(spark, sf), "close")
     return g.select("series_id", r("alpha", 2), r("beta", 2), F.round(F.sqrt(F.col("sse") / F.col("n")), 6).alias("rmse"))
+
+
+@query("future_forecast")
+def future_forecast(spark, sf):
+    """Holt and ARIMA forecasts for the 30 calendar days after each walk series ends."""
+    f = forecasting.future_forecasts(_walk(spark, sf), 30)
+    return f.select("series_id", "model", "ts", "horizon", r("forecast", 4))

@@ -57,3 +57,19 @@ def holdout_forecasts(bars: DataFrame, h: int = 30, models=MODELS, var_cols=("cl
 def model_comparison(bars: DataFrame, h: int = 30, models=MODELS) -> DataFrame:
     fc = holdout_forecasts(bars, h, models)
     return evaluate.forecast_metrics(fc)
+
+
+def future_forecasts(bars: DataFrame, h: int = 30, models=("holt", "arima")) -> DataFrame:
+    """fit on every row and forecast ``h`` steps past the end of each series; step k is
+    dated last date + k calendar days (the anchor is the last observed date)."""
+    last = bars.groupBy("series_id").agg(F.max("ts").alias("_last"))
+    parts = []
+    if "holt" in models:
+        parts.append(smoothing.holt_forecast(smoothing.holt_fit(bars, "close"), h).withColumn("model", F.lit("holt")))
+    if "arima" in models:
+        parts.append(arma.arima_hr(bars, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima")))
+    fc = parts[0].select("series_id", "model", "horizon", "forecast")
+    for p in parts[1:]:
+        fc = fc.unionByName(p.select("series_id", "model", "horizon", "forecast"))
+    return (fc.join(last, "series_id")
+              .select("series_id", "model", F.date_add("_last", F.col("horizon")).alias("ts"), "horizon", "forecast"))

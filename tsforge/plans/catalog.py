@@ -319,7 +319,7 @@ def decompose_type(spark, sf):
 @query("residual_anomalies")
 def residual_anomalies(spark, sf):
     d = diagnostics.decompose(B.bars_orders(spark, sf), "close", 30, "additive")
-    a = diagnostics.residual_anomalies(d, 3.0)
+    a = diagnostics.residual_anomalies(d, 2.0)
     return a.select("series_id", "ts", "observed", r("resid", 4), r("z_score", 6))
 
 

@@ -353,7 +353,7 @@ from u group by 1"""
 
 SQL["residual_anomalies"] = _w(BARS, decomposition("bars", False)) + """
 , z as (select *, (resid - avg(resid) over (partition by series_id)) / stddev_samp(resid) over (partition by series_id) as z from dec)
-select series_id, ts, observed, round(resid, 4) as resid, round(z, 6) as z_score from z where abs(z) > 3.0"""
+select series_id, ts, observed, round(resid, 4) as resid, round(z, 6) as z_score from z where abs(z) > 2.0"""
 
 SQL["stream_lag_windows"] = """
 select series_id, ts, lags, target from (

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 
@@ -64,3 +65,22 @@ def test_zoned_dates_to_naive_utc(spark):
     assert got == datetime.datetime(2020, 1, 2, 5, 30)
     d = clean.parse_dates(df, "Date").collect()
     assert d[0]["Date"] == datetime.date(2020, 1, 2) and d[1]["Date"] is None
+
+
+def test_single_file_export_and_ljung_box_reason(spark):
+    import glob
+    import os
+    from tsforge.operators import diagnostics
+    from tsforge.session import checkpoint_dir
+    from tsforge.sources import sinks
+    df = spark.createDataFrame([("s", i, float(i % 3)) for i in range(40)] + [("c", i, 1.0) for i in range(40)],
+                               "series_id string, ts int, close double")
+    path = os.path.join(checkpoint_dir(spark), "exports", "single")
+    sinks.write_single_csv(df.repartition(4), path)
+    assert len(glob.glob(os.path.join(path, "part-*.csv"))) == 1
+    with pytest.raises(ValueError):
+        sinks.write_single_csv(df, path, max_rows=10)
+    d = df.withColumn("ts", F.date_add(F.lit("2020-01-01").cast("date"), F.col("ts")))
+    lb = {r["series_id"]: r for r in diagnostics.ljung_box(diagnostics.autocov_sums(d, "close", 10), 10).collect()}
+    assert lb["c"]["lb_pvalue"] is None and lb["c"]["lb_reason"] == "constant series"
+    assert lb["s"]["lb_reason"] is None and lb["s"]["lb_pvalue"] is not None

@@ -65,7 +65,10 @@ def ljung_box(sums: DataFrame, lags: int = 10, key: str = "series_id") -> DataFr
     n = F.col("n").cast("double")
     terms = [F.pow(safe_div(_s(k), _s(0)), 2) / (n - k) for k in range(1, lags + 1)]
     q = n * (n + 2.0) * sum(terms[1:], terms[0])
-    return sums.select(key, "n", q.alias("lb_stat")).withColumn("lb_pvalue", chi2_sf_even(F.col("lb_stat"), lags))
+    reason = (F.when(F.col("n") <= lags, F.lit(f"needs more than {lags} observations"))
+               .when(_s(0) == 0, F.lit("constant series")))
+    return (sums.select(key, "n", F.when(reason.isNull(), q).alias("lb_stat"), reason.alias("lb_reason"))
+                .withColumn("lb_pvalue", chi2_sf_even(F.col("lb_stat"), lags)))
 
 
 def _s(i):

@@ -62,7 +62,9 @@ def test_garch_recovers_parameters(spark):
     r = 0.02 + np.array(eps)
     close = 100 * np.cumprod(1 + r / 100)
     df = _frame(spark, {"g": np.r_[100.0, close]})
-    fit = smoothing.garch_fit(df, "close", size=700).collect()[0]
+    fit_df = smoothing.garch_fit(df, "close", size=700).cache()
+    fit = fit_df.collect()[0]
+    assert fit["reason"] is None
     assert abs(fit["alpha"] - al) < 0.04 and abs(fit["beta"] - be) < 0.08
     # likelihood equals a direct evaluation of the recursion at the chosen parameters
     rr = np.diff(np.r_[100.0, close]) / np.r_[100.0, close][:-1] * 100
@@ -76,7 +78,7 @@ def test_garch_recovers_parameters(spark):
         ll += -0.5 * (np.log(2 * np.pi) + np.log(v) + ei * ei / v)
     assert fit["loglik"] == pytest.approx(ll, rel=1e-9)
     assert fit["last_var"] == pytest.approx(v, rel=1e-9)
-    f = smoothing.garch_forecast(spark.createDataFrame([fit]), 30).orderBy("horizon").collect()
+    f = smoothing.garch_forecast(fit_df, 30).orderBy("horizon").collect()
     assert f[-1]["variance"] == pytest.approx(s + (fit["alpha"] + fit["beta"]) ** 29 * (f[0]["variance"] - s), rel=1e-9)
 
 

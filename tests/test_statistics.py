@@ -101,3 +101,26 @@ def test_decomposition_adds_up(spark):
     mult = diagnostics.decompose(df, "close", 30, "multiplicative").toPandas()
     m = mult[(mult.series_id == "s")].dropna(subset=["trend"])
     assert np.allclose(m.trend * m.seasonal * m.resid, m.observed)
+
+
+def test_short_and_constant_series_do_not_fail(spark):
+    """Every statistic and forecaster returns a row (possibly null) for series of 1-3 rows,
+    a constant series and a series with zeros and negatives."""
+    from tsforge.operators import arma, smoothing, summary
+    rng = np.random.default_rng(1)
+    series = {"one": np.array([5.0]), "two": np.array([5.0, 6.0]), "three": np.array([1.0, 2.0, 4.0]),
+              "const": np.full(80, 3.0), "zeros_neg": rng.standard_normal(70), "n60": rng.standard_normal(60) + 10}
+    df = _frame(spark, series)
+    df = df.withColumn("open", df.close).withColumn("volume", df.close * 0 + 1)
+    ids = set(series)
+    assert {r[0] for r in regression.adf(df, "close").collect()} == ids
+    assert {r[0] for r in diagnostics.kpss(df, "close").collect()} == ids
+    assert {r[0] for r in diagnostics.ljung_box(diagnostics.autocov_sums(df, "close", 10)).collect()} == ids
+    assert {r[0] for r in smoothing.garch_fit(df, "close").collect()} == ids
+    assert {r[0] for r in arma.arima_hr(df, "close", 4, 5).collect()} == ids
+    assert {r[0] for r in smoothing.holt_fit(df, "close").collect()} == ids
+    assert {r[0] for r in summary.describe(df, "close").collect()} == ids
+    c = {r["series_id"]: r for r in regression.adf(df, "close").collect()}
+    assert c["const"]["adf_stat"] is None and c["one"]["adf_stat"] is None
+    dec = diagnostics.decompose(df, "close", 30, "multiplicative").filter("series_id = 'zeros_neg'").collect()
+    assert all(r["reason"] == "multiplicative needs positive values" and r["trend"] is None for r in dec)

@@ -79,11 +79,21 @@ def yule_walker(gamma: np.ndarray, order: int) -> tuple[np.ndarray, float]:
 
 
 def ols_from_gram(xtx: np.ndarray, xty: np.ndarray, yty: float):
-    """Least squares from sufficient statistics. Returns (beta, ssr, inverse of X'X)."""
-    try:
-        inv = np.linalg.inv(xtx)
-    except np.linalg.LinAlgError:
-        inv = np.linalg.pinv(xtx)
-    beta = inv @ xty
+    """Least squares from sufficient statistics. Returns (beta, ssr, inverse of X'X).
+
+    Regressors that are identically zero (diagonal 0: lags a series does not use) get a zero
+    coefficient and are left out of the solve."""
+    k = xtx.shape[0]
+    act = np.flatnonzero(np.diag(xtx) > 0)
+    inv = np.zeros((k, k))
+    beta = np.zeros(k)
+    if len(act):
+        sub = xtx[np.ix_(act, act)]
+        try:
+            isub = np.linalg.inv(sub)
+        except np.linalg.LinAlgError:
+            isub = np.linalg.pinv(sub)
+        inv[np.ix_(act, act)] = isub
+        beta[act] = isub @ xty[act]
     ssr = float(yty - beta @ xty)
     return beta, max(ssr, 0.0), inv

@@ -89,28 +89,35 @@ def _arima_forecast(p: int, horizon: int):
     return run
 
 
-def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30, long_ar: int | None = None,
+def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30, max_long_ar: int = 60,
              key: str = "series_id", ts: str = "ts", **kw) -> DataFrame:
     """ARIMA(p,0,1) with constant by Hannan-Rissanen, and its ``horizon``-step forecast.
 
-    Stage 1: AR(m) with m = long_ar (default max(floor(ln(n)^2) over series, 2p), at most 60)
+    Stage 1: AR(m) per series with m = min(max_long_ar, max(floor(ln(n)^2), 2p), (n-2)/3)
     -> innovations e_t. Stage 2: x_t on 1, x_{t-1..t-p}, e_{t-1} -> const, phi, theta.
-    Forecast: x_{n+1} = c + phi . x + theta e_n, later steps without the MA term."""
+    Forecast: x_{n+1} = c + phi . x + theta e_n, later steps without the MA term. Lag columns
+    are built once for the largest m; a series' lags beyond its own m are zero. Series too
+    short for the two regressions get null forecasts and a ``reason``."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
     base = df.select("series_id", ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    if long_ar is None:
-        nmax = base.groupBy("series_id").count().agg(F.max("count")).first()[0] or 10
-        long_ar = int(min(60, max(math.floor(math.log(nmax) ** 2), 2 * p)))
-    m = long_ar
-    rows = windowed(base, [{**_lagcols("_x", "_xl", m), "_one": lambda w: F.lit(1.0)}],
-                    before=m, ts=ts, keep_pos=True, **kw).cache()
-    c1 = ols_by_series(rows, ["_one"] + [f"_xl{i}" for i in range(1, m + 1)], "_x")
+    n = F.col("_n").cast("double")
+    ms = F.least(F.lit(max_long_ar), F.greatest(F.floor(F.pow(F.log(n), 2)), F.lit(2 * p)), F.floor((n - 2) / 3)).cast("int")
+    st = sg._maybe_broadcast(base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n")).withColumn("_m", ms))
+    m = max(int(st.agg(F.max("_m")).first()[0] or 0), p + 1)
+    ok = st.filter(F.col("_m") >= p + 1).select("series_id", "_m")
+    fit_base = base.join(ok, "series_id")
+    rows = windowed(fit_base, [{**_lagcols("_x", "_xl", m), "_one": lambda w: F.lit(1.0)}],
+                    before=m, ts=ts, keep_pos=True, **kw)
+    rows = rows.withColumns({f"_xl{i}": F.when(F.lit(i) <= F.col("_m"), F.col(f"_xl{i}")).otherwise(0.0)
+                             for i in range(p + 1, m + 1)}).cache()
+    stage1 = rows.filter(F.col(sg.POS) > F.col("_m"))
+    c1 = ols_by_series(stage1, ["_one"] + [f"_xl{i}" for i in range(1, m + 1)], "_x")
     lagarr = F.array(*[F.col(f"_xl{i}") for i in range(1, m + 1)])
     r1 = rows.join(sg._maybe_broadcast(c1.select("series_id", F.col("coef").alias("_c1"))), "series_id").withColumn("_lags_m", lagarr)
-    r1 = r1.withColumn("_e", F.when(F.col(f"_xl{m}").isNotNull(), F.col("_x") - F.col("_c1")[0] - _dot_lags("_c1", "_lags_m")))
+    r1 = r1.withColumn("_e", F.when(F.col(sg.POS) > F.col("_m"), F.col("_x") - F.col("_c1")[0] - _dot_lags("_c1", "_lags_m")))
     r1 = r1.select("series_id", ts, sg.POS, "_x", "_one", *[f"_xl{i}" for i in range(1, p + 1)], "_e")
-    r2 = windowed(r1.drop(sg.POS), [{"_el1": lambda w: F.lag("_e", 1).over(w)}], before=1, ts=ts, keep_pos=True, **kw).cache()
+    r2 = windowed(r1, [{"_el1": lambda w: F.lag("_e", 1).over(w)}], before=1, ts=ts, keep_pos=True, **kw).cache()
     xs = ["_one"] + [f"_xl{i}" for i in range(1, p + 1)] + ["_el1"]
     c2 = ols_by_series(r2, xs, "_x")
     # last p values and the last stage-2 innovation of each series
@@ -120,8 +127,15 @@ def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
     last = fitted.groupBy("series_id").agg(
         F.max_by(F.array(*[F.col(f"_xl{i}") for i in range(p - 1, 0, -1)], F.col("_x")), sg.POS).alias("last_x"),
         F.max_by("_e2", sg.POS).alias("last_e2"))
-    st = c2.select("series_id", F.col("coef").alias("coef2")).join(last, "series_id")
-    return st.groupBy("series_id").applyInPandas(_arima_forecast(p, horizon), ARIMA_SCHEMA)
+    pars = c2.select("series_id", F.col("coef").alias("coef2")).join(last, "series_id")
+    fc = pars.groupBy("series_id").applyInPandas(_arima_forecast(p, horizon), ARIMA_SCHEMA)
+    short = (st.filter(F.col("_m") < p + 1)
+               .select("series_id", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
+               .select("series_id", F.col("horizon").cast("int"), F.lit(None).cast("double").alias("forecast"),
+                       F.lit(None).cast("double").alias("const"), F.lit(None).cast(ARR).alias("ar"),
+                       F.lit(None).cast("double").alias("ma")))
+    reason = F.when(F.col("const").isNull(), F.lit(f"too short for ARIMA({p},0,1)"))
+    return fc.unionByName(short).withColumn("reason", reason)
 
 
 # ---- VAR --------------------------------------------------------------------------------------------

@@ -87,8 +87,9 @@ def kpss_lag() -> F.Column:
     c = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), lambda i: F.when(i <= m, _s(i) / (n / 2.0)).otherwise(0.0))
     s0 = F.col("s")[0] / n + F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)
     s1 = F.aggregate(F.zip_with(c, F.sequence(F.lit(1), F.size(c)), lambda x, i: x * i), F.lit(0.0), lambda acc, x: acc + x)
-    g = 1.1447 * F.pow(F.pow(s1 / s0, 2), 1.0 / 3.0)
-    return F.least(F.floor(g * F.pow(n, 1.0 / 3.0)), n - 1).cast("int")
+    g = 1.1447 * F.pow(F.pow(F.try_divide(s1, s0), 2), 1.0 / 3.0)
+    lags = F.least(F.floor(g * F.pow(n, 1.0 / 3.0)), n - 1)
+    return F.when(~F.isnan(lags), lags).cast("int")
 
 
 def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts", sums: DataFrame | None = None,
@@ -112,7 +113,7 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
     sig = (_s(0) + 2.0 * wsum) / n
     d = sg.with_positions(demeaned(df, value, key).select(key, ts, "_e"), key, ts)
     eta = sg.running_sum(d, "_e", "_S", key).groupBy(key).agg(F.sum(F.col("_S") * F.col("_S")).alias("_ss"))
-    out = lagged.join(eta, key).select(key, "n", "kpss_lags", (F.col("_ss") / (n * n) / sig).alias("kpss_stat"))
+    out = lagged.join(eta, key).select(key, "n", "kpss_lags", F.try_divide(F.col("_ss") / (n * n), sig).alias("kpss_stat"))
     crit, pv = solvers.KPSS_CRIT, solvers.KPSS_PVAL
     x = F.col("kpss_stat")
     p = F.when(x <= crit[0], pv[0])

@@ -68,6 +68,9 @@ def _adf_solve(kmax: int):
         heads = pdf[pdf["_kind"] == 1]
         yi = d - 1
         nobs_c = g[0, 0]
+        if pmax >= 0 and nobs_c >= 3 and g[1, 1] <= 0:  # constant series: x_{t-1} is all zero after scaling
+            return pd.DataFrame([(sid, n, None, None, None, None)],
+                                columns=["series_id", "n", "adf_stat", "adf_pvalue", "used_lag", "nobs"])
         best, best_p = None, 0
         if pmax < 0 or nobs_c < 3:
             return pd.DataFrame([(sid, n, None, None, None, None)],
@@ -137,6 +140,9 @@ def adf(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "
         "series_id", F.lit(1).alias("_kind"), F.col("_j").cast("int").alias("idx"), F.lit(None).cast("double").alias("val"),
         F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in names]).alias("vec"))
     meta = st.select("series_id", F.col("_n").cast("bigint"), "_pmax")
-    parts = g.unionByName(heads).join(meta, "series_id")
+    # one marker row per series, so series too short for any regression still get a (null) result
+    marks = st.select("series_id", F.lit(2).alias("_kind"), F.lit(-1).alias("idx"), F.lit(None).cast("double").alias("val"),
+                      F.lit(None).cast("array<double>").alias("vec"))
+    parts = g.unionByName(heads).unionByName(marks).join(meta, "series_id")
     out = parts.groupBy("series_id").applyInPandas(_adf_solve(kmax), ADF_SCHEMA)
     return out if key == "series_id" else out.withColumnRenamed("series_id", key)

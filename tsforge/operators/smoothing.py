@@ -239,6 +239,7 @@ def _garch_pass_a(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 GARCH_MAX_BETA = 0.985
+GARCH_MIN_RETURNS = 10
 
 
 def garch_chain_depth(size: int) -> int:
@@ -305,7 +306,9 @@ def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: s
     e = r.join(sg._maybe_broadcast(mom), "series_id").withColumn("_eps", F.col("_r") - F.col("_mu"))
     s2 = e.groupBy("series_id").agg(F.avg(F.col("_eps") * F.col("_eps")).alias("_s2"), F.first("_mu").alias("mu"),
                                     F.count(F.lit(1)).alias("n"))
-    e = e.join(sg._maybe_broadcast(s2.select("series_id", "_s2")), "series_id")
+    s2 = sg._maybe_broadcast(s2)
+    ok = s2.filter((F.col("n") >= GARCH_MIN_RETURNS) & (F.col("_s2") > 0)).select("series_id", "_s2")
+    e = e.join(ok, "series_id")
     rows = windowed(e, [{"_ep2": lambda w: F.pow(F.lag("_eps", 1).over(w), 2)}], before=1, ts=ts, size=size, unit=unit,
                     keep_pos=True)
     rows = rows.withColumn("_first", F.col(sg.POS) == 1).withColumn("_seg", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
@@ -323,9 +326,14 @@ def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: s
     best = tot.groupBy("series_id").agg(F.max_by("c", "loglik").alias("c"), F.max("loglik").alias("loglik"))
     last = chain.groupBy("series_id").agg(F.max_by("y_out", "_seg").alias("_yo"))
     last_eps = rows.groupBy("series_id").agg(F.max_by("_eps", sg.POS).alias("last_eps"))
-    out = (best.join(grid, "c").join(last, "series_id").join(last_eps, "series_id").join(s2, "series_id")
-               .select("series_id", "n", "mu", F.col("_s2").alias("uncond_var"), "alpha", "beta", "loglik",
-                       F.col("_yo")[F.col("c")].alias("last_var"), "last_eps"))
+    fitted = (best.join(grid, "c").join(last, "series_id").join(last_eps, "series_id")
+                  .select("series_id", "alpha", "beta", "loglik", F.col("_yo")[F.col("c")].alias("last_var"), "last_eps"))
+    every = df.select("series_id").distinct()
+    reason = (F.when(F.col("n").isNull() | (F.col("n") < GARCH_MIN_RETURNS), F.lit(f"needs {GARCH_MIN_RETURNS} returns"))
+               .when(F.col("_s2") <= 0, F.lit("constant returns")))
+    out = (every.join(s2, "series_id", "left").join(fitted, "series_id", "left")
+                .select("series_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "mu", F.col("_s2").alias("uncond_var"),
+                        "alpha", "beta", "loglik", "last_var", "last_eps", reason.alias("reason")))
     return out.withColumn("omega", F.col("uncond_var") * (1 - F.col("alpha") - F.col("beta")))
 
 

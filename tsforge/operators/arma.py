@@ -22,6 +22,7 @@ from tsforge.functions import solvers
 from tsforge.operators import segments as sg
 from tsforge.operators.features import windowed
 from tsforge.operators.regression import gram
+from tsforge.session import reuse_input
 
 ARR = T.ArrayType(T.DoubleType())
 
@@ -100,7 +101,7 @@ def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
     short for the two regressions get null forecasts and a ``reason``."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
-    base = df.select("series_id", ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    base = reuse_input(df.select("series_id", ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()))
     n = F.col("_n").cast("double")
     ms = F.least(F.lit(max_long_ar), F.greatest(F.floor(F.pow(F.log(n), 2)), F.lit(2 * p)), F.floor((n - 2) / 3)).cast("int")
     st = sg._maybe_broadcast(base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n")).withColumn("_m", ms))
@@ -197,7 +198,7 @@ def var_forecast(df: DataFrame, cols: list[str], pmax: int = 5, horizon: int = 3
     order, ``horizon``-step forecast in the original units (long form: variable, forecast)."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
-    base = df.select("series_id", ts, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    base = reuse_input(df.select("series_id", ts, *[F.col(c).cast("double").alias(c) for c in cols]).dropna())
     st = base.groupBy("series_id").agg(F.array(*[F.avg(c) for c in cols]).alias("_mu"),
                                        F.array(*[F.coalesce(F.nullif(F.stddev_pop(c), F.lit(0.0)), F.lit(1.0)) for c in cols]).alias("_sd"),
                                        F.count(F.lit(1)).alias("_n"))

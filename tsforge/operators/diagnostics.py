@@ -20,12 +20,14 @@ from tsforge.functions import solvers
 from tsforge.functions.columns import chi2_sf_even, safe_div
 from tsforge.operators import segments as sg
 from tsforge.operators.features import windowed
+from tsforge.session import reuse_input
 
 Z95 = 1.959963984540054
 
 
 def demeaned(df: DataFrame, value: str = "close", key: str = "series_id") -> DataFrame:
     """Adds ``_e = value - mean(value)`` per series (per-series table broadcast under a bound)."""
+    df = reuse_input(df)
     m = df.groupBy(key).agg(F.avg(value).alias("_mu"), F.count(value).alias("_n"))
     return df.filter(F.col(value).isNotNull()).join(sg._maybe_broadcast(m), key).withColumn("_e", F.col(value) - F.col("_mu"))
 
@@ -98,6 +100,7 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
 
     eta = sum_t S_t^2 / n^2 with S the running sum of the demeaned values (two-level scan);
     long-run variance (S_0 + 2 sum_{i<=l} (1 - i/(l+1)) S_i) / n from the autocovariance sums."""
+    df = reuse_input(df.select(key, ts, value))
     sums = (sums if sums is not None else autocov_sums(df, value, max_lag, key, ts, **kw)).cache()
     lagged = sums.withColumn("kpss_lags", kpss_lag())
     # The bandwidth is data dependent; if some series needs more lags than were summed
@@ -168,6 +171,7 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
     values, otherwise the component columns are null and ``reason`` says why."""
     h = period // 2
     x = F.col(value)
+    df = reuse_input(df.select(key, ts, value))
 
     def trend(w):
         if period % 2 == 0:
@@ -198,6 +202,7 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
 def residual_anomalies(dec: DataFrame, z: float = 3.0, key: str = "series_id", ts: str = "ts") -> DataFrame:
     """Rows whose decomposition residual is more than ``z`` sample standard deviations from
     the series' mean residual."""
+    dec = reuse_input(dec)
     st = dec.groupBy(key).agg(F.avg("resid").alias("_mr"), F.stddev_samp("resid").alias("_sr"))
     j = dec.join(sg._maybe_broadcast(st), key).withColumn("z_score", safe_div(F.col("resid") - F.col("_mr"), F.col("_sr")))
     return j.filter(F.abs(F.col("z_score")) > z).select(key, ts, "observed", "resid", "z_score")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tsforge.functions.columns import safe_div
 from tsforge.operators.splits import holdout_tail
 from tsforge.operators.summary import exact_quantiles
+from tsforge.session import reuse_input
 
 METRICS = ["rmse", "mse", "mae", "mape", "r2", "medae", "msle"]
 HIGHER_IS_BETTER = {"r2"}
@@ -53,7 +54,7 @@ def forecast_metrics(fc: DataFrame, key=("series_id", "model"), a="actual", f="f
     null); ``mape_pos`` and ``msle`` use rows with actual > 0 and forecast > 0 only, and MSLE
     is null when there is none."""
     keys = list(key)
-    d = fc.filter(F.col(a).isNotNull() & F.col(f).isNotNull())
+    d = reuse_input(fc.filter(F.col(a).isNotNull() & F.col(f).isNotNull()))
     e = F.col(a) - F.col(f)
     pos = (F.col(a) > 0) & (F.col(f) > 0)
     ape = F.abs(safe_div(e, F.col(a)))

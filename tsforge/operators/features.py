@@ -268,6 +268,8 @@ def minmax_scale(df, value="close", out="scaled", key="series_id", train_col: st
                  params: DataFrame | None = None) -> DataFrame:
     """(v - min) / (max - min) per series; null for a constant series. The per-series table
     has one row per series and is broadcast only under a measured row bound."""
+    from tsforge.session import reuse_input
+    df = reuse_input(df)
     p = params if params is not None else minmax_params(df, value, key, train_col)
     return (df.join(sg._maybe_broadcast(p), key)
               .withColumn(out, safe_div(F.col(value) - F.col("vmin"), F.col("vmax") - F.col("vmin"))))

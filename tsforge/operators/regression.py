@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tsforge.functions import solvers
 from tsforge.operators import segments as sg
 from tsforge.operators.features import windowed
+from tsforge.session import reuse_input
 
 
 def _partial_gram(keys: list[str], cols: list[str]):
@@ -115,7 +116,7 @@ def adf(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "
     leaves the statistic and the lag choice unchanged and keeps the Gram well conditioned."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
-    base = df.select("series_id", ts, value).filter(F.col(value).isNotNull())
+    base = reuse_input(df.select("series_id", ts, value).filter(F.col(value).isNotNull()))
     st = base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n"), F.avg(value).alias("_mu"),
                                        F.stddev_pop(value).alias("_sd"))
     pmax_col = F.least(F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2).cast("int")

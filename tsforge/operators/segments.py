@@ -28,9 +28,6 @@ SEG = "_seg"
 HOME = "_home"
 BUCKET = "_bkt"
 
-# Largest per-(series, bucket) count table we broadcast; above it the offsets are joined
-# by a shuffle on the same keys the local row_number is partitioned on.
-BROADCAST_ROWS = 2_000_000
 DEFAULT_SEGMENT_ROWS = 200_000
 
 
@@ -42,15 +39,15 @@ def bucket_expr(ts: str, unit: str = "month") -> Column:
     return F.date_trunc(unit, F.col(ts))
 
 
-def _maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a derived per-series table and broadcast it only under a measured row bound.
+def _maybe_broadcast(small: DataFrame) -> DataFrame:
+    """Materialise a derived per-series table as parquet in the shared checkpoint folder.
 
-    The table is written as a reliable checkpoint (shared ``spark.checkpoint.dir``), which
-    also cuts its lineage: plans that derive several such tables from the same input stay
-    linear in size instead of repeating the input once per table."""
+    Read back as a file scan, its size is known to the planner, which broadcasts it only when
+    the files are under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffle-joins it
+    (AQE may still switch at run time) - a measured size check with a fallback. Writing it also
+    cuts its lineage, so plans deriving several such tables from one input stay linear in size."""
     from tsforge.session import materialize
-    small = materialize(small)
-    return F.broadcast(small) if small.count() <= max_rows else small
+    return materialize(small)
 
 
 def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "month") -> DataFrame:
@@ -58,8 +55,9 @@ def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "
 
     ``(key, ts)`` must be unique (see ``clean.dedupe``) so the order is total.
     """
+    from tsforge.session import reuse_input
     keys = _keys(key)
-    b = df.withColumn(BUCKET, bucket_expr(ts, unit))
+    b = reuse_input(df).withColumn(BUCKET, bucket_expr(ts, unit))
     counts = b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

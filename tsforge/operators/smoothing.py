@@ -155,7 +155,7 @@ def _training_rows(df: DataFrame, value: str, key: str, ts: str, size: int, unit
     mean, or the first value). Holt's recursion is shift-equivariant, so fitting the shifted
     values changes no error and keeps the summaries well conditioned."""
     base = df.select(key, ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    d = sg.with_positions(base, key, ts, unit)
+    d = sg.with_positions(base, key, ts, unit)  # writes ``base`` once if it is costly to recompute
     agg = F.avg("_x") if centre == "mean" else F.min_by("_x", sg.POS)
     c = sg._maybe_broadcast(d.groupBy(key).agg(agg.alias("_c")))
     d = d.join(c, key).withColumn("_x", F.col("_x") - F.col("_c"))
@@ -299,6 +299,8 @@ def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: s
     grid by maximum Gaussian likelihood. Returns the fitted parameters and last variance."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
+    from tsforge.session import reuse_input
+    df = reuse_input(df.select("series_id", ts, value))
     r = windowed(df.select("series_id", ts, value),
                  [{"_r": lambda w: (F.try_divide(F.col(value), F.lag(value, 1).over(w)) - 1.0) * 100.0}],
                  before=1, ts=ts, size=size, unit=unit).filter(F.col("_r").isNotNull())

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tsforge.functions.columns import safe_div
 from tsforge.operators import segments as sg
+from tsforge.session import reuse_input
 
 SQRT_2PI = math.sqrt(2.0 * math.pi)
 
@@ -29,7 +30,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], key="series_id",
     step), rows under the bracket are only counted, and the candidates shrink about
     ``grid / 5``-fold. The remaining candidates are ranked with a window per (group, q)."""
     keys = [key] if isinstance(key, str) else list(key)
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    d = reuse_input(df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()))
     n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     qrow = F.explode(F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)]))
     h = (F.col("_n") - 1) * F.col("q")
@@ -71,6 +72,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[float], key="series_id",
 
 def describe(df: DataFrame, value: str = "close", key="series_id") -> DataFrame:
     """A4: count, mean, sample std, min, 25/50/75 % (exact, interpolated), max per series."""
+    df = reuse_input(df.select(key, value))
     base = df.groupBy(key).agg(F.count(value).cast("bigint").alias("count"), F.avg(value).alias("mean"),
                                F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
     qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], key)
@@ -95,6 +97,7 @@ def _bin_count(n_rows, rule: str):
 def histogram(df: DataFrame, value: str = "close", bins=20, key="series_id") -> DataFrame:
     """A5: equal-width histogram per series between its min and max (numpy convention: the last
     bin is closed on the right). ``bins`` is a count or 'sturges' / 'sqrt'."""
+    df = reuse_input(df.select(key, value))
     st = df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_n"))
     nb = F.lit(int(bins)) if isinstance(bins, int) else _bin_count(F.col("_n"), bins)
     st = st.withColumn("_nb", nb)
@@ -115,6 +118,7 @@ def kde(df: DataFrame, value: str = "close", grid: int = 200, cut: float = 3.0,
     Points are first binned into ``fine_bins`` equal bins (a partial aggregate), and the
     density is summed over bin centres, so the work per series is bins x grid whatever its
     length. Bin width / h is tiny for any realistic n, so the binning error is negligible."""
+    df = reuse_input(df.select(key, value))
     st = df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_n"),
                              F.stddev_samp(value).alias("_sd"))
     st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n"), F.lit(-0.2)))

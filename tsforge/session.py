@@ -70,3 +70,20 @@ def materialize(df):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_COSTLY = None
+
+
+def reuse_input(df):
+    """Make a DataFrame safe to read several times. If computing it needs a shuffle or a
+    Python stage (an aggregation, window, shuffle join, pandas function...), write it once as a
+    table in the shared folder (``materialize``) so later passes read the result instead of
+    recomputing the lineage; plain scans, filters, projections and broadcast joins are returned
+    unchanged."""
+    global _COSTLY
+    import re
+    if _COSTLY is None:
+        _COSTLY = re.compile(r"(?<!Broadcast)Exchange |InPandas|ArrowEvalPython|BatchEvalPython|MapInArrow")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return materialize(df) if _COSTLY.search(plan) else df

@@ -61,6 +61,8 @@ def walk(bars: DataFrame, value: str = "close", out: str = "close", base: float
 
     ``out = base + running_sum((v - mean) / std_pop)`` rounded to 6 decimals; the running
     sum is the two-level segmented scan, not a whole-series window."""
+    from tsforge.session import reuse_input
+    bars = reuse_input(bars)
     stats = bars.groupBy("series_id").agg(F.avg(value).alias("_mu"), F.stddev_pop(value).alias("_sd"))
     z = bars.join(sg._maybe_broadcast(stats), "series_id").withColumn("_z", (F.col(value) - F.col("_mu")) / F.col("_sd"))
     z = sg.with_positions(z, "series_id", "ts", kw.get("unit", "month"))

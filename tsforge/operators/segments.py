@@ -50,8 +50,12 @@ def _maybe_broadcast(small: DataFrame) -> DataFrame:
     return materialize(small)
 
 
-def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "month") -> DataFrame:
-    """Add ``_pos``: the 1-based position of each row in its series ordered by ``ts``.
+LEN = "_len"
+
+
+def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "month", with_len: bool = False) -> DataFrame:
+    """Add ``_pos``: the 1-based position of each row in its series ordered by ``ts`` (and,
+    with ``with_len``, ``_len``: the series' row count, taken from the same small table).
 
     ``(key, ts)`` must be unique (see ``clean.dedupe``) so the order is total.
     """
@@ -60,10 +64,12 @@ def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "
     b = reuse_input(df).withColumn(BUCKET, bucket_expr(ts, unit))
     counts = b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select(*keys, BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy(*keys)).alias(LEN))
     j = b.join(_maybe_broadcast(offsets), keys + [BUCKET])
     local = Window.partitionBy(*keys, BUCKET).orderBy(ts)
-    return j.withColumn(POS, (F.col("_off") + F.row_number().over(local)).cast("bigint")).drop("_off", BUCKET)
+    out = j.withColumn(POS, (F.col("_off") + F.row_number().over(local)).cast("bigint")).drop("_off", BUCKET)
+    return out if with_len else out.drop(LEN)
 
 
 def segmented(df: DataFrame, before: int = 0, after: int = 0, size: int = DEFAULT_SEGMENT_ROWS,

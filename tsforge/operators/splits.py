@@ -13,10 +13,13 @@ from tsforge.operators import segments as sg
 
 
 def _with_pos_and_len(df: DataFrame, key, ts: str, unit: str) -> DataFrame:
+    """Positions and series lengths; the lengths come with the positions' own count table
+    (no extra pass) unless positions were already there."""
     keys = sg._keys(key)
-    d = df if sg.POS in df.columns else sg.with_positions(df, keys, ts, unit)
-    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_len"))
-    return d.join(sg._maybe_broadcast(n), keys)
+    if sg.POS not in df.columns:
+        return sg.with_positions(df, keys, ts, unit, with_len=True)
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_len"))
+    return df.join(sg._maybe_broadcast(n), keys)
 
 
 def holdout_tail(df: DataFrame, h: int = 30, key="series_id", ts="ts", unit="month", keep_pos=False) -> DataFrame:

@@ -44,19 +44,26 @@ def get_spark(master: str | None = None, app: str = "tsforge", shuffle_partition
     return spark
 
 
+_LOCAL_DIR: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only when it
-    is unset (local runs, tests) do we create a scratch folder of our own.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir()
-    if hasattr(d, "isDefined"):
-        d = d.get() if d.isDefined() else None
+    On a cluster this setting points at shared storage and is used as is. Only when it is
+    unset (local runs, tests) is a scratch folder created, once per process."""
+    global _LOCAL_DIR
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    if not d:
+        opt = sc._jsc.sc().getCheckpointDir()
+        d = opt.get() if opt.isDefined() else None
     if not d:
-        d = tempfile.mkdtemp(prefix="tsforge-ckpt-", dir=os.environ.get("TSFORGE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        if _LOCAL_DIR is None:
+            _LOCAL_DIR = tempfile.mkdtemp(prefix="tsforge-ckpt-", dir=os.environ.get("TSFORGE_SCRATCH", "/tmp"))
+        d = _LOCAL_DIR
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 

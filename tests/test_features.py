@@ -89,3 +89,19 @@ def test_exact_quantiles_with_refinement(spark):
         for k, arr in vals.items():
             for q in qs:
                 assert got[(k, q)] == pytest.approx(np.quantile(arr, q), rel=1e-12, abs=1e-12), (k, q, max_rows)
+
+
+def test_histogram_auto_bins_match_numpy(spark):
+    from tsforge.operators.summary import histogram
+    b = B.bars_orders(spark, SF001)
+    pdf = b.select("series_id", "close").toPandas()
+    for rule in ("auto", "fd", "sturges"):
+        h = histogram(b, "close", bins=rule).toPandas()
+        for sid, g in pdf.groupby("series_id"):
+            edges = np.histogram_bin_edges(g.close.to_numpy(), bins=rule)
+            counts, _ = np.histogram(g.close.to_numpy(), bins=edges)
+            mine = h[h.series_id == sid].sort_values("bin")
+            full = np.zeros(len(counts), dtype=int)
+            full[mine.bin.to_numpy()] = mine["count"].to_numpy()
+            assert len(counts) == int(mine.bin.max()) + 1, (rule, sid)  # the last bin holds the maximum
+            assert (full == counts).all(), (rule, sid)

@@ -86,20 +86,36 @@ def std_pop(df: DataFrame, value: str, key="series_id") -> DataFrame:
     return df.groupBy(key).agg(F.stddev_pop(value).alias("std_pop"))
 
 
-def _bin_count(n_rows, rule: str):
-    if rule == "sturges":
-        return F.ceil(F.log2(n_rows) + 1).cast("int")
+def _bin_count(rule: str):
+    """Bin count per series for a numpy rule: 'sturges' (range / (log2 n + 1) wide),
+    'sqrt', 'fd' (2 IQR n^(-1/3) wide) or 'auto' (the narrower of Sturges and FD, Sturges when
+    the IQR is 0) - seaborn's default."""
+    n = F.col("_n").cast("double")
+    rng = F.col("_hi") - F.col("_lo")
     if rule == "sqrt":
-        return F.ceil(F.sqrt(n_rows)).cast("int")
-    raise ValueError(rule)
+        return F.ceil(F.sqrt(n)).cast("int")
+    sturges_w = rng / (F.log2(n) + 1.0)
+    fd_w = 2.0 * F.col("_iqr") * F.pow(n, -1.0 / 3.0)
+    width = {"sturges": sturges_w,
+             "fd": fd_w,
+             "auto": F.when(fd_w > 0, F.least(fd_w, sturges_w)).otherwise(sturges_w)}[rule]
+    return F.greatest(F.coalesce(F.ceil(F.try_divide(rng, width)), F.lit(1)), F.lit(1)).cast("int")
 
 
 def histogram(df: DataFrame, value: str = "close", bins=20, key="series_id") -> DataFrame:
     """A5: equal-width histogram per series between its min and max (numpy convention: the last
-    bin is closed on the right). ``bins`` is a count or 'sturges' / 'sqrt'."""
+    bin is closed on the right). ``bins`` is a count or a numpy rule: 'auto' (seaborn's
+    default), 'fd', 'sturges', 'sqrt'."""
     df = reuse_input(df.select(key, value))
     st = df.groupBy(key).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_n"))
-    nb = F.lit(int(bins)) if isinstance(bins, int) else _bin_count(F.col("_n"), bins)
+    if isinstance(bins, int):
+        nb = F.lit(int(bins))
+    else:
+        if bins in ("fd", "auto"):
+            q = exact_quantiles(df, value, [0.25, 0.75], key)
+            iqr = q.groupBy(key).agg((F.max_by("value", "q") - F.min_by("value", "q")).alias("_iqr"))
+            st = st.join(iqr, key, "left")
+        nb = _bin_count(bins)
     st = st.withColumn("_nb", nb)
     j = df.select(key, value).filter(F.col(value).isNotNull()).join(sg._maybe_broadcast(st), key)
     pos = safe_div(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")) * F.col("_nb")

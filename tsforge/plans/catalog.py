@@ -617,3 +617,10 @@ def future_forecast(spark, sf):
     """Holt and ARIMA forecasts for the 30 calendar days after each walk series ends."""
     f = forecasting.future_forecasts(_walk(spark, sf), 30)
     return f.select("series_id", "model", "ts", "horizon", r("forecast", 4))
+
+
+@query("histogram_auto")
+def histogram_auto(spark, sf):
+    """A5 with seaborn's default bin rule (numpy 'auto': narrower of Sturges and Freedman-Diaconis)."""
+    h = summary.histogram(B.bars_orders(spark, sf), "close", bins="auto")
+    return h.select("series_id", "bin", r("lo_edge", 4), r("hi_edge", 4), "count")

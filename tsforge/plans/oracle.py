@@ -396,3 +396,16 @@ SQL["holt_grid"] = _w(BARS, WALK) + f"""
              {{'l': xs[1], 'b': cast(0 as double), 's': cast(0 as double)}}) as r
   from lists, g, h)
 select series_id, alpha, beta, round(sqrt(r.s / n), 6) as rmse from runs"""
+
+SQL["histogram_auto"] = _w(BARS) + """
+, st as (select series_id, min(close) as lo, max(close) as hi, count(close) as n,
+                quantile_cont(close, 0.75) - quantile_cont(close, 0.25) as iqr from bars group by 1)
+, w as (select *, (hi - lo) / (log2(n) + 1.0) as sw, 2.0 * iqr * pow(n, -1.0 / 3.0) as fw from st)
+, nb as (select *, cast(greatest(coalesce(ceil((hi - lo) / nullif(case when fw > 0 then least(fw, sw) else sw end, 0)), 1), 1) as integer) as nb
+         from w)
+, hb as (select series_id, lo, hi, nb,
+                cast(least(coalesce(floor(((close - lo) / nullif(hi - lo, 0)) * nb), 0), nb - 1) as integer) as bin
+         from bars join nb using (series_id))
+select series_id, bin, round(lo + bin * ((hi - lo) / nb), 4) as lo_edge, round(lo + (bin + 1) * ((hi - lo) / nb), 4) as hi_edge,
+       count(*) as count
+from hb group by series_id, bin, lo, hi, nb"""

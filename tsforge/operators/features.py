@@ -44,7 +44,7 @@ def windowed(df: DataFrame, steps: list[dict[str, Builder]], before: int = 0, af
     Later steps may use columns of earlier ones; all steps share the same partitioning.
     ``before``/``after`` are the widest frame reach in rows over all builders.
     """
-    if layout == "series":
+    if layout == "series":  # reference layout (one task per series), used to check the segmented one
         w = Window.partitionBy(key).orderBy(ts)
         ctx = Ctx([key], "_rowpos")
         d = df.withColumn("_rowpos", F.row_number().over(w))

@@ -105,3 +105,12 @@ def test_histogram_auto_bins_match_numpy(spark):
             full[mine.bin.to_numpy()] = mine["count"].to_numpy()
             assert len(counts) == int(mine.bin.max()) + 1, (rule, sid)  # the last bin holds the maximum
             assert (full == counts).all(), (rule, sid)
+
+
+def test_ema_block_scan_equals_fold(spark):
+    b = B.bars_orders(spark, SF01)
+    scan = fe.ema_feature(b, span=10, size=1000)
+    fold = fe.windowed(b, [{"fold": fe.ema_fold("close", 10)}], before=199, size=1000)
+    m = scan.join(fold.select("series_id", "ts", "fold"), ["series_id", "ts"]).toPandas()
+    assert len(m) == b.count()
+    assert np.allclose(m.ema_10, m.fold, rtol=1e-12, atol=0)

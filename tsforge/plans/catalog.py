@@ -358,7 +358,7 @@ def _series_tests(df):
 
 @query("stationarity_verdict")
 def stationarity_verdict(spark, sf):
-    """T11 on levels, the walk and the differenced walk (Testing.py and Differenced.py flows)."""
+    """T11 on levels, the walk and the differenced walk (the level and the differenced-series flows)."""
     dw = fe.first_difference(_walk(spark, sf)).select(F.concat(F.lit("dwalk|"), "series_id").alias("series_id"), "ts",
                                                        F.col("diff").alias("close"))
     t = _series_tests(_levels_and_walk(spark, sf).unionByName(dw))

@@ -104,10 +104,12 @@ def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
     base = reuse_input(df.select("series_id", ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()))
     n = F.col("_n").cast("double")
     ms = F.least(F.lit(max_long_ar), F.greatest(F.floor(F.pow(F.log(n), 2)), F.lit(2 * p)), F.floor((n - 2) / 3)).cast("int")
-    st = sg._maybe_broadcast(base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n")).withColumn("_m", ms))
+    st = sg._maybe_broadcast(base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n"), F.avg("_x").alias("_mu"))
+                             .withColumn("_m", ms))
     m = max(int(st.agg(F.max("_m")).first()[0] or 0), p + 1)
-    ok = st.filter(F.col("_m") >= p + 1).select("series_id", "_m")
-    fit_base = base.join(ok, "series_id")
+    ok = st.filter(F.col("_m") >= p + 1).select("series_id", "_m", "_mu")
+    # centred per series: the regressions keep their fit and the Gram matrix its conditioning
+    fit_base = base.join(ok, "series_id").withColumn("_x", F.col("_x") - F.col("_mu")).drop("_mu")
     rows = windowed(fit_base, [{**_lagcols("_x", "_xl", m), "_one": lambda w: F.lit(1.0)}],
                     before=m, ts=ts, keep_pos=True, **kw)
     rows = rows.withColumns({f"_xl{i}": F.when(F.lit(i) <= F.col("_m"), F.col(f"_xl{i}")).otherwise(0.0)
@@ -130,6 +132,11 @@ def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
         F.max_by("_e2", sg.POS).alias("last_e2"))
     pars = c2.select("series_id", F.col("coef").alias("coef2")).join(last, "series_id")
     fc = pars.groupBy("series_id").applyInPandas(_arima_forecast(p, horizon), ARIMA_SCHEMA)
+    mu = ok.select("series_id", "_mu")
+    phi_sum = F.aggregate(F.col("ar"), F.lit(0.0), lambda acc, x: acc + x)
+    fc = (fc.join(mu, "series_id")
+            .withColumn("forecast", F.col("forecast") + F.col("_mu"))
+            .withColumn("const", F.col("const") + F.col("_mu") * (1.0 - phi_sum)).drop("_mu"))
     short = (st.filter(F.col("_m") < p + 1)
                .select("series_id", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
                .select("series_id", F.col("horizon").cast("int"), F.lit(None).cast("double").alias("forecast"),

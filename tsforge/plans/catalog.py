@@ -343,7 +343,7 @@ def yule_walker4(spark, sf):
     dw = fe.first_difference(_walk(spark, sf)).select("series_id", "ts", F.col("diff").alias("close"))
     py = diagnostics.pacf_yw(diagnostics.autocov_sums(dw, "close", 4), 4, 4)
     return py.select("series_id", "n", F.transform("ar_coef", lambda x: F.round(x, 8)).alias("ar_coef"),
-                     r("sigma2", 10), r("sigma", 8))
+                     r("sigma2", 8), r("sigma", 8))
 
 
 def _series_tests(df):

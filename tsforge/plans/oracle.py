@@ -409,3 +409,36 @@ SQL["histogram_auto"] = _w(BARS) + """
 select series_id, bin, round(lo + bin * ((hi - lo) / nb), 4) as lo_edge, round(lo + (bin + 1) * ((hi - lo) / nb), 4) as hi_edge,
        count(*) as count
 from hb group by series_id, bin, lo, hi, nb"""
+
+
+def _dl_sum(k: str = "k") -> str:
+    return f"coalesce(list_sum(list_transform(acc.phi, lambda y, i: y * gam[{k} - i + 1])), 0)"
+
+
+def durbin_levinson(kmax: int) -> str:
+    """list_reduce over lags 1..kmax: partial autocorrelations (out), AR coefficients (phi) and
+    innovation variance (v) from the autocovariance list ``gam`` (gam[1] = gamma_0)."""
+    a = f"((gam[k + 1] - {_dl_sum()}) / acc.v)"
+    return f"""list_reduce(range(1, {kmax + 1}), lambda acc, k: {{
+        'phi': list_concat(list_transform(acc.phi, lambda x, j: x - {a} * acc.phi[k - j]), [{a}]),
+        'v': acc.v * (1 - pow({a}, 2)),
+        'out': list_append(acc.out, {a})}},
+      {{'phi': []::double[], 'v': gam[1], 'out': [cast(1 as double)]}})"""
+
+
+def _gam(k: int) -> str:
+    return "[" + ", ".join(f"s{i} / (n - {i})" for i in range(k + 1)) + "]"
+
+
+SQL["pacf30"] = _w(BARS, WALK, autocov("walk", 30)) + f"""
+, dl as (select series_id, {durbin_levinson(30)} as r from (select series_id, {_gam(30)} as gam from sums))
+select series_id, cast(lag - 1 as integer) as lag, round(pacf, 8) as pacf
+from (select series_id, unnest(r.out) as pacf, generate_subscripts(r.out, 1) as lag from dl)"""
+
+SQL["yule_walker4"] = _w(BARS, WALK) + f"""
+, dw as (select * from (select series_id, ts, close - lag(close) over ({W}) as close from walk) where close is not null)
+, {autocov("dw", 4)}
+, dl as (select series_id, n, {durbin_levinson(4)} as r from (select series_id, n, {_gam(4)} as gam from sums))
+select series_id, n, list_transform(r.phi, lambda x: round(x, 8)) as ar_coef, round(r.v, 8) as sigma2,
+       round(sqrt(r.v), 8) as sigma
+from dl"""

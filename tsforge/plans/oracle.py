@@ -442,3 +442,28 @@ SQL["yule_walker4"] = _w(BARS, WALK) + f"""
 select series_id, n, list_transform(r.phi, lambda x: round(x, 8)) as ar_coef, round(r.v, 8) as sigma2,
        round(sqrt(r.v), 8) as sigma
 from dl"""
+
+_TRAIN = "tr as (select * from (select *, row_number() over (partition by series_id order by ts desc) as rn from bars) where rn > 30)"
+SQL["garch_variance"] = _w(BARS, _TRAIN) + f"""
+, ret as (select * from (select series_id, ts, (close / lag(close) over ({W}) - 1.0) * 100.0 as r from tr) where r is not null)
+, mom as (select series_id, avg(r) as mu from ret group by 1)
+, eps as (select series_id, ts, r - mu as e from ret join mom using (series_id))
+, st as (select series_id, avg(e * e) as s2, count(*) as n, list(e order by ts) as es from eps group by 1)
+, ga as (select round(0.01 * i, 10) as alpha from range(1, 31) t(i))
+, gb as (select round(0.50 + 0.01 * i, 10) as beta from range(0, 49) t(i))
+, cand as (select cast(alpha as double) as alpha, cast(beta as double) as beta from ga, gb where alpha + beta < 0.999)
+, runs as (
+  select series_id, s2, alpha, beta, es[len(es)] as last_e,
+         list_reduce(es, lambda acc, e: {{
+             'v': case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end,
+             'll': acc.ll - 0.5 * (ln(2 * pi()) + ln(case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end)
+                                   + e * e / case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end),
+             'pe': e}},
+             {{'v': cast(null as double), 'll': cast(0 as double), 'pe': cast(null as double)}}) as res
+  from st, cand where n >= 10 and s2 > 0)
+, best as (select series_id, arg_max(struct_pack(s2 := s2, a := alpha, b := beta, v := res.v, e := last_e), res.ll) as p from runs group by 1)
+, one as (select series_id, p.s2 as s2, p.a as a, p.b as b,
+                 p.s2 * (1 - p.a - p.b) + p.a * p.e * p.e + p.b * p.v as v1 from best)
+select series_id, cast(h as integer) as horizon, round(s2 + pow(a + b, h - 1) * (v1 - s2), 2) as variance,
+       round(sqrt(s2 + pow(a + b, h - 1) * (v1 - s2)), 4) as volatility
+from one, range(1, 31) t(h)"""

@@ -467,3 +467,58 @@ SQL["garch_variance"] = _w(BARS, _TRAIN) + f"""
 select series_id, cast(h as integer) as horizon, round(s2 + pow(a + b, h - 1) * (v1 - s2), 2) as variance,
        round(sqrt(s2 + pow(a + b, h - 1) * (v1 - s2)), 4) as volatility
 from one, range(1, 31) t(h)"""
+
+
+def _holt_step(a: str, b: str) -> str:
+    """One step of three Holt recursions started from (0,0), (1,0), (0,1), accumulating the
+    sums that make the SSE a quadratic in the start state (d_k = e_0 - e_k)."""
+    def e(k):
+        return f"(x - acc.l{k} - acc.t{k})"
+
+    def lv(k):
+        return f"({a} * x + (1 - {a}) * (acc.l{k} + acc.t{k}))"
+    d1, d2 = f"({e(0)} - {e(1)})", f"({e(0)} - {e(2)})"
+    parts = []
+    for k in range(3):
+        parts.append(f"'l{k}': {lv(k)}")
+        parts.append(f"'t{k}': {b} * ({lv(k)} - acc.l{k}) + (1 - {b}) * acc.t{k}")
+    parts += [f"'s00': acc.s00 + {e(0)} * {e(0)}", f"'s01': acc.s01 + {e(0)} * {d1}", f"'s02': acc.s02 + {e(0)} * {d2}",
+              f"'s11': acc.s11 + {d1} * {d1}", f"'s12': acc.s12 + {d1} * {d2}", f"'s22': acc.s22 + {d2} * {d2}"]
+    init = ", ".join([f"'l{k}': cast({1 if k == 1 else 0} as double), 't{k}': cast({1 if k == 2 else 0} as double)" for k in range(3)]
+                     + [f"'{s}': cast(0 as double)" for s in ("s00", "s01", "s02", "s11", "s12", "s22")])
+    return f"list_reduce(xs, lambda acc, x: {{{', '.join(parts)}}}, {{{init}}})"
+
+
+def _holt_fit_sql(grid_cte: str) -> str:
+    """SSE-optimal start state per candidate (2x2 solve), SSE and final state."""
+    return f"""(select series_id, alpha, beta, r,
+        (r.s22 * r.s01 - r.s12 * r.s02) / (r.s11 * r.s22 - r.s12 * r.s12) as z1,
+        (r.s11 * r.s02 - r.s12 * r.s01) / (r.s11 * r.s22 - r.s12 * r.s12) as z2
+      from (select series_id, alpha, beta, {_holt_step("alpha", "beta")} as r from lists, {grid_cte}))"""
+
+
+SQL["holt_forecast"] = _w(BARS, WALK) + f"""
+, tr as (select * from (select *, row_number() over (partition by series_id order by ts desc) as rn from walk) where rn > 30)
+, te as (select series_id, ts, cast(31 - rn as integer) as horizon, close as actual
+         from (select *, row_number() over (partition by series_id order by ts desc) as rn from walk) where rn <= 30)
+, lists as (select series_id, list(close order by ts) as xs from tr group by 1)
+, g1 as (select cast(round(0.05 * i, 10) as double) as alpha, cast(round(0.05 * j, 10) as double) as beta
+         from range(1, 20) a(i), range(1, 20) b(j))
+, f1 as (select *, r.s00 - (r.s01 * z1 + r.s02 * z2) as sse from {_holt_fit_sql("g1")})
+, c1 as (select series_id, arg_min(struct_pack(a := alpha, b := beta), sse) as c from f1 group by 1)
+, g2 as (select series_id,
+                greatest(least(round(c.a - 0.05 + 0.005 * i, 10), 0.999), 0.001) as alpha,
+                greatest(least(round(c.b - 0.05 + 0.005 * j, 10), 0.999), 0.001) as beta
+         from c1, range(0, 21) a(i), range(0, 21) b(j))
+, f2 as (select * , r.s00 - (r.s01 * z1 + r.s02 * z2) as sse from (
+           select l.series_id, g2.alpha, g2.beta, {_holt_step("g2.alpha", "g2.beta")} as r
+           from lists l join g2 using (series_id)) q,
+         lateral (select (r.s22 * r.s01 - r.s12 * r.s02) / (r.s11 * r.s22 - r.s12 * r.s12) as z1,
+                         (r.s11 * r.s02 - r.s12 * r.s01) / (r.s11 * r.s22 - r.s12 * r.s12) as z2))
+, b2 as (select series_id, arg_min(struct_pack(r := r, z1 := z1, z2 := z2), sse) as p from f2 group by 1)
+, fin as (select series_id,
+                 p.r.l0 + (p.r.l1 - p.r.l0) * p.z1 + (p.r.l2 - p.r.l0) * p.z2 as lvl,
+                 p.r.t0 + (p.r.t1 - p.r.t0) * p.z1 + (p.r.t2 - p.r.t0) * p.z2 as trd
+          from b2)
+select series_id, 'holt' as model, ts, horizon, actual, round(lvl + horizon * trd, 4) as forecast
+from te join fin using (series_id)"""

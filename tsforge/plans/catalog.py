@@ -624,3 +624,10 @@ def histogram_auto(spark, sf):
     """A5 with seaborn's default bin rule (numpy 'auto': narrower of Sturges and Freedman-Diaconis)."""
     h = summary.histogram(B.bars_orders(spark, sf), "close", bins="auto")
     return h.select("series_id", "bin", r("lo_edge", 4), r("hi_edge", 4), "count")
+
+
+@query("recursive_ml_forecast")
+def recursive_ml_forecast(spark, sf):
+    """Lag-window linear regression and the data-parallel network forecasting the same 30-step
+    holdout as the classical models, each prediction fed back as the newest lag."""
+    return _holdout(spark, sf, ("linear_rec", "mlp_rec"))

@@ -6,10 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.operators import arma, evaluate, smoothing, splits
+from pyspark.ml.functions import array_to_vector, vector_to_array
+
+from tsforge.operators import arma, evaluate, ml, neural, smoothing, splits
 from tsforge.operators import segments as sg
+from tsforge.session import materialize
 
-MODELS = ("naive", "drift", "holt", "arima", "var")
+MODELS = ("naive", "drift", "holt", "arima", "var", "linear_rec", "mlp_rec")
 
 
 def split_holdout(bars: DataFrame, h: int = 30):
@@ -30,10 +33,42 @@ def multi_step_baselines(train: DataFrame, h: int = 30) -> DataFrame:
                     F.col("_last").alias("naive"), (F.col("_last") + F.col("horizon") * slope).alias("drift"))
 
 
+def recursive_forecasts(train: DataFrame, h: int = 30, kind: str = "linear", lookback: int = 20, **params) -> DataFrame:
+    """Multi-step forecasts from a lag-window regression: the model is fitted on every training
+    window (per-series min-max scaling from the training rows), then each step's prediction is
+    appended to the window that predicts the next step. The loop runs over the ``h`` steps, on a
+    one-row-per-series state table; it never touches the rows again.
+
+    ``kind`` is a Spark ML regressor ('linear', 'rf', 'gbt') or 'mlp' (data-parallel network)."""
+    if kind == "mlp":
+        ds = ml.window_dataset(train, "close", lookback, train_frac=1.0, valid_frac=0.1)
+        res = neural.train_mlp(ds, hidden=params.get("hidden", (32,)), epochs=params.get("epochs", 15),
+                               lr=params.get("lr", 3e-3), batch=params.get("batch", 32))
+        predict = lambda d: neural.predict(res, d)
+    else:
+        ds = ml.window_dataset(train, "close", lookback, train_frac=1.0, valid_frac=0.0)
+        model = ml.regressor(kind, label="label", **params).fit(ds)
+        predict = model.transform
+    arr = vector_to_array("features")
+    state = ds.groupBy("series_id").agg(
+        F.max_by(F.slice(F.concat(arr, F.array("label")), 2, lookback), "ts").alias("lags"),
+        F.first("vmin").alias("vmin"), F.first("vmax").alias("vmax"))
+    state = materialize(state)
+    outs = []
+    for k in range(1, h + 1):
+        pred = materialize(predict(state.withColumn("features", array_to_vector("lags"))).drop("features"))
+        outs.append(pred.select("series_id", F.lit(k).alias("horizon"),
+                                (F.col("prediction") * (F.col("vmax") - F.col("vmin")) + F.col("vmin")).alias("forecast")))
+        state = pred.select("series_id", "vmin", "vmax", F.slice(F.concat("lags", F.array("prediction")), 2, lookback).alias("lags"))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
 def holdout_forecasts(bars: DataFrame, h: int = 30, models=MODELS, var_cols=("close", "open", "volume")) -> DataFrame:
     """Long forecast table ``series_id, model, ts, horizon, actual, forecast``."""
     train, test = split_holdout(bars, h)
-    from tsforge.session import materialize
     train = materialize(train)
     parts = []
     if "naive" in models or "drift" in models:
@@ -48,6 +83,11 @@ def holdout_forecasts(bars: DataFrame, h: int = 30, models=MODELS, var_cols=("cl
     if "var" in models and all(c in bars.columns for c in var_cols):
         v = arma.var_forecast(train, list(var_cols), 5, h).filter(F.col("variable") == var_cols[0])
         parts.append(v.select("series_id", "horizon", "forecast").withColumn("model", F.lit("var")))
+    for m in ("linear_rec", "rf_rec", "mlp_rec"):
+        if m in models:
+            kind = m.split("_")[0]
+            extra = {"numTrees": 30, "maxDepth": 6} if kind == "rf" else {}
+            parts.append(recursive_forecasts(train, h, kind, **extra).withColumn("model", F.lit(m)))
     fc = parts[0].select("series_id", "model", "horizon", "forecast")
     for p in parts[1:]:
         fc = fc.unionByName(p.select("series_id", "model", "horizon", "forecast"))

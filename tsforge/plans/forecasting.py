@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.ml.functions import array_to_vector, vector_to_array
 
 from tsforge.operators import arma, evaluate, ml, neural, smoothing, splits
-from tsforge.operators import segments as sg
 from tsforge.session import materialize
 
 MODELS = ("naive", "drift", "holt", "arima", "var", "linear_rec", "mlp_rec")

@@ -41,9 +41,33 @@ def get_spark(master: str | None = None, app: str = "tsforge", shuffle_partition
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tsforge`` importable in the executors' Python workers (pandas functions are pickled
+    by reference): zip the package once per process and register it with ``addPyFile``."""
+    import hashlib
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_tsforge_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(r, f) for r, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
+    path = os.path.join(checkpoint_dir(spark).replace("file:", ""), "pyfiles", f"tsforge-{digest}.zip")
+    if not os.path.exists(path):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        tmp = f"{path}.{os.getpid()}.tmp"
+        with zipfile.ZipFile(tmp, "w") as z:
+            for f in files:
+                z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
+        os.replace(tmp, path)
+    sc.addPyFile(path)
+    sc._tsforge_shipped = True
+
+
 _LOCAL_DIR: str | None = None
 
 

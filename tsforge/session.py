@@ -56,7 +56,10 @@ def ship_package(spark: SparkSession) -> None:
     pkg = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(r, f) for r, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
     digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
-    path = os.path.join(checkpoint_dir(spark).replace("file:", ""), "pyfiles", f"tsforge-{digest}.zip")
+    base = checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        base = tempfile.gettempdir()  # the zip is only read by the driver; Spark serves it to executors
+    path = os.path.join(base.replace("file:", ""), "pyfiles", f"tsforge-{digest}.zip")
     if not os.path.exists(path):
         os.makedirs(os.path.dirname(path), exist_ok=True)
         tmp = f"{path}.{os.getpid()}.tmp"

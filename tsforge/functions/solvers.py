@@ -48,7 +48,9 @@ def kpss_p(stat: float) -> float:
 def durbin_levinson(gamma: np.ndarray) -> tuple[np.ndarray, float]:
     """Partial autocorrelations from autocovariances gamma[0..K] (Durbin-Levinson).
 
-    Returns (pacf[0..K] with pacf[0] = 1, innovation variance after K steps)."""
+    Returns (pacf[0..K] with pacf[0] = 1, innovation variance after K steps). Like solving each
+    order's Toeplitz system directly, it keeps going when the 'adjusted' autocovariances are
+    not positive definite (values can then leave [-1, 1])."""
     k_max = len(gamma) - 1
     pacf = np.full(k_max + 1, np.nan)
     pacf[0] = 1.0
@@ -57,13 +59,13 @@ def durbin_levinson(gamma: np.ndarray) -> tuple[np.ndarray, float]:
     phi = np.zeros(0)
     v = gamma[0]
     for k in range(1, k_max + 1):
+        if v == 0 or not np.isfinite(v):
+            break  # singular system: the remaining orders are undefined
         num = gamma[k] - (phi @ gamma[k - 1:0:-1] if k > 1 else 0.0)
         a = num / v
         phi = np.concatenate([phi - a * phi[::-1], [a]])
         v = v * (1.0 - a * a)
         pacf[k] = a
-        if v <= 0:
-            break
     return pacf, v
 
 

@@ -110,3 +110,28 @@ def test_arima_hr_recovers_ar_and_ma(spark):
     assert out[0]["ar"][0] == pytest.approx(0.6, abs=0.05)
     assert out[0]["ma"] == pytest.approx(0.4, abs=0.07)
     assert out[-1]["forecast"] == pytest.approx(out[0]["const"] / (1 - out[0]["ar"][0]), rel=1e-2)
+
+
+def test_arima_css_matches_brute_force_and_recovers(spark):
+    rng = np.random.default_rng(9)
+    n, e = 4000, rng.standard_normal(4001)
+    x = np.zeros(n)
+    for t in range(1, n):
+        x[t] = 0.6 * x[t - 1] + e[t] + 0.4 * e[t - 1]
+    df = _frame(spark, {"a": x + 10})
+    out = arma.arima_css(df, "close", p=1, horizon=3, size=1000).orderBy("horizon").collect()  # 2 segments + halo
+    xc = x + 10 - (x + 10).mean()
+    best = None
+    for th in arma.CSS_THETAS:
+        w, prev = np.zeros(n), 0.0
+        for t in range(n):
+            prev = xc[t] - th * prev
+            w[t] = prev
+        Z, y = np.column_stack([np.ones(n - 1), w[:-1]]), w[1:]
+        b = np.linalg.lstsq(Z, y, rcond=None)[0]
+        sse = float(((y - Z @ b) ** 2).sum())
+        if best is None or sse < best[0]:
+            best = (sse, th, b)
+    assert out[0]["ma"] == pytest.approx(best[1]) and out[0]["sse"] == pytest.approx(best[0], rel=1e-9)
+    assert out[0]["ar"][0] == pytest.approx(best[2][1], rel=1e-9)
+    assert abs(out[0]["ar"][0] - 0.6) < 0.05 and abs(out[0]["ma"] - 0.4) < 0.05

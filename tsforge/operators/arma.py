@@ -1,9 +1,11 @@
 """Linear time-series models fitted from Gram sums (F1 ARIMA(p,0,q), F4 VAR).
 
-* ARIMA(p, 0, 1) with constant, by Hannan-Rissanen (1982): a long autoregression gives
-  innovation estimates, then x_t is regressed on its p lags and the lagged innovation. Both
-  stages are least squares on lag columns of the segmented layout, so nothing is sequential
-  over the series; only the 30-step forecast recursion runs per series, on its last rows.
+* ARIMA(p, 0, 1) with constant, two estimators:
+  - ``arima_css`` (default): conditional least squares profiled over theta (see there);
+  - ``arima_hr``: Hannan-Rissanen (1982): a long autoregression gives innovation estimates,
+    then x_t is regressed on its p lags and the lagged innovation. Both stages are least
+    squares on lag columns of the segmented layout, so nothing is sequential over the series.
+  Only the 30-step forecast recursion runs per series, on its last rows.
 * VAR on several columns: lag order 0..pmax by AIC on the common sample (one Gram matrix
   serves every order), then a refit with the chosen order on its longer sample.
 """
@@ -21,7 +23,7 @@ from tsforge.functions import solvers
 from tsforge.operators import segments as sg
 from tsforge.operators.features import windowed
 from tsforge.operators.regression import gram
-from tsforge.session import reuse_input
+from tsforge.session import materialize, reuse_input
 
 ARR = T.ArrayType(T.DoubleType())
 
@@ -227,3 +229,128 @@ def var_forecast(df: DataFrame, cols: list[str], pmax: int = 5, horizon: int = 3
         F.array(*[F.col(f"_z{j}") for j in range(len(cols))]).alias("vec"))
     parts = g.unionByName(heads).unionByName(tails).join(stb.select("series_id", "_mu", "_sd"), "series_id")
     return parts.groupBy("series_id").applyInPandas(_var_solve(cols, pmax, horizon), VAR_SCHEMA)
+
+
+# ---- ARIMA(p, 0, 1) by conditional least squares profiled over theta -------------------------
+
+CSS_THETAS = np.round(np.arange(-0.95, 0.95001, 0.01), 10)
+# w = (1 + theta L)^-1 x forgets its start as |theta|^k: after CSS_HALO rows the start weighs
+# 0.95^CSS_HALO <= 1e-40, so a segment that replays CSS_HALO earlier rows has exact w.
+CSS_HALO = int(np.ceil(40.0 / -np.log10(0.95)))
+_CSS_CHUNK = 8192
+
+
+def _css_segment(p: int):
+    G = len(CSS_THETAS)
+    k = p + 2
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(sg.POS)
+        x = pdf["_x"].to_numpy(dtype=float)
+        pos = pdf[sg.POS].to_numpy()
+        home = pdf[sg.HOME].to_numpy(dtype=bool)
+        th = CSS_THETAS
+        W = np.empty((len(x), G))
+        w = np.zeros(G)
+        for i, xv in enumerate(x):
+            w = xv - th * w
+            W[i] = w
+        idx = np.flatnonzero(home & (pos > p))
+        gram = np.zeros((G, k, k))
+        for s in range(0, len(idx), _CSS_CHUNK):
+            r = idx[s:s + _CSS_CHUNK]
+            Z = np.stack([np.ones((len(r), G))] + [W[r - j] for j in range(1, p + 1)] + [W[r]], axis=-1)
+            gram += np.einsum("rgk,rgl->gkl", Z, Z)
+        hi = np.flatnonzero(home)
+        last = hi[-1]
+        tail = np.arange(last - p, last + 1)
+        tail = tail[tail >= 0]
+        return pd.DataFrame([[pdf["series_id"].iloc[0], int(pos[last]), gram.ravel().tolist(),
+                              W[tail].ravel().tolist(), x[tail].tolist()]],
+                            columns=["series_id", "last_pos", "gram", "last_w", "last_x"])
+    return run
+
+
+CSS_SEG_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("last_pos", T.LongType()),
+                               T.StructField("gram", ARR), T.StructField("last_w", ARR), T.StructField("last_x", ARR)])
+
+
+def _css_solve(p: int, horizon: int):
+    G = len(CSS_THETAS)
+    k = p + 2
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sid = pdf["series_id"].iloc[0]
+        g = np.zeros(G * k * k)
+        gr = pdf[pdf["_kind"] == 0]
+        g[gr["idx"].to_numpy(dtype=int)] = gr["val"].to_numpy(dtype=float)
+        g = g.reshape(G, k, k)
+        sse = np.full(G, np.inf)
+        coefs = np.zeros((G, k - 1))
+        for j in range(G):
+            if g[j, 0, 0] <= k:
+                continue
+            beta, ssr, _ = solvers.ols_from_gram(g[j, :-1, :-1], g[j, :-1, -1], g[j, -1, -1])
+            sse[j], coefs[j] = ssr, beta
+        if not np.isfinite(sse).any():
+            return pd.DataFrame(columns=[f.name for f in ARIMA_CSS_SCHEMA.fields])
+        b = int(np.argmin(sse))
+        theta = float(CSS_THETAS[b])
+        cp, phi = coefs[b, 0], coefs[b, 1:]
+        st = pdf[pdf["_kind"] == 1].iloc[0]
+        lw = np.asarray(st["last_w"], dtype=float).reshape(-1, G)[:, b]   # w_{n-p..n}
+        lx = list(np.asarray(st["last_x"], dtype=float))                  # x_{n-p..n}
+        e_n = lw[-1] - cp - sum(phi[i] * lw[-2 - i] for i in range(p))
+        const = cp * (1.0 + theta)
+        out = []
+        for h in range(1, horizon + 1):
+            f = const + sum(phi[i] * lx[-1 - i] for i in range(p)) + (theta * e_n if h == 1 else 0.0)
+            out.append((sid, h, float(f), float(const), [float(v) for v in phi], theta, float(sse[b])))
+            lx.append(f)
+        return pd.DataFrame(out, columns=[f.name for f in ARIMA_CSS_SCHEMA.fields])
+    return run
+
+
+ARIMA_CSS_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("horizon", T.IntegerType()),
+                                 T.StructField("forecast", T.DoubleType()), T.StructField("const", T.DoubleType()),
+                                 T.StructField("ar", ARR), T.StructField("ma", T.DoubleType()), T.StructField("sse", T.DoubleType())])
+
+
+def arima_css(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30, key: str = "series_id", ts: str = "ts",
+              size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month") -> DataFrame:
+    """ARIMA(p,0,1) with constant by conditional least squares, profiled over the MA
+    coefficient theta on a 0.01 grid in [-0.95, 0.95], and its ``horizon``-step forecast.
+
+    For each theta, w = (1 + theta L)^-1 x (w_t = x_t - theta w_{t-1}) turns the model into
+    AR(p) + constant on w; its SSE comes from per-segment Gram sums (segments replay
+    ``CSS_HALO`` earlier rows, after which the filter's start no longer matters) summed over
+    segments; the theta with the smallest SSE wins. Values are centred per series first.
+    Series too short for the regression get null forecasts and a ``reason``."""
+    if key != "series_id":
+        df = df.withColumnRenamed(key, "series_id")
+    base = reuse_input(df.select("series_id", ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()))
+    st = sg._maybe_broadcast(base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n"), F.avg("_x").alias("_mu")))
+    ok = st.filter(F.col("_n") >= p + 10).select("series_id", "_mu")
+    seg_size = max(size, 2 * CSS_HALO)
+    lay = sg.series_layout(base.join(ok, "series_id").withColumn("_x", F.col("_x") - F.col("_mu")).drop("_mu"),
+                           before=CSS_HALO, size=seg_size, ts=ts, unit=unit)
+    segs = lay.select("series_id", sg.SEG, sg.POS, sg.HOME, "_x").groupBy("series_id", sg.SEG).applyInPandas(
+        _css_segment(p), CSS_SEG_SCHEMA)
+    segs = materialize(segs)
+    g = (segs.select("series_id", F.posexplode("gram").alias("idx", "val")).groupBy("series_id", "idx").agg(F.sum("val").alias("val"))
+             .select("series_id", F.lit(0).alias("_kind"), "idx", "val", F.lit(None).cast(ARR).alias("last_w"),
+                     F.lit(None).cast(ARR).alias("last_x")))
+    last = (segs.groupBy("series_id").agg(F.max_by(F.struct("last_w", "last_x"), "last_pos").alias("_l"))
+                .select("series_id", F.lit(1).alias("_kind"), F.lit(-1).cast("int").alias("idx"), F.lit(None).cast("double").alias("val"),
+                        "_l.last_w", "_l.last_x"))
+    fc = g.unionByName(last).groupBy("series_id").applyInPandas(_css_solve(p, horizon), ARIMA_CSS_SCHEMA)
+    fc = (fc.join(ok, "series_id")
+            .withColumn("forecast", F.col("forecast") + F.col("_mu"))
+            .withColumn("const", F.col("const") + F.col("_mu") * (1.0 - F.aggregate("ar", F.lit(0.0), lambda a, x: a + x)))
+            .drop("_mu"))
+    short = (st.join(ok.select("series_id"), "series_id", "left_anti")
+               .select("series_id", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
+               .select("series_id", F.col("horizon").cast("int"), *[F.lit(None).cast(t).alias(n) for n, t in
+                       (("forecast", "double"), ("const", "double"), ("ar", "array<double>"), ("ma", "double"), ("sse", "double"))]))
+    reason = F.when(F.col("const").isNull(), F.lit(f"too short for ARIMA({p},0,1)"))
+    return fc.unionByName(short).withColumn("reason", reason)

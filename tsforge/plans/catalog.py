@@ -399,9 +399,16 @@ def holt_forecast(spark, sf):
 
 @query("arima_forecast")
 def arima_forecast(spark, sf):
+    """ARIMA(4,0,1) by conditional least squares profiled over theta."""
     return _holdout(spark, sf, ("arima",))
 
 
+@query("arima_hr_forecast")
+def arima_hr_forecast(spark, sf):
+    """F1 by Hannan-Rissanen two-stage least squares (no sequential filter at all)."""
+    return _holdout(spark, sf, ("arima_hr",))
+
+
 @query("var_forecast")
 def var_forecast(spark, sf):
     return _holdout(spark, sf, ("var",))

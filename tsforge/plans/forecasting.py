@@ -78,7 +78,9 @@ def holdout_forecasts(bars: DataFrame, h: int = 30, models=MODELS, var_cols=("cl
     if "holt" in models:
         parts.append(smoothing.holt_forecast(smoothing.holt_fit(train, "close"), h).withColumn("model", F.lit("holt")))
     if "arima" in models:
-        parts.append(arma.arima_hr(train, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima")))
+        parts.append(arma.arima_css(train, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima")))
+    if "arima_hr" in models:
+        parts.append(arma.arima_hr(train, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima_hr")))
     if "var" in models and all(c in bars.columns for c in var_cols):
         v = arma.var_forecast(train, list(var_cols), 5, h).filter(F.col("variable") == var_cols[0])
         parts.append(v.select("series_id", "horizon", "forecast").withColumn("model", F.lit("var")))
@@ -106,7 +108,7 @@ def future_forecasts(bars: DataFrame, h: int = 30, models=("holt", "arima")) ->
     if "holt" in models:
         parts.append(smoothing.holt_forecast(smoothing.holt_fit(bars, "close"), h).withColumn("model", F.lit("holt")))
     if "arima" in models:
-        parts.append(arma.arima_hr(bars, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima")))
+        parts.append(arma.arima_css(bars, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima")))
     fc = parts[0].select("series_id", "model", "horizon", "forecast")
     for p in parts[1:]:
         fc = fc.unionByName(p.select("series_id", "model", "horizon", "forecast"))

@@ -84,3 +84,24 @@ def test_single_file_export_and_ljung_box_reason(spark):
     lb = {r["series_id"]: r for r in diagnostics.ljung_box(diagnostics.autocov_sums(d, "close", 10), 10).collect()}
     assert lb["c"]["lb_pvalue"] is None and lb["c"]["lb_reason"] == "constant series"
     assert lb["s"]["lb_reason"] is None and lb["s"]["lb_pvalue"] is not None
+
+
+def test_csv_sources_infer_and_declared_schema(spark):
+    import os
+    import uuid
+    from pyspark.sql import types as T
+    from tsforge.session import checkpoint_dir
+    from tsforge.sources import files, sinks
+    base = os.path.join(checkpoint_dir(spark), "csv-src", uuid.uuid4().hex)
+    a = spark.createDataFrame([("2020-01-02", 1.0, 2.0), ("2020-01-03", 3.0, 2.5)], "Date string, Actual double, Forecast double")
+    b = spark.createDataFrame([("2020-01-02", 2.0, 1.0, 1.0)], "Date string, Forecast double, Actual double, Error double")
+    sinks.write_csv(a, f"{base}/arima_forecast.csv")
+    sinks.write_csv(b, f"{base}/xgboost_predictions.csv")
+    inferred = files.read_csv(spark, f"{base}/arima_forecast.csv", schema=None, date_col="Date")
+    assert dict(inferred.dtypes) == {"Date": "date", "Actual": "double", "Forecast": "double"}
+    both = files.read_forecast_files(spark, [f"{base}/arima_forecast.csv", f"{base}/xgboost_predictions.csv"])
+    got = {(r["model"], r["Forecast"]) for r in both.collect()}
+    assert got == {("arima_forecast", 2.0), ("arima_forecast", 2.5), ("xgboost_predictions", 2.0)}
+    schema = T.StructType.fromDDL("Date string, Actual double, Forecast double")
+    one = files.read_forecast_files(spark, [f"{base}/arima_forecast.csv"], schema=schema)
+    assert {r["model"] for r in one.collect()} == {"arima_forecast"}

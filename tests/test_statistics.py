@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +125,18 @@ def test_short_and_constant_series_do_not_fail(spark):
     assert c["const"]["adf_stat"] is None and c["one"]["adf_stat"] is None
     dec = diagnostics.decompose(df, "close", 30, "multiplicative").filter("series_id = 'zeros_neg'").collect()
     assert all(r["reason"] == "multiplicative needs positive values" and r["trend"] is None for r in dec)
+
+
+def test_zero_divisions_yield_nulls_not_errors(spark):
+    """ANSI mode raises on x/0: constant series, short series and zero values must give nulls."""
+    from tsforge.operators import summary
+    from tsforge.sources import bars as B
+    rows = {"c": np.full(70, 3.0), "z": np.r_[np.zeros(35), np.ones(35)], "s5": np.arange(5.0)}
+    df = _frame(spark, rows)
+    k = {r["series_id"]: r for r in summary.kde(df, "close", grid=5).filter("grid_index = 0").collect()}
+    assert k["c"]["density"] is None and k["s5"]["density"] is not None
+    lb = {r["series_id"]: r for r in diagnostics.ljung_box(diagnostics.autocov_sums(df, "close", 10), 10).collect()}
+    assert lb["s5"]["lb_stat"] is None and lb["s5"]["lb_reason"] is not None
+    assert diagnostics.decompose(df, "close", 30, "multiplicative").count() == 145
+    w = {r["series_id"]: r for r in B.walk(df.withColumn("close", F.col("close"))).groupBy("series_id").agg(F.max("close").alias("m")).collect()}
+    assert w["c"]["m"] is None

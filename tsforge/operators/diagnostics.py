@@ -65,7 +65,7 @@ def acf_bands(acf_long: DataFrame, key: str = "series_id") -> DataFrame:
 def ljung_box(sums: DataFrame, lags: int = 10, key: str = "series_id") -> DataFrame:
     """Q = n(n+2) sum_{k<=lags} r_k^2/(n-k); p from the chi-square(lags) tail (closed form)."""
     n = F.col("n").cast("double")
-    terms = [F.pow(safe_div(_s(k), _s(0)), 2) / (n - k) for k in range(1, lags + 1)]
+    terms = [safe_div(F.pow(safe_div(_s(k), _s(0)), 2), n - k) for k in range(1, lags + 1)]
     q = n * (n + 2.0) * sum(terms[1:], terms[0])
     reason = (F.when(F.col("n") <= lags, F.lit(f"needs more than {lags} observations"))
                .when(_s(0) == 0, F.lit("constant series")))
@@ -183,17 +183,17 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
     d = windowed(df.select(key, ts, value), [{"trend": trend}], before=h, after=h, key=key, ts=ts, keep_pos=True, **kw)
     mult = model.startswith("mult")
     d = d.withColumn("_phase", F.pmod(F.col(sg.POS) - 1, F.lit(period)))
-    d = d.withColumn("_det", (x / F.col("trend")) if mult else (x - F.col("trend")))
+    d = d.withColumn("_det", safe_div(x, F.col("trend")) if mult else (x - F.col("trend")))
     pa = d.groupBy(key, "_phase").agg(F.avg("_det").alias("_pa"))
     norm = F.avg("_pa").over(Window.partitionBy(key))
-    pa = pa.withColumn("seasonal", (F.col("_pa") / norm) if mult else (F.col("_pa") - norm))
+    pa = pa.withColumn("seasonal", safe_div(F.col("_pa"), norm) if mult else (F.col("_pa") - norm))
     gate = df.groupBy(key).agg(F.count(x).alias("_n"), F.bool_or(x <= 0).alias("_nonpos"))
     pa = pa.join(gate, key)
     out = d.join(sg._maybe_broadcast(pa.select(key, "_phase", "seasonal", "_n", "_nonpos")), [key, "_phase"])
     reason = (F.when(F.col("_n") < 2 * period, F.lit(f"needs {2 * period} observations"))
                .when(F.lit(mult) & F.col("_nonpos"), F.lit("multiplicative needs positive values")))
     ok = reason.isNull()
-    resid = (F.col("_det") / F.col("seasonal")) if mult else (F.col("_det") - F.col("seasonal"))
+    resid = safe_div(F.col("_det"), F.col("seasonal")) if mult else (F.col("_det") - F.col("seasonal"))
     return out.select(key, ts, x.alias("observed"), F.when(ok, F.col("trend")).alias("trend"),
                       F.when(ok, F.col("seasonal")).alias("seasonal"), F.when(ok, resid).alias("resid"),
                       reason.alias("reason"))

@@ -148,8 +148,8 @@ def kde(df: DataFrame, value: str = "close", grid: int = 200, cut: float = 3.0,
                         (F.col("_lo") - cut * F.col("_h")).alias("_g0"),
                         ((F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h")) / (grid - 1)).alias("_gs"))
     x = F.col("_g0") + F.col("g") * F.col("_gs")
-    u = (x - F.col("_x")) / F.col("_h")
+    u = safe_div(x - F.col("_x"), F.col("_h"))  # a constant series has h = 0: density null
     contrib = F.col("_c") * F.exp(-0.5 * u * u)
     return (pts.groupBy(key, "g", x.alias("x"), "_n", "_h").agg(F.sum(contrib).alias("_s"))
                .select(key, F.col("g").cast("int").alias("grid_index"), "x",
-                       (F.col("_s") / (F.col("_n") * F.col("_h") * SQRT_2PI)).alias("density")))
+                       safe_div(F.col("_s"), F.col("_n") * F.col("_h") * SQRT_2PI).alias("density")))

@@ -33,3 +33,16 @@ def test_pipeline_save_and_early_stopping(spark):
     ds = ml.window_dataset(bars, "close", 20)
     gbt = ml.gbt_early_stopping(ds, tol=0.5, maxIter=50, maxDepth=2)
     assert gbt.getNumTrees < 50
+
+
+def test_permutation_importance_ranks_informative_feature_first(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    n = 3000
+    x1, x2 = rng.standard_normal(n), rng.standard_normal(n)
+    rows = [(float(a), float(b), float(3 * a + 0.1 * rng.standard_normal())) for a, b in zip(x1, x2)]
+    df = spark.createDataFrame(rows, "x1 double, x2 double, y double")
+    model = ml.fit_pipeline(df, ["x1", "x2"], "y", "linear")
+    imp = {r["feature"]: r["mse_increase_pct"] for r in
+           ml.permutation_importance(model, df, {"x1": ["x1"], "x2": ["x2"]}, label="y").collect()}
+    assert imp["x1"] > 1000 and abs(imp["x2"]) < 5

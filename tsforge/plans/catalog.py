@@ -5,17 +5,17 @@ driver tables. Computed columns are rounded and aliased exactly like the oracle
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark.ml.functions import vector_to_array
-
-from tsforge.operators import baselines, clean, diagnostics, evaluate, features as fe, ml, neural, regression, smoothing, splits, summary
+from tsforge.operators import (baselines, clean, diagnostics, evaluate, features as fe, ml, neural, regression, smoothing,
+                               splits, summary)
 from tsforge.plans import forecasting
 from tsforge.session import materialize
-from tsforge.streaming import bars as live, scoring
 from tsforge.sources import bars as B, files, sinks
+from tsforge.streaming import bars as live, scoring
 
 QUERIES: dict = {}
 

@@ -45,7 +45,10 @@ def gram(df: DataFrame, cols: list[str], keys=("series_id",)) -> DataFrame:
     fields = [df.schema[k] for k in keys]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] +
                           [T.StructField("_g", T.ArrayType(T.DoubleType()))])
-    part = df.select(*keys, *[F.col(c).cast("double") for c in cols]).mapInPandas(_partial_gram(keys, cols), schema)
+    # rows of a series kept together, so an Arrow batch yields few partial matrices (the windowed
+    # inputs are already clustered this way and the sort is then a no-op for the planner)
+    part = (df.select(*keys, *[F.col(c).cast("double") for c in cols]).sortWithinPartitions(*keys)
+              .mapInPandas(_partial_gram(keys, cols), schema))
     return (part.select(*keys, F.posexplode("_g").alias("idx", "val"))
                 .groupBy(*keys, "idx").agg(F.sum("val").alias("val")))
 

@@ -46,3 +46,26 @@ def test_permutation_importance_ranks_informative_feature_first(spark):
     imp = {r["feature"]: r["mse_increase_pct"] for r in
            ml.permutation_importance(model, df, {"x1": ["x1"], "x2": ["x2"]}, label="y").collect()}
     assert imp["x1"] > 1000 and abs(imp["x2"]) < 5
+
+
+def test_recursive_forecast_paths_agree(spark):
+    """The one-pass numpy recursion of a linear model equals stepping Spark ML transforms."""
+    from pyspark.sql import functions as F
+    from tsforge.plans import forecasting
+    train, _ = forecasting.split_holdout(B.walk(B.bars_orders(spark, SF001)), 30)
+    fast = forecasting.recursive_forecasts(train, 5, "linear")
+    ds = ml.window_dataset(train, "close", 20, train_frac=1.0, valid_frac=0.0)
+    model = ml.regressor("linear", label="label").fit(ds)
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    state = ds.groupBy("series_id").agg(F.max_by(F.slice(F.concat(vector_to_array("features"), F.array("label")), 2, 20), "ts").alias("lags"),
+                                        F.first("vmin").alias("vmin"), F.first("vmax").alias("vmax"))
+    out = {}
+    for k in range(1, 6):
+        pred = model.transform(state.withColumn("features", array_to_vector("lags"))).drop("features").cache()
+        for r in pred.collect():
+            out[(r["series_id"], k)] = r["prediction"] * (r["vmax"] - r["vmin"]) + r["vmin"]
+        state = pred.select("series_id", "vmin", "vmax", F.slice(F.concat("lags", F.array("prediction")), 2, 20).alias("lags"))
+    got = fast.collect()
+    assert len(got) == len(out)
+    for r in got:
+        assert abs(r["forecast"] - out[(r["series_id"], r["horizon"])]) < 1e-6

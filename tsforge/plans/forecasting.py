@@ -32,30 +32,57 @@ def multi_step_baselines(train: DataFrame, h: int = 30) -> DataFrame:
                     F.col("_last").alias("naive"), (F.col("_last") + F.col("horizon") * slope).alias("drift"))
 
 
+def _numpy_recursion(state: DataFrame, predict_np, h: int, lookback: int) -> DataFrame:
+    """Run the ``h``-step recursion for every series in one pass over the one-row-per-series
+    state table, with a small model evaluated in numpy (``predict_np``: windows -> next values)."""
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            lags = np.stack(pdf["lags"].to_numpy()).astype(float)
+            lo, hi = pdf["vmin"].to_numpy(dtype=float), pdf["vmax"].to_numpy(dtype=float)
+            out = []
+            for k in range(1, h + 1):
+                y = predict_np(lags)
+                out.append(pd.DataFrame({"series_id": pdf["series_id"].to_numpy(), "horizon": k,
+                                         "forecast": y * (hi - lo) + lo}))
+                lags = np.concatenate([lags[:, 1:], y[:, None]], axis=1)
+            yield pd.concat(out, ignore_index=True)
+    return state.mapInPandas(run, "series_id string, horizon int, forecast double")
+
+
 def recursive_forecasts(train: DataFrame, h: int = 30, kind: str = "linear", lookback: int = 20, **params) -> DataFrame:
     """Multi-step forecasts from a lag-window regression: the model is fitted on every training
     window (per-series min-max scaling from the training rows), then each step's prediction is
-    appended to the window that predicts the next step. The loop runs over the ``h`` steps, on a
-    one-row-per-series state table; it never touches the rows again.
+    appended to the window that predicts the next step. The recursion only touches a
+    one-row-per-series state table: small models (linear, the dense network) run all ``h``
+    steps in one ``mapInPandas`` pass with their broadcast parameters; other Spark ML models
+    step through ``h`` transforms of the state table.
 
     ``kind`` is a Spark ML regressor ('linear', 'rf', 'gbt') or 'mlp' (data-parallel network)."""
+    import numpy as np
+    sc = train.sparkSession.sparkContext
+    valid = 0.1 if kind == "mlp" else 0.0
+    ds = ml.window_dataset(train, "close", lookback, train_frac=1.0, valid_frac=valid)
+    arr = vector_to_array("features")
+    state = materialize(ds.groupBy("series_id").agg(
+        F.max_by(F.slice(F.concat(arr, F.array("label")), 2, lookback), "ts").alias("lags"),
+        F.first("vmin").alias("vmin"), F.first("vmax").alias("vmax")))
     if kind == "mlp":
-        ds = ml.window_dataset(train, "close", lookback, train_frac=1.0, valid_frac=0.1)
         res = neural.train_mlp(ds, hidden=params.get("hidden", (32,)), epochs=params.get("epochs", 15),
                                lr=params.get("lr", 3e-3), batch=params.get("batch", 32))
-        predict = lambda d: neural.predict(res, d)
-    else:
-        ds = ml.window_dataset(train, "close", lookback, train_frac=1.0, valid_frac=0.0)
-        model = ml.regressor(kind, label="label", **params).fit(ds)
-        predict = model.transform
-    arr = vector_to_array("features")
-    state = ds.groupBy("series_id").agg(
-        F.max_by(F.slice(F.concat(arr, F.array("label")), 2, lookback), "ts").alias("lags"),
-        F.first("vmin").alias("vmin"), F.first("vmax").alias("vmax"))
-    state = materialize(state)
+        bw = sc.broadcast(res.weights)
+        return _numpy_recursion(state, lambda x: neural.forward(bw.value, x)[0], h, lookback)
+    model = ml.regressor(kind, label="label", **params).fit(ds)
+    if kind == "linear":
+        coef = sc.broadcast((np.asarray(model.coefficients.toArray()), float(model.intercept)))
+        return _numpy_recursion(state, lambda x: x @ coef.value[0] + coef.value[1], h, lookback)
     outs = []
     for k in range(1, h + 1):
-        pred = materialize(predict(state.withColumn("features", array_to_vector("lags"))).drop("features"))
+        pred = materialize(model.transform(state.withColumn("features", array_to_vector("lags"))).drop("features"))
         outs.append(pred.select("series_id", F.lit(k).alias("horizon"),
                                 (F.col("prediction") * (F.col("vmax") - F.col("vmin")) + F.col("vmin")).alias("forecast")))
         state = pred.select("series_id", "vmin", "vmax", F.slice(F.concat("lags", F.array("prediction")), 2, lookback).alias("lags"))

@@ -98,10 +98,12 @@ def materialize(df):
     """Cut lineage of a DataFrame used by several downstream jobs: write it once as a parquet
     table under the shared ``spark.checkpoint.dir`` and read it back. The data is computed
     exactly once, survives executor loss (no local checkpoint), and later plans start from a
-    plain file scan."""
+    plain file scan. Tables of one application share a folder, so its intermediates can be
+    removed as a unit once it has finished."""
     import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{uuid.uuid4().hex}"  # one folder per application
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

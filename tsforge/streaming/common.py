@@ -11,5 +11,6 @@ from tsforge.session import checkpoint_dir
 
 def stream_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """(checkpointLocation, output table path) in the shared checkpoint folder."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{app}/{name}-{uuid.uuid4().hex[:12]}"
     return f"{base}/_checkpoint", f"{base}/table"

@@ -317,7 +317,7 @@ ARIMA_CSS_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.S
 
 
 def arima_css(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30, key: str = "series_id", ts: str = "ts",
-              size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month") -> DataFrame:
+              size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto") -> DataFrame:
     """ARIMA(p,0,1) with constant by conditional least squares, profiled over the MA
     coefficient theta on a 0.01 grid in [-0.95, 0.95], and its ``horizon``-step forecast.
 

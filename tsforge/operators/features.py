@@ -38,7 +38,7 @@ def _call(b, w, ctx):
 
 def windowed(df: DataFrame, steps: list[dict[str, Builder]], before: int = 0, after: int = 0,
              key: str = "series_id", ts: str = "ts", layout: str = "segmented",
-             size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month", keep_pos: bool = False) -> DataFrame:
+             size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto", keep_pos: bool = False) -> DataFrame:
     """Add window columns in ``steps`` (each step a dict name -> builder(window[, ctx])).
 
     Later steps may use columns of earlier ones; all steps share the same partitioning.
@@ -242,7 +242,7 @@ def widen(df, arr="lags", prefix="feature_", n=20, fields: list[str] | None = No
 
 
 def backfill(df, cols: list[str], key="series_id", ts="ts", size: int = sg.DEFAULT_SEGMENT_ROWS,
-             unit="month") -> DataFrame:
+             unit="auto") -> DataFrame:
     """Fill each null with the next non-null value of the same series (pandas ``bfill``).
 
     Two-level scan: next non-null inside the segment, else the first non-null of the

@@ -39,6 +39,15 @@ def bucket_expr(ts: str, unit: str = "month") -> Column:
     return F.date_trunc(unit, F.col(ts))
 
 
+def resolve_unit(df: DataFrame, ts: str, unit: str) -> str:
+    """'auto': calendar months for DATE series (daily bars: at most 31 rows per bucket), days for
+    timestamps (intraday bars or ticks), so one (series, bucket) stays small."""
+    if unit != "auto":
+        return unit
+    from pyspark.sql import types as T
+    return "month" if isinstance(df.schema[ts].dataType, T.DateType) else "day"
+
+
 def _maybe_broadcast(small: DataFrame) -> DataFrame:
     """Materialise a derived per-series table as parquet in the shared checkpoint folder.
 
@@ -53,7 +62,7 @@ def _maybe_broadcast(small: DataFrame) -> DataFrame:
 LEN = "_len"
 
 
-def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "month", with_len: bool = False) -> DataFrame:
+def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "auto", with_len: bool = False) -> DataFrame:
     """Add ``_pos``: the 1-based position of each row in its series ordered by ``ts`` (and,
     with ``with_len``, ``_len``: the series' row count, taken from the same small table).
 
@@ -61,6 +70,7 @@ def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "
     """
     from tsforge.session import reuse_input
     keys = _keys(key)
+    unit = resolve_unit(df, ts, unit)
     b = reuse_input(df).withColumn(BUCKET, bucket_expr(ts, unit))
     counts = b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -99,7 +109,7 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 
 def series_layout(df: DataFrame, before: int = 0, after: int = 0, key="series_id", ts: str = "ts",
-                  size: int = DEFAULT_SEGMENT_ROWS, unit: str = "month") -> DataFrame:
+                  size: int = DEFAULT_SEGMENT_ROWS, unit: str = "auto") -> DataFrame:
     """``with_positions`` (reused when ``_pos`` is already there) + ``segmented``."""
     d = df if POS in df.columns else with_positions(df, key, ts, unit)
     return segmented(d, before, after, size, key)

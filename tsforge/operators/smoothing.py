@@ -163,7 +163,7 @@ def _training_rows(df: DataFrame, value: str, key: str, ts: str, size: int, unit
 
 
 def holt_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts",
-             size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month", fan_in: int = 256) -> DataFrame:
+             size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto", fan_in: int = 256) -> DataFrame:
     """F2 fit: Holt's linear trend method, (alpha, beta) by a 0.05 grid refined to 0.005 around
     the best point, initial level/trend by exact least squares. One row per series."""
     if key != "series_id":
@@ -185,7 +185,7 @@ def holt_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: st
 
 
 def holt_sse_grid(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts",
-                  size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month", fan_in: int = 256) -> DataFrame:
+                  size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto", fan_in: int = 256) -> DataFrame:
     """SSE of Holt's one-step errors for every (alpha, beta) of the coarse 0.05 grid, started
     from level = first value and trend = 0 (values shifted by the first value, so the start
     state is zero and the SSE is the summary's constant term). One row per series and point."""
@@ -293,7 +293,7 @@ def _garch_pass_b(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts",
-              size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "month") -> DataFrame:
+              size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto") -> DataFrame:
     """F3 fit: GARCH(1,1) with constant mean on percent returns, variance targeting
     omega = s2 (1 - alpha - beta), sigma2 of the first return = s2, (alpha, beta) on a 0.01
     grid by maximum Gaussian likelihood. Returns the fitted parameters and last variance."""

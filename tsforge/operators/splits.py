@@ -22,7 +22,7 @@ def _with_pos_and_len(df: DataFrame, key, ts: str, unit: str) -> DataFrame:
     return df.join(sg._maybe_broadcast(n), keys)
 
 
-def holdout_tail(df: DataFrame, h: int = 30, key="series_id", ts="ts", unit="month", keep_pos=False) -> DataFrame:
+def holdout_tail(df: DataFrame, h: int = 30, key="series_id", ts="ts", unit="auto", keep_pos=False) -> DataFrame:
     """``is_test`` marks the last ``h`` rows of each series; ``horizon`` numbers them 1..h."""
     d = _with_pos_and_len(df, key, ts, unit)
     test = F.col(sg.POS) > F.col("_len") - h
@@ -33,7 +33,7 @@ def holdout_tail(df: DataFrame, h: int = 30, key="series_id", ts="ts", unit="mon
 
 
 def holdout_fraction(df: DataFrame, train_frac: float = 0.8, valid_frac: float = 0.0, key="series_id", ts="ts",
-                     unit="month", keep_pos=False) -> DataFrame:
+                     unit="auto", keep_pos=False) -> DataFrame:
     """First ``floor(train_frac * n)`` rows are training; of those, the last
     ``valid_frac`` (ordered, as a validation_split) become validation.
 

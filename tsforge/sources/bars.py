@@ -65,7 +65,7 @@ def walk(bars: DataFrame, value: str = "close", out: str = "close", base: float
     bars = reuse_input(bars)
     stats = bars.groupBy("series_id").agg(F.avg(value).alias("_mu"), F.stddev_pop(value).alias("_sd"))
     z = bars.join(sg._maybe_broadcast(stats), "series_id").withColumn("_z", F.try_divide(F.col(value) - F.col("_mu"), F.col("_sd")))
-    z = sg.with_positions(z, "series_id", "ts", kw.get("unit", "month"))
+    z = sg.with_positions(z, "series_id", "ts", kw.get("unit", "auto"))
     r = sg.running_sum(z, "_z", "_cz", size=kw.get("size", sg.DEFAULT_SEGMENT_ROWS))
     return r.withColumn(out, F.round(F.lit(base) + F.col("_cz"), 6)).drop("_mu", "_sd", "_z", "_cz", sg.POS)
 

@@ -87,3 +87,37 @@ def ljung_box(x, lags=10):
     h = q / 2
     p = math.exp(-h) * sum(h ** j / math.factorial(j) for j in range(lags // 2))
     return q, p
+
+
+def var_forecast(y, pmax=5, h=30):
+    """VAR with constant: standardise columns, lag order by AIC (ln det Sigma + 2(p m^2 + m)/T)
+    on the common sample, refit with that order on its longer sample, h-step forecast."""
+    y = np.asarray(y, float)
+    mu, sd = y.mean(0), y.std(0)
+    sd[sd == 0] = 1.0
+    z = (y - mu) / sd
+    n, m = z.shape
+
+    def design(p, start):
+        X = [np.r_[1.0, np.concatenate([z[t - i] for i in range(1, p + 1)])] if p else np.array([1.0]) for t in range(start, n)]
+        return np.array(X), z[start:]
+
+    best = None
+    for p in range(pmax + 1):
+        X, Y = design(p, pmax)
+        B = np.linalg.lstsq(X, Y, rcond=None)[0]
+        E = Y - X @ B
+        aic = np.linalg.slogdet(E.T @ E / len(Y))[1] + 2.0 * (p * m * m + m) / len(Y)
+        if best is None or aic < best[0]:
+            best = (aic, p)
+    p = best[1]
+    X, Y = design(p, p)
+    B = np.linalg.lstsq(X, Y, rcond=None)[0]
+    hist = list(z[-pmax:]) if pmax else []
+    out = []
+    for _ in range(h):
+        x = np.r_[1.0, np.concatenate([hist[-i] for i in range(1, p + 1)])] if p else np.array([1.0])
+        f = x @ B
+        hist.append(f)
+        out.append(f * sd + mu)
+    return p, np.array(out)

@@ -94,6 +94,12 @@ def test_var_chooses_true_order(spark):
     df = spark.createDataFrame(rows, "series_id string, ts date, a double, b double, c double")
     out = arma.var_forecast(df, ["a", "b", "c"], 5, 30, size=450).toPandas()
     assert (out.lag_order == 2).all()
+    import brute
+    p, ref = brute.var_forecast(y, 5, 30)
+    assert p == 2
+    for j, v in enumerate(["a", "b", "c"]):
+        mine = out[out.variable == v].sort_values("horizon").forecast.to_numpy()
+        assert np.allclose(mine, ref[:, j], rtol=1e-7, atol=1e-9)
     one = out[out.horizon == 1].set_index("variable").forecast
     expect = A1 @ y[-1] + A2 @ y[-2]
     assert np.allclose(one[["a", "b", "c"]].to_numpy(), expect, atol=0.1)

@@ -121,3 +121,30 @@ def var_forecast(y, pmax=5, h=30):
         hist.append(f)
         out.append(f * sd + mu)
     return p, np.array(out)
+
+
+def arima_hr(x, p=4, h=30, max_long_ar=60):
+    """Hannan-Rissanen ARIMA(p,0,1): centred series, AR(m) residuals with
+    m = min(max_long_ar, max(floor(ln(n)^2), 2p), floor((n-2)/3)), then x_t on 1, p lags and the
+    lagged residual; h-step forecast."""
+    x = np.asarray(x, float)
+    n = len(x)
+    mu = x.mean()
+    xc = x - mu
+    m = int(min(max_long_ar, max(math.floor(math.log(n) ** 2), 2 * p), math.floor((n - 2) / 3)))
+    X1 = np.array([np.r_[1.0, xc[t - m:t][::-1]] for t in range(m, n)])
+    b1 = np.linalg.lstsq(X1, xc[m:], rcond=None)[0]
+    e = np.full(n, np.nan)
+    e[m:] = xc[m:] - X1 @ b1
+    rows = [t for t in range(m + 1, n)]
+    X2 = np.array([np.r_[1.0, xc[t - p:t][::-1], e[t - 1]] for t in rows])
+    b2 = np.linalg.lstsq(X2, xc[rows], rcond=None)[0]
+    e2 = xc[n - 1] - np.r_[1.0, xc[n - 1 - p:n - 1][::-1], e[n - 2]] @ b2
+    const, phi, theta = b2[0], b2[1:p + 1], b2[p + 1]
+    hist = list(xc[-p:])
+    out = []
+    for k in range(1, h + 1):
+        f = const + sum(phi[i] * hist[-1 - i] for i in range(p)) + (theta * e2 if k == 1 else 0.0)
+        hist.append(f)
+        out.append(f + mu)
+    return np.array(out), phi, theta

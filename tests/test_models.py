@@ -141,3 +141,17 @@ def test_arima_css_matches_brute_force_and_recovers(spark):
     assert out[0]["ma"] == pytest.approx(best[1]) and out[0]["sse"] == pytest.approx(best[0], rel=1e-9)
     assert out[0]["ar"][0] == pytest.approx(best[2][1], rel=1e-9)
     assert abs(out[0]["ar"][0] - 0.6) < 0.05 and abs(out[0]["ma"] - 0.4) < 0.05
+
+
+def test_arima_hr_equals_brute_force(spark):
+    import brute
+    rng = np.random.default_rng(21)
+    n, e = 600, rng.standard_normal(601)
+    x = np.zeros(n)
+    for t in range(4, n):
+        x[t] = 0.5 * x[t - 1] - 0.2 * x[t - 2] + 0.1 * x[t - 4] + e[t] + 0.3 * e[t - 1]
+    df = _frame(spark, {"h": x + 50})
+    out = arma.arima_hr(df, "close", 4, 10, size=150).orderBy("horizon").toPandas()
+    ref, phi, theta = brute.arima_hr(x + 50, 4, 10)
+    assert np.allclose(out.forecast.to_numpy(), ref, rtol=1e-7)
+    assert np.allclose(out.ar.iloc[0], phi, rtol=1e-6) and out.ma.iloc[0] == pytest.approx(theta, rel=1e-6)

@@ -443,7 +443,7 @@ def _tree_query(spark, sf, kind):
     out = None
     for mode in ("same_day", "lagged"):
         d, cols = ml.same_day_features(bars) if mode == "same_day" else ml.lagged_features(bars)
-        d = splits.hash_split(d, ["series_id", "ts"])
+        d = materialize(splits.hash_split(d, ["series_id", "ts"]))  # feeds both the fit and the scoring
         model = ml.fit_pipeline(d.filter("split = 'train'"), cols, "close", kind)
         fc = ml.to_forecasts(model.transform(d.filter("split = 'test'")), f"{kind}_{mode}", "close")
         out = fc if out is None else out.unionByName(fc)

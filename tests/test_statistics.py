@@ -140,3 +140,19 @@ def test_zero_divisions_yield_nulls_not_errors(spark):
     assert diagnostics.decompose(df, "close", 30, "multiplicative").count() == 145
     w = {r["series_id"]: r for r in B.walk(df.withColumn("close", F.col("close"))).groupBy("series_id").agg(F.max("close").alias("m")).collect()}
     assert w["c"]["m"] is None
+
+
+def test_length_boundaries(spark):
+    """A2 gate at 50 rows and the decomposition's two full periods (60 rows for period 30)."""
+    from tsforge.operators import clean
+    rng = np.random.default_rng(5)
+    series = {f"n{k}": rng.standard_normal(k) + 10 for k in (49, 50, 59, 60)}
+    df = _frame(spark, series)
+    kept = {r[0] for r in clean.length_gate(df, 50).select("series_id").distinct().collect()}
+    assert kept == {"n50", "n59", "n60"}
+    dec = diagnostics.decompose(df, "close", 30, "additive").toPandas()
+    for sid, g in dec.groupby("series_id"):
+        if sid in ("n49", "n50", "n59"):
+            assert g.trend.isna().all() and (g.reason == "needs 60 observations").all()
+        else:
+            assert g.reason.isna().all() and g.trend.notna().sum() == 30

@@ -527,13 +527,22 @@ def stream_lag_windows(spark, sf):
 
 @query("stream_scoring")
 def stream_scoring(spark, sf):
-    """R2: a linear model fitted on the batch windows of the same events scores the stream."""
+    """R2 + M11: candidate lag-window models (linear, forest) are fitted on the batch windows of
+    the same events, the one with the lowest RMSE on the ordered batch holdout is chosen, and
+    that stateless model scores the windows the stream builds from per-series state."""
     ev = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_type").alias("series_id"), "ts", F.col("value").alias("close"))
-    seq = fe.lag_sequences(ev, "close", 20)
-    train = splits.holdout_fraction(seq, 0.8).filter("split = 'train'")
-    model = ml.regressor("linear", label="target").fit(train.withColumn("features", ml.array_to_vector("lags")))
-    s = scoring.run_lag_windows(spark, sf, "events.parquet", 20, model=model)
-    return s.select("series_id", "ts", "target", r("prediction", 6))
+    seq = splits.holdout_fraction(fe.lag_sequences(ev, "close", 20), 0.8).withColumn("features", ml.array_to_vector("lags"))
+    seq = materialize(seq)
+    train, test = seq.filter("split = 'train'"), seq.filter("split = 'test'")
+    models = {"linear": ml.regressor("linear", label="target").fit(train),
+              "rf": ml.regressor("rf", label="target", numTrees=20, maxDepth=5).fit(train)}
+    fc = None
+    for name, mdl in models.items():
+        f = ml.to_forecasts(mdl.transform(test), name, "target")
+        fc = f if fc is None else fc.unionByName(f)
+    chosen = evaluate.best_model(evaluate.forecast_metrics(fc.withColumn("series_id", F.lit("all")))).first()["best_model"]
+    s = scoring.run_lag_windows(spark, sf, "events.parquet", 20, model=models[chosen])
+    return s.select("series_id", "ts", "target", r("prediction", 6), F.lit(chosen).alias("model"))
 
 
 # ---- sources and sinks -----------------------------------------------------------------------------

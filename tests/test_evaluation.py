@@ -105,3 +105,9 @@ def test_csv_sources_infer_and_declared_schema(spark):
     schema = T.StructType.fromDDL("Date string, Actual double, Forecast double")
     one = files.read_forecast_files(spark, [f"{base}/arima_forecast.csv"], schema=schema)
     assert {r["model"] for r in one.collect()} == {"arima_forecast"}
+
+
+def test_path_stem_handles_both_separators(spark):
+    from tsforge.functions.columns import path_stem
+    df = spark.createDataFrame([("C:\\\\out\\\\arima_forecast.csv",), ("/data/out/lstm_forecast.csv",), ("plain",)], "p string")
+    assert [r[0] for r in df.select(path_stem("p")).collect()] == ["arima_forecast", "lstm_forecast", "plain"]

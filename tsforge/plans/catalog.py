@@ -647,3 +647,10 @@ def recursive_ml_forecast(spark, sf):
     """Lag-window linear regression and the data-parallel network forecasting the same 30-step
     holdout as the classical models, each prediction fed back as the newest lag."""
     return _holdout(spark, sf, ("linear_rec", "mlp_rec"))
+
+
+@query("multistep_baselines")
+def multistep_baselines(spark, sf):
+    """J1 + yardsticks: last value and drift carried 30 steps from the end of training, aligned
+    with the held-out actuals by (series, horizon)."""
+    return _holdout(spark, sf, ("naive", "drift"))

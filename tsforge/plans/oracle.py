@@ -522,3 +522,13 @@ SQL["holt_forecast"] = _w(BARS, WALK) + f"""
           from b2)
 select series_id, 'holt' as model, ts, horizon, actual, round(lvl + horizon * trd, 4) as forecast
 from te join fin using (series_id)"""
+
+SQL["multistep_baselines"] = _w(BARS, WALK) + """
+, ranked as (select *, row_number() over (partition by series_id order by ts desc) as rn from walk)
+, tr as (select * from ranked where rn > 30)
+, te as (select series_id, ts, cast(31 - rn as integer) as horizon, close as actual from ranked where rn <= 30)
+, st as (select series_id, max_by(close, ts) as last, min_by(close, ts) as first, count(*) as n from tr group by 1)
+, fc as (select series_id, 'naive' as model, cast(h as integer) as horizon, last as forecast from st, range(1, 31) t(h)
+         union all
+         select series_id, 'drift', cast(h as integer), last + h * ((last - first) / (n - 1)) from st, range(1, 31) t(h))
+select series_id, model, ts, horizon, actual, round(forecast, 4) as forecast from fc join te using (series_id, horizon)"""

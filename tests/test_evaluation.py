@@ -111,3 +111,10 @@ def test_path_stem_handles_both_separators(spark):
     from tsforge.functions.columns import path_stem
     df = spark.createDataFrame([("C:\\\\out\\\\arima_forecast.csv",), ("/data/out/lstm_forecast.csv",), ("plain",)], "p string")
     assert [r[0] for r in df.select(path_stem("p")).collect()] == ["arima_forecast", "lstm_forecast", "plain"]
+
+
+def test_medae_positive_pairs(spark):
+    rows = [("s", "m", 1, a, f) for a, f in [(10.0, 12.0), (0.0, 1.0), (-5.0, -4.0), (8.0, 7.5), (3.0, -1.0)]]
+    fc = spark.createDataFrame(rows, "series_id string, model string, horizon int, actual double, forecast double")
+    m = evaluate.forecast_metrics(fc).collect()[0]
+    assert m["medae_pos"] == pytest.approx(np.median([2.0, 0.5]))

@@ -48,7 +48,7 @@ def tail_per_model(df: DataFrame, h: int = 30, models_like: tuple = ("arima", "e
 
 
 def forecast_metrics(fc: DataFrame, key=("series_id", "model"), a="actual", f="forecast") -> DataFrame:
-    """RMSE, MSE, MAE, R2, MAPE (all rows / positive pairs), MedAE, MSLE per group.
+    """RMSE, MSE, MAE, R2, MAPE and MedAE (all rows / positive pairs), MSLE per group.
 
     R2 = 1 - SSE / (var_pop(actual) * n). MAPE ignores rows with a zero actual (division is
     null); ``mape_pos`` and ``msle`` use rows with actual > 0 and forecast > 0 only, and MSLE
@@ -68,7 +68,9 @@ def forecast_metrics(fc: DataFrame, key=("series_id", "model"), a="actual", f="f
         F.avg(F.when(pos, F.pow(F.log1p(F.col(a)) - F.log1p(F.col(f)), 2))).alias("msle"),
     ).withColumn("rmse", F.sqrt("mse"))
     med = exact_quantiles(d.withColumn("_ae", F.abs(e)), "_ae", [0.5], keys).select(*keys, F.col("value").alias("medae"))
-    return agg.join(med, keys, "left")
+    med_pos = exact_quantiles(d.filter(pos).withColumn("_ae", F.abs(e)), "_ae", [0.5], keys).select(
+        *keys, F.col("value").alias("medae_pos"))
+    return agg.join(med, keys, "left").join(med_pos, keys, "left")
 
 
 def metrics_long(metrics: DataFrame, key=("series_id", "model"), names=tuple(METRICS)) -> DataFrame:

@@ -219,7 +219,7 @@ def baseline_forecasts(spark, sf):
 def forecast_metrics(spark, sf):
     m = _baseline_metrics(spark, sf)
     return m.select("series_id", "model", "n", r("rmse", 4), r("mse", 2), r("mae", 4), r("r2", 8), r("mape", 6),
-                    r("mape_pos", 6), r("medae", 4), r("msle", 8))
+                    r("mape_pos", 6), r("medae", 4), r("medae_pos", 4), r("msle", 8))
 
 
 @query("leaderboard")

@@ -66,6 +66,7 @@ METRICS_CTE = """m as (
          100 * avg(abs((actual - forecast) / nullif(actual, 0))) as mape,
          100 * avg(case when actual > 0 and forecast > 0 then abs((actual - forecast) / nullif(actual, 0)) end) as mape_pos,
          quantile_cont(abs(actual - forecast), 0.5) as medae,
+         quantile_cont(case when actual > 0 and forecast > 0 then abs(actual - forecast) end, 0.5) as medae_pos,
          avg(case when actual > 0 and forecast > 0 then pow(ln(1 + actual) - ln(1 + forecast), 2) end) as msle
   from fc where actual is not null and forecast is not null group by 1, 2),
 lg as (
@@ -221,7 +222,8 @@ SQL["baseline_forecasts"] = _w(BARS, BASELINES) + "select series_id, model, ts,
 
 SQL["forecast_metrics"] = _w(BARS, BASELINES, METRICS_CTE) + """
 select series_id, model, n, round(rmse, 4) as rmse, round(mse, 2) as mse, round(mae, 4) as mae, round(r2, 8) as r2,
-       round(mape, 6) as mape, round(mape_pos, 6) as mape_pos, round(medae, 4) as medae, round(msle, 8) as msle
+       round(mape, 6) as mape, round(mape_pos, 6) as mape_pos, round(medae, 4) as medae, round(medae_pos, 4) as medae_pos,
+       round(msle, 8) as msle
 from m"""
 
 SQL["leaderboard"] = _w(BARS, BASELINES, METRICS_CTE) + """

@@ -69,10 +69,10 @@ def acf(x, k):
     return np.array([1.0] + [(e[i:] @ e[:-i]) / d for i in range(1, k + 1)])
 
 
-def pacf_yw(x, k):
+def pacf_yw(x, k, adjusted=True):
     e = np.asarray(x, float) - np.mean(x)
     n = len(e)
-    g = np.array([(e @ e) / n] + [(e[i:] @ e[:-i]) / (n - i) for i in range(1, k + 1)])
+    g = np.array([(e @ e) / n] + [(e[i:] @ e[:-i]) / ((n - i) if adjusted else n) for i in range(1, k + 1)])
     out = [1.0]
     for p in range(1, k + 1):
         T = np.array([[g[abs(i - j)] for j in range(p)] for i in range(p)])

@@ -66,11 +66,13 @@ def test_acf_pacf_ljung_box(sims):
     for r in acf:
         got.setdefault(r["series_id"], {})[r["lag"]] = r["acf"]
     py = {r["series_id"]: r for r in diagnostics.pacf_yw(sums, 30, 4).collect()}
+    pm = {r["series_id"]: r for r in diagnostics.pacf_yw(sums, 30, 4, method="mle").collect()}
     lb = {r["series_id"]: r for r in diagnostics.ljung_box(sums, 10).collect()}
     for sid, x in series.items():
         ref = brute.acf(x, 30)
         assert np.allclose([got[sid][k] for k in range(31)], ref, atol=1e-12)
         assert np.allclose(py[sid]["pacf"], brute.pacf_yw(x, 30), atol=1e-10)
+        assert np.allclose(pm[sid]["pacf"], brute.pacf_yw(x, 30, adjusted=False), atol=1e-10)
         q, p = brute.ljung_box(x)
         assert lb[sid]["lb_stat"] == pytest.approx(q, rel=1e-10)
         assert lb[sid]["lb_pvalue"] == pytest.approx(p, rel=1e-8, abs=1e-300)

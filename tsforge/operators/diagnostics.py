@@ -125,13 +125,14 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
     return out.withColumn("kpss_pvalue", p.otherwise(pv[-1]))
 
 
-def _levinson_udf(nlags: int, order: int):
+def _levinson_udf(nlags: int, order: int, method: str = "adjusted"):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, r in pdf.iterrows():
             s, n = np.asarray(r["s"], dtype=float), int(r["n"])
             k = np.arange(len(s))
-            gamma = s / np.maximum(n - k, 1)  # 'adjusted' autocovariances, divisor n - k
+            # 'adjusted': divisor n - k (the pacf default); 'mle': divisor n (the plotting default)
+            gamma = s / np.maximum(n - k, 1) if method == "adjusted" else s / n
             pacf, _ = solvers.durbin_levinson(gamma[: nlags + 1])
             rho, s2 = solvers.yule_walker(gamma, order)
             out.append((r.iloc[0], n, [float(v) for v in pacf], [float(v) for v in rho], s2,
@@ -140,13 +141,14 @@ def _levinson_udf(nlags: int, order: int):
     return run
 
 
-def pacf_yw(sums: DataFrame, nlags: int = 30, order: int = 4, key: str = "series_id") -> DataFrame:
-    """T5 + T7: PACF (Yule-Walker, adjusted autocovariances, Durbin-Levinson) and the AR(order)
-    Yule-Walker fit with sigma^2 and sigma, per series. Input is one row of K+1 sums per series."""
+def pacf_yw(sums: DataFrame, nlags: int = 30, order: int = 4, key: str = "series_id", method: str = "adjusted") -> DataFrame:
+    """T5 + T7: PACF (Yule-Walker by Durbin-Levinson on 'adjusted' autocovariances, divisor n - k,
+    or 'mle', divisor n) and the AR(order) Yule-Walker fit with sigma^2 and sigma, per series.
+    Input is one row of K+1 sums per series."""
     schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("n", T.LongType()),
                            T.StructField("pacf", T.ArrayType(T.DoubleType())), T.StructField("ar_coef", T.ArrayType(T.DoubleType())),
                            T.StructField("sigma2", T.DoubleType()), T.StructField("sigma", T.DoubleType())])
-    return sums.select(key, "n", "s").groupBy(key).applyInPandas(_levinson_udf(nlags, order), schema)
+    return sums.select(key, "n", "s").groupBy(key).applyInPandas(_levinson_udf(nlags, order, method), schema)
 
 
 def pacf_long(py: DataFrame, key: str = "series_id") -> DataFrame:

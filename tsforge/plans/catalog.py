@@ -654,3 +654,10 @@ def multistep_baselines(spark, sf):
     """J1 + yardsticks: last value and drift carried 30 steps from the end of training, aligned
     with the held-out actuals by (series, horizon)."""
     return _holdout(spark, sf, ("naive", "drift"))
+
+
+@query("pacf40_mle")
+def pacf40_mle(spark, sf):
+    """T5 as drawn by the dashboard: 40 lags, Yule-Walker on autocovariances with divisor n."""
+    py = diagnostics.pacf_yw(diagnostics.autocov_sums(_walk(spark, sf), "close", 40), 40, 4, method="mle")
+    return diagnostics.pacf_long(py).select("series_id", "lag", r("pacf", 8))

@@ -5,15 +5,17 @@ can be summarised without knowing the state it starts from:
 
 * Holt: the state s = (level, trend) evolves as s_t = A s_{t-1} + c x_t. Over a segment the
   one-step errors are affine in the entering state, so the segment's SSE is a quadratic form
-  of it, and the leaving state is an affine map of it. Chaining the segment summaries per
-  series gives the exact SSE as a quadratic in the initial state, which is then minimised in
-  closed form (the "estimated" initial level and trend) for every (alpha, beta) candidate.
+  of it, and the leaving state is an affine map of it. These summaries compose associatively,
+  so a series' summaries are reduced as a tree (``tree_reduce``, bounded fan-in) to the exact
+  SSE as a quadratic in the initial state, which is then minimised in closed form (the
+  "estimated" initial level and trend) for every (alpha, beta) candidate.
 * GARCH(1,1): the variance follows sigma2_t = beta sigma2_{t-1} + omega + alpha eps2_{t-1}.
-  Pass 1 summarises each segment as sigma2_out = beta^m sigma2_in + v, the chain gives every
-  segment's entering variance, and pass 2 adds up the Gaussian log-likelihood.
+  Pass 1 summarises each segment as sigma2_out = beta^m sigma2_in + v; a short lag chain over
+  the segment table (full segments multiply the entering variance by beta^size, i.e. 0) gives
+  every segment's entering variance; pass 2 adds up the Gaussian log-likelihood.
 
-Every Python step sees one bounded segment (or the per-segment summaries of one series),
-and all candidates are evaluated together as numpy vectors.
+Every Python step sees one bounded segment or at most ``fan_in`` summaries, and all
+candidates are evaluated together as numpy vectors.
 """
 
 from __future__ import annotations

@@ -661,3 +661,16 @@ def pacf40_mle(spark, sf):
     """T5 as drawn by the dashboard: 40 lags, Yule-Walker on autocovariances with divisor n."""
     py = diagnostics.pacf_yw(diagnostics.autocov_sums(_walk(spark, sf), "close", 40), 40, 4, method="mle")
     return diagnostics.pacf_long(py).select("series_id", "lag", r("pacf", 8))
+
+
+@query("extract_series_csv")
+def extract_series_csv(spark, sf):
+    """P1 + P2 + P6 + K1: one entity's bars written as a single CSV file (one series, so one
+    writer task is fine) and read back with a declared schema."""
+    path = _scratch(spark, "extract_csv")
+    one = clean.extract_series(B.bars_orders(spark, sf), "1-URGENT", drop=("volume",))
+    sinks.write_single_csv(one.select(F.date_format("ts", "yyyy-MM-dd").alias("Date"), "open", "high", "low", "close",
+                                      F.col("series_id").alias("Ticker")), path)
+    schema = T.StructType.fromDDL("Date string, open double, high double, low double, close double, Ticker string")
+    back = files.read_csv(spark, path, schema, date_col="Date")
+    return back.select(F.col("Ticker").alias("series_id"), F.col("Date").alias("ts"), "open", "high", "low", "close")

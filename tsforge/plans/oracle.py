@@ -539,3 +539,5 @@ SQL["pacf40_mle"] = _w(BARS, WALK, autocov("walk", 40)) + f"""
 , dl as (select series_id, {durbin_levinson(40)} as r from (select series_id, [{", ".join(f"s{i} / n" for i in range(41))}] as gam from sums))
 select series_id, cast(lag - 1 as integer) as lag, round(pacf, 8) as pacf
 from (select series_id, unnest(r.out) as pacf, generate_subscripts(r.out, 1) as lag from dl)"""
+
+SQL["extract_series_csv"] = SQL["extract_series"]

@@ -674,3 +674,16 @@ def extract_series_csv(spark, sf):
     schema = T.StructType.fromDDL("Date string, open double, high double, low double, close double, Ticker string")
     back = files.read_csv(spark, path, schema, date_col="Date")
     return back.select(F.col("Ticker").alias("series_id"), F.col("Date").alias("ts"), "open", "high", "low", "close")
+
+
+@query("distinct_series")
+def distinct_series(spark, sf):
+    """A1: the entities present (25 priority|segment series)."""
+    return clean.distinct_series(B.bars_many(spark, sf))
+
+
+@query("std_pop")
+def std_pop(spark, sf):
+    """A3: population standard deviation of each series' differenced closes."""
+    d = fe.first_difference(B.bars_many(spark, sf))
+    return summary.std_pop(d, "diff").select("series_id", r("std_pop", 4))

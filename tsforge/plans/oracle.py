@@ -541,3 +541,12 @@ select series_id, cast(lag - 1 as integer) as lag, round(pacf, 8) as pacf
 from (select series_id, unnest(r.out) as pacf, generate_subscripts(r.out, 1) as lag from dl)"""
 
 SQL["extract_series_csv"] = SQL["extract_series"]
+
+SQL["distinct_series"] = "select distinct concat(o_orderpriority, '|', c_mktsegment) as series_id from orders join customer on o_custkey = c_custkey"
+
+SQL["std_pop"] = f"""
+with many as (select concat(o_orderpriority, '|', c_mktsegment) as series_id, cast(o_orderdate as date) as ts,
+                     max_by(o_totalprice, o_orderkey) as close
+              from orders join customer on o_custkey = c_custkey group by 1, 2),
+d as (select series_id, close - lag(close) over ({W}) as diff from many)
+select series_id, round(stddev_pop(diff), 4) as std_pop from d where diff is not null group by 1"""

@@ -687,3 +687,11 @@ def std_pop(spark, sf):
     """A3: population standard deviation of each series' differenced closes."""
     d = fe.first_difference(B.bars_many(spark, sf))
     return summary.std_pop(d, "diff").select("series_id", r("std_pop", 4))
+
+
+@query("forecast_selection")
+def forecast_selection(spark, sf):
+    """P11 + P12: the forecasts of the selected models only, with error and absolute error."""
+    fc = clean.keep_values(baselines.baseline_forecasts(B.bars_orders(spark, sf), 30), "model", ["naive", "mean5"])
+    e = clean.with_errors(fc)
+    return e.select("series_id", "model", "ts", "actual", r("forecast", 4), r("error", 4), r("abs_error", 4))

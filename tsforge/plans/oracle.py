@@ -550,3 +550,8 @@ with many as (select concat(o_orderpriority, '|', c_mktsegment) as series_id, ca
               from orders join customer on o_custkey = c_custkey group by 1, 2),
 d as (select series_id, close - lag(close) over ({W}) as diff from many)
 select series_id, round(stddev_pop(diff), 4) as std_pop from d where diff is not null group by 1"""
+
+SQL["forecast_selection"] = _w(BARS, BASELINES) + """
+select series_id, model, ts, actual, round(forecast, 4) as forecast, round(actual - forecast, 4) as error,
+       round(abs(actual - forecast), 4) as abs_error
+from fc where model in ('naive', 'mean5')"""

@@ -35,7 +35,11 @@ def demeaned(df: DataFrame, value: str = "close", key: str = "series_id") -> Dat
 def autocov_sums(df: DataFrame, value: str = "close", max_lag: int = 40, key: str = "series_id", ts: str = "ts",
                  **kw) -> DataFrame:
     """``key, n, mean, s`` with ``s[k] = sum_t e_t * e_{t-k}`` for k = 0..max_lag."""
-    d = demeaned(df, value, key).select(key, ts, "_e", "_mu", "_n")
+    return _autocov_from(demeaned(df, value, key).select(key, ts, "_e", "_mu", "_n"), max_lag, key, ts, **kw)
+
+
+def _autocov_from(d: DataFrame, max_lag: int, key: str, ts: str, **kw) -> DataFrame:
+    """Lagged cross-product sums of ``_e`` (rows may already carry ``_pos``)."""
     lags = {f"_l{k}": (lambda k: lambda w: F.lag("_e", k).over(w))(k) for k in range(1, max_lag + 1)}
     d = windowed(d, [lags], before=max_lag, key=key, ts=ts, **kw)
     sums = [F.sum(F.col("_e") * F.col("_e")).alias("_s0")] + [F.sum(F.col("_e") * F.col(f"_l{k}")).alias(f"_s{k}")
@@ -101,7 +105,10 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
     eta = sum_t S_t^2 / n^2 with S the running sum of the demeaned values (two-level scan);
     long-run variance (S_0 + 2 sum_{i<=l} (1 - i/(l+1)) S_i) / n from the autocovariance sums."""
     df = reuse_input(df.select(key, ts, value))
-    sums = (sums if sums is not None else autocov_sums(df, value, max_lag, key, ts, **kw)).cache()
+    # positions of the demeaned series once, shared by the lag sums and the running sum
+    d = reuse_input(sg.with_positions(demeaned(df, value, key).select(key, ts, "_e", "_mu", "_n"), key, ts,
+                                      kw.get("unit", "auto")))
+    sums = (sums if sums is not None else _autocov_from(d, max_lag, key, ts, **kw)).cache()
     lagged = sums.withColumn("kpss_lags", kpss_lag())
     # The bandwidth is data dependent; if some series needs more lags than were summed
     # (very long, strongly persistent series), sum again with enough lags.
@@ -114,8 +121,8 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
     wsum = F.aggregate(F.sequence(F.lit(1), F.greatest(l, F.lit(1))),
                        F.lit(0.0), lambda acc, i: acc + F.when(i <= l, _s(i) * (1.0 - i / (l + 1.0))).otherwise(0.0))
     sig = (_s(0) + 2.0 * wsum) / n
-    d = sg.with_positions(demeaned(df, value, key).select(key, ts, "_e"), key, ts)
-    eta = sg.running_sum(d, "_e", "_S", key).groupBy(key).agg(F.sum(F.col("_S") * F.col("_S")).alias("_ss"))
+    eta = sg.running_sum(d.select(key, sg.POS, "_e"), "_e", "_S", key).groupBy(key).agg(
+        F.sum(F.col("_S") * F.col("_S")).alias("_ss"))
     out = lagged.join(eta, key).select(key, "n", "kpss_lags", F.try_divide(F.col("_ss") / (n * n), sig).alias("kpss_stat"))
     crit, pv = solvers.KPSS_CRIT, solvers.KPSS_PVAL
     x = F.col("kpss_stat")

@@ -158,3 +158,10 @@ def test_length_boundaries(spark):
             assert g.trend.isna().all() and (g.reason == "needs 60 observations").all()
         else:
             assert g.reason.isna().all() and g.trend.notna().sum() == 30
+
+
+def test_stationarity_verdict_categories(spark):
+    rows = [(0.01, 0.10), (0.01, 0.01), (0.50, 0.10), (0.50, 0.01), (0.05, 0.05)]
+    df = spark.createDataFrame(rows, "adf_p double, kpss_p double")
+    got = [r[0] for r in df.select(diagnostics.stationarity_verdict("adf_p", "kpss_p")).collect()]
+    assert got == ["stationary", "adf_only", "kpss_only", "non_stationary", "non_stationary"]

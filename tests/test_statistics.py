@@ -165,3 +165,12 @@ def test_stationarity_verdict_categories(spark):
     df = spark.createDataFrame(rows, "adf_p double, kpss_p double")
     got = [r[0] for r in df.select(diagnostics.stationarity_verdict("adf_p", "kpss_p")).collect()]
     assert got == ["stationary", "adf_only", "kpss_only", "non_stationary", "non_stationary"]
+
+
+def test_mackinnon_p_matches_known_critical_values():
+    from tsforge.functions.solvers import kpss_p, mackinnon_p
+    assert mackinnon_p(-3.43) == pytest.approx(0.01, abs=0.001)
+    assert mackinnon_p(-2.86) == pytest.approx(0.05, abs=0.002)
+    assert mackinnon_p(-2.57) == pytest.approx(0.10, abs=0.003)
+    assert mackinnon_p(3.0) == 1.0 and mackinnon_p(-20.0) == 0.0
+    assert kpss_p(0.463) == pytest.approx(0.05) and kpss_p(0.1) == 0.10 and kpss_p(2.0) == 0.01

@@ -174,3 +174,10 @@ def test_mackinnon_p_matches_known_critical_values():
     assert mackinnon_p(-2.57) == pytest.approx(0.10, abs=0.003)
     assert mackinnon_p(3.0) == 1.0 and mackinnon_p(-20.0) == 0.0
     assert kpss_p(0.463) == pytest.approx(0.05) and kpss_p(0.1) == 0.10 and kpss_p(2.0) == 0.01
+
+
+def test_chi_square_tail_closed_form(spark):
+    from tsforge.functions.columns import chi2_sf_even
+    df = spark.createDataFrame([(18.307,), (23.209,), (0.0,)], "q double")
+    got = [r[0] for r in df.select(chi2_sf_even("q", 10)).collect()]
+    assert got[0] == pytest.approx(0.05, abs=1e-4) and got[1] == pytest.approx(0.01, abs=1e-4) and got[2] == pytest.approx(1.0)

@@ -19,10 +19,14 @@ from pyspark.sql import functions as F
 from .common import WS, materialize, shared_dir
 
 
+def digest_of(text_col: str):
+    """SHA-256 of the text with each run of white space as one space; a null text is empty."""
+    return F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WS, " "), 256)
+
+
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, digest): SHA-256 of the text with each run of white space as one space."""
-    norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WS, " ")
-    return docs.select(F.col(id_col).alias("doc_id"), F.sha2(norm, 256).alias("digest"))
+    """(doc_id, digest) of every row."""
+    return docs.select(F.col(id_col).alias("doc_id"), digest_of(text_col).alias("digest"))
 
 
 class DigestIndex:

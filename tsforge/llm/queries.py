@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dedup, packing, quality_rules
-from .common import documents, prepare
+from . import brown, dac, dedup, jaccard, mixing, packing, pii, pu_classifier, quality_rules, separator_scan
+from .common import crc_mod, documents, prepare, table
 
 
 def tokenizer(name: str) -> str:
@@ -33,7 +33,59 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_exact_dedup)}
+def fifth(col: str):
+    """Rows held out of the quality classifier."""
+    return crc_mod(col, 5) == 0
+
+
+def seventh(col: str):
+    """Rows held out of the language model."""
+    return crc_mod(col, 7) == 2
+
+
+def op4_pu_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    s = pu_classifier.score(docs, pu_classifier.learn(docs, table(spark, sf_dir, "labels"), fifth))
+    return s.select("doc_id", fifth("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of(kind):
+        return F.filter("spans", lambda x: x["kind"] == kind)
+
+    base = F.filter("spans", lambda x: x["kind"] != "term")
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separator_scan.token_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end=50256)
+
+
+def op9_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_texts(documents(spark, sf_dir), seventh)
+
+
+def op10_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = dac.write_codes(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end=0)
+    return dac.read_documents(made)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality_rules, op3_exact_dedup, op4_pu_classifier, op5_pii, op6_jaccard,
+                                   op7_mixing, op8_token_counts, op9_brown, op10_dac)}
 
 
 def registered() -> dict:

@@ -20,15 +20,17 @@ from tsforge.functions import solvers
 from tsforge.functions.columns import chi2_sf_even, safe_div
 from tsforge.operators import segments as sg
 from tsforge.operators.features import windowed
-from tsforge.session import reuse_input
+from tsforge.session import materialize, reuse_input
 
 Z95 = 1.959963984540054
 
 
 def demeaned(df: DataFrame, value: str = "close", key: str = "series_id") -> DataFrame:
-    """Adds ``_e = value - mean(value)`` per series (per-series table broadcast under a bound)."""
+    """Adds ``_e = value - mean(value)`` per series, exactly 0 for a constant series (the planner
+    broadcasts the per-series table if its files are small, and shuffles it otherwise)."""
     df = reuse_input(df)
-    m = df.groupBy(key).agg(F.avg(value).alias("_mu"), F.count(value).alias("_n"))
+    mean = F.when(F.min(value) == F.max(value), F.min(value).cast("double")).otherwise(F.avg(value))
+    m = df.groupBy(key).agg(mean.alias("_mu"), F.count(value).alias("_n"))
     return df.filter(F.col(value).isNotNull()).join(sg._maybe_broadcast(m), key).withColumn("_e", F.col(value) - F.col("_mu"))
 
 
@@ -87,15 +89,38 @@ def kpss_cov_lags() -> F.Column:
 
 
 def kpss_lag() -> F.Column:
-    """Automatic bandwidth of Hobijn et al. (1998) from the autocovariance sums."""
+    """Automatic bandwidth of Hobijn et al. (1998) from the autocovariance sums; null for a
+    constant series and while fewer than ``kpss_cov_lags`` sums are known."""
     n = F.col("n").cast("double")
     m = kpss_cov_lags()
     c = F.transform(F.sequence(F.lit(1), F.greatest(m, F.lit(1))), lambda i: F.when(i <= m, _s(i) / (n / 2.0)).otherwise(0.0))
     s0 = F.col("s")[0] / n + F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)
     s1 = F.aggregate(F.zip_with(c, F.sequence(F.lit(1), F.size(c)), lambda x, i: x * i), F.lit(0.0), lambda acc, x: acc + x)
     g = 1.1447 * F.pow(F.pow(F.try_divide(s1, s0), 2), 1.0 / 3.0)
-    lags = F.least(F.floor(g * F.pow(n, 1.0 / 3.0)), n - 1)
-    return F.when(~F.isnan(lags), lags).cast("int")
+    lags = F.floor(g * F.pow(n, 1.0 / 3.0))
+    defined = (F.col("s")[0] > 0) & lags.isNotNull() & ~F.isnan(lags)
+    return F.when(defined, F.least(lags, n - 1)).cast("int")
+
+
+def _segment_lag_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+    """S_k of one segment for k = 0.. the series' own reach; halo rows only serve as partners."""
+    pdf = pdf.sort_values(sg.POS)
+    e, home = pdf["_e"].to_numpy(float), int((~pdf[sg.HOME]).sum())
+    need = int(pdf["_need"].iloc[0])
+    s = [float(e[max(home, k):] @ e[max(home, k) - k:len(e) - k]) if len(e) > max(home, k) else 0.0 for k in range(need + 1)]
+    return pd.DataFrame({"series_id": [pdf["series_id"].iloc[0]], "s": [s]})
+
+
+def lag_sums(d: DataFrame, need: DataFrame, key: str = "series_id", size: int = sg.DEFAULT_SEGMENT_ROWS) -> DataFrame:
+    """``key, s`` with ``s[k] = sum_t e_t e_{t-k}`` for k = 0..``_need`` of that series (table ``need``:
+    key, ``_need``). ``d`` holds ``_pos`` and ``_e``. The plan's width does not depend on the
+    reach: segments carry their own series' halo and are summed in bounded Python groups."""
+    j = d.select(F.col(key).alias("series_id"), sg.POS, "_e").join(need.select(F.col(key).alias("series_id"), "_need"), "series_id")
+    seg = sg.segmented(j, before="_need", size=size, key="series_id")
+    part = seg.groupBy("series_id", sg.SEG).applyInPandas(_segment_lag_sums, "series_id string, s array<double>")
+    each = part.select("series_id", F.posexplode("s").alias("k", "v")).groupBy("series_id", "k").agg(F.sum("v").alias("v"))
+    return each.groupBy("series_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("s")) \
+        .withColumnRenamed("series_id", key)
 
 
 def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts", sums: DataFrame | None = None,
@@ -103,33 +128,38 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
     """KPSS level-stationarity test with automatic bandwidth.
 
     eta = sum_t S_t^2 / n^2 with S the running sum of the demeaned values (two-level scan);
-    long-run variance (S_0 + 2 sum_{i<=l} (1 - i/(l+1)) S_i) / n from the autocovariance sums."""
+    long-run variance (S_0 + 2 sum_{i<=l} (1 - i/(l+1)) S_i) / n from the autocovariance sums.
+    ``max_lag`` sums are made for every series in one window pass; the few series whose own
+    bandwidth needs more get theirs from ``lag_sums``. A constant series has no statistic and no
+    p-value, with a ``reason``."""
     df = reuse_input(df.select(key, ts, value))
     # positions of the demeaned series once, shared by the lag sums and the running sum
     d = reuse_input(sg.with_positions(demeaned(df, value, key).select(key, ts, "_e", "_mu", "_n"), key, ts,
                                       kw.get("unit", "auto")))
-    sums = (sums if sums is not None else _autocov_from(d, max_lag, key, ts, **kw)).cache()
+    sums = materialize(sums if sums is not None else _autocov_from(d, max_lag, key, ts, **kw))
+    for _ in range(2):  # first the sums the bandwidth is made of, then those the variance needs
+        wanted = sums.withColumn("_need", F.when(F.col("s")[0] > 0, F.greatest(kpss_cov_lags(), kpss_lag(), F.lit(0))))
+        short = materialize(wanted.where(F.col("_need") >= F.size("s")).select(key, "_need"))
+        if not short.limit(1).count():
+            break
+        more = sums.drop("s").join(lag_sums(d, short, key, kw.get("size", sg.DEFAULT_SEGMENT_ROWS)), key)
+        sums = materialize(sums.join(short, key, "left_anti").unionByName(more))
     lagged = sums.withColumn("kpss_lags", kpss_lag())
-    # The bandwidth is data dependent; if some series needs more lags than were summed
-    # (very long, strongly persistent series), sum again with enough lags.
-    need = lagged.agg(F.max(F.greatest("kpss_lags", kpss_cov_lags()))).first()[0] or 0
-    if need > max_lag:
-        lagged = autocov_sums(df, value, int(need), key, ts, **kw)
-        lagged = lagged.withColumn("kpss_lags", kpss_lag())
     n = F.col("n").cast("double")
     l = F.col("kpss_lags")
     wsum = F.aggregate(F.sequence(F.lit(1), F.greatest(l, F.lit(1))),
                        F.lit(0.0), lambda acc, i: acc + F.when(i <= l, _s(i) * (1.0 - i / (l + 1.0))).otherwise(0.0))
-    sig = (_s(0) + 2.0 * wsum) / n
+    sig = F.when(l.isNotNull(), (_s(0) + 2.0 * wsum) / n)
     eta = sg.running_sum(d.select(key, sg.POS, "_e"), "_e", "_S", key).groupBy(key).agg(
         F.sum(F.col("_S") * F.col("_S")).alias("_ss"))
     out = lagged.join(eta, key).select(key, "n", "kpss_lags", F.try_divide(F.col("_ss") / (n * n), sig).alias("kpss_stat"))
     crit, pv = solvers.KPSS_CRIT, solvers.KPSS_PVAL
     x = F.col("kpss_stat")
-    p = F.when(x <= crit[0], pv[0])
+    p = F.when(x.isNull(), F.lit(None).cast("double")).when(x <= crit[0], pv[0])
     for i in range(3):
         p = p.when(x <= crit[i + 1], pv[i] + (x - crit[i]) * (pv[i + 1] - pv[i]) / (crit[i + 1] - crit[i]))
-    return out.withColumn("kpss_pvalue", p.otherwise(pv[-1]))
+    return out.withColumn("kpss_pvalue", p.otherwise(pv[-1])).withColumn(
+        "kpss_reason", F.when(x.isNull(), F.lit("constant series")))
 
 
 def _levinson_udf(nlags: int, order: int, method: str = "adjusted"):
@@ -218,9 +248,11 @@ def residual_anomalies(dec: DataFrame, z: float = 3.0, key: str = "series_id", t
 
 
 def stationarity_verdict(adf_p, kpss_p) -> F.Column:
-    """Both tests agree on stationarity / only ADF / only KPSS / neither."""
+    """Both tests agree on stationarity / only ADF / only KPSS / neither; null when either
+    test has no p-value."""
     a, k = F.col(adf_p) if isinstance(adf_p, str) else adf_p, F.col(kpss_p) if isinstance(kpss_p, str) else kpss_p
-    return (F.when((a < 0.05) & (k > 0.05), "stationary")
+    return (F.when(a.isNull() | k.isNull() | F.isnan(a) | F.isnan(k), F.lit(None).cast("string"))
+             .when((a < 0.05) & (k > 0.05), "stationary")
              .when(a < 0.05, "adf_only")
              .when(k > 0.05, "kpss_only")
              .otherwise("non_stationary"))

@@ -82,17 +82,20 @@ def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "
     return out if with_len else out.drop(LEN)
 
 
-def segmented(df: DataFrame, before: int = 0, after: int = 0, size: int = DEFAULT_SEGMENT_ROWS,
+def segmented(df: DataFrame, before: int | str = 0, after: int = 0, size: int = DEFAULT_SEGMENT_ROWS,
               key="series_id") -> DataFrame:
     """Assign ``_seg`` and add halo copies (``_home`` false) for frames reaching ``before``
-    rows back and ``after`` rows ahead. Needs ``_pos`` from ``with_positions``."""
-    if size < max(before, after, 1):
+    rows back and ``after`` rows ahead. ``before`` may name a column with each series' own reach
+    (at most ``size``). Needs ``_pos`` from ``with_positions``."""
+    if size < max(before if isinstance(before, int) else 1, after, 1):
         raise ValueError("segment size must be at least the halo width")
+    if isinstance(before, str):
+        before = F.col(before)
     i = F.col(POS) - 1
     seg = F.floor(i / size).cast("bigint")
     k = i - seg * size
     home = F.struct(seg.alias("s"), F.lit(True).alias("h"))
-    nxt = F.when(k >= size - before, F.struct((seg + 1).alias("s"), F.lit(False).alias("h"))) if before else None
+    nxt = F.when(k >= size - before, F.struct((seg + 1).alias("s"), F.lit(False).alias("h"))) if not isinstance(before, int) or before else None
     prv = F.when((k < after) & (seg > 0), F.struct((seg - 1).alias("s"), F.lit(False).alias("h"))) if after else None
     copies = [c for c in (home, nxt, prv) if c is not None]
     arr = F.filter(F.array(*copies), lambda c: c.isNotNull()) if len(copies) > 1 else F.array(home)

@@ -374,7 +374,7 @@ def white_noise_gate(spark, sf):
     d = clean.length_gate(fe.first_difference(many).select("series_id", "ts", F.col("diff").alias("close")), 50)
     t = _series_tests(d)
     noise = (F.col("adf_pvalue") > 0.05) & (F.col("lb_pvalue") > 0.05) & (F.col("std_pop") < 1.0)
-    return t.select("series_id", r("adf_pvalue", 6), r("lb_pvalue", 6), r("std_pop", 4), (~noise).alias("kept"))
+    return t.select("series_id", r("adf_pvalue", 6), r("lb_pvalue", 6), r("std_pop", 4), (~F.coalesce(noise, F.lit(False))).alias("kept"))
 
 
 # ---- step 7: forecasters -------------------------------------------------------------------------

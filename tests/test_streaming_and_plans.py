@@ -56,21 +56,59 @@ def test_late_rows_are_dropped_by_the_watermark(spark):
     assert got.ts.max() < base + pd.Timedelta(hours=9)                            # open windows held back
 
 
-def test_lag_state_carries_across_micro_batches(spark):
-    folder = _folder(spark)
+def _ticks(spark, pdf):
+    pdf = pdf.copy()
+    pdf["ts"] = pdf["ts"].astype("datetime64[us]")
+    return spark.createDataFrame(pdf[["event_id", "ts", "event_type", "value"]], "event_id long, ts timestamp_ntz, event_type string, value double")
+
+
+def _check_windows(got, pdf, lookback=20):
+    for s, g in pdf.groupby("event_type"):
+        vals = g.sort_values(["ts", "event_id"]).value.to_numpy()
+        mine = got[got.series_id == s].sort_values("ts", kind="stable")
+        assert len(mine) == max(0, len(vals) - lookback), s
+        want = sorted(map(tuple, (np.r_[vals[i:i + lookback], vals[i + lookback]] for i in range(len(vals) - lookback))))
+        assert np.allclose(sorted(map(tuple, (np.r_[a, t] for a, t in zip(mine.lags, mine.target)))), want) if want else True
+
+
+def test_lag_windows_of_shuffled_slices(spark):
     base = pd.Timestamp("2024-01-01")
     rng = np.random.default_rng(3)
     rows = [(i, base + pd.Timedelta(minutes=7 * i), 1, s, float(rng.normal()), "") for i in range(120) for s in ("a", "b")]
-    pdf = _events(rows).sort_values("ts")
-    t1 = _write(folder, "part-1.parquet", pdf.iloc[:100].copy())
-    os.utime(os.path.join(folder, "part-1.parquet"), (t1 - 10, t1 - 10))
-    _write(folder, "part-2.parquet", pdf.iloc[100:].copy())
-    got = scoring.run_lag_windows(spark, folder, "*.parquet", 20).toPandas()
-    for s, g in pdf.groupby("event_type"):
-        vals = g.sort_values("ts").value.to_numpy()
-        mine = got[got.series_id == s].sort_values("ts")
-        assert len(mine) == len(vals) - 20
-        assert np.allclose(np.stack(mine.lags.to_numpy()), np.stack([vals[i:i + 20] for i in range(len(vals) - 20)]))
+    pdf = _events([(k, *r[1:]) for k, r in enumerate(rows)])
+    _check_windows(scoring.replay(_ticks(spark, pdf)).toPandas(), pdf)
+
+
+def test_lag_windows_of_a_burst_and_of_ties(spark):
+    base = pd.Timestamp("2024-01-01")
+    burst = [(i, base + pd.Timedelta(microseconds=250 * i), 1, "burst", float(i), "") for i in range(100)]
+    ties = [(500 + i, base, 1, "ties", float(i), "") for i in range(40)]
+    pdf = _events(burst + ties)
+    _check_windows(scoring.replay(_ticks(spark, pdf)).toPandas(), pdf)
+
+
+def test_late_row_within_the_bound_is_used_and_restart_resumes(spark):
+    folder, base = _folder(spark), pd.Timestamp("2024-01-01")
+    rows = [(i, base + pd.Timedelta(minutes=10 * i), 1, "a", float(i), "") for i in range(60)]
+    late = rows.pop(40)  # arrives one file later, 90 minutes behind
+    files = [_events(rows[:49]), _events([late, *rows[49:]]), _events([(None, base + pd.Timedelta(days=30), 1, "a", None, "")])]
+    name = f"restart-{uuid.uuid4().hex}"
+    for i, f in enumerate(files):  # one run for each file: each run goes on from the checkpoint
+        f["event_id"] = f["event_id"].astype("Int64")
+        t = _write(folder, f"part-{i}.parquet", f)
+        os.utime(os.path.join(folder, f"part-{i}.parquet"), (t - 100 + 10 * i, t - 100 + 10 * i))
+        got = scoring.run_lag_windows(spark, folder, "*.parquet", 20, name=name).toPandas()
+    pdf = _events([*rows, late])
+    _check_windows(got, pdf)
+
+
+def test_a_retried_epoch_leaves_its_rows_once(spark):
+    from tsforge.streaming.common import epoch_sink
+    out = os.path.join(_folder(spark), "table")
+    sink = epoch_sink(out)
+    for epoch, n in ((0, 5), (1, 7), (1, 7)):
+        sink(spark.range(n), epoch)
+    assert spark.read.parquet(out).count() == 12
 
 
 def test_results_do_not_depend_on_partitioning(spark):

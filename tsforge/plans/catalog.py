@@ -515,14 +515,14 @@ def permutation_importance(spark, sf):
 
 @query("stream_bars")
 def stream_bars(spark, sf):
-    """R1 in complete mode: the streamed hourly bars equal the batch bars."""
-    return live.run_live_bars(spark, sf, "events.parquet", "complete")
+    """The streamed hourly bars equal the batch bars."""
+    return live.run_live_bars(spark, sf, "events.parquet")
 
 
 @query("stream_lag_windows")
 def stream_lag_windows(spark, sf):
-    """R2 state: 20-value lag windows per event type kept across micro-batches."""
-    return scoring.run_lag_windows(spark, sf, "events.parquet", 20).select("series_id", "ts", "lags", "target")
+    """R2 state: 20-value lag windows per event type, from files in shuffled order."""
+    return scoring.replay(spark.read.parquet(f"{sf}/events.parquet"), 20).select("series_id", "ts", "lags", "target")
 
 
 @query("stream_scoring")
@@ -541,7 +541,7 @@ def stream_scoring(spark, sf):
         f = ml.to_forecasts(mdl.transform(test), name, "target")
         fc = f if fc is None else fc.unionByName(f)
     chosen = evaluate.best_model(evaluate.forecast_metrics(fc.withColumn("series_id", F.lit("all")))).first()["best_model"]
-    s = scoring.run_lag_windows(spark, sf, "events.parquet", 20, model=models[chosen])
+    s = scoring.replay(spark.read.parquet(f"{sf}/events.parquet"), 20, models[chosen])
     return s.select("series_id", "ts", "target", r("prediction", 6), F.lit(chosen).alias("model"))
 
 
@@ -549,7 +549,7 @@ def stream_scoring(spark, sf):
 
 def _scratch(spark, name):
     from tsforge.streaming.common import stream_paths
-    return stream_paths(spark, name)[1]
+    return stream_paths(spark, None, name)[1]
 
 
 @query("csv_roundtrip")

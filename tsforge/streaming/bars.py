@@ -4,11 +4,13 @@ Ticks are read with ``readStream`` (file source here; any streaming source works
 are bounded by a watermark, and bars are a grouped aggregation over tumbling event-time
 windows per series. Output modes:
 
-* ``complete``: every micro-batch rewrites the whole bar table (equal to the batch bars);
+* ``update``: each micro-batch writes the bars it changed; the table of bars is the latest epoch of
+  each bar. State is dropped once the watermark has passed a bar;
 * ``append``: a bar is written once, after the watermark passes its window end.
 
-Results go to a parquet table in the shared checkpoint folder via ``foreachBatch``; the query
-checkpoint sits next to it, so a restarted job resumes where it stopped.
+Results go to a table in the shared checkpoint folder, one folder for each epoch (a retried epoch
+overwrites its own). The query checkpoint sits next to it; a job started again under the same
+``name`` resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsforge.streaming.common import stream_paths
+from tsforge.streaming.common import epoch_sink, stream_paths
 
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -45,20 +47,22 @@ def live_bars(ticks: DataFrame, series: str = "event_type", ts: str = "ts", pric
                   F.max_by(price, "_et").alias("close"), F.count(F.lit(1)).cast("bigint").alias("volume")))
 
 
-def run_live_bars(spark: SparkSession, folder: str, pattern: str = "*.parquet", mode: str = "complete", **kw) -> DataFrame:
-    """Run the bar stream to the end of the available input (``availableNow``) and return the
-    bar table it wrote (batch DataFrame)."""
-    ckpt, out = stream_paths(spark, "live_bars")
-    bars = live_bars(tick_stream(spark, folder, pattern), **kw).select(
-        "series_id", F.col("w.start").cast("timestamp_ntz").alias("ts"), "open", "high", "low", "close", "volume")
+def latest_bars(spark: SparkSession, out: str) -> DataFrame:
+    """The bar table that ``update`` epochs add up to: of each bar, the last epoch's row."""
+    rows = spark.read.parquet(out)
+    cols = ["open", "high", "low", "close", "volume"]
+    last = rows.groupBy("series_id", "ts").agg(F.max_by(F.struct(*cols), "epoch").alias("b"))
+    return last.select("series_id", "ts", *[F.col(f"b.{c}").alias(c) for c in cols])
 
-    def sink(batch: DataFrame, epoch: int) -> None:
-        if mode == "complete":
-            batch.write.mode("overwrite").parquet(out)
-        else:
-            batch.write.mode("append").parquet(out)
 
+def run_live_bars(spark: SparkSession, folder: str, pattern: str = "*.parquet", mode: str = "update", name: str | None = None,
+                  files_per_trigger: int | None = None, **kw) -> DataFrame:
+    """Run the bar stream to the end of the available input (``availableNow``) and return the
+    bar table written so far (batch DataFrame)."""
+    ckpt, out = stream_paths(spark, name, "live_bars")
+    bars = live_bars(tick_stream(spark, folder, pattern, files_per_trigger=files_per_trigger), **kw).select(
+        "series_id", F.col("w.start").cast("timestamp_ntz").alias("ts"), "open", "high", "low", "close", "volume")
     q = (bars.writeStream.outputMode(mode).option("checkpointLocation", ckpt)
-             .foreachBatch(sink).trigger(availableNow=True).start())
+             .foreachBatch(epoch_sink(out)).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return latest_bars(spark, out)

@@ -2,13 +2,18 @@
 (``applyInPandasWithState``); every new row with a full window becomes a lag window, which a
 stateless fitted model (a Spark ML ``PipelineModel``/``Model``) scores.
 
-Rows of a micro-batch are ordered by time before they update the state; rows not newer
-than the last one seen for their series are dropped (late data bounded by the watermark and
-the state's event-time timeout, which also clears series that stop sending).
+Rows wait in a buffer in the state until the watermark has passed them, and are then used in order
+of (microsecond, tie-break column), so rows may arrive in any order within the ``late`` bound and
+ticks of the same instant all count. Spark drops and counts only rows behind the watermark
+(``numRowsDroppedByWatermark``). A row without a value is a heartbeat: it makes no window, but moves
+the watermark on, so that a quiet stream's last rows are released. A series is forgotten only if
+``idle`` is given and it was quiet for that long.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
@@ -17,60 +22,118 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tsforge.session import checkpoint_dir
 from tsforge.streaming.bars import tick_stream
-from tsforge.streaming.common import stream_paths
+from tsforge.streaming.common import epoch_sink, stream_paths
 
 WINDOW_SCHEMA = T.StructType([
     T.StructField("series_id", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("lags", T.ArrayType(T.DoubleType())), T.StructField("target", T.DoubleType()),
 ])
-STATE_SCHEMA = T.StructType([T.StructField("hist", T.ArrayType(T.DoubleType())), T.StructField("last_ts", T.LongType())])
-IDLE_MS = 7 * 24 * 3600 * 1000
+STATE_SCHEMA = T.StructType([
+    T.StructField("hist", T.ArrayType(T.DoubleType())),
+    T.StructField("us", T.ArrayType(T.LongType())), T.StructField("tie", T.ArrayType(T.LongType())),
+    T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("seen", T.LongType()),
+])
+
+
+def _windows(sid, us, v, hist: np.ndarray, lookback: int) -> pd.DataFrame:
+    """Lag windows of values ``v`` (in order) that follow ``hist``."""
+    full = np.concatenate([hist, v])
+    first = max(0, lookback - len(hist))  # values that still have too few before them
+    at = np.arange(first, len(v)) + len(hist)
+    lags = full[at[:, None] - np.arange(lookback, 0, -1)] if len(at) else np.zeros((0, lookback))
+    return pd.DataFrame({"series_id": sid, "ts": pd.to_datetime(us[first:], unit="us"), "lags": list(lags), "target": v[first:]})
 
 
-def _lag_state(lookback: int):
+def _lag_state(lookback: int, idle_us: int | None):
     def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        hist, last = ([], None)
+        hist, us, tie, v, seen = [], [], [], [], 0
         if state.exists:
-            h, last = state.get
-            hist = list(h)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_et")
-        rows = []
-        for et, ts, v in zip(pdf["_et"], pdf["ts"], pdf["v"]):
-            t_ms = int(pd.Timestamp(et).value // 1_000_000)
-            if last is not None and t_ms <= last:
-                continue
-            if len(hist) == lookback:
-                rows.append((key[0], ts, list(hist), float(v)))
-            hist = (hist + [float(v)])[-lookback:]
-            last = t_ms
-        state.update((hist, last))
-        state.setTimeoutTimestamp(last + IDLE_MS)
-        if rows:
-            yield pd.DataFrame(rows, columns=["series_id", "ts", "lags", "target"])
+            hist, us, tie, v, seen = (list(x) if isinstance(x, (list, tuple)) else x for x in state.get)
+        mark = state.getCurrentWatermarkMs() * 1000
+        us, tie, v = [np.array(us, np.int64)], [np.array(tie, np.int64)], [np.array(v, float)]
+        for pdf in ([] if state.hasTimedOut else pdfs):
+            if len(pdf):
+                seen = max(seen, int(pdf["us"].max()))
+            pdf = pdf[pdf["v"].notna()]
+            us.append(pdf["us"].to_numpy(np.int64))
+            tie.append(pdf["tie"].to_numpy(np.int64))
+            v.append(pdf["v"].to_numpy(float))
+        us, tie, v = np.concatenate(us), np.concatenate(tie), np.concatenate(v)
+        order = np.lexsort((tie, us))
+        us, tie, v = us[order], tie[order], v[order]
+        n = int(np.searchsorted(us, mark, "right"))  # the watermark has passed these
+        if n:
+            out = _windows(key[0], us[:n], v[:n], np.array(hist, float), lookback)
+            hist = np.concatenate([np.array(hist, float), v[:n]])[-lookback:].tolist()
+            us, tie, v = us[n:], tie[n:], v[n:]
+            if len(out):
+                yield out
+        wake = int(us[0]) if len(us) else None
+        if wake is None and idle_us is not None:
+            wake = seen + idle_us
+            if state.hasTimedOut and wake <= mark:
+                state.remove()
+                return
+        state.update((hist, us.tolist(), tie.tolist(), v.tolist(), seen))
+        if wake is not None:
+            state.setTimeoutTimestamp(max(wake, mark) // 1000 + 1)
     return fn
 
 
-def lag_window_stream(ticks: DataFrame, series: str = "event_type", ts: str = "ts", value: str = "value",
-                      lookback: int = 20, late: str = "2 hours") -> DataFrame:
-    t = (ticks.select(F.col(series).alias("series_id"), F.col(ts).alias("ts"), F.col(value).alias("v"))
-              .withColumn("_et", F.col("ts").cast("timestamp")).withWatermark("_et", late))
+def lag_window_stream(ticks: DataFrame, series: str = "event_type", ts: str = "ts", value: str = "value", tie: str = "event_id",
+                      lookback: int = 20, late: str = "2 hours", idle_hours: float | None = None) -> DataFrame:
+    """Lag windows of a tick stream. ``tie`` orders rows of one instant; ``idle_hours`` (off by
+    default) forgets a series that was quiet for that long."""
+    t = (ticks.select(F.col(series).alias("series_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+                      F.coalesce(F.col(tie).cast("long"), F.lit(0)).alias("tie"), F.col(value).cast("double").alias("v"),
+                      F.col(ts).cast("timestamp").alias("_et")).withWatermark("_et", late))
+    idle = None if idle_hours is None else int(idle_hours * 3_600_000_000)
     return t.groupBy("series_id").applyInPandasWithState(
-        _lag_state(lookback), WINDOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        _lag_state(lookback, idle), WINDOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stage_ticks(ticks: DataFrame, files: int = 4, late_hours: int = 2) -> str:
+    """Write a finite tick table as stream input: ``files`` slices, one after the other, of the
+    order of time plus a random delay of up to half the late bound (so rows are out of order, within
+    the bound), and last one heartbeat for each series that lets the stream release all rows."""
+    spark = ticks.sparkSession
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-input/{uuid.uuid4().hex}"
+    hour = 3_600_000_000
+    delay = F.pmod(F.xxhash64("event_id"), F.lit(late_hours * hour // 2))
+    t = ticks.select("event_id", "ts", "event_type", "value").withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")) + delay)
+    cuts = sorted(set(t.approxQuantile("_at", [i / files for i in range(1, files)], 0.001)))
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        s = t
+        if lo is not None:
+            s = s.where(F.col("_at") > F.lit(int(lo)))
+        if hi is not None:
+            s = s.where(F.col("_at") <= F.lit(int(hi)))
+        s.drop("_at").coalesce(1).write.mode("append").parquet(base)
+    end = t.groupBy("event_type").agg((F.max("ts") + F.expr(f"INTERVAL {24 * 3650 + late_hours} HOURS")).alias("ts"))
+    end.select(F.lit(None).cast("long").alias("event_id"), "ts", "event_type", F.lit(None).cast("double").alias("value")) \
+        .coalesce(1).write.mode("append").parquet(base)
+    return base
 
 
 def run_lag_windows(spark: SparkSession, folder: str, pattern: str = "*.parquet", lookback: int = 20, model=None,
-                    **kw) -> DataFrame:
+                    name: str | None = None, files_per_trigger: int | None = 64, **kw) -> DataFrame:
     """Run R2 to the end of the available input; returns the written windows (scored with
-    ``model`` when one is given: features = the window as a vector)."""
-    ckpt, out = stream_paths(spark, "lag_windows")
-    win = lag_window_stream(tick_stream(spark, folder, pattern), lookback=lookback, **kw)
+    ``model`` when one is given: features = the window as a vector). Rows that the watermark has
+    not passed stay in the state for the next run under the same ``name``."""
+    ckpt, out = stream_paths(spark, name, "lag_windows")
+    win = lag_window_stream(tick_stream(spark, folder, pattern, files_per_trigger=files_per_trigger), lookback=lookback, **kw)
     if model is not None:
         win = model.transform(win.withColumn("features", array_to_vector("lags"))).drop("features")
     q = (win.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-             .foreachBatch(lambda b, e: b.write.mode("append").parquet(out)).trigger(availableNow=True).start())
+             .foreachBatch(epoch_sink(out)).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("epoch")
+
+
+def replay(ticks: DataFrame, lookback: int = 20, model=None, late_hours: int = 2, **kw) -> DataFrame:
+    """All windows of a finite tick table, through the stream, slice by slice."""
+    base = stage_ticks(ticks, late_hours=late_hours)
+    return run_lag_windows(ticks.sparkSession, base, "*.parquet", lookback, model, files_per_trigger=1, late=f"{late_hours} hours", **kw)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, materialize
+from .common import materialize
 from .tokens import encoder, slices
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -80,7 +80,7 @@ def _pack_partition(path: str, end: int, seq_len: int, space: int):
         enc, part = encoder(path), TaskContext.get().partitionId()
         win, out, base = Windows(seq_len, space), [], part << 32
         for b in it:
-            ids_col, texts = b.column(0).to_pylist(), batches(b.column(1))
+            ids_col, texts = b.column(0).to_pylist(), b.column(1)
             for lo, hi in slices(texts):
                 ids, at = enc.encode(texts[lo:hi], end)
                 for d, s, e in zip(ids_col[lo:hi], at[:-1].tolist(), at[1:].tolist(), strict=True):

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, open_fs, parts_for
+from .common import open_fs, parts_for
 from .tokens import encoder, slices
 
 NULL_ID = -(1 << 63)  # stands for a null id inside files
@@ -44,7 +44,7 @@ def encoded_shard(it, tokenizer: str, end: int):
     enc, docs, parts, lengths = encoder(tokenizer), [], [], []
     for b in it:
         docs += [NULL_ID if d is None else d for d in b.column(0).to_pylist()]
-        texts = batches(b.column(1))
+        texts = b.column(1)
         for lo, hi in slices(texts):
             ids, at = enc.encode(texts[lo:hi], end)
             parts.append(ids.astype("<u4"))

@@ -1,11 +1,12 @@
-"""Token ids of whole texts with a public tokenizer file, by pieces that are remembered.
-
-A text is cut only where the tokenizer's own pre-splitting is certain to cut too (between a
-printable non-space character, one space, and a printable non-space character), so the ids of the
-pieces in order are the ids of the text. Pieces repeat, so a bounded cache of their ids serves most
-of them; new pieces go through the tokenizer together, parted by a control character whose ids are
-known. Texts with other white space in a row, with that character or with the shape of a special
-token are encoded piece by piece or whole.
+"""Token ids of whole texts with a public tokenizer file, by parts that are remembered.
+
+A text is cut only where the tokenizer's own pre-splitting is certain to cut too, so the ids of the
+parts in order are the ids of the text. First it is cut into pieces, between a printable
+non-space character, one space, and a printable non-space character. Pieces repeat, so a bounded cache of their
+ids serves most of them. A new piece of plain Latin letters, digits and ASCII punctuation is cut on
+into runs of each, which repeat more often still; new runs go through the tokenizer together, and
+its own word numbers tell their ids apart. All other pieces are encoded one by one, and texts with
+the shape of a special token whole.
 """
 
 from __future__ import annotations
@@ -14,10 +15,18 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE_PIECES = 600_000  # pieces remembered in one Python worker; the cache restarts beyond that
-PART = "\x01"
+CACHE_PIECES = 350_000  # pieces remembered in one Python worker; beyond that it starts anew
+CACHE_RUNS = 900_000    # and runs, which cost more to learn
 _SAFE = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
+_LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_PUNCT = r"!-&(-/:-@\[-`{-~"  # ASCII, without the apostrophe
+_MARK = "\x01"
+_FIRST = "\x02"  # leads the key of a piece with no space before it
+_PLAIN = re.compile(rf"{_FIRST}?[{_LETTER}0-9{_PUNCT}]+(?:\n[{_LETTER}0-9{_PUNCT}]+)*")
+_STEP = 256  # runs in one call; the tokenizer's cost grows faster than the text
 _ENCODERS: dict = {}
 
 
@@ -28,29 +37,16 @@ def encoder(path: str) -> "PieceEncoder":
     return _ENCODERS[path]
 
 
-class PieceEncoder:
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
-        # whether a leading space is part of the piece after it
-        self.spaced = self._whole(" a") != self._whole("a")
-        mark = self._whole(f" {PART} " if not self.spaced else f" {PART}")
-        self.mark = np.array(mark, np.int64)
-        self.forget()
+class Store:
+    """Ids of texts: a dictionary of positions beside flat arrays."""
 
-    def _whole(self, text: str) -> list[int]:
-        return self.tok.encode(text, add_special_tokens=False).ids
+    def __init__(self):
+        self.at: dict[str, int] = {}
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used = np.zeros(1 << 18, np.int32), 0
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int32)
-        self.flat = np.zeros(1 << 18, np.int32)
-        self.used = 0
-
-    def _store(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, k = len(self.known), len(pieces)
+    def add(self, texts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, k = len(self.at), len(texts)
         while n + k > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
@@ -60,80 +56,138 @@ class PieceEncoder:
         self.length[n:n + k] = lengths
         self.flat[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
-        for i, p in enumerate(pieces):
-            self.known[p] = n + i
+        self.at.update(zip(texts, range(n, n + k), strict=True))
+
+    def find(self, texts: list[str], learn=None) -> np.ndarray:
+        """Positions of texts; those that are not there are first given to ``learn``."""
+        get = self.at.get
+        at = np.fromiter((get(t, -1) for t in texts), np.int64, len(texts))
+        gone = np.flatnonzero(at < 0)
+        if len(gone):
+            new = [texts[i] for i in gone.tolist()]
+            learn(list(dict.fromkeys(new)))
+            at[gone] = np.fromiter(map(self.at.__getitem__, new), np.int64, len(new))
+        return at
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids at positions, in a row, and how many each position has."""
+        n = self.length[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(at) else 0
+        return self.flat[np.arange(total) - np.repeat(ends - n - self.start[at], n)], n
+
+
+class PieceEncoder:
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True
+        # whether a leading space is part of the piece after it, and whether case is kept
+        self.spaced = self._whole(" a") != self._whole("a")
+        self.cased = self._whole("A") != self._whole("a")
+        lead = " ?" if self.spaced else ""
+        digits = "[0-9]+" if self.spaced else "[0-9]"
+        line = "|\n" if self.spaced else ""
+        self.runs = re.compile(f"{lead}[{_LETTER}]+|{lead}{digits}|{lead}[{_PUNCT}]+|{_MARK}{line}")
+        self.pieces, self.parts, self.risky = Store(), Store(), np.zeros(0, bool)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
+
+    def forget(self) -> None:
+        if len(self.pieces.at) > CACHE_PIECES:
+            self.pieces, self.risky = Store(), np.zeros(0, bool)
+        if len(self.parts.at) > CACHE_RUNS:
+            self.parts = Store()
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(got)), np.int64), np.array([len(g) for g in got], np.int64)
+
+    def _learn_runs(self, new: list[str]) -> None:
+        """Runs that were not seen before. Joined so that each stays a word of the tokenizer's
+        own splitting: as they are if they begin with a space, else by a space or line end that
+        is a word itself (or none)."""
+        for own in ([r for r in new if r[0] == " "], [r for r in new if r[0] != " "]):
+            sep, every = ("", 1) if own and own[0][0] == " " else ("\n", 2) if self.spaced else (" ", 1)
+            for lo in range(0, len(own), _STEP):
+                some = own[lo:lo + _STEP]
+                e = self.tok.encode(sep.join(some), add_special_tokens=False)
+                word, ids = np.array(e.word_ids, np.int64), np.array(e.ids, np.int64)
+                if len(word) and int(word[-1]) == every * (len(some) - 1):
+                    keep = word % every == 0
+                    self.parts.add(some, ids[keep], np.bincount(word[keep] // every, minlength=len(some)))
+                else:
+                    self.parts.add(some, *self._one_by_one(some))
 
     def _learn(self, new: list[str]) -> None:
-        """Encode pieces not seen before, many in one call."""
+        """Pieces that were not seen before. A piece that begins a text, or follows a cut that is
+        not a space, is written with a leading mark if spaces are part of pieces."""
         plain, odd = [], []
         for p in new:
-            core = p[1:] if self.spaced and p[:1] == " " else p
-            lead = p[:1] == " " if self.spaced else True
-            (plain if lead and core and core.isprintable() and " " not in core and PART not in core else odd).append(p)
-        if plain:
-            sep = f" {PART}" if self.spaced else f" {PART} "
-            step = 256  # short calls: the tokenizer's cost grows faster than the text
-            joined = [sep.join(plain[i:i + step]) for i in range(0, len(plain), step)]
-            ids = [i for t in joined for i in [*self._whole(t), *self.mark]]
-            ids = np.array(ids[:-len(self.mark)], np.int64)
-            m = len(self.mark)
-            at = np.flatnonzero(ids == self.mark[-1])
-            if len(at) != len(plain) - 1:  # a piece holds the mark's id after all
-                odd, plain = odd + plain, []
-            else:
-                cut = np.ones(len(ids), bool)
-                for j in range(m):
-                    cut[at - j] = False
-                ends = np.concatenate([at - m + 1, [len(ids)]])
-                starts = np.concatenate([[0], at + 1])
-                self._store(plain, ids[cut], ends - starts)
+            (plain if _PLAIN.fullmatch(p) else odd).append(p)
         if odd:
-            got = [e.ids for e in self.tok.encode_batch(odd, add_special_tokens=False)]
-            self._store(odd, np.array([i for g in got for i in g], np.int64), np.array([len(g) for g in got]))
-
-    def _pieces(self, text: str) -> list[str]:
-        if "<|" in text or PART in text:
-            return [text]
-        parts = text.split(" ")
-        if len(parts) == 1:
-            return parts
-        if "  " in text or not all(x.isprintable() and x[:1] != " " and x[-1:] != " " for x in text.split("\n")):
-            parts = _SAFE.split(text)
-        if self.spaced:
-            return [parts[0], *[" " + p for p in parts[1:]]]
-        return parts
-
-    def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+            self.pieces.add(odd, *self._one_by_one([self._text(p) for p in odd]))
+            bare = [p[1:] if p[:1] == _FIRST else p for p in odd]
+            flags = [not u or not (u[0].isprintable() and u[-1].isprintable()) or "<|" in u or _MARK in u or _FIRST in u for u in bare]
+            self.risky = np.concatenate([self.risky, np.array(flags, bool)])
+        for lo in range(0, len(plain), 50_000):
+            some = plain[lo:lo + 50_000]
+            joined = _MARK.join(map(self._text, some))
+            found = self.runs.findall(joined if self.cased else joined.lower())
+            marks = np.array([r == _MARK for r in found], bool)
+            of = np.cumsum(marks)[~marks]
+            ids, n = self.parts.gather(self.parts.find([r for r in found if r != _MARK], self._learn_runs))
+            self.pieces.add(some, ids, np.bincount(of, n, minlength=len(some)).astype(np.int64))
+            self.risky = np.concatenate([self.risky, np.zeros(len(some), bool)])
+
+    def _text(self, piece: str) -> str:
+        return piece if not self.spaced else piece[1:] if piece[:1] == _FIRST else " " + piece
+
+    def _careful(self, text: str) -> list[str]:
+        """Pieces of a text with white space in a row or the shape of a special token."""
+        if "<|" in text or _MARK in text:
+            return [_FIRST + text] if self.spaced else [text]
+        parts = _SAFE.split(text)
+        return [_FIRST + parts[0], *parts[1:]] if self.spaced else parts
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (int32), each followed by ``end`` if given, and the offsets
-        of the texts in it (one more than texts)."""
-        if len(self.known) > CACHE_PIECES:
-            self.forget()
-        docs = [self._pieces(t) if t else [] for t in texts]
-        known = self.known
-        new = set(chain.from_iterable(docs)).difference(known)
-        if new:
-            self._learn(list(new))
-        counts = np.array([len(d) for d in docs], np.int64)
-        at = np.fromiter(map(known.__getitem__, chain.from_iterable(docs)), np.int64, int(counts.sum()))
-        n = self.length[at].astype(np.int64)
-        first = np.cumsum(n) - n
-        ids = self.flat[np.arange(int(n.sum())) - np.repeat(first - self.start[at], n)]
+        of the texts in it (one more than texts). Null texts are empty."""
+        self.forget()
+        cut = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
+        of = np.asarray(cut.offsets, np.int64)
+        of, words = of - of[0], cut.flatten().dictionary_encode()
+        code, uniq = words.indices.to_numpy(), words.dictionary.to_pylist()
+        first = code[of[:-1]]
+        at = self.pieces.find(uniq, self._learn)[code] if len(uniq) else np.zeros(0, np.int64)
+        if self.spaced and len(first):
+            at[of[:-1]] = self.pieces.find([_FIRST + uniq[c] for c in first.tolist()], self._learn)
+        per = np.diff(of)
+        odd = np.flatnonzero(np.logical_or.reduceat(self.risky[at], of[:-1])) if len(first) else []
+        if len(odd):  # put in the pieces of such texts instead
+            parts, last = [], 0
+            for i in odd.tolist():
+                text = texts[i].as_py() or ""
+                own = self.pieces.find(self._careful(text), self._learn) if text else np.zeros(0, np.int64)
+                parts += [at[last:of[i]], own]
+                last, per[i] = of[i + 1], len(own)
+            at = np.concatenate([*parts, at[last:]])
+        ids, n = self.pieces.gather(at)
         total = np.concatenate([[0], np.cumsum(n)])
-        bounds = total[np.concatenate([[0], np.cumsum(counts)])]
+        bounds = total[np.concatenate([[0], np.cumsum(per)]).astype(np.int64)].astype(np.int64)
         if end is not None and len(texts):
             ids = np.insert(ids, bounds[1:], end)
             bounds = bounds + np.arange(len(texts) + 1)
         return ids.astype(np.int32, copy=False), bounds
 
 
-def slices(texts: list[str], chars: int = 4_000_000):
-    """Consecutive (from, to) of ``texts`` with about ``chars`` characters each, so that the
-    pieces of one call stay small."""
-    lo, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t)
-        if n >= chars:
-            yield lo, i + 1
-            lo, n = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+def slices(texts: pa.Array, chars: int = 8_000_000):
+    """Consecutive (from, to) of ``texts`` with about ``chars`` bytes each, so that the pieces of
+    one call stay small."""
+    size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + chars, "right")))
+        yield lo, hi
+        lo = hi

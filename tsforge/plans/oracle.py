@@ -197,26 +197,20 @@ from bars group by 1"""
 
 SQL["histogram"] = _w(BARS) + """
 , st as (select series_id, min(close) as lo, max(close) as hi from bars group by 1)
-, hb as (select series_id, lo, hi,
-                cast(least(coalesce(floor(((close - lo) / nullif(hi - lo, 0)) * 20), 0), 19) as integer) as bin
-         from bars join st using (series_id))
+, hb as (select series_id, cast(least(coalesce(floor(((close - lo) / nullif(hi - lo, 0)) * 20), 0), 19) as integer) as bin, count(*) as c
+         from bars join st using (series_id) group by all)
+, ev as (select series_id, lo, hi, cast(b as integer) as bin from st, range(0, 20) r(b))
 select series_id, bin, round(lo + bin * ((hi - lo) / 20), 4) as lo_edge, round(lo + (bin + 1) * ((hi - lo) / 20), 4) as hi_edge,
-       count(*) as count
-from hb group by series_id, bin, lo, hi"""
+       coalesce(c, 0) as count
+from ev left join hb using (series_id, bin)"""
 
 SQL["kde"] = _w(BARS) + """
 , st as (select series_id, min(close) as lo, max(close) as hi, count(close) as n,
                 stddev_samp(close) * pow(count(close), -0.2) as h from bars group by 1)
-, fb as (select series_id, lo, hi, n, h,
-                cast(least(coalesce(floor(((close - lo) / nullif(hi - lo, 0)) * 1024), 0), 1023) as integer) as b,
-                count(*) as c
-         from bars join st using (series_id) group by all)
-, pts as (select series_id, n, h, c, lo + (b + 0.5) * (hi - lo) / 1024 as xc, g,
-                 (lo - 3.0 * h) + g * ((hi - lo + 6.0 * h) / 199) as x
-          from fb, range(0, 200) r(g))
+, pts as (select series_id, n, h, g, lo + g * ((hi - lo) / 199) as x from st, range(0, 200) r(g))
 select series_id, cast(g as integer) as grid_index, round(x, 2) as x,
-       round(sum(c * exp(-0.5 * ((x - xc) / h) * ((x - xc) / h))) / (n * h * sqrt(2 * pi())) * 1e6, 6) as density_e6
-from pts group by series_id, g, x, n, h"""
+       round(sum(exp(-0.5 * ((x - close) / h) * ((x - close) / h))) / (n * h * sqrt(2 * pi())) * 1e6, 6) as density_e6
+from pts join bars using (series_id) group by series_id, g, x, n, h"""
 
 SQL["baseline_forecasts"] = _w(BARS, BASELINES) + "select series_id, model, ts, horizon, actual, round(forecast, 4) as forecast from fc"
 
@@ -405,12 +399,12 @@ SQL["histogram_auto"] = _w(BARS) + """
 , w as (select *, (hi - lo) / (log2(n) + 1.0) as sw, 2.0 * iqr * pow(n, -1.0 / 3.0) as fw from st)
 , nb as (select *, cast(greatest(coalesce(ceil((hi - lo) / nullif(case when fw > 0 then least(fw, sw) else sw end, 0)), 1), 1) as integer) as nb
          from w)
-, hb as (select series_id, lo, hi, nb,
-                cast(least(coalesce(floor(((close - lo) / nullif(hi - lo, 0)) * nb), 0), nb - 1) as integer) as bin
-         from bars join nb using (series_id))
+, hb as (select series_id, cast(least(coalesce(floor(((close - lo) / nullif(hi - lo, 0)) * nb), 0), nb - 1) as integer) as bin, count(*) as c
+         from bars join nb using (series_id) group by all)
+, ev as (select series_id, lo, hi, nb, cast(unnest(range(0, nb)) as integer) as bin from nb)
 select series_id, bin, round(lo + bin * ((hi - lo) / nb), 4) as lo_edge, round(lo + (bin + 1) * ((hi - lo) / nb), 4) as hi_edge,
-       count(*) as count
-from hb group by series_id, bin, lo, hi, nb"""
+       coalesce(c, 0) as count
+from ev left join hb using (series_id, bin)"""
 
 
 def _dl_sum(k: str = "k") -> str:

@@ -74,8 +74,9 @@ def _count(it):
             ws = words_of(text)
             if out:
                 c = held[chunk]
-                for w in set(ws).difference(c):
-                    c[w] = 0
+                for w in set(ws):
+                    if w not in c:
+                        c[w] = 0
             else:
                 held[chunk].update(ws)
         if sum(map(len, held.values())) >= MAX_WORDS:
@@ -158,7 +159,7 @@ def move_gains(m: np.ndarray, a: int, out: np.ndarray, into: np.ndarray, same: f
     c[a, :] -= out
     c[:, a] -= into
     c[a, a] -= same
-    rows, cols = c.sum(1), c.sum(0)
+    rows, cols = c.sum(1) + into, c.sum(0) + out  # other words' own, wherever this word goes
     to = np.arange(first, len(m))
     r, k = c[to, :], c[:, to].T
     diag = c[to, to]

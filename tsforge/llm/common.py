@@ -35,8 +35,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size the planner knows for ``df`` (file bytes for a plain scan); no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Size the planner knows for ``df`` (file bytes for a plain scan); no job is run. Where it
+    knows none (rows from Python, products of joins), 16 MB for each shuffle partition."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 56 else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) << 24
 
 
 def parts_for(df: DataFrame, bytes_each: int = 16 << 20, least: int = 1) -> int:

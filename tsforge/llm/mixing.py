@@ -95,36 +95,33 @@ def phases(blocks: list[int], parts: list[int]) -> list[dict]:
 
 
 def positions(rows: DataFrame, n: int, source_col: str, id_col: str) -> DataFrame:
-    """Add ``mix_n``: a repeatable random position of each of the ``n`` rows in its source. Rows
+    """Add ``__mix_n``: a repeatable random position of each of the ``n`` rows in its source. Rows
     are ranked in hash buckets (2,000 to 200,000 rows each), so no task ranks a whole source."""
     buckets = max(1, min(math.ceil(n / 2_000), max(1_000, math.ceil(n / 200_000))))
-    h = F.xxhash64(F.col(id_col).cast("string"), F.lit(7))
-    keyed = rows.withColumn("mix_h", h).withColumn("mix_b", F.pmod(F.shiftright("mix_h", 8), F.lit(buckets)))
-    sizes = materialize(keyed.groupBy(F.col(source_col).alias("s"), F.col("mix_b").alias("b")).agg(F.count(F.lit(1)).alias("c")))
-    before = sizes.selectExpr("s", "b", "sum(c) OVER (PARTITION BY s ORDER BY b) - c AS base")
-    local = keyed.selectExpr("*", f"row_number() OVER (PARTITION BY `{source_col}`, mix_b ORDER BY mix_h, `{id_col}`) - 1 AS mix_r")
-    cond = local[source_col].eqNullSafe(before["s"]) & (local["mix_b"] == before["b"])
-    return local.join(before, cond).withColumn("mix_n", F.col("base") + F.col("mix_r")).drop("s", "b", "base", "mix_h", "mix_b", "mix_r")
+    h = F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(7))
+    keyed = rows.withColumn("__mix_h", h).withColumn("__mix_b", F.pmod(F.shiftright("__mix_h", 8), F.lit(buckets)))
+    sizes = materialize(keyed.groupBy(F.col(f"`{source_col}`").alias("s"), F.col("__mix_b").alias("b")).agg(F.count(F.lit(1)).alias("c")))
+    before = sizes.selectExpr("s AS __mix_s", "b AS __mix_c", "sum(c) OVER (PARTITION BY s ORDER BY b) - c AS __mix_base")
+    local = keyed.selectExpr("*", f"row_number() OVER (PARTITION BY `{source_col}`, __mix_b ORDER BY __mix_h, `{id_col}`) - 1 AS __mix_r")
+    cond = F.col(f"`{source_col}`").eqNullSafe(F.col("__mix_s")) & (F.col("__mix_b") == F.col("__mix_c"))
+    return local.join(before, cond).withColumn("__mix_n", F.col("__mix_base") + F.col("__mix_r")) \
+        .drop("__mix_s", "__mix_c", "__mix_base", "__mix_h", "__mix_b", "__mix_r")
 
 
 def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = 16, grain: int = 1000, alpha: float = 0.5,
         source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Schedule all rows. ``weights`` maps sources to target weights (missing ones share the rest
     evenly); by default a source's weight is its row count to the power ``alpha``. Adds mix_block
-    (block in the source), mix_release and mix_deadline (slots, from the first block of the phase),
+    (block in the source), mix_release and mix_deadline (slots, from the first slot of the phase),
     mix_phase, mix_slot (the block's place in the whole order) and mix_pos (the row's place in its
     block)."""
     spark = docs.sparkSession
     docs = docs.drop(*ADDED)
-    counts = docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n")) \
+    source = F.col(f"`{source_col}`")
+    counts = docs.groupBy(source.alias("s")).agg(F.count(F.lit(1)).alias("n")) \
         .orderBy(F.col("s").asc_nulls_first()).limit(MAX_SOURCES + 1).collect()
     if len(counts) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    schema = T.StructType([T.StructField("s", docs.schema[source_col].dataType), T.StructField("phase", T.IntegerType()),
-                           T.StructField("k", T.IntegerType()), T.StructField("at", T.IntegerType()),
-                           T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
-                           T.StructField("part", T.IntegerType()), T.StructField("size", T.IntegerType()),
-                           T.StructField("slot0", T.LongType())])
     names = [r["s"] for r in counts]
     blocks = [math.ceil(r["n"] / block_rows) for r in counts]
     share = [float(r["n"]) ** alpha for r in counts]
@@ -142,20 +139,27 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = 16, grai
             i, k = x["live"][q], where.get(q, 0)
             where[q] = k + 1
             rows.append((names[i], p, k, at, x["first"][q], nxt.get(i, blocks[i]), x["parts"][q], len(x["order"]), x["slot"]))
-    # at most MAX_SOURCES phases of at most max(grain, MAX_SOURCES) slots, whatever the input
-    plan = F.broadcast(spark.createDataFrame(rows, schema))
-    placed = positions(docs, sum(r["n"] for r in counts), source_col, id_col).withColumn("mix_block", F.floor(F.col("mix_n") / block_rows))
-    spans = plan.where("k = 0").selectExpr("s AS s1", "phase AS p1", "first AS f1", "last AS l1", "part AS part1")
-    # which phase a block belongs to: sources x phases rows, matched by source and block range
-    a = placed.join(spans, placed[source_col].eqNullSafe(spans["s1"]) & (F.col("mix_block") >= F.col("f1"))
-                    & (F.col("mix_block") < F.col("l1")))
-    a = a.withColumn("mix_j", F.col("mix_block") - F.col("f1")).withColumn("mix_k", F.pmod("mix_j", "part1").cast("int"))
-    cond = a["s1"].eqNullSafe(plan["s"]) & (a["p1"] == plan["phase"]) & (a["mix_k"] == plan["k"])
-    b = a.join(plan, cond)
-    turn = F.floor(F.col("mix_j") / F.col("part"))
+    schema = T.StructType([T.StructField("s", docs.schema[source_col].dataType), T.StructField("phase", T.IntegerType()),
+                           T.StructField("k", T.IntegerType()), T.StructField("at", T.IntegerType()),
+                           T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
+                           T.StructField("part", T.IntegerType()), T.StructField("size", T.IntegerType()),
+                           T.StructField("slot0", T.LongType())])
+    # at most MAX_SOURCES phases of at most max(grain, MAX_SOURCES) slots, whatever the input; a row
+    # for each place of a source in the period, found by source and block
+    plan = spark.createDataFrame(rows, schema).select(*[F.col(c).alias(f"__mix_{c}") for c in schema.names])
+    n, block = F.col("__mix_n"), F.floor(F.col("__mix_n") / block_rows)
+    placed = positions(docs, sum(r["n"] for r in counts), source_col, id_col).withColumn("__mix_block", block)
+    spans = plan.where("__mix_k = 0").select("__mix_s", "__mix_phase", "__mix_first", "__mix_last", "__mix_part")
+    cond = source.eqNullSafe(F.col("__mix_s")) & (F.col("__mix_block") >= F.col("__mix_first")) & (F.col("__mix_block") < F.col("__mix_last"))
+    a = placed.join(F.broadcast(spans), cond).withColumn("__mix_j", F.col("__mix_block") - F.col("__mix_first")) \
+        .withColumn("__mix_turn", F.floor(F.col("__mix_j") / F.col("__mix_part"))) \
+        .withColumn("__mix_q", F.pmod("__mix_j", "__mix_part").cast("int"))
+    slots = plan.select(F.col("__mix_s").alias("__mix_s2"), F.col("__mix_phase").alias("__mix_phase2"), "__mix_k", "__mix_at", "__mix_size", "__mix_slot0")
+    b = a.join(F.broadcast(slots), F.col("__mix_s").eqNullSafe(F.col("__mix_s2")) & (F.col("__mix_phase") == F.col("__mix_phase2"))
+               & (F.col("__mix_q") == F.col("__mix_k")))
+    j, size, part = F.col("__mix_j"), F.col("__mix_size"), F.col("__mix_part")
     return b.select(
-        *[F.col(f"`{c}`") for c in docs.columns], "mix_block",
-        F.floor(F.col("mix_j") * F.col("size") / F.col("part")).alias("mix_release"),
-        F.ceil((F.col("mix_j") + 1) * F.col("size") / F.col("part")).alias("mix_deadline"),
-        F.col("phase").alias("mix_phase"), (F.col("slot0") + turn * F.col("size") + F.col("at")).alias("mix_slot"),
-        F.pmod("mix_n", F.lit(block_rows)).alias("mix_pos"))
+        *[F.col(f"`{c}`") for c in docs.columns], F.col("__mix_block").alias("mix_block"),
+        F.floor(j * size / part).alias("mix_release"), F.ceil((j + 1) * size / part).alias("mix_deadline"),
+        F.col("__mix_phase").alias("mix_phase"), (F.col("__mix_slot0") + F.col("__mix_turn") * size + F.col("__mix_at")).alias("mix_slot"),
+        F.pmod(n, F.lit(block_rows)).alias("mix_pos"))

@@ -7,8 +7,10 @@ unbiased risk
     pi E_P[l(g)] + max(0, E_U[l(-g)] - pi E_P[l(-g)])
 
 with the logistic loss: when the second part falls below zero, the step undoes it instead of
-driving it further down. The prior comes from a first model q of "from P or from U": where only
-positives live, p_P / p_U = 1 / pi, so pi is one over the median ratio at positives left out of q.
+driving it further down. The prior comes from a first model q of "from P or from U": p_P / p_U is at
+most 1 / pi, and reaches it where only positives live, so pi is one over the top of that ratio (its
+90 % quantile, against noise) at positives left out of q. Too large a prior would stop the descent
+before the negatives in U are told apart; too small a one only lowers the scores of positives to it.
 
 The fit reads a bounded sample (``max_positive`` and ``max_unlabelled`` rows, those with the
 smallest hash of the id); every document is scored, over its whole text.
@@ -116,7 +118,7 @@ def estimate_prior(pos: Rows, unl: Rows, mean, std, steps: int = 80) -> float:
         return q.gradient(a, (sa - 1) / a.n) / 2 + q.gradient(unl, su / unl.n) / 2
     _descend(q, step, steps, 0.05, 1e-3)
     ratio = np.exp(np.clip(q.margin(b if b.n else a), -10, 10))  # equal weights: odds are p_P / p_U
-    return float(np.clip(1 / np.median(ratio), 0.05, 0.95))
+    return float(np.clip(1 / np.quantile(ratio, 0.9), 0.05, 0.95))
 
 
 def fit(pos: Rows, unl: Rows, prior: float | None = None, steps: int = 200, rate: float = 0.05,

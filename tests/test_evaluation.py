@@ -78,8 +78,6 @@ def test_single_file_export_and_ljung_box_reason(spark):
     path = os.path.join(checkpoint_dir(spark), "exports", "single")
     sinks.write_single_csv(df.repartition(4), path)
     assert len(glob.glob(os.path.join(path, "part-*.csv"))) == 1
-    with pytest.raises(ValueError):
-        sinks.write_single_csv(df, path, max_rows=10)
     d = df.withColumn("ts", F.date_add(F.lit("2020-01-01").cast("date"), F.col("ts")))
     lb = {r["series_id"]: r for r in diagnostics.ljung_box(diagnostics.autocov_sums(d, "close", 10), 10).collect()}
     assert lb["c"]["lb_pvalue"] is None and lb["c"]["lb_reason"] == "constant series"
@@ -99,12 +97,13 @@ def test_csv_sources_infer_and_declared_schema(spark):
     sinks.write_csv(b, f"{base}/xgboost_predictions.csv")
     inferred = files.read_csv(spark, f"{base}/arima_forecast.csv", schema=None, date_col="Date")
     assert dict(inferred.dtypes) == {"Date": "date", "Actual": "double", "Forecast": "double"}
-    both = files.read_forecast_files(spark, [f"{base}/arima_forecast.csv", f"{base}/xgboost_predictions.csv"])
-    got = {(r["model"], r["Forecast"]) for r in both.collect()}
-    assert got == {("arima_forecast", 2.0), ("arima_forecast", 2.5), ("xgboost_predictions", 2.0)}
-    schema = T.StructType.fromDDL("Date string, Actual double, Forecast double")
-    one = files.read_forecast_files(spark, [f"{base}/arima_forecast.csv"], schema=schema)
-    assert {r["model"] for r in one.collect()} == {"arima_forecast"}
+    # the files order their columns differently; names decide
+    schema = T.StructType.fromDDL("Date date, Actual double, Forecast double, Error double")
+    both = files.read_forecast_files(spark, [f"{base}/arima_forecast.csv", f"{base}/xgboost_predictions.csv"], schema)
+    got = {(r["model"], r["Actual"], r["Forecast"], r["Error"]) for r in both.collect()}
+    assert got == {("arima_forecast", 1.0, 2.0, None), ("arima_forecast", 3.0, 2.5, None), ("xgboost_predictions", 1.0, 2.0, 1.0)}
+    first = files.preview(both.select("model", "Actual"), ["Actual", "model"], 2).collect()
+    assert [r["model"] for r in first] == ["arima_forecast", "xgboost_predictions"]
 
 
 def test_path_stem_handles_both_separators(spark):
@@ -118,3 +117,40 @@ def test_medae_positive_pairs(spark):
     fc = spark.createDataFrame(rows, "series_id string, model string, horizon int, actual double, forecast double")
     m = evaluate.forecast_metrics(fc).collect()[0]
     assert m["medae_pos"] == pytest.approx(np.median([2.0, 0.5]))
+
+
+def test_duplicates_are_resolved_by_the_tie_break(spark):
+    from tsforge.operators import clean
+    df = spark.createDataFrame([("s", 1, 10, 1.0), ("s", 1, 12, 2.0), ("s", 1, 11, 3.0), ("s", 2, 1, 4.0)], "series_id string, ts int, eid int, v double")
+    got = sorted(tuple(r) for r in clean.dedupe(df, "eid").collect())
+    assert got == [("s", 1, 12, 2.0), ("s", 2, 1, 4.0)]
+
+
+def test_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    from tsforge import session
+    assert session.is_local("local[4]") and session.is_local("local") and not session.is_local("local-cluster[2,1,1024]")
+    assert not session.is_local("spark://host:7077") and not session.is_local("yarn")
+
+    class Conf:
+        def get(self, key, default=None):
+            return None
+
+    class Options:
+        def isDefined(self):
+            return False
+
+    class Scala:
+        def getCheckpointDir(self):
+            return Options()
+
+    class Java:
+        def sc(self):
+            return Scala()
+
+    class Context:
+        master, _jsc = "spark://host:7077", Java()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())

@@ -85,7 +85,7 @@ def test_exact_quantiles_with_refinement(spark):
     df = spark.createDataFrame(rows, "series_id string, v double")
     qs = [0.0, 0.25, 0.5, 0.9, 1.0]
     for max_rows in (1000, 10**9):  # with and without bracket refinement rounds
-        got = {(r[0], r[1]): r[2] for r in exact_quantiles(df, "v", qs, max_rank_rows=max_rows, grid=100).collect()}
+        got = {(r[0], r[1]): r[2] for r in exact_quantiles(df, "v", qs, rank_values=max_rows, cells=100).collect()}
         for k, arr in vals.items():
             for q in qs:
                 assert got[(k, q)] == pytest.approx(np.quantile(arr, q), rel=1e-12, abs=1e-12), (k, q, max_rows)

@@ -13,6 +13,7 @@ def test_network_loss_falls_and_scores(spark):
     res = neural.train_mlp(ds, hidden=(16,), epochs=6, lr=3e-3, batch=16, partitions=2, patience=10)
     tr = [h for h in res.history if h[1] == "train"]
     assert tr[-1][2] < tr[0][2]
+    assert [h[0] for h in res.history if h[1] == "valid"] == list(range(1, 7))
     hist = res.history_df(spark)
     assert set(r["split"] for r in hist.collect()) == {"train", "valid"}
     fc = neural.mlp_forecasts(res, ds)
@@ -69,3 +70,37 @@ def test_recursive_forecast_paths_agree(spark):
     assert len(got) == len(out)
     for r in got:
         assert abs(r["forecast"] - out[(r["series_id"], r["horizon"])]) < 1e-6
+
+
+def test_gradient_with_dropout_matches_differences():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    ws = [w + 0.05 for w in neural.init_weights(4, (6, 5), 3)]  # no unit exactly at its kink
+    x, y = rng.standard_normal((20, 4)), rng.standard_normal(20)
+
+    def loss(w):
+        pred, _ = neural.forward(w, x, 0.5, np.random.default_rng(9))
+        return float(((pred - y) ** 2).mean())
+    g, _, _ = neural._grads(ws, x, y, 0.5, np.random.default_rng(9))
+    for k in range(len(ws)):
+        for at in np.ndindex(ws[k].shape):
+            up, down = [w.copy() for w in ws], [w.copy() for w in ws]
+            up[k][at] += 1e-6
+            down[k][at] -= 1e-6
+            assert abs((loss(up) - loss(down)) / 2e-6 - g[k][at]) < 1e-5
+
+
+def test_network_search_refits_the_best(spark):
+    ds = ml.window_dataset(B.walk(B.bars_orders(spark, SF001)), "close", 20, test_windows=25).cache()
+    space = {"units_input": [8, 16], "dropout": [0.1], "num_layers": [1, 2], "units": [8], "lr": (1e-3, 1e-2)}
+    trials, res = neural.search_networks(ds, trials=3, epochs=2, space=space, partitions=2)
+    rows = trials.collect()
+    assert len(rows) == 3 and sum(r["best"] for r in rows) == 1
+    best = min(rows, key=lambda r: (r["valid_loss"], r["trial"]))
+    assert best["best"] and [w.shape[1] for w in res.weights[:-2:2]] == best["hidden"]
+
+
+def test_multivariate_forecasts_cover_the_last_windows(spark):
+    ds = ml.multivariate_dataset(B.bars_orders(spark, SF001))
+    fc = ml.multivariate_forecasts(ds.cache(), "linear")
+    assert fc.count() == 25 * 5 and fc.where("forecast IS NULL").count() == 0

@@ -181,3 +181,71 @@ def test_chi_square_tail_closed_form(spark):
     df = spark.createDataFrame([(18.307,), (23.209,), (0.0,)], "q double")
     got = [r[0] for r in df.select(chi2_sf_even("q", 10)).collect()]
     assert got[0] == pytest.approx(0.05, abs=1e-4) and got[1] == pytest.approx(0.01, abs=1e-4) and got[2] == pytest.approx(1.0)
+
+
+def test_undefined_statistics_are_null_with_a_reason(spark):
+    rng = np.random.default_rng(2)
+    df = _frame(spark, {"const": np.full(100, 0.1), "noise": rng.standard_normal(100)})
+    k = {r["series_id"]: r for r in diagnostics.kpss(df, "close").collect()}
+    assert k["const"]["kpss_lags"] is None and k["const"]["kpss_pvalue"] is None and k["const"]["kpss_reason"] == "constant series"
+    assert k["noise"]["kpss_reason"] is None and k["noise"]["kpss_pvalue"] is not None
+    a = {r["series_id"]: r for r in regression.adf(df, "close").collect()}
+    assert a["const"]["adf_stat"] is None and a["const"]["adf_pvalue"] is None
+    v = spark.createDataFrame([(None, 0.05), (0.01, None), (0.01, 0.1), (float("nan"), 0.1)], "a double, k double")
+    assert [r[0] for r in v.select(diagnostics.stationarity_verdict("a", "k")).collect()] == [None, None, "stationary", None]
+
+
+def test_kpss_bandwidth_beyond_the_first_lags(spark):
+    """Series whose own bandwidth needs more lags than were summed at first get them alone."""
+    rng = np.random.default_rng(4)
+    x = np.cumsum(rng.standard_normal(3000))
+    df = _frame(spark, {"walk": x, "noise": rng.standard_normal(500), "const": np.ones(60)})
+    for size in (120, 200_000):
+        got = {r["series_id"]: r for r in diagnostics.kpss(df, "close", max_lag=6, size=size).collect()}
+        for sid, v in (("walk", x), ("noise", df.where("series_id = 'noise'").orderBy("ts").toPandas().close.to_numpy())):
+            stat, p, lags = brute.kpss(v)
+            assert got[sid]["kpss_lags"] == lags and got[sid]["kpss_stat"] == pytest.approx(stat, rel=1e-9)
+        assert got["const"]["kpss_stat"] is None
+
+
+def test_decomposition_by_each_series_own_model(spark):
+    rng = np.random.default_rng(6)
+    up = 10 + rng.random(120)
+    df = _frame(spark, {"up": up, "signed": up - 10.5})
+    auto = diagnostics.decompose(df, "close", 30, "auto").toPandas()
+    assert auto.groupby("series_id").model.first().to_dict() == {"up": "multiplicative", "signed": "additive"}
+    for sid, model in (("up", "multiplicative"), ("signed", "additive")):
+        one = diagnostics.decompose(df.where(F.col("series_id") == sid), "close", 30, model).toPandas().sort_values("ts")
+        mine = auto[auto.series_id == sid].sort_values("ts")
+        assert np.allclose(one.resid.to_numpy(float), mine.resid.to_numpy(float), equal_nan=True)
+
+
+def test_quantiles_of_ties_outliers_and_few_values(spark):
+    from tsforge.operators import summary
+    rng = np.random.default_rng(7)
+    series = {"ties": rng.integers(0, 3, 500).astype(float), "outlier": np.r_[rng.standard_normal(400), 1e12], "one": np.array([4.0]),
+              "spread": rng.standard_normal(700)}
+    df = _frame(spark, series)
+    for rank_values, cells in ((200_000, 1000), (5, 7)):
+        got = {(r["series_id"], r["q"]): r["value"] for r in
+               summary.exact_quantiles(df, "close", [0.0, 0.25, 0.5, 0.99], rank_values=rank_values, cells=cells).collect()}
+        for sid, x in series.items():
+            for q in (0.0, 0.25, 0.5, 0.99):
+                assert got[sid, q] == pytest.approx(np.quantile(x, q), rel=1e-12), (sid, q)
+
+
+def test_histogram_has_its_empty_bins_and_kde_follows_the_definition(spark):
+    from tsforge.operators import summary
+    rng = np.random.default_rng(8)
+    series = {"gap": np.array([0.0, 0.1, 10.0]), "noise": np.r_[rng.standard_normal(300), 40.0], "const": np.full(9, 2.0)}
+    df = _frame(spark, series)
+    h = summary.histogram(df, "close", bins=5).toPandas().sort_values(["series_id", "bin"])
+    assert h[h.series_id == "gap"]["count"].tolist() == [2, 0, 0, 0, 1] and len(h[h.series_id == "const"]) == 5
+    k = summary.kde(df, "close", grid=50).toPandas().sort_values(["series_id", "grid_index"])
+    for sid in ("gap", "noise"):
+        x = series[sid]
+        bw = x.std(ddof=1) * len(x) ** -0.2
+        g = np.linspace(x.min(), x.max(), 50)
+        want = np.exp(-0.5 * ((g[:, None] - x) / bw) ** 2).sum(1) / (len(x) * bw * np.sqrt(2 * np.pi))
+        assert np.allclose(k[k.series_id == sid].density, want, rtol=1e-6, atol=1e-12)
+    assert k[k.series_id == "const"].density.isna().all()

@@ -66,7 +66,7 @@ def ols_by_series(rows: DataFrame, xcols: list[str], ycol: str) -> DataFrame:
 
 def _dot_lags(coef: str, lags: str, offset: int = 1):
     """coef[offset:] . lags (JVM-side fold)."""
-    return F.aggregate(F.zip_with(F.slice(F.col(coef), offset + 1, 10_000), F.col(lags), lambda a, b: a * b),
+    return F.aggregate(F.zip_with(F.slice(F.col(coef), F.lit(offset + 1), F.greatest(F.size(coef) - offset, F.lit(0))), F.col(lags), lambda a, b: a * b),
                        F.lit(0.0), lambda acc, x: acc + x)
 
 
@@ -91,11 +91,11 @@ def _arima_forecast(p: int, horizon: int):
     return run
 
 
-def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30, max_long_ar: int = 60,
+def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
              key: str = "series_id", ts: str = "ts", **kw) -> DataFrame:
     """ARIMA(p,0,1) with constant by Hannan-Rissanen, and its ``horizon``-step forecast.
 
-    Stage 1: AR(m) per series with m = min(max_long_ar, max(floor(ln(n)^2), 2p), (n-2)/3)
+    Stage 1: AR(m) per series with m = min(max(floor(ln(n)^2), 2p), (n-2)/3)
     -> innovations e_t. Stage 2: x_t on 1, x_{t-1..t-p}, e_{t-1} -> const, phi, theta.
     Forecast: x_{n+1} = c + phi . x + theta e_n, later steps without the MA term. Lag columns
     are built once for the largest m; a series' lags beyond its own m are zero. Series too
@@ -104,7 +104,7 @@ def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
         df = df.withColumnRenamed(key, "series_id")
     base = reuse_input(df.select("series_id", ts, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull()))
     n = F.col("_n").cast("double")
-    ms = F.least(F.lit(max_long_ar), F.greatest(F.floor(F.pow(F.log(n), 2)), F.lit(2 * p)), F.floor((n - 2) / 3)).cast("int")
+    ms = F.least(F.greatest(F.floor(F.pow(F.log(n), 2)), F.lit(2 * p)), F.floor((n - 2) / 3)).cast("int")
     st = sg._maybe_broadcast(base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n"), F.avg("_x").alias("_mu"))
                              .withColumn("_m", ms))
     m = max(int(st.agg(F.max("_m")).first()[0] or 0), p + 1)
@@ -151,7 +151,7 @@ def arima_hr(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30,
 
 VAR_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("lag_order", T.IntegerType()),
                            T.StructField("horizon", T.IntegerType()), T.StructField("variable", T.StringType()),
-                           T.StructField("forecast", T.DoubleType())])
+                           T.StructField("forecast", T.DoubleType()), T.StructField("reason", T.StringType())])
 
 
 def _var_solve(names: list[str], pmax: int, horizon: int):
@@ -167,17 +167,23 @@ def _var_solve(names: list[str], pmax: int, horizon: int):
         sd = np.asarray(pdf["_sd"].iloc[0], dtype=float)
         ycols = list(range(d - m, d))
         T_ = g[0, 0]
-        best, bp = None, 0
+        best, bp = None, None
         for p in range(pmax + 1):
             xc = list(range(1 + m * p))
+            if T_ <= len(xc) + m:  # fewer rows than a residual covariance needs
+                break
             xtx = g[np.ix_(xc, xc)]
             xty = g[np.ix_(xc, ycols)]
             b = np.linalg.lstsq(xtx, xty, rcond=None)[0]
             sse = g[np.ix_(ycols, ycols)] - xty.T @ b - b.T @ xty + b.T @ xtx @ b
             sign, ld = np.linalg.slogdet(sse / T_)
             aic = ld + 2.0 * (p * m * m + m) / T_
-            if best is None or aic < best:
+            if sign > 0 and np.isfinite(aic) and (best is None or aic < best):
                 best, bp = aic, p
+        if bp is None:
+            why = f"too short or singular for a VAR of {m} series"
+            return pd.DataFrame([(sid, None, h, nm, None, why) for h in range(1, horizon + 1) for nm in names],
+                                columns=[f.name for f in VAR_SCHEMA.fields])
         xc = list(range(1 + m * bp))
         sel = xc + ycols
         gp = g[np.ix_(sel, sel)].copy()
@@ -194,7 +200,7 @@ def _var_solve(names: list[str], pmax: int, horizon: int):
             f = np.asarray(z) @ b
             hist.append(f)
             for j, nm in enumerate(names):
-                out.append((sid, bp, hh, nm, float(f[j] * sd[j] + mu[j])))
+                out.append((sid, bp, hh, nm, float(f[j] * sd[j] + mu[j]), None))
         return pd.DataFrame(out, columns=[f.name for f in VAR_SCHEMA.fields])
     return run
 
@@ -203,7 +209,9 @@ def var_forecast(df: DataFrame, cols: list[str], pmax: int = 5, horizon: int = 3
                  **kw) -> DataFrame:
     """VAR with constant on ``cols`` (standardised per series), lag order 0..pmax by AIC
     (log det Sigma + 2 k / T on the common sample), refit on the longer sample of the chosen
-    order, ``horizon``-step forecast in the original units (long form: variable, forecast)."""
+    order, ``horizon``-step forecast in the original units (long form: variable, forecast). Orders
+    that leave no degrees of freedom for the residual covariance are not considered; with none
+    left, forecasts are null with a ``reason``."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
     base = reuse_input(df.select("series_id", ts, *[F.col(c).cast("double").alias(c) for c in cols]).dropna())

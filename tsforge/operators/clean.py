@@ -36,10 +36,12 @@ def dropna_subset(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=cols)
 
 
-def dedupe(df: DataFrame, key: str = "series_id", ts: str = "ts") -> DataFrame:
-    """Keep one row per (series, ts) so window order is total (last duplicate by no order
-    is arbitrary; callers with a tie-break column should aggregate instead)."""
-    return df.dropDuplicates([key, ts])
+def dedupe(df: DataFrame, tie: str, key: str = "series_id", ts: str = "ts") -> DataFrame:
+    """One row for each (series, ts), the one with the largest ``tie``, so that window order is
+    total and the same on every run. A partial aggregate, no window."""
+    rest = [x for x in df.columns if x not in (key, ts)]
+    last = df.groupBy(key, ts).agg(F.max_by(F.struct(*rest), tie).alias("_r"))
+    return last.select(*[F.col(x) if x in (key, ts) else F.col(f"_r.`{x}`").alias(x) for x in df.columns])
 
 
 def keep_values(df: DataFrame, col: str, values) -> DataFrame:

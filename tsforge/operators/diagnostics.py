@@ -204,6 +204,8 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
               ts: str = "ts", **kw) -> DataFrame:
     """Classical decomposition (centred moving average trend, seasonal phase means).
 
+    ``model`` is additive, multiplicative, or auto: each series gets the model that T9 names for
+    it (multiplicative only if all its values are positive).
     Trend: centred MA of ``period`` (2 x MA for even periods), null at both ends.
     Seasonal: mean of detrended values per phase (position mod period), centred to mean 0
     (additive) or 1 (multiplicative). Needs two full periods; multiplicative needs positive
@@ -219,23 +221,24 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
             return (core + edge) / float(period)
         return F.when(F.count(x).over(w.rowsBetween(-h, h)) == period, F.avg(x).over(w.rowsBetween(-h, h)))
 
+    gate = df.groupBy(key).agg(F.count(x).alias("_n"), F.coalesce(F.bool_or(x <= 0), F.lit(False)).alias("_nonpos"))
+    gate = sg._maybe_broadcast(gate.withColumn("_mult", ~F.col("_nonpos") if model == "auto" else F.lit(model.startswith("mult"))))
+    mult = F.col("_mult")
+
+    def per(a, b):
+        return F.when(mult, safe_div(a, b)).otherwise(a - b)
+
     d = windowed(df.select(key, ts, value), [{"trend": trend}], before=h, after=h, key=key, ts=ts, keep_pos=True, **kw)
-    mult = model.startswith("mult")
-    d = d.withColumn("_phase", F.pmod(F.col(sg.POS) - 1, F.lit(period)))
-    d = d.withColumn("_det", safe_div(x, F.col("trend")) if mult else (x - F.col("trend")))
-    pa = d.groupBy(key, "_phase").agg(F.avg("_det").alias("_pa"))
-    norm = F.avg("_pa").over(Window.partitionBy(key))
-    pa = pa.withColumn("seasonal", safe_div(F.col("_pa"), norm) if mult else (F.col("_pa") - norm))
-    gate = df.groupBy(key).agg(F.count(x).alias("_n"), F.bool_or(x <= 0).alias("_nonpos"))
-    pa = pa.join(gate, key)
-    out = d.join(sg._maybe_broadcast(pa.select(key, "_phase", "seasonal", "_n", "_nonpos")), [key, "_phase"])
+    d = d.withColumn("_phase", F.pmod(F.col(sg.POS) - 1, F.lit(period))).join(gate, key).withColumn("_det", per(x, F.col("trend")))
+    pa = d.groupBy(key, "_phase", "_mult").agg(F.avg("_det").alias("_pa"))
+    pa = pa.withColumn("seasonal", per(F.col("_pa"), F.avg("_pa").over(Window.partitionBy(key)))).drop("_mult", "_pa")
+    out = d.join(sg._maybe_broadcast(pa), [key, "_phase"])
     reason = (F.when(F.col("_n") < 2 * period, F.lit(f"needs {2 * period} observations"))
-               .when(F.lit(mult) & F.col("_nonpos"), F.lit("multiplicative needs positive values")))
+               .when(mult & F.col("_nonpos"), F.lit("multiplicative needs positive values")))
     ok = reason.isNull()
-    resid = safe_div(F.col("_det"), F.col("seasonal")) if mult else (F.col("_det") - F.col("seasonal"))
     return out.select(key, ts, x.alias("observed"), F.when(ok, F.col("trend")).alias("trend"),
-                      F.when(ok, F.col("seasonal")).alias("seasonal"), F.when(ok, resid).alias("resid"),
-                      reason.alias("reason"))
+                      F.when(ok, F.col("seasonal")).alias("seasonal"), F.when(ok, per(F.col("_det"), F.col("seasonal"))).alias("resid"),
+                      reason.alias("reason"), F.when(mult, "multiplicative").otherwise("additive").alias("model"))
 
 
 def residual_anomalies(dec: DataFrame, z: float = 3.0, key: str = "series_id", ts: str = "ts") -> DataFrame:

@@ -264,10 +264,11 @@ def minmax_params(df, value="close", key="series_id", train_col: str | None = No
     return df.groupBy(key).agg(F.min(v).alias("vmin"), F.max(v).alias("vmax"))
 
 
-def minmax_scale(df, value="close", out="scaled", key="series_id", train_col: str | None = None,
+def minmax_scale(df, value="close", out="scaled", key="series_id", train_col: str | None = "is_train",
                  params: DataFrame | None = None) -> DataFrame:
-    """(v - min) / (max - min) per series; null for a constant series. The per-series table
-    has one row per series and is broadcast only under a measured row bound."""
+    """(v - min) / (max - min) per series, fitted on the rows where ``train_col`` is true (pass
+    None to fit on all rows); null for a constant series. The planner broadcasts the table of one
+    row per series if its files are small, and shuffles it otherwise."""
     from tsforge.session import reuse_input
     df = reuse_input(df)
     p = params if params is not None else minmax_params(df, value, key, train_col)

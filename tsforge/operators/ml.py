@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tsforge.operators import features as fe
 from tsforge.operators import segments as sg
+from tsforge.session import materialize, reuse_input
 
 
 # ---- feature sets (M12) ----------------------------------------------------------------------------
@@ -72,12 +73,6 @@ def to_forecasts(pred: DataFrame, model: str, label: str, key="series_id", ts="t
                        F.col(label).cast("double").alias("actual"), F.col("prediction").alias("forecast"))
 
 
-def regression_metrics(pred: DataFrame, label: str) -> dict:
-    """RMSE/MSE/MAE/R2 through Spark ML's evaluator (cross-check of ``forecast_metrics``)."""
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
-    return {m: ev.setMetricName(m).evaluate(pred) for m in ("rmse", "mse", "mae", "r2")}
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     """K4."""
     model.write().overwrite().save(path)
@@ -87,8 +82,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def window_dataset(bars: DataFrame, value: str = "close", lookback: int = 20, test_windows: int | None = None,
                    train_frac: float = 0.8, valid_frac: float = 0.1, **kw) -> DataFrame:
-    """Scaled lag windows with ordered splits: per-series min-max scaling fitted on training
-    rows (W15), ``features`` vector of the ``lookback`` previous scaled values (W8/W10),
+    """Scaled lag windows with ordered splits: per-series min-max scaling fitted on the bars
+    before the first test window (W15), ``features`` vector of the ``lookback`` previous scaled values (W8/W10),
     ``label`` the scaled value, ``split`` train/valid/test (last ``test_windows`` windows or
     the fraction split)."""
     from tsforge.operators import splits
@@ -100,8 +95,10 @@ def window_dataset(bars: DataFrame, value: str = "close", lookback: int = 20, te
             t.filter("split = 'test'"))
     else:
         t = splits.holdout_fraction(seq, train_frac, valid_frac)
-    fit_rows = F.col("split") != "test"
-    p = fe.minmax_params(t.withColumn("_fit", fit_rows), value, train_col="_fit")
+    # fitted on the bars before the first test window, the first windows' own values included
+    start = t.filter("split = 'test'").groupBy("series_id").agg(F.min("ts").alias("_start"))
+    known = bars.select("series_id", "ts", value).join(start, "series_id", "left")
+    p = fe.minmax_params(known.filter(F.col("_start").isNull() | (F.col("ts") < F.col("_start"))), value)
     sc = t.join(sg._maybe_broadcast(p), "series_id")
     rng = F.col("vmax") - F.col("vmin")
     scaled = F.transform("lags", lambda x: F.try_divide(x - F.col("vmin"), rng))
@@ -122,9 +119,35 @@ def windowed_regression(ds: DataFrame, kind: str = "linear", name: str | None =
                        "actual", f.alias("forecast"))
 
 
+# ---- windows of several features (W9, F10) ---------------------------------------------------------------
+
+WINDOW_FEATURES = ["close", "sma_5", "sma_20", "ema_10", "rsi_14"]
+
+
+def multivariate_dataset(bars: DataFrame, lookback: int = 20, test_windows: int = 25, features: list[str] | None = None) -> DataFrame:
+    """W9 + W10: the ``lookback`` earlier rows of each feature (technical features, gaps filled
+    backwards) as columns ``feature_j``, the row's close as ``target``, and the last
+    ``test_windows`` windows of each series as ``split`` = test."""
+    from tsforge.operators import splits
+    names = features or WINDOW_FEATURES
+    f = fe.backfill(fe.technical_features(bars).select("series_id", "ts", *names), names)
+    wide = fe.widen(fe.multivariate_sequences(f, names, "close", lookback), "lags", n=lookback, fields=names)
+    t = splits.holdout_tail(wide, test_windows)
+    cols = [f"{x}_{j}" for x in names for j in range(lookback)]
+    return t.select("series_id", "ts", F.when(F.col("is_test"), "test").otherwise("train").alias("split"), "target", *cols)
+
+
+def multivariate_forecasts(ds: DataFrame, kind: str = "rf", name: str | None = None, **params) -> DataFrame:
+    """F10 re-aimed: next close from the windows of all features, fitted on the train windows and
+    forecast for the test windows."""
+    cols = [c for c in ds.columns if c not in ("series_id", "ts", "split", "target")]
+    model = fit_pipeline(ds.filter("split = 'train'"), cols, "target", kind, **params)
+    return to_forecasts(model.transform(ds.filter("split = 'test'")), name or f"{kind}_multivariate", "target")
+
+
 # ---- model selection (M3-M5) ------------------------------------------------------------------------
 
-GBT_SPACE = {"maxDepth": [2, 3, 4, 5, 6], "stepSize": (0.01, 0.3), "maxIter": [5, 10, 20, 30], "subsamplingRate": [0.6, 0.8, 1.0]}
+GBT_SPACE = {"maxDepth": [2, 3, 4, 5, 6], "stepSize": (0.01, 0.3), "maxIter": [25, 50, 75, 100], "subsamplingRate": [0.6, 0.8, 1.0]}
 
 
 def sample_params(est, space: dict, n: int, seed: int = 42) -> list:
@@ -152,8 +175,8 @@ def random_search(ds: DataFrame, kind: str = "gbt", space: dict | None = None, t
     spark = ds.sparkSession
     est = regressor(kind, label="label")
     maps = sample_params(est, space or GBT_SPACE, trials, seed)
-    train = ds.filter("split = 'train'").cache()
-    valid = ds.filter("split = 'valid'").cache()
+    ds = reuse_input(ds)
+    train, valid = ds.filter("split = 'train'"), ds.filter("split = 'valid'")
     ev = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
 
     def run(i):
@@ -178,13 +201,11 @@ def gbt_early_stopping(ds: DataFrame, tol: float = 0.01, **params):
 
 # ---- permutation importance (M8) -------------------------------------------------------------------
 
-def permute_within_blocks(df: DataFrame, col: str, seed: int, block_rows: int = 1024, key: str = "_rid") -> DataFrame:
-    """Randomly permute ``col`` across rows. Rows are dealt into random blocks of about
-    ``block_rows`` and the values are permuted inside each block, so no task ever holds more
-    than one block (a global ``orderBy(rand())`` would rank all rows in one partition)."""
-    n = df.count()
-    nb = max(1, n // block_rows)
-    d = df.withColumn("_blk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(nb)))
+def permute_within_blocks(df: DataFrame, col: str, seed: int, blocks: int, key: str = "_rid") -> DataFrame:
+    """Randomly permute ``col`` across rows. Rows are dealt into ``blocks`` random blocks and the
+    values are permuted inside each, so no task ever ranks all rows (a global ``orderBy(rand())``
+    would). Two keys deal rows and values out anew for every seed."""
+    d = df.withColumn("_blk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(blocks)))
     w_rows = Window.partitionBy("_blk").orderBy(F.xxhash64(F.col(key), F.lit(seed + 1)))
     w_vals = Window.partitionBy("_blk").orderBy(F.xxhash64(F.col(key), F.lit(seed + 2)))
     rows = d.withColumn("_r", F.row_number().over(w_rows)).drop(col)
@@ -193,17 +214,19 @@ def permute_within_blocks(df: DataFrame, col: str, seed: int, block_rows: int =
 
 
 def permutation_importance(model, ds: DataFrame, groups: dict[str, list[str]], label: str = "label",
-                           seed: int = 42) -> DataFrame:
-    """M8: for each feature group, permute its columns together across rows, re-score and report
-    the percentage rise in MSE over the unpermuted score, sorted descending."""
+                           seed: int = 42, block_rows: int = 50_000) -> DataFrame:
+    """M8: for each feature group, permute its columns together across rows (in random blocks of
+    about ``block_rows``), re-score and report the percentage rise in MSE over the unpermuted
+    score, sorted descending."""
     spark = ds.sparkSession
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse")
-    base_ds = ds.withColumn("_rid", F.monotonically_increasing_id()).cache()
+    base_ds = materialize(ds.withColumn("_rid", F.monotonically_increasing_id()))
     base = ev.evaluate(model.transform(base_ds))
+    blocks = -(-base_ds.count() // block_rows)
     out = []
     for i, (name, cols) in enumerate(groups.items()):
         packed = base_ds.withColumn("_grp", F.struct(*[F.col(c) for c in cols]))
-        p = permute_within_blocks(packed, "_grp", seed + 17 * i)
+        p = permute_within_blocks(packed, "_grp", seed + 17 * i, max(1, blocks))
         p = p.withColumns({c: F.col(f"_grp.{c}") for c in cols}).drop("_grp")
         out.append((name, float((ev.evaluate(model.transform(p)) - base) / base * 100.0)))
     return spark.createDataFrame(out, "feature string, mse_increase_pct double").orderBy(F.desc("mse_increase_pct"))

@@ -1,20 +1,22 @@
 """Data-parallel dense network on lag windows.
 
 Synchronous parameter averaging: every epoch the driver broadcasts the weights, each
-partition runs one local pass of mini-batch Adam over its own rows (``mapInPandas``) and
-returns its weights with its row count, and the driver takes the row-weighted mean. Only
-weights (a few thousand numbers per partition) cross the driver; the rows never do.
-The partition count is fixed so results repeat for a given input.
+partition scores its validation rows with them, runs one local pass of mini-batch Adam over its
+training rows (``mapInPandas``), and the row-weighted weights and losses of all partitions are summed
+on the executors. One vector of the network's size reaches the driver each epoch, whatever the
+number of partitions; the rows never do.
 """
 
 from __future__ import annotations
 
+import random
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def init_weights(n_in: int, hidden: tuple[int, ...], seed: int = 42) -> list[np.ndarray]:
@@ -48,8 +50,8 @@ def _grads(ws, x, y, drop, rng):
         a = acts[i // 2]
         g[i] = a.T @ delta
         g[i + 1] = delta.sum(0)
-        if i > 0:
-            delta = (delta @ ws[i].T) * (acts[i // 2] > 0)
+        if i > 0:  # units that were dropped or at rest pass nothing; the others were scaled up
+            delta = (delta @ ws[i].T) * (acts[i // 2] > 0) / (1.0 - (drop if rng is not None else 0.0))
     return g, float((err ** 2).mean()), float(np.abs(err).mean())
 
 
@@ -66,20 +68,31 @@ def _unpack(flat, shapes):
     return out
 
 
-def _local_epoch(bc, shapes, lr: float, batch: int, drop: float, seed: int):
+N_STATS = 6  # training rows, their loss and error sums; validation rows, squared and absolute error sums
+
+
+def _local_epoch(bc, shapes, lr: float, batch: int, drop: float, seed: int, fit: bool):
+    """One partition's epoch: sums of ``N_STATS`` numbers, then its weights times its rows."""
     def run(batches):
-        ws = _unpack(bc.value, shapes)
+        start = _unpack(bc.value, shapes)
+        ws = [w.copy() for w in start]
         m = [np.zeros_like(w) for w in ws]
         v = [np.zeros_like(w) for w in ws]
-        step, n, loss_sum, mae_sum = 0, 0, 0.0, 0.0
-        pid = None
+        step, stats = 0, np.zeros(N_STATS)
         for pdf in batches:
             if pdf.empty:
                 continue
+            val = pdf[pdf["split"] == "valid"]
+            if len(val):
+                y = val["label"].to_numpy(dtype=float)
+                e = forward(start, np.stack(val["x"].to_numpy()).astype(float))[0] - y
+                stats[3:] += len(y), float((e ** 2).sum()), float(np.abs(e).sum())
+            pdf = pdf[pdf["split"] == "train"]
+            if not fit or pdf.empty:
+                continue
             x = np.stack(pdf["x"].to_numpy()).astype(float)
             y = pdf["label"].to_numpy(dtype=float)
             rng = np.random.default_rng(seed + int(pdf["_pid"].iloc[0]))
-            pid = int(pdf["_pid"].iloc[0])
             order = rng.permutation(len(y))
             for s in range(0, len(y), batch):
                 idx = order[s:s + batch]
@@ -91,42 +104,25 @@ def _local_epoch(bc, shapes, lr: float, batch: int, drop: float, seed: int):
                     mh = m[k] / (1 - 0.9 ** step)
                     vh = v[k] / (1 - 0.999 ** step)
                     ws[k] = ws[k] - lr * mh / (np.sqrt(vh) + 1e-7)
-                loss_sum += l2 * len(idx)
-                mae_sum += l1 * len(idx)
-            n += len(y)
-        if n:
-            yield pd.DataFrame({"_pid": [pid], "n": [n], "loss": [loss_sum / n], "mae": [mae_sum / n],
-                                "w": [_pack(ws).tolist()]})
-    return run
-
-
-def _evaluate(bc, shapes):
-    def run(batches):
-        ws = _unpack(bc.value, shapes)
-        n, se, ae = 0, 0.0, 0.0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["x"].to_numpy()).astype(float)
-            y = pdf["label"].to_numpy(dtype=float)
-            p, _ = forward(ws, x)
-            n += len(y)
-            se += float(((p - y) ** 2).sum())
-            ae += float(np.abs(p - y).sum())
-        yield pd.DataFrame({"n": [n], "se": [se], "ae": [ae]})
+                stats[:3] += len(idx), l2 * len(idx), l1 * len(idx)
+        if stats.any():
+            yield pd.DataFrame({"v": [np.concatenate([stats, _pack(ws) * stats[0]] if fit else [stats]).tolist()]})
     return run
 
 
-EPOCH_SCHEMA = T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField("n", T.LongType()),
-                             T.StructField("loss", T.DoubleType()), T.StructField("mae", T.DoubleType()),
-                             T.StructField("w", T.ArrayType(T.DoubleType()))])
-EVAL_SCHEMA = T.StructType([T.StructField("n", T.LongType()), T.StructField("se", T.DoubleType()),
-                            T.StructField("ae", T.DoubleType())])
+def _sum_vectors(parts: DataFrame, size: int) -> np.ndarray:
+    """Elementwise sum of the partitions' vectors: added up on the executors, ``size`` numbers
+    collected."""
+    rows = parts.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+    out = np.zeros(size)
+    for r in rows:
+        out[r["i"]] = r["x"]
+    return out
 
 
 class MLPResult:
-    def __init__(self, weights, shapes, history: list[tuple]):
-        self.weights, self.shapes, self.history = weights, shapes, history
+    def __init__(self, weights, shapes, history: list[tuple], best: float | None = None):
+        self.weights, self.shapes, self.history, self.best = weights, shapes, history, best
 
     def history_df(self, spark) -> DataFrame:
         """M7: one row per epoch and split."""
@@ -140,49 +136,83 @@ def train_mlp(ds: DataFrame, hidden: tuple[int, ...] = (32,), epochs: int = 15,
     M6 (learning rate halved after ``lr_patience`` epochs without improvement, floor
     ``min_lr``) and M7 (history). ``ds`` has ``features`` (vector), ``label`` and ``split``.
 
-    Training rows are hash-partitioned by (series, time chunk) into ``partitions`` parts
-    (default: the cluster's parallelism), so one long series is spread over many workers;
-    a fixed count and an in-partition sort make runs repeatable."""
+    Rows are hash-partitioned by (series, time chunk) into ``partitions`` parts (default: the
+    cluster's parallelism), so one long series is spread over many workers; a given count and an
+    in-partition sort make runs repeatable. An epoch is one job: it scores the validation rows
+    with the weights it starts from and trains on the others."""
     spark = ds.sparkSession
     parts_n = partitions or spark.sparkContext.defaultParallelism
-    d = ds.select(vector_to_array("features").alias("x"), "label", "split", "series_id", "ts")
-    train = (d.filter("split = 'train'").repartition(parts_n, "series_id", F.date_trunc(chunk, F.col("ts").cast("timestamp")))
-              .sortWithinPartitions("series_id", "ts").withColumn("_pid", F.spark_partition_id()).cache())
-    valid = d.filter("split = 'valid'").cache()
-    n_in = len(train.select("x").first()["x"])
-    ws = init_weights(n_in, hidden, seed)
-    shapes = [w.shape for w in ws]
-    best, best_w, bad, bad_lr = None, _pack(ws), 0, 0
-    history = []
-    sc = spark.sparkContext
-    for ep in range(1, epochs + 1):
-        bc = sc.broadcast(_pack(ws))
-        parts = train.mapInPandas(_local_epoch(bc, shapes, lr, batch, dropout, seed * 1000 + ep), EPOCH_SCHEMA).collect()
-        tot = sum(p["n"] for p in parts)
-        flat = sum(np.asarray(p["w"]) * p["n"] for p in parts) / tot
-        ws = _unpack(flat, shapes)
-        history.append((ep, "train", sum(p["loss"] * p["n"] for p in parts) / tot,
-                        sum(p["mae"] * p["n"] for p in parts) / tot, lr))
-        bc.unpersist()
+    d = ds.select(vector_to_array("features").alias("x"), "label", "split", "series_id", "ts").where("split <> 'test'")
+    rows = (d.repartition(parts_n, "series_id", F.date_trunc(chunk, F.col("ts").cast("timestamp")))
+             .sortWithinPartitions("series_id", "ts").withColumn("_pid", F.spark_partition_id()).cache())
+    try:
+        return _train(rows, hidden, epochs, lr, batch, dropout, patience, lr_patience, lr_factor, min_lr, seed)
+    finally:
+        rows.unpersist()
+
+
+def _train(rows: DataFrame, hidden, epochs, lr, batch, dropout, patience, lr_patience, lr_factor, min_lr, seed) -> MLPResult:
+    sc = rows.sparkSession.sparkContext
+    ws = init_weights(len(rows.select("x").first()["x"]), hidden, seed)
+    shapes, flat = [w.shape for w in ws], _pack(ws)
+    size = N_STATS + len(flat)
+    best, best_w, bad, bad_lr, history, loss = None, flat, 0, 0, [], None
+    for ep in range(1, epochs + 2):  # the last round only scores the last weights
+        fit = ep <= epochs
         bc = sc.broadcast(flat)
-        ev = valid.mapInPandas(_evaluate(bc, shapes), EVAL_SCHEMA).collect()
+        tot = _sum_vectors(rows.mapInPandas(_local_epoch(bc, shapes, lr, batch, dropout, seed * 1000 + ep, fit), "v array<double>"), size)
         bc.unpersist()
-        nv = sum(r["n"] for r in ev)
-        if nv:
-            vl = sum(r["se"] for r in ev) / nv
-            history.append((ep, "valid", vl, sum(r["ae"] for r in ev) / nv, lr))
-        else:
-            vl = history[-1][2]
-        if best is None or vl < best - 1e-12:
-            best, best_w, bad, bad_lr = vl, flat.copy(), 0, 0
-        else:
-            bad += 1
-            bad_lr += 1
-            if bad_lr >= lr_patience:
-                lr, bad_lr = max(lr * lr_factor, min_lr), 0
-            if bad >= patience:
-                break
-    return MLPResult(_unpack(best_w, shapes), shapes, history)
+        n, nv = tot[0], tot[3]
+        if ep > 1:  # what the weights of the epoch before score
+            vl = tot[4] / nv if nv else loss
+            if nv:
+                history.append((ep - 1, "valid", float(vl), float(tot[5] / nv), float(lr)))
+            if best is None or vl < best - 1e-12:
+                best, best_w, bad, bad_lr = vl, flat, 0, 0
+            else:
+                bad += 1
+                bad_lr += 1
+                if bad_lr >= lr_patience:
+                    lr, bad_lr = max(lr * lr_factor, min_lr), 0
+                if bad >= patience:
+                    break
+        if fit and n:
+            flat = tot[N_STATS:] / n
+            loss = tot[1] / n
+            history.append((ep, "train", float(loss), float(tot[2] / n), float(lr)))
+    return MLPResult(_unpack(best_w, shapes), shapes, history, best)
+
+
+# The search space of the dense-network script.
+NET_SPACE = {"units_input": list(range(32, 257, 32)), "dropout": [0.1, 0.2, 0.3, 0.4, 0.5], "num_layers": [1, 2, 3],
+             "units": list(range(32, 129, 32)), "lr": (1e-4, 1e-2)}
+
+
+def sample_networks(n: int, space: dict | None = None, seed: int = 42) -> list[dict]:
+    """``n`` random configurations: widths, dropout and depth from lists, the rate log-uniform."""
+    space, rng, out = space or NET_SPACE, random.Random(seed), []
+    for _ in range(n):
+        lo, hi = space["lr"]
+        hidden = [rng.choice(space["units_input"])] + [rng.choice(space["units"]) for _ in range(rng.choice(space["num_layers"]))]
+        out.append({"hidden": tuple(hidden), "dropout": rng.choice(space["dropout"]), "lr": float(lo * (hi / lo) ** rng.random())})
+    return out
+
+
+def search_networks(ds: DataFrame, trials: int = 10, epochs: int = 50, batch: int = 32, space: dict | None = None,
+                    seed: int = 42, parallelism: int = 4, **kw) -> tuple[DataFrame, MLPResult]:
+    """M3 + M4 + refit: random search over the network by validation loss, with early stopping,
+    and the best configuration trained once more. Trials run side by side as Spark jobs.
+    Returns one row for each trial and the refitted network."""
+    maps = sample_networks(trials, space, seed)
+
+    def run(m):
+        return train_mlp(ds, epochs=epochs, batch=batch, seed=seed, **m, **kw).best
+    with ThreadPoolExecutor(parallelism) as ex:
+        losses = list(ex.map(run, maps))
+    best = min(range(trials), key=lambda i: (losses[i] if losses[i] is not None else float("inf"), i))
+    rows = [(i, list(m["hidden"]), float(m["dropout"]), m["lr"], None if losses[i] is None else float(losses[i]), i == best) for i, m in enumerate(maps)]
+    table = ds.sparkSession.createDataFrame(rows, "trial int, hidden array<int>, dropout double, lr double, valid_loss double, best boolean")
+    return table, train_mlp(ds, epochs=epochs, batch=batch, seed=seed, **maps[best], **kw)
 
 
 def predict(res: MLPResult, ds: DataFrame) -> DataFrame:

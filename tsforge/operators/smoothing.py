@@ -131,7 +131,9 @@ def _holt_finish(pdf: pd.DataFrame) -> pd.DataFrame:
     Gr = G + 1e-12 * np.abs(G).max() * np.eye(2)
     s0 = np.linalg.solve(Gr, w[..., None])[..., 0]
     sse = np.asarray(r["saa"]) - np.einsum("gi,gi->g", w, s0)
-    best = int(np.nanargmin(sse))
+    if not np.isfinite(sse).any():
+        return pd.DataFrame([[r["series_id"], int(r["m"]), *[np.nan] * 7]], columns=[f.name for f in HOLT_FIT_SCHEMA.fields])
+    best = int(np.nanargmin(np.where(np.isfinite(sse), sse, np.nan)))
     fin = M[best] @ s0[best] + u[best]
     return pd.DataFrame([[r["series_id"], int(r["m"]), float(r["alpha"][best]), float(r["beta"][best]), float(s0[best, 0]),
                           float(s0[best, 1]), float(fin[0]), float(fin[1]), float(sse[best])]],

@@ -48,6 +48,13 @@ def holdout_fraction(df: DataFrame, train_frac: float = 0.8, valid_frac: float =
 
 def hash_split(df: DataFrame, cols: list[str], train_pct: int = 80, seed: int = 42) -> DataFrame:
     """M2: a random-looking 80/20 split that does not change with partitioning
-    (``randomSplit`` depends on the partition layout)."""
-    bucket = F.pmod(F.xxhash64(*[F.col(x) for x in cols], F.lit(seed)), F.lit(100))
+    (``randomSplit`` depends on the partition layout). The bucket is made of the first 32 bits of
+    an md5 of the key columns as text, which any engine can repeat."""
+    text = F.concat_ws("|", *[F.col(x).cast("string") for x in cols], F.lit(str(seed)))
+    bucket = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % 100
     return df.withColumn("split", F.when(bucket < train_pct, "train").otherwise("test"))
+
+
+def numbered(df: DataFrame, key="series_id", ts="ts", unit="auto", out: str = "pos") -> DataFrame:
+    """Rows with their 1-based position in the series."""
+    return sg.with_positions(df, key, ts, unit).withColumnRenamed(sg.POS, out)

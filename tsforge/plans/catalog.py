@@ -153,7 +153,7 @@ def minmax_scale(spark, sf):
 @query("minmax_roundtrip")
 def minmax_roundtrip(spark, sf):
     """inverse(scale(x)) recovers x; the largest error per series, rounded."""
-    s = fe.minmax_inverse(fe.minmax_scale(B.bars_orders(spark, sf), "close"))
+    s = fe.minmax_inverse(fe.minmax_scale(B.bars_orders(spark, sf), "close", train_col=None))
     return s.groupBy("series_id").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                                       F.round(F.max(F.abs(F.col("unscaled") - F.col("close"))), 6).alias("max_abs_err"))
 
@@ -266,10 +266,19 @@ def _walk(spark, sf):
     return B.bars_walk(spark, sf)
 
 
-def _levels_and_walk(spark, sf):
-    lv = B.bars_orders(spark, sf).select(F.concat(F.lit("level|"), "series_id").alias("series_id"), "ts", "close")
-    wk = _walk(spark, sf).select(F.concat(F.lit("walk|"), "series_id").alias("series_id"), "ts", "close")
-    return lv.unionByName(wk)
+def _levels_and_walk(spark, sf, differences=False):
+    """Level bars, the random walk made of them, and on demand the differenced walk, from one
+    aggregation of the raw rows and one running sum."""
+    b = materialize(B.bars_orders(spark, sf).select("series_id", "ts", "close"))
+    w = materialize(B.walk(b).select("series_id", "ts", "close"))
+    named = [("level|", b), ("walk|", w)]
+    if differences:
+        named.append(("dwalk|", fe.first_difference(w).select("series_id", "ts", F.col("diff").alias("close"))))
+    out = None
+    for prefix, d in named:
+        d = d.select(F.concat(F.lit(prefix), "series_id").alias("series_id"), "ts", "close")
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 @query("acf30")
@@ -308,12 +317,36 @@ def decompose_multiplicative(spark, sf):
     return d.select("series_id", "ts", r("observed", 6), r("trend", 8), r("seasonal", 8), r("resid", 8), "reason")
 
 
+def _levels_and_differences(spark, sf):
+    b = materialize(B.bars_orders(spark, sf))
+    lv = b.select(F.concat(F.lit("level|"), "series_id").alias("series_id"), "ts", "close")
+    df = fe.first_difference(b).select(F.concat(F.lit("diff|"), "series_id").alias("series_id"), "ts", F.col("diff").alias("close"))
+    return lv.unionByName(df)
+
+
+@query("decompose_auto")
+def decompose_auto(spark, sf):
+    """T9 -> T8: each series decomposed by its own model, levels (positive) and differences together."""
+    d = diagnostics.decompose(_levels_and_differences(spark, sf), "close", 30, "auto")
+    return d.select("series_id", "ts", "model", r("observed", 6), r("trend", 6), r("seasonal", 6), r("resid", 6), "reason")
+
+
+@query("stationarity_edge")
+def stationarity_edge(spark, sf):
+    """T2 on series without enough to go on: a constant one, the first 30 bars, and the longest
+    (hourly events)."""
+    b = materialize(B.bars_orders(spark, sf))
+    const = b.select(F.concat(F.lit("constant|"), "series_id").alias("series_id"), "ts", F.lit(7.25).alias("close"))
+    first = splits.numbered(b).where("pos <= 30").select(F.concat(F.lit("first30|"), "series_id").alias("series_id"), "ts", "close")
+    ev = B.bars_events(spark, sf).select(F.concat(F.lit("events|"), "series_id").alias("series_id"), "ts", "close")
+    dated = const.unionByName(first).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    k = diagnostics.kpss(dated.unionByName(ev), "close")
+    return k.select("series_id", "n", "kpss_lags", r("kpss_stat", 8), r("kpss_pvalue", 8), "kpss_reason")
+
+
 @query("decompose_type")
 def decompose_type(spark, sf):
-    lv = B.bars_orders(spark, sf).select(F.concat(F.lit("level|"), "series_id").alias("series_id"), "ts", "close")
-    df = fe.first_difference(B.bars_orders(spark, sf)).select(
-        F.concat(F.lit("diff|"), "series_id").alias("series_id"), "ts", F.col("diff").alias("close"))
-    return diagnostics.decompose_type(lv.unionByName(df), "close")
+    return diagnostics.decompose_type(_levels_and_differences(spark, sf), "close")
 
 
 @query("residual_anomalies")
@@ -326,9 +359,7 @@ def residual_anomalies(spark, sf):
 @query("adf")
 def adf(spark, sf):
     """T1 on level bars, the random-walk bars and the differenced walk."""
-    dw = fe.first_difference(_walk(spark, sf)).select(F.concat(F.lit("dwalk|"), "series_id").alias("series_id"), "ts",
-                                                       F.col("diff").alias("close"))
-    a = regression.adf(_levels_and_walk(spark, sf).unionByName(dw), "close")
+    a = regression.adf(_levels_and_walk(spark, sf, differences=True), "close")
     return a.select("series_id", "n", r("adf_stat", 6), r("adf_pvalue", 6), "used_lag", "nobs")
 
 
@@ -359,9 +390,7 @@ def _series_tests(df):
 @query("stationarity_verdict")
 def stationarity_verdict(spark, sf):
     """T11 on levels, the walk and the differenced walk (the level and the differenced-series flows)."""
-    dw = fe.first_difference(_walk(spark, sf)).select(F.concat(F.lit("dwalk|"), "series_id").alias("series_id"), "ts",
-                                                       F.col("diff").alias("close"))
-    t = _series_tests(_levels_and_walk(spark, sf).unionByName(dw))
+    t = _series_tests(_levels_and_walk(spark, sf, differences=True))
     return t.select("series_id", r("adf_pvalue", 6), r("kpss_pvalue", 6),
                     diagnostics.stationarity_verdict("adf_pvalue", "kpss_pvalue").alias("verdict"))
 
@@ -385,8 +414,9 @@ def _holdout(spark, sf, models):
 
 
 def _walk_ohlcv(spark, sf):
-    """Random-walk closes with the orders bars' open and volume (for the VAR)."""
-    b = B.bars_orders(spark, sf)
+    """Random-walk closes and opens with the orders bars' volume (for the VAR); the bars are made
+    once."""
+    b = materialize(B.bars_orders(spark, sf))
     w = B.walk(b, "close", "close")
     o = B.walk(b, "open", "open").select("series_id", "ts", "open")
     return w.drop("open").join(o, ["series_id", "ts"])
@@ -423,7 +453,15 @@ def garch_variance(spark, sf):
 
 @query("model_comparison")
 def model_comparison(spark, sf):
-    """All classical forecasters and the two baselines on one common ordered holdout."""
+    """Forecasters with a closed form and the two baselines on one common ordered holdout."""
+    fc = forecasting.holdout_forecasts(_walk_ohlcv(spark, sf), 30, ("naive", "drift", "holt", "arima_hr", "var"))
+    m = evaluate.forecast_metrics(fc.withColumn("forecast", F.round("forecast", 4)))
+    return m.select("series_id", "model", "n", r("rmse", 4), r("mae", 4), r("r2", 6), r("mape", 6), r("medae", 4))
+
+
+@query("model_comparison_all")
+def model_comparison_all(spark, sf):
+    """Every forecaster, the recursive linear and network ones included, on the same holdout."""
     m = evaluate.forecast_metrics(forecasting.holdout_forecasts(_walk_ohlcv(spark, sf), 30))
     return m.select("series_id", "model", "n", r("rmse", 4), r("mae", 4), r("r2", 6), r("mape", 6), r("medae", 4))
 
@@ -439,7 +477,7 @@ def _ml_metrics(fc):
 def _tree_query(spark, sf, kind):
     """F5/F6 as in the reference (same-day features, 80/20 hash split, pooled over series)
     and leak-free (previous-day features, same split)."""
-    bars = B.bars_many(spark, sf).withColumn("volume", F.col("volume").cast("double"))
+    bars = materialize(B.bars_many(spark, sf).withColumn("volume", F.col("volume").cast("double")))
     out = None
     for mode in ("same_day", "lagged"):
         d, cols = ml.same_day_features(bars) if mode == "same_day" else ml.lagged_features(bars)
@@ -470,7 +508,7 @@ def windowed_regression(spark, sf):
     of each series as test; linear and forest estimators against last value."""
     ds = _windows(spark, sf)
     lin = ml.windowed_regression(ds, "linear")
-    rf = ml.windowed_regression(ds, "rf", numTrees=30, maxDepth=6)
+    rf = ml.windowed_regression(ds, "rf")
     last = ds.filter("split = 'test'").select(
         "series_id", F.lit("last_value").alias("model"), "ts", F.lit(None).cast("int").alias("horizon"), "actual",
         (vector_to_array("features")[19] * (F.col("vmax") - F.col("vmin")) + F.col("vmin")).alias("forecast"))
@@ -487,27 +525,43 @@ def random_search(spark, sf):
 @query("mlp")
 def mlp(spark, sf):
     """Data-parallel dense network on 20-lag windows, last 25 windows of each series as
-    test (as the dense-network script), early stopping on the validation tail."""
+    test (as the dense-network script): 50 epochs, two hidden layers, dropout, early stopping."""
     ds = _windows(spark, sf, test_windows=25)
-    res = neural.train_mlp(ds, hidden=(32,), epochs=15, lr=3e-3, batch=32, partitions=4)
+    res = neural.train_mlp(ds, hidden=(64, 32), epochs=50, lr=3e-3, batch=32, dropout=0.1)
     return _ml_metrics(neural.mlp_forecasts(res, ds))
 
 
+@query("network_search")
+def network_search(spark, sf):
+    """M3/M4 over the network: 10 random networks by validation loss; the configurations tried."""
+    ds = _windows(spark, sf, test_windows=25)
+    trials, _ = neural.search_networks(ds, trials=10, epochs=50)
+    return trials.select("trial", "hidden", r("dropout", 1), r("lr", 6), r("valid_loss", 6), "best")
+
+
+@query("multivariate_windows")
+def multivariate_windows(spark, sf):
+    """W9 + F10: forecasts of the last 25 windows of five features, 20 rows each."""
+    ds = materialize(ml.multivariate_dataset(B.bars_orders(spark, sf)))
+    return _ml_metrics(ml.multivariate_forecasts(ds, "rf"))
+
+
+@query("multivariate_window_rows")
+def multivariate_window_rows(spark, sf):
+    """Windows, split and label of each row, with the oldest and newest lag of each feature."""
+    ds = ml.multivariate_dataset(B.bars_orders(spark, sf))
+    return ds.select("series_id", "ts", "split", r("target", 4), *[r(f"{x}_{j}", 4) for x in ml.WINDOW_FEATURES for j in (0, 19)])
+
+
 @query("permutation_importance")
 def permutation_importance(spark, sf):
     """M8 on a forest fitted to 20-row windows of five features (close, SMA 5/20, EMA 10, up
     ratio), each feature's 20 lags permuted together across windows."""
-    feats = ["close", "sma_5", "sma_20", "ema_10", "rsi_14"]
-    f = fe.technical_features(B.bars_orders(spark, sf)).select("series_id", "ts", *feats)
-    f = fe.backfill(f, feats)
-    seq = fe.multivariate_sequences(f, feats, "close", 20)
-    wide = fe.widen(seq, "lags", n=20, fields=feats)
-    wide = splits.holdout_fraction(wide, 0.8)
-    cols = [f"{x}_{j}" for x in feats for j in range(20)]
-    wide = materialize(wide.select("series_id", "ts", "split", "target", *cols))
-    model = ml.fit_pipeline(wide.filter("split = 'train'"), cols, "target", "rf", numTrees=30, maxDepth=6)
-    imp = ml.permutation_importance(model, wide.filter("split = 'test'"), {x: [f"{x}_{j}" for j in range(20)] for x in feats},
-                                    label="target")
+    wide = materialize(ml.multivariate_dataset(B.bars_orders(spark, sf)))
+    cols = [c for c in wide.columns if c not in ("series_id", "ts", "split", "target")]
+    model = ml.fit_pipeline(wide.filter("split = 'train'"), cols, "target", "rf")
+    imp = ml.permutation_importance(model, wide.filter("split = 'test'"),
+                                    {x: [f"{x}_{j}" for j in range(20)] for x in ml.WINDOW_FEATURES}, label="target")
     return imp.select("feature", r("mse_increase_pct", 4))
 
 
@@ -535,7 +589,7 @@ def stream_scoring(spark, sf):
     seq = materialize(seq)
     train, test = seq.filter("split = 'train'"), seq.filter("split = 'test'")
     models = {"linear": ml.regressor("linear", label="target").fit(train),
-              "rf": ml.regressor("rf", label="target", numTrees=20, maxDepth=5).fit(train)}
+              "rf": ml.regressor("rf", label="target").fit(train)}
     fc = None
     for name, mdl in models.items():
         f = ml.to_forecasts(mdl.transform(test), name, "target")
@@ -581,8 +635,9 @@ def forecast_files(spark, sf):
     }
     for name, d in outs.items():
         sinks.write_csv(d, f"{base}/{name}.csv")
-    fc = files.read_forecast_files(spark, [f"{base}/{n}.csv" for n in outs])
-    fc = fc.withColumn("ts", F.to_date("Date")).withColumnRenamed("Actual", "actual").withColumnRenamed("Forecast", "forecast")
+    schema = T.StructType.fromDDL("series_id string, Date date, Actual double, Forecast double")
+    fc = files.read_forecast_files(spark, [f"{base}/{n}.csv" for n in outs], schema)
+    fc = fc.withColumn("ts", F.col("Date")).withColumnRenamed("Actual", "actual").withColumnRenamed("Forecast", "forecast")
     t = evaluate.tail_per_model(fc, 30)
     return t.select("series_id", "model", "ts", F.col("actual").cast("double").alias("actual"),
                     F.round(F.col("forecast").cast("double"), 4).alias("forecast"))

@@ -72,7 +72,7 @@ def recursive_forecasts(train: DataFrame, h: int = 30, kind: str = "linear", loo
         F.max_by(F.slice(F.concat(arr, F.array("label")), 2, lookback), "ts").alias("lags"),
         F.first("vmin").alias("vmin"), F.first("vmax").alias("vmax")))
     if kind == "mlp":
-        res = neural.train_mlp(ds, hidden=params.get("hidden", (32,)), epochs=params.get("epochs", 15),
+        res = neural.train_mlp(ds, hidden=params.get("hidden", (32,)), epochs=params.get("epochs", 50),
                                lr=params.get("lr", 3e-3), batch=params.get("batch", 32))
         bw = sc.broadcast(res.weights)
         return _numpy_recursion(state, lambda x: neural.forward(bw.value, x)[0], h, lookback)
@@ -108,25 +108,22 @@ def holdout_forecasts(bars: DataFrame, h: int = 30, models=MODELS, var_cols=("cl
         parts.append(arma.arima_css(train, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima")))
     if "arima_hr" in models:
         parts.append(arma.arima_hr(train, "close", 4, h).select("series_id", "horizon", "forecast").withColumn("model", F.lit("arima_hr")))
-    if "var" in models and all(c in bars.columns for c in var_cols):
+    if "var" in models:
+        missing = [c for c in var_cols if c not in bars.columns]
+        if missing:
+            raise ValueError(f"the VAR needs columns {missing}; pass var_cols or leave it out of models")
         v = arma.var_forecast(train, list(var_cols), 5, h).filter(F.col("variable") == var_cols[0])
         parts.append(v.select("series_id", "horizon", "forecast").withColumn("model", F.lit("var")))
     for m in ("linear_rec", "rf_rec", "mlp_rec"):
         if m in models:
             kind = m.split("_")[0]
-            extra = {"numTrees": 30, "maxDepth": 6} if kind == "rf" else {}
-            parts.append(recursive_forecasts(train, h, kind, **extra).withColumn("model", F.lit(m)))
+            parts.append(recursive_forecasts(train, h, kind).withColumn("model", F.lit(m)))
     fc = parts[0].select("series_id", "model", "horizon", "forecast")
     for p in parts[1:]:
         fc = fc.unionByName(p.select("series_id", "model", "horizon", "forecast"))
     return evaluate.align(fc, test).select("series_id", "model", "ts", "horizon", "actual", "forecast")
 
 
-def model_comparison(bars: DataFrame, h: int = 30, models=MODELS) -> DataFrame:
-    fc = holdout_forecasts(bars, h, models)
-    return evaluate.forecast_metrics(fc)
-
-
 def future_forecasts(bars: DataFrame, h: int = 30, models=("holt", "arima")) -> DataFrame:
     """fit on every row and forecast ``h`` steps past the end of each series; step k is
     dated last date + k calendar days (the anchor is the last observed date)."""

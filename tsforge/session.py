@@ -74,11 +74,17 @@ def ship_package(spark: SparkSession) -> None:
 _LOCAL_DIR: str | None = None
 
 
+def is_local(master: str) -> bool:
+    """Whether all tasks run in the driver's process (``local``, ``local[8]``, ``local[4,2]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only when it is
-    unset (local runs, tests) is a scratch folder created, once per process."""
+    On a cluster this setting points at shared storage and is used as is; a cluster without it
+    is an error. Only a local master (all tasks in this process) gets a scratch folder of its own,
+    once per process."""
     global _LOCAL_DIR
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -86,6 +92,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         opt = sc._jsc.sc().getCheckpointDir()
         d = opt.get() if opt.isDefined() else None
     if not d:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _LOCAL_DIR is None:
             _LOCAL_DIR = tempfile.mkdtemp(prefix="tsforge-ckpt-", dir=os.environ.get("TSFORGE_SCRATCH", "/tmp"))
         d = _LOCAL_DIR

@@ -3,6 +3,8 @@ that take the model name from the file name, and metrics tables."""
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,18 +31,30 @@ def model_from_path(path_col="_metadata.file_path") -> F.Column:
     return F.regexp_extract(F.col(path_col), r"([^/\\]+)\.csv(/[^/]*)?$", 1)
 
 
-def read_forecast_files(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
-    """S3: several forecast CSVs (columns may differ) in one scan; ``model`` from each file name.
-    With a schema the columns are unified up front; without one each file is read alone and
-    unioned by name."""
-    if schema is not None:
-        df = spark.read.option("header", True).schema(schema).csv(paths)
-        return df.withColumn("model", model_from_path())
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The first line of each file (or folder of part files) of ``paths``, split into names, from
+    one scan of the files' first blocks."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    lines = lines.where("b = 0").withColumn("i", F.monotonically_increasing_id())
+    first = lines.groupBy("f").agg(F.min_by("value", "i").alias("h")).collect()  # one row for each file
+    return {r["f"]: next(csv.reader([r["h"]])) for r in first}
+
+
+def read_forecast_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """S3: several forecast CSVs in one scan; ``model`` from each file name. Columns are found by
+    the files' own headers, so files may order them differently; a column that a file lacks is
+    null, and columns beyond ``schema`` are left out. Text that does not parse becomes null."""
+    groups: dict[tuple, list[str]] = {}
+    for path, names in headers(spark, paths).items():
+        groups.setdefault(tuple(names), []).append(path)
     out = None
-    for p in paths:
-        d = spark.read.option("header", True).option("inferSchema", True).csv(p)
-        d = d.withColumn("model", model_from_path())
-        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
+    for names, files in sorted(groups.items()):
+        raw = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        d = spark.read.option("header", True).schema(raw).csv(files)
+        cols = [(F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in schema.fields]
+        d = d.select(*cols, model_from_path().alias("model"))
+        out = d if out is None else out.unionByName(d)
     return out
 
 
@@ -49,11 +63,6 @@ def read_metrics_table(spark: SparkSession, path: str, fmt: str = "parquet") ->
     return spark.read.format(fmt).option("header", True).load(path)
 
 
-def local_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
-    """Small local rows (parameters, grids) as a DataFrame."""
-    return spark.createDataFrame(rows, schema)
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First ``n`` rows in a stated order (TakeOrdered, no global sort)."""
-    return df.limit(n)
+def preview(df: DataFrame, order: list, n: int = 5) -> DataFrame:
+    """First ``n`` rows in the order of the given columns (TakeOrdered, no global sort)."""
+    return df.orderBy(*order).limit(n)

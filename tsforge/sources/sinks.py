@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
-
-def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """K1: one CSV file (``coalesce(1)``), refused above ``max_rows`` rows because a single task
-    writes it."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError("too many rows for a single-file export; use write_csv")
-    df.coalesce(1).write.option("header", True).mode("overwrite").csv(path)
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """K1: one CSV file. Partitions are computed in parallel, then one task streams them into the
+    file in turn (it never holds them), so the time grows with the rows; use ``write_csv`` where
+    several files will do."""
+    df.repartition(1).write.option("header", True).mode("overwrite").csv(path)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -34,7 +30,3 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def register_view(df: DataFrame, name: str) -> None:
     """K5: temp view for SQL users."""
     df.createOrReplaceTempView(name)
-
-
-def sql(spark: SparkSession, text: str) -> DataFrame:
-    return spark.sql(text)

@@ -22,6 +22,7 @@ def prepare(spark: SparkSession) -> None:
     """Settings and package code that every operator needs; safe to call again."""
     for k in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.pyspark.enabled"):
         spark.conf.set(k, DEFAULT_CONF[k])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts: a few MB each
     checkpoint_dir(spark)
     ship_package(spark)
 

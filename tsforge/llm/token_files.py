@@ -15,10 +15,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import open_fs, parts_for
+from .common import input_bytes, open_fs, parts_for
 from .tokens import encoder, slices
 
-NULL_ID = -(1 << 63)  # stands for a null id inside files
+NULL_ID = -(1 << 63)    # stands for a null id inside files
+SEGMENT_IDS = 1 << 20   # ids that a writing task holds at a time
 
 
 def put_file(folder: str, name: str, chunks) -> str:
@@ -33,25 +34,43 @@ def put_file(folder: str, name: str, chunks) -> str:
     return f"{folder}/{name}"
 
 
+def shards_for(docs: DataFrame) -> int:
+    """Shards of 16 MB of input each, larger (up to 1 GB) where that would make over 4,096: tasks
+    stream, so a shard's size does not bound their memory."""
+    return parts_for(docs, min(1 << 30, max(16 << 20, input_bytes(docs) // 4096)))
+
+
 def ascending(docs: DataFrame, shards: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) range-partitioned and sorted by id (equal ids by text)."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.repartitionByRange(shards or parts_for(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+    return src.repartitionByRange(shards or shards_for(docs), "doc_id").sortWithinPartitions("doc_id", "text")
+
 
+def segments(it, tokenizer: str, end: int, segment_ids: int = SEGMENT_IDS):
+    """Documents of a partition in order, about ``segment_ids`` ids at a time and never cut:
+    (ids of documents, token ids, offsets)."""
+    enc, docs, parts, lengths, held = encoder(tokenizer), [], [], [], 0
 
-def encoded_shard(it, tokenizer: str, end: int):
-    """All documents of one partition: (shard number, ids of documents, token ids, offsets)."""
-    enc, docs, parts, lengths = encoder(tokenizer), [], [], []
+    def done():
+        at = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int64)
+        return np.array(docs, np.int64), np.concatenate(parts), at
     for b in it:
-        docs += [NULL_ID if d is None else d for d in b.column(0).to_pylist()]
-        texts = b.column(1)
+        own, texts = b.column(0).to_pylist(), b.column(1)
         for lo, hi in slices(texts):
             ids, at = enc.encode(texts[lo:hi], end)
+            docs += [NULL_ID if d is None else d for d in own[lo:hi]]
             parts.append(ids.astype("<u4"))
             lengths.append(np.diff(at))
-    ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
-    n = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
-    return TaskContext.get().partitionId(), np.array(docs, np.int64), ids, np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+            held += len(ids)
+            if held >= segment_ids:
+                yield done()
+                docs, parts, lengths, held = [], [], [], 0
+    if docs:
+        yield done()
+
+
+def shard_number() -> int:
+    return TaskContext.get().partitionId()
 
 
 def doc_id_array(ids: np.ndarray) -> pa.Array:

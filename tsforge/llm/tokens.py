@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_PIECES = 350_000  # pieces remembered in one Python worker; beyond that it starts anew
-CACHE_RUNS = 900_000    # and runs, which cost more to learn
+CACHE_PIECES = 200_000  # pieces that a Python worker remembers; frequent ones come early, so it then
+CACHE_RUNS = 500_000    # keeps those and holds others for one call only. The same for runs
 _SAFE = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PUNCT = r"!-&(-/:-@\[-`{-~"  # ASCII, without the apostrophe
@@ -38,15 +38,23 @@ def encoder(path: str) -> "PieceEncoder":
 
 
 class Store:
-    """Ids of texts: a dictionary of positions beside flat arrays."""
+    """Ids of texts: a dictionary of positions beside flat arrays. Up to ``room`` texts stay; what
+    comes after is dropped by ``trim``."""
 
-    def __init__(self):
+    def __init__(self, room: int):
+        self.room = room
         self.at: dict[str, int] = {}
+        self.over: dict[str, int] = {}
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.flat, self.used = np.zeros(1 << 18, np.int32), 0
+        self.flat, self.used, self.count = np.zeros(1 << 18, np.int32), 0, 0
+        self.kept_used = 0
+
+    def trim(self) -> None:
+        if self.over:
+            self.over, self.count, self.used = {}, len(self.at), self.kept_used
 
     def add(self, texts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, k = len(self.at), len(texts)
+        n, k = self.count, len(texts)
         while n + k > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
@@ -56,17 +64,22 @@ class Store:
         self.length[n:n + k] = lengths
         self.flat[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
-        self.at.update(zip(texts, range(n, n + k), strict=True))
+        self.count += k
+        stay = not self.over and len(self.at) + k <= self.room
+        (self.at if stay else self.over).update(zip(texts, range(n, n + k), strict=True))
+        if stay:
+            self.kept_used = self.used
 
     def find(self, texts: list[str], learn=None) -> np.ndarray:
         """Positions of texts; those that are not there are first given to ``learn``."""
         get = self.at.get
-        at = np.fromiter((get(t, -1) for t in texts), np.int64, len(texts))
+        at = np.fromiter([get(t, -1) for t in texts], np.int64, len(texts))
         gone = np.flatnonzero(at < 0)
         if len(gone):
             new = [texts[i] for i in gone.tolist()]
-            learn(list(dict.fromkeys(new)))
-            at[gone] = np.fromiter(map(self.at.__getitem__, new), np.int64, len(new))
+            learn([t for t in dict.fromkeys(new) if t not in self.over])
+            over, get = self.over, self.at.get
+            at[gone] = [over[t] if t in over else get(t) for t in new]
         return at
 
     def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,17 +102,13 @@ class PieceEncoder:
         digits = "[0-9]+" if self.spaced else "[0-9]"
         line = "|\n" if self.spaced else ""
         self.runs = re.compile(f"{lead}[{_LETTER}]+|{lead}{digits}|{lead}[{_PUNCT}]+|{_MARK}{line}")
-        self.pieces, self.parts, self.risky = Store(), Store(), np.zeros(0, bool)
+        if hasattr(self.tok.model, "_resize_cache"):
+            self.tok.model._resize_cache(0)  # runs are remembered here
+        self.pieces, self.parts, self.risky = Store(CACHE_PIECES), Store(CACHE_RUNS), np.zeros(0, bool)
 
     def _whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
-    def forget(self) -> None:
-        if len(self.pieces.at) > CACHE_PIECES:
-            self.pieces, self.risky = Store(), np.zeros(0, bool)
-        if len(self.parts.at) > CACHE_RUNS:
-            self.parts = Store()
-
     def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
         return np.array(list(chain.from_iterable(got)), np.int64), np.array([len(g) for g in got], np.int64)
@@ -154,7 +163,9 @@ class PieceEncoder:
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (int32), each followed by ``end`` if given, and the offsets
         of the texts in it (one more than texts). Null texts are empty."""
-        self.forget()
+        for store in (self.pieces, self.parts):
+            store.trim()
+        self.risky = self.risky[:self.pieces.count]
         cut = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
         of = np.asarray(cut.offsets, np.int64)
         of, words = of - of[0], cut.flatten().dictionary_encode()
@@ -182,7 +193,7 @@ class PieceEncoder:
         return ids.astype(np.int32, copy=False), bounds
 
 
-def slices(texts: pa.Array, chars: int = 8_000_000):
+def slices(texts: pa.Array, chars: int = 4_000_000):
     """Consecutive (from, to) of ``texts`` with about ``chars`` bytes each, so that the pieces of
     one call stay small."""
     size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))

@@ -241,10 +241,10 @@ def var_forecast(df: DataFrame, cols: list[str], pmax: int = 5, horizon: int = 3
 
 # ---- ARIMA(p, 0, 1) by conditional least squares profiled over theta -------------------------
 
-CSS_THETAS = np.round(np.arange(-0.95, 0.95001, 0.01), 10)
+CSS_THETAS = np.round(np.arange(-0.99, 0.99001, 0.01), 10)
 # w = (1 + theta L)^-1 x forgets its start as |theta|^k: after CSS_HALO rows the start weighs
-# 0.95^CSS_HALO <= 1e-40, so a segment that replays CSS_HALO earlier rows has exact w.
-CSS_HALO = int(np.ceil(40.0 / -np.log10(0.95)))
+# 0.99^CSS_HALO <= 1e-20, so a segment that replays CSS_HALO earlier rows has w to double precision.
+CSS_HALO = int(np.ceil(20.0 / -np.log10(0.99)))
 _CSS_CHUNK = 8192
 
 
@@ -257,24 +257,27 @@ def _css_segment(p: int):
         x = pdf["_x"].to_numpy(dtype=float)
         pos = pdf[sg.POS].to_numpy()
         home = pdf[sg.HOME].to_numpy(dtype=bool)
-        th = CSS_THETAS
-        W = np.empty((len(x), G))
-        w = np.zeros(G)
-        for i, xv in enumerate(x):
-            w = xv - th * w
-            W[i] = w
-        idx = np.flatnonzero(home & (pos > p))
-        gram = np.zeros((G, k, k))
-        for s in range(0, len(idx), _CSS_CHUNK):
-            r = idx[s:s + _CSS_CHUNK]
-            Z = np.stack([np.ones((len(r), G))] + [W[r - j] for j in range(1, p + 1)] + [W[r]], axis=-1)
-            gram += np.einsum("rgk,rgl->gkl", Z, Z)
         hi = np.flatnonzero(home)
         last = hi[-1]
-        tail = np.arange(last - p, last + 1)
-        tail = tail[tail >= 0]
+        gram, tail = np.zeros((G, k, k)), []
+        w, before = np.zeros(G), np.zeros((p, G))  # the filter and its last p rows, chunk after chunk
+        for s in range(0, len(x), _CSS_CHUNK):
+            e = min(s + _CSS_CHUNK, len(x))
+            W = np.empty((e - s + p, G))
+            W[:p] = before
+            for i in range(s, e):
+                w = x[i] - CSS_THETAS * w
+                W[i - s + p] = w
+            r = np.flatnonzero(home[s:e] & (pos[s:e] > p)) + p
+            if len(r):
+                Z = np.stack([np.ones((len(r), G))] + [W[r - j] for j in range(1, p + 1)] + [W[r]], axis=-1)
+                gram += np.einsum("rgk,rgl->gkl", Z, Z)
+            if s <= last < e:
+                tail = W[last - s if last >= p else p:last - s + p + 1]
+            before = W[-p:]
+        first = max(0, last - p)
         return pd.DataFrame([[pdf["series_id"].iloc[0], int(pos[last]), gram.ravel().tolist(),
-                              W[tail].ravel().tolist(), x[tail].tolist()]],
+                              tail.ravel().tolist(), x[first:last + 1].tolist()]],
                             columns=["series_id", "last_pos", "gram", "last_w", "last_x"])
     return run
 
@@ -327,7 +330,7 @@ ARIMA_CSS_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.S
 def arima_css(df: DataFrame, value: str = "close", p: int = 4, horizon: int = 30, key: str = "series_id", ts: str = "ts",
               size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto") -> DataFrame:
     """ARIMA(p,0,1) with constant by conditional least squares, profiled over the MA
-    coefficient theta on a 0.01 grid in [-0.95, 0.95], and its ``horizon``-step forecast.
+    coefficient theta on a 0.01 grid in [-0.99, 0.99], and its ``horizon``-step forecast.
 
     For each theta, w = (1 + theta L)^-1 x (w_t = x_t - theta w_{t-1}) turns the model into
     AR(p) + constant on w; its SSE comes from per-segment Gram sums (segments replay

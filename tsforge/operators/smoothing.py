@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from tsforge.operators import segments as sg
 from tsforge.operators.features import windowed
+from tsforge.session import materialize, reuse_input
 
 ARR = T.ArrayType(T.DoubleType())
 
@@ -212,13 +213,32 @@ def holt_forecast(fit: DataFrame, horizon: int = 30) -> DataFrame:
 
 # ---- GARCH(1,1) --------------------------------------------------------------------------------------
 
-def _garch_grid() -> tuple[np.ndarray, np.ndarray]:
-    a, b = np.meshgrid(np.round(np.arange(0.01, 0.301, 0.01), 10), np.round(np.arange(0.50, 0.9851, 0.01), 10), indexing="ij")
+GARCH_FINE = 0.005
+
+
+def _garch_grid(ca: float | None = None, cb: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates (alpha, beta): a 0.05 grid over alpha > 0, beta >= 0, alpha + beta < 1, or, around
+    a coarse best point, a 0.005 grid one coarse step to each side."""
+    if ca is None or not np.isfinite(ca):
+        x = np.round(np.concatenate([[0.01], np.arange(0.05, 0.951, 0.05)]), 10)
+        y = np.round(np.concatenate([np.arange(0.0, 0.951, 0.05), [0.98]]), 10)
+    else:
+        step = np.arange(-10, 11) * GARCH_FINE
+        x, y = np.round(np.maximum(ca + step, GARCH_FINE), 10), np.round(np.maximum(cb + step, 0.0), 10)
+    a, b = np.meshgrid(np.unique(x), np.unique(y), indexing="ij")
     a, b = a.ravel(), b.ravel()
-    keep = a + b < 0.999
+    keep = a + b < GARCH_MAX_BETA + 5e-4
     return a[keep], b[keep]
 
 
+def _garch_own_grid(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return _garch_grid(pdf["_ca"].iloc[0], pdf["_cb"].iloc[0])
+
+
+GARCH_MAX_BETA = 0.999
+GARCH_MIN_RETURNS = 10
+
+
 GARCH_A_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("_seg", T.LongType()),
                                T.StructField("mult", ARR), T.StructField("v", ARR)])
 
@@ -226,7 +246,7 @@ GARCH_A_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.Str
 def _garch_pass_a(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per segment: variance leaving the segment = mult * variance entering + v (per candidate)."""
     pdf = pdf.sort_values(sg.POS)
-    al, be = _garch_grid()
+    al, be = _garch_own_grid(pdf)
     s2 = float(pdf["_s2"].iloc[0])
     om = s2 * (1 - al - be)
     y = np.zeros_like(al)
@@ -242,13 +262,9 @@ def _garch_pass_a(pdf: pd.DataFrame) -> pd.DataFrame:
                         columns=["series_id", "_seg", "mult", "v"])
 
 
-GARCH_MAX_BETA = 0.985
-GARCH_MIN_RETURNS = 10
-
-
 def garch_chain_depth(size: int) -> int:
     """Segments a variance must be carried back so that the dropped remainder, multiplied by
-    beta^(rows) <= 0.985^(depth * size), is below 1e-20 relative."""
+    beta^(rows) <= 0.999^(depth * size), is below 1e-20 relative."""
     return int(math.ceil(20.0 / (size * -math.log10(GARCH_MAX_BETA)))) + 1
 
 
@@ -279,12 +295,12 @@ def _garch_chain(seg: DataFrame, depth: int) -> DataFrame:
 
 
 GARCH_B_SCHEMA = T.StructType([T.StructField("series_id", T.StringType()), T.StructField("_seg", T.LongType()),
-                               T.StructField("ll", ARR)])
+                               T.StructField("ll", ARR), T.StructField("al", ARR), T.StructField("be", ARR)])
 
 
 def _garch_pass_b(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values(sg.POS)
-    al, be = _garch_grid()
+    al, be = _garch_own_grid(pdf)
     s2 = float(pdf["_s2"].iloc[0])
     om = s2 * (1 - al - be)
     y = np.asarray(pdf["y_in"].iloc[0], dtype=float)
@@ -293,17 +309,32 @@ def _garch_pass_b(pdf: pd.DataFrame) -> pd.DataFrame:
                             pdf["_eps"].to_numpy(dtype=float)):
         y = np.full_like(al, s2) if first else be * y + om + al * ep
         ll += -0.5 * (np.log(2 * np.pi) + np.log(y) + e * e / y)
-    return pd.DataFrame([[pdf["series_id"].iloc[0], int(pdf["_seg"].iloc[0]), ll]], columns=["series_id", "_seg", "ll"])
+    return pd.DataFrame([[pdf["series_id"].iloc[0], int(pdf["_seg"].iloc[0]), ll, al, be]], columns=["series_id", "_seg", "ll", "al", "be"])
+
+
+def _garch_search(rows: DataFrame, size: int) -> DataFrame:
+    """Best candidate of each series' grid: alpha, beta, loglik and the last variance."""
+    seg = rows.groupBy("series_id", "_seg").applyInPandas(_garch_pass_a, GARCH_A_SCHEMA)
+    chain = materialize(_garch_chain(materialize(seg), garch_chain_depth(size)))
+    ll = materialize(rows.join(chain.select("series_id", "_seg", "y_in"), ["series_id", "_seg"])
+                     .groupBy("series_id", "_seg").applyInPandas(_garch_pass_b, GARCH_B_SCHEMA))
+    tot = ll.select("series_id", F.posexplode("ll").alias("c", "ll")).groupBy("series_id", "c").agg(F.sum("ll").alias("loglik"))
+    best = tot.groupBy("series_id").agg(F.max(F.struct("loglik", (-F.col("c")).alias("m"))).alias("b")) \
+        .select("series_id", F.col("b.loglik").alias("loglik"), (-F.col("b.m")).alias("c"))
+    grid = ll.groupBy("series_id").agg(F.first("al").alias("al"), F.first("be").alias("be"))
+    last = chain.groupBy("series_id").agg(F.max_by("y_out", "_seg").alias("_yo"))
+    return best.join(grid, "series_id").join(last, "series_id").select(
+        "series_id", F.col("al")[F.col("c")].alias("alpha"), F.col("be")[F.col("c")].alias("beta"), "loglik", F.col("_yo")[F.col("c")].alias("last_var"))
 
 
 def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "ts",
               size: int = sg.DEFAULT_SEGMENT_ROWS, unit: str = "auto") -> DataFrame:
     """F3 fit: GARCH(1,1) with constant mean on percent returns, variance targeting
-    omega = s2 (1 - alpha - beta), sigma2 of the first return = s2, (alpha, beta) on a 0.01
-    grid by maximum Gaussian likelihood. Returns the fitted parameters and last variance."""
+    omega = s2 (1 - alpha - beta), sigma2 of the first return = s2, (alpha, beta) by maximum
+    Gaussian likelihood on a 0.05 grid over all stationary values, refined to 0.005 around its
+    best point. Returns the fitted parameters and last variance."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
-    from tsforge.session import reuse_input
     df = reuse_input(df.select("series_id", ts, value))
     r = windowed(df.select("series_id", ts, value),
                  [{"_r": lambda w: (F.try_divide(F.col(value), F.lag(value, 1).over(w)) - 1.0) * 100.0}],
@@ -318,22 +349,13 @@ def garch_fit(df: DataFrame, value: str = "close", key: str = "series_id", ts: s
     rows = windowed(e, [{"_ep2": lambda w: F.pow(F.lag("_eps", 1).over(w), 2)}], before=1, ts=ts, size=size, unit=unit,
                     keep_pos=True)
     rows = rows.withColumn("_first", F.col(sg.POS) == 1).withColumn("_seg", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
-    rows = rows.select("series_id", "_seg", sg.POS, "_first", "_ep2", "_eps", "_s2").cache()
-    seg = rows.groupBy("series_id", "_seg").applyInPandas(_garch_pass_a, GARCH_A_SCHEMA)
-    chain = _garch_chain(seg, garch_chain_depth(size)).cache()
-    ll = (rows.join(chain.select("series_id", "_seg", "y_in"), ["series_id", "_seg"])
-              .groupBy("series_id", "_seg").applyInPandas(_garch_pass_b, GARCH_B_SCHEMA))
-    al, be = _garch_grid()
-    spark = df.sparkSession
-    grid = F.broadcast(spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(al, be))],
-                                             "c int, alpha double, beta double"))  # fixed size
-    tot = (ll.select("series_id", F.posexplode("ll").alias("c", "ll"))
-             .groupBy("series_id", "c").agg(F.sum("ll").alias("loglik")))
-    best = tot.groupBy("series_id").agg(F.max_by("c", "loglik").alias("c"), F.max("loglik").alias("loglik"))
-    last = chain.groupBy("series_id").agg(F.max_by("y_out", "_seg").alias("_yo"))
+    rows = materialize(rows.select("series_id", "_seg", sg.POS, "_first", "_ep2", "_eps", "_s2"))
+    none = F.lit(None).cast("double")
+    coarse = _garch_search(rows.withColumn("_ca", none).withColumn("_cb", none), size)
+    centre = materialize(coarse.select("series_id", F.col("alpha").alias("_ca"), F.col("beta").alias("_cb")))
+    found = _garch_search(rows.join(centre, "series_id"), size)
     last_eps = rows.groupBy("series_id").agg(F.max_by("_eps", sg.POS).alias("last_eps"))
-    fitted = (best.join(grid, "c").join(last, "series_id").join(last_eps, "series_id")
-                  .select("series_id", "alpha", "beta", "loglik", F.col("_yo")[F.col("c")].alias("last_var"), "last_eps"))
+    fitted = found.join(last_eps, "series_id")
     every = df.select("series_id").distinct()
     reason = (F.when(F.col("n").isNull() | (F.col("n") < GARCH_MIN_RETURNS), F.lit(f"needs {GARCH_MIN_RETURNS} returns"))
                .when(F.col("_s2") <= 0, F.lit("constant returns")))

@@ -445,18 +445,25 @@ SQL["garch_variance"] = _w(BARS, _TRAIN) + f"""
 , mom as (select series_id, avg(r) as mu from ret group by 1)
 , eps as (select series_id, ts, r - mu as e from ret join mom using (series_id))
 , st as (select series_id, avg(e * e) as s2, count(*) as n, list(e order by ts) as es from eps group by 1)
-, ga as (select round(0.01 * i, 10) as alpha from range(1, 31) t(i))
-, gb as (select round(0.50 + 0.01 * i, 10) as beta from range(0, 49) t(i))
-, cand as (select cast(alpha as double) as alpha, cast(beta as double) as beta from ga, gb where alpha + beta < 0.999)
-, runs as (
-  select series_id, s2, alpha, beta, es[len(es)] as last_e,
-         list_reduce(es, lambda acc, e: {{
+, ga as (select cast(0.01 as double) as alpha union all select cast(round(0.05 * i, 10) as double) from range(1, 20) t(i))
+, gb as (select cast(round(0.05 * i, 10) as double) as beta from range(0, 20) t(i) union all select cast(0.98 as double))
+, r1 as (select series_id, alpha, beta, list_reduce(es, lambda acc, e: {{
+             'v': case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end,
+             'll': acc.ll - 0.5 * (ln(2 * pi()) + ln(case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end)
+                                   + e * e / case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end),
+             'pe': e}},
+             {{'v': cast(null as double), 'll': cast(0 as double), 'pe': cast(null as double)}}) as res
+         from st, ga, gb where n >= 10 and s2 > 0 and alpha + beta < 0.9995)
+, c1 as (select series_id, arg_max(struct_pack(a := alpha, b := beta), res.ll) as c from r1 group by 1)
+, g2 as (select distinct series_id, greatest(round(c.a + 0.005 * i, 10), 0.005) as alpha, greatest(round(c.b + 0.005 * j, 10), 0.0) as beta
+         from c1, range(-10, 11) x(i), range(-10, 11) y(j))
+, runs as (select series_id, s2, alpha, beta, es[len(es)] as last_e, list_reduce(es, lambda acc, e: {{
              'v': case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end,
              'll': acc.ll - 0.5 * (ln(2 * pi()) + ln(case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end)
                                    + e * e / case when acc.v is null then s2 else beta * acc.v + s2 * (1 - alpha - beta) + alpha * acc.pe * acc.pe end),
              'pe': e}},
              {{'v': cast(null as double), 'll': cast(0 as double), 'pe': cast(null as double)}}) as res
-  from st, cand where n >= 10 and s2 > 0)
+           from st join g2 using (series_id) where alpha + beta < 0.9995)
 , best as (select series_id, arg_max(struct_pack(s2 := s2, a := alpha, b := beta, v := res.v, e := last_e), res.ll) as p from runs group by 1)
 , one as (select series_id, p.s2 as s2, p.a as a, p.b as b,
                  p.s2 * (1 - p.a - p.b) + p.a * p.e * p.e + p.b * p.v as v1 from best)

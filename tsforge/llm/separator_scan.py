@@ -13,31 +13,45 @@ gives no rows; null and empty texts count their end id; null ids stay null; equa
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, open_fs, shared_dir
-from .token_files import ascending, doc_id_array, encoded_shard, put_file
+from .token_files import doc_id_array, put_file, segments, shard_number
 
 BLOCK_IDS = 1 << 20
 
 
-def write_flat(docs: DataFrame, tokenizer: str, end: int, folder: str | None = None, shards: int | None = None,
-               dtype: str = "<u2", id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
-    """Write flat token files in ascending id order. Returns the folder and a table of
-    (shard, ordinal, doc_id): which document is the n-th of its file."""
+def write_flat(docs: DataFrame, tokenizer: str, end: int, folder: str | None = None, dtype: str = "<u2",
+               id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
+    """Write a flat token file for each partition of ``docs``, in the order of its rows; texts are
+    not shuffled. Returns the folder and a table of (shard, ordinal, doc_id): which document is the
+    n-th of its file."""
     folder = folder or shared_dir(docs.sparkSession, "flat")
+    fs, path = open_fs(folder)
+    fs.create_dir(path, recursive=True)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def write(it):
-        shard, doc_ids, ids, _ = encoded_shard(it, tokenizer, end)
-        if len(doc_ids):
-            put_file(folder, f"shard-{shard:06d}.bin", [ids.astype(dtype).tobytes()])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc_ids), shard)), pa.array(np.arange(len(doc_ids))),
-                                              doc_id_array(doc_ids)], names=["shard", "ordinal", "doc_id"])
-
-    order = materialize(ascending(docs, shards, id_col, text_col).mapInArrow(write, "shard long, ordinal long, doc_id long"))
+        segs, doc_ids = segments(it, tokenizer, end), []
+
+        def chunks(first):
+            for own, ids, _ in chain([first], segs):
+                doc_ids.append(own)
+                yield ids.astype(dtype).tobytes()
+        first = next(segs, None)
+        if first is not None:
+            shard = shard_number()
+            put_file(folder, f"shard-{shard:06d}.bin", chunks(first))
+            every = np.concatenate(doc_ids)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(every), shard)), pa.array(np.arange(len(every))),
+                                              doc_id_array(every)], names=["shard", "ordinal", "doc_id"])
+
+    order = materialize(src.mapInArrow(write, "shard long, ordinal long, doc_id long"))
     return folder, order
 
 
@@ -70,9 +84,10 @@ def _scan(dtype: str, sep: int):
     return run
 
 
-def block_summaries(blocks: DataFrame, sep: int, dtype: str = "<u2", tasks: int = 64) -> DataFrame:
+def block_summaries(blocks: DataFrame, sep: int, dtype: str = "<u2") -> DataFrame:
     """For each block: ids, separators, ids up to and with the first separator (all if none), ids
     after the last (all if none), and the lengths of documents that lie wholly between two."""
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return blocks.select("path", "shard", "block", "lo", "n").repartition(tasks).mapInArrow(
         _scan(dtype, sep), "shard long, block long, n_ids long, seps long, before long, after long, inner array<long>")
 
@@ -94,9 +109,9 @@ def stitch(summaries: DataFrame) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, tokenizer: str, end: int, dtype: str = "<u2", block_ids: int = BLOCK_IDS,
-                 shards: int | None = None, folder: str | None = None) -> DataFrame:
+                 folder: str | None = None) -> DataFrame:
     """Write flat files for ``docs``, scan them, and return doc_id, shard, ordinal, n_tokens."""
-    folder, order = write_flat(docs, tokenizer, end, folder, shards, dtype)
+    folder, order = write_flat(docs, tokenizer, end, folder, dtype)
     blocks = blocks_of(docs.sparkSession, folder, dtype, block_ids)
     counted = stitch(materialize(block_summaries(blocks, end, dtype)))
     return order.join(counted, ["shard", "ordinal"], "left").select("doc_id", "shard", "ordinal", "n_tokens")

@@ -113,7 +113,21 @@ def materialize(df):
     app = spark.sparkContext.applicationId
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}/{uuid.uuid4().hex}"  # one folder per application
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tsforge_path = path
+    return out
+
+
+def discard(*tables) -> None:
+    """Delete tables made by ``materialize`` that nothing reads any more. Frames that are not such
+    tables are left alone."""
+    for t in tables:
+        path = getattr(t, "_tsforge_path", None)
+        if path:
+            jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+            t._tsforge_path = None
 
 
 _COSTLY = None

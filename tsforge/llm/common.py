@@ -9,9 +9,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import DEFAULT_CONF, checkpoint_dir, materialize, ship_package
+from ..session import DEFAULT_CONF, checkpoint_dir, discard, materialize, ship_package
 
-__all__ = ["prepare", "documents", "table", "input_bytes", "parts_for", "shared_dir", "open_fs", "materialize",
+__all__ = ["prepare", "documents", "table", "input_bytes", "parts_for", "shared_dir", "open_fs", "materialize", "discard",
            "WS", "crc_mod", "batches"]
 
 # ASCII white space that separates words: space and U+0009 to U+000D.

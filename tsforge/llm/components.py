@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -20,12 +20,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     moved = (both.where("v > u") if large else both).join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     if not large:
         moved = moved.unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return materialize(moved.where("a <> b").distinct())
+    out = materialize(moved.where("a <> b").distinct())
+    discard(low, edges)
+    return out
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b): the smallest node of its component. The
-    edge set shrinks to stars; each round is written to the shared folder. Raises if the stars are
+    edge set shrinks to stars; each round is written to the shared folder and takes the place of the
+    one before. The result is such a table too. Raises if the stars are
     not reached in ``max_rounds`` (rounds grow with the logarithm of the longest path)."""
     def mark(e):
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
@@ -37,7 +40,9 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         e = _star(_star(e, True), False)
         new = mark(e)
         if new == old:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
-                e.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
+            out = materialize(e.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
+                e.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()))
+            discard(e)
+            return out
         old = new
     raise RuntimeError("components did not settle")

@@ -1,8 +1,9 @@
 """N-gram Jaccard join: size-banded tiles with hashed bitmap signatures, then exact intersection.
 
 Each text becomes its sorted set of 64-bit shingle hashes. Texts with the same set are one class.
-Two classes with Jaccard >= t share a shingle among the first n - ceil(t n) + 1 of each set, in any
-one order of all shingles; so only classes that meet at such a shingle need comparing. The order puts
+Two classes with Jaccard >= t share at least m shingles among the first n - ceil(t n) + m of each set,
+in any one order of all shingles; so only classes that meet at m such shingles need comparing, and m
+grows with the set (one for each ``PER_MEETING`` shingles), as long texts meet by chance. The order puts
 very common shingles (found on a sample of documents; a wrong guess costs time, never a link) last.
 
 Classes that meet at a shingle are sorted by set size and cut into tiles. A tile compares only sizes
@@ -12,7 +13,8 @@ above. What remains is decided by intersecting the sorted arrays.
 
 Links only matter through what they connect, so this runs in two rounds. Round one compares members
 of a tile with a few pivots, which joins large groups of near copies at linear cost. Round two looks
-at every tile that still holds two components, and compares every pair of different components.
+at every tile that still holds two components, and compares every pair of different components
+that meets often enough.
 
 Cases: a text with fewer words than a shingle is one shingle; null and empty texts have an empty set
 and link with nothing; a null id gets results but never names a component of known ids; rows that
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import batches, input_bytes, materialize, run_bounds
+from .common import batches, discard, input_bytes, materialize, run_bounds
 from .components import components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -39,6 +41,7 @@ HOT_KEYS = 1 << 17     # most common shingles kept on the driver for the order
 HOT_SAMPLE = 32        # one document in so many is looked at for them
 TILE = 1024            # most members of a tile
 PIVOTS = 4
+PER_MEETING = 40
 BROADCAST_ROWS = 1 << 20  # rows of (id) or (class, component) sent to every executor at most
 _SEEN = 500_000
 
@@ -64,14 +67,20 @@ def shingles(text: str, k: int = 5) -> np.ndarray:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, as many as the power of two at or above its size (64 to 65,536)."""
-    width = min(1 << 16, max(64, 1 << (len(s) - 1).bit_length()))
+    """Parity bits of a set, four to eight for each shingle (a power of two, 64 to 2^19): few enough
+    share a bit that the bound is close to the true overlap."""
+    width = min(1 << 19, max(64, 1 << (4 * len(s) - 1).bit_length()))
     odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
 
+def _meetings(n):
+    """Prefix shingles that a set of ``n`` must share with any partner (n may be an array)."""
+    return 1 + n // PER_MEETING
+
+
 def _prefix_size(n: int, percent: int) -> int:
-    return n + (-percent * n // 100) + 1  # n - ceil(percent n / 100) + 1
+    return n + (-percent * n // 100) + _meetings(n)  # n - ceil(percent n / 100) + meetings
 
 
 def _sign(a: np.ndarray) -> np.ndarray:
@@ -176,28 +185,32 @@ def _tiles(it):
 def _pivot_pairs(percent: int):
     """Round one: members of a tile against its pivots (all pairs of small tiles), and the pivots
     themselves for keys with several tiles (as rows with no partner)."""
+    def rows(a, b, lone_k, lone_c):
+        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (a, b))
+        k = len(lone_c)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([a, np.array(lone_c, np.int64)])), pa.concat_arrays([pa.array(b), pa.nulls(k, pa.int64())]),
+             pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(lone_k, pa.int64())])], names=["a", "b", "key"])
+
     def run(it):
-        for b in it:
-            pa_, pb = [], []
-            lone_k, lone_c = [], []
-            for key, multi, ns, cs in zip(b.column("key").to_pylist(), b.column("multi").to_pylist(),
-                                          b.column("ns"), b.column("cs"), strict=True):
+        a, b, lone_k, lone_c, held = [], [], [], [], 0
+        for x in it:
+            for key, multi, ns, cs in zip(x.column("key").to_pylist(), x.column("multi").to_pylist(), x.column("ns"), x.column("cs"), strict=True):
                 n, c = ns.values.to_numpy(), cs.values.to_numpy()
                 m = len(n)
                 low = np.argsort(c)[:m if m <= 16 else PIVOTS]
                 i, j = np.repeat(low, m), np.tile(np.arange(m), len(low))
                 ok = (c[i] < c[j]) & (100 * np.minimum(n[i], n[j]).astype(np.int64) >= percent * np.maximum(n[i], n[j]).astype(np.int64))
-                pa_.append(c[i[ok]])
-                pb.append(c[j[ok]])
+                a.append(c[i[ok]])
+                b.append(c[j[ok]])
+                held += len(a[-1])
                 if multi:
                     lone_k += [key] * min(PIVOTS, m)
                     lone_c += np.sort(c)[:PIVOTS].tolist()
-            a = np.concatenate([*pa_, np.zeros(0, np.int64)])
-            p = np.unique(np.stack([a, np.concatenate([*pb, np.zeros(0, np.int64)])], 1), axis=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([p[:, 0], np.array(lone_c, np.int64)])),
-                 pa.array([*p[:, 1].tolist(), *[None] * len(lone_c)], pa.int64()),
-                 pa.array([*[None] * len(p), *lone_k], pa.int64())], names=["a", "b", "key"])
+                if held > _FLUSH:
+                    yield rows(a, b, lone_k, lone_c)
+                    a, b, lone_k, lone_c, held = [], [], [], [], 0
+        yield rows(a, b, lone_k, lone_c)
     return run
 
 
@@ -249,34 +262,80 @@ def _bound_pairs(percent: int):
     return run
 
 
-def _tile_pairs(percent: int, two: bool):
-    """Round two: pairs of different components in a tile, or between two tiles, that pass sizes
-    and bitmaps. Members are structs (n, cls, comp, bits)."""
-    def members(x):
-        return (x.field("n").to_numpy(), x.field("cls").to_numpy(), x.field("comp").to_numpy(), x.field("bits").to_pylist())
+def _meeting_pairs(percent: int, n, c, p, split: int, bits: list | None = None) -> list[np.ndarray]:
+    """Rows (a, b, needed meetings) of pairs of different components with fitting sizes (and, if
+    given, bitmaps) in one tile, or between its first ``split`` members and the others."""
+    got, m = [], split
+    if not split:  # members of the largest component come last: no pairs among them
+        label, count = np.unique(p, return_counts=True)
+        own = p == label[np.argmax(count)]
+        order = np.argsort(own, kind="stable")
+        n, c, p, m = n[order], c[order], p[order], int((~own).sum())
+        bits = [bits[q] for q in order] if bits else None
+    for lo in range(0, m, 64):  # 64 members against the rest at a time
+        left = np.arange(lo, min(lo + 64, m))
+        right = np.arange(split or lo, len(n))
+        i, j = np.repeat(left, len(right)), np.tile(right, len(left))
+        small, big = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
+        ok = (p[i] != p[j]) & (100 * small >= percent * big) & (i < j)
+        i, j, small = i[ok], j[ok], small[ok]
+        if bits and len(i):
+            ok = _may_link(n[i], n[j], _differ(bits, i, j), percent)
+            i, j, small = i[ok], j[ok], small[ok]
+        if len(i):
+            got.append(np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j]), _meetings(small)], 1))
+    return got
+
+
+def _met(got: list[np.ndarray]) -> pa.RecordBatch:
+    u = np.concatenate([np.zeros((0, 3), np.int64), *got])
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(u[:, k])) for k in range(3)], names=["a", "b", "need"])
+
+
+_MET = "a long, b long, need long"
+_FLUSH = 100_000  # pairs that a task holds before it passes them on
+
+
+def _runs_with_components(percent: int):
+    """Round two, keys of one tile: rows (key, n, cls, comp), a key's rows together."""
+    def run(it):
+        held, got = [], []
+        for b in it:
+            cols = [b.column(i).to_numpy() for i in range(4)]
+            if held:
+                cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
+            if not len(cols[0]):
+                continue
+            at = run_bounds(cols[0])
+            for s, e in zip(at[:-2].tolist(), at[1:-1].tolist(), strict=True):
+                p = cols[3][s:e]
+                if (p != p[0]).any():
+                    got += _meeting_pairs(percent, cols[1][s:e], cols[2][s:e], p, 0)
+            held = [x[at[-2]:] for x in cols]
+            if sum(map(len, got)) > _FLUSH:
+                yield _met(got)
+                got = []
+        if held:
+            got += _meeting_pairs(percent, held[1], held[2], held[3], 0)
+        yield _met(got)
+    return run
 
+
+def _tile_pairs(percent: int, two: bool):
+    """Round two, keys of several tiles: pairs in a tile, or between two. Members are structs
+    (n, cls, comp, bits); as such keys hold many members, their bitmaps are compared at once."""
     def run(it):
         for b in it:
-            got = [np.zeros((0, 2), np.int64)]
+            got = []
             for r in range(b.num_rows):
-                n, c, p, bits = members(b.column("m1")[r].values)
-                m = len(n)
-                if two:
-                    n2, c2, p2, bits2 = members(b.column("m2")[r].values)
-                    n, c, p, bits = np.concatenate([n, n2]), np.concatenate([c, c2]), np.concatenate([p, p2]), bits + bits2
-                for lo in range(0, m, 64):  # 64 members against the rest at a time
-                    left = np.arange(lo, min(lo + 64, m))
-                    right = np.arange(m, len(n)) if two else np.arange(m)
-                    i, j = np.repeat(left, len(right)), np.tile(right, len(left))
-                    small, big = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
-                    ok = (p[i] != p[j]) & (100 * small >= percent * big) & (two | (i < j))
-                    i, j = i[ok], j[ok]
-                    if len(i):
-                        ok = _may_link(n[i], n[j], _differ(bits, i, j), percent)
-                        i, j = i[ok], j[ok]
-                        got.append(np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])], 1))
-            u = np.unique(np.concatenate(got), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1])], names=["a", "b"])
+                tiles = [b.column(m)[r].values for m in (("m1", "m2") if two else ("m1",))]
+                n, c, p = (np.concatenate([t.field(f).to_numpy() for t in tiles]) for f in ("n", "cls", "comp"))
+                bits = [x for t in tiles for x in t.field("bits").to_pylist()]
+                got += _meeting_pairs(percent, n, c, p, len(tiles[0]) if two else 0, bits)
+                if sum(map(len, got)) > _FLUSH:
+                    yield _met(got)
+                    got = []
+            yield _met(got)
     return run
 
 
@@ -321,17 +380,55 @@ class JaccardJoin:
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """Exact links among candidate pairs (a, b) of classes, written."""
         need = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        ids = materialize(need.join(self.reps.select("cls", "doc_id"), "cls").select("doc_id").distinct())
-        ids = _small(ids.withColumnRenamed("doc_id", "need_id"))
-        sets = materialize(self.src.join(ids, F.col("doc_id").eqNullSafe(F.col("need_id"))).select("text")
+        ids = materialize(need.join(self.reps.select("cls", "doc_id"), "cls").select(F.col("doc_id").alias("need_id")).distinct())
+        sets = materialize(self.src.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("need_id"))).select("text")
                            .mapInArrow(_sets_of(self.k), "cls long, set binary").dropDuplicates(["cls"]))
         j = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")), "a") \
             .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
-        return materialize(j.mapInArrow(_decide(self.percent), "a long, b long"))
+        out = materialize(j.mapInArrow(_decide(self.percent), "a long, b long"))
+        discard(ids, sets)
+        return out
+
+    def _bounded(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that the bitmaps do not rule out."""
+        one = self.reps.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+        two = self.reps.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+        return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b") \
+            .mapInArrow(_bound_pairs(self.percent), "a long, b long")
+
+    @staticmethod
+    def _members(tiles: DataFrame, comp: DataFrame) -> DataFrame:
+        """A row for each member of the tiles, with its component (its own class if it has none)."""
+        rows = tiles.select("key", "tile", F.posexplode(F.arrays_zip("ns", "cs")).alias("i", "x")).select(
+            "key", "tile", "i", F.col("x.ns").alias("n"), F.col("x.cs").alias("cls"))
+        return rows.join(comp, F.col("cls") == F.col("node"), "left").select("key", "tile", "i", "n", "cls", F.coalesce("label", "cls").alias("comp"))
+
+    def _one_tile(self, tiles: DataFrame, comp: DataFrame) -> DataFrame:
+        """Meetings at keys of one tile. A key's rows lie together in the tiles' files and stay so
+        if the components come by broadcast; else they are brought together again."""
+        small = comp.count() <= BROADCAST_ROWS
+        rows = self._members(tiles, F.broadcast(comp) if small else comp)
+        if not small:
+            rows = rows.repartition(self.parts, "key").sortWithinPartitions("key", "i")
+        return rows.select("key", "n", "cls", "comp").mapInArrow(_runs_with_components(self.percent), _MET)
+
+    def _many_tiles(self, tiles: DataFrame, comp: DataFrame) -> DataFrame:
+        """Meetings at keys of several tiles: keys with one component are dropped, then tiles of the
+        others are compared in themselves and with each other where their size bands overlap."""
+        pct = self.percent
+        rows = materialize(self._members(tiles, comp))
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        left = rows.join(mixed, "key").join(self.reps.select("cls", "bits"), "cls")
+        grouped = materialize(left.groupBy("key", "tile").agg(
+            F.min("n").alias("n0"), F.max("n").alias("n1"), F.collect_list(F.struct("n", "cls", "comp", "bits")).alias("m1")))
+        others = grouped.select("key", F.col("tile").alias("tile2"), F.col("n0").alias("n02"), F.col("n1").alias("n12"), F.col("m1").alias("m2"))
+        across = grouped.join(others, "key").where(f"tile < tile2 AND 100 * n1 >= {pct} * n02 AND 100 * n12 >= {pct} * n0").select("m1", "m2")
+        self.spare = [rows, grouped]
+        return grouped.select("m1").mapInArrow(_tile_pairs(pct, False), _MET).union(across.mapInArrow(_tile_pairs(pct, True), _MET))
 
     def run(self) -> DataFrame:
-        """(doc_id, n_shingles, label, comp_doc): the row's set size, its component's class label
-        and the smallest id in the component."""
+        """(doc_id, n_shingles, component_id): the row's set size and the smallest id in its
+        component."""
         pct = self.percent
         hot, hot_count = _common_shingles(self.src, self.k)
         salts = max(1, math.ceil(int(hot_count.max()) / (4 * TILE))) if len(hot) else 1
@@ -348,42 +445,27 @@ class JaccardJoin:
                             .mapInArrow(_tiles, "key long, tile long, multi boolean, ns array<int>, cs array<long>"))
 
         # round one: pivots, on one key in eight
-        first = materialize(tiles.where("key % 8 = 0").mapInArrow(_pivot_pairs(pct), "a long, b long, key long"))
-        lone = first.where("key IS NOT NULL").select("key", "a").distinct()
+        first = materialize(tiles.where("key % 8 = 0").mapInArrow(_pivot_pairs(pct), "a long, b long, key long").distinct())
+        lone = first.where("key IS NOT NULL").select("key", "a")
         low = lone.groupBy("key").agg(F.min("a").alias("low"))
         across = lone.join(low, "key").where("a <> low").select(F.col("low").alias("a"), F.col("a").alias("b"))
-        pairs = first.where("key IS NULL").select("a", "b").union(across).distinct()
-        sig_a = self.reps.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
-        sig_b = self.reps.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
-        tried = materialize(pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-                            .mapInArrow(_bound_pairs(pct), "a long, b long"))
+        tried = materialize(self._bounded(first.where("key IS NULL").select("a", "b").union(across).distinct()))
         links = self._verify(tried)
-        comp = materialize(components(links))
+        comp = components(links)
 
-        # round two: tiles that still hold two components
-        c = _small(comp)
-        rows = tiles.select("key", "tile", F.posexplode(F.arrays_zip("ns", "cs")).alias("i", "x")).select(
-            "key", "tile", F.col("x.ns").alias("n"), F.col("x.cs").alias("cls"))
-        rows = rows.join(c, F.col("cls") == F.col("node"), "left").select("key", "tile", "n", "cls", F.coalesce("label", "cls").alias("comp"))
-        mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("tile").alias("t0"), F.max("tile").alias("t1")) \
-            .where("lo <> hi").select("key", F.col("t0").alias("t0"), F.col("t1").alias("t1"))
-        left = rows.join(materialize(mixed), "key").join(self.reps.select("cls", "bits"), "cls")
-        grouped = materialize(left.groupBy("key", "tile").agg(
-            F.first(F.col("t0") != F.col("t1")).alias("multi"), F.min("n").alias("n0"), F.max("n").alias("n1"),
-            F.collect_list(F.struct("n", "cls", "comp", "bits")).alias("m1")))
-        many = grouped.where("multi").alias("x")
-        others = grouped.where("multi").select("key", F.col("tile").alias("tile2"), F.col("n0").alias("n02"), F.col("n1").alias("n12"), F.col("m1").alias("m2"))
-        across = many.join(others, "key").where(f"tile < tile2 AND 100 * n1 >= {pct} * n02 AND 100 * n12 >= {pct} * n0").select("m1", "m2")
-        late = grouped.select("m1").mapInArrow(_tile_pairs(pct, False), "a long, b long").union(
-            across.mapInArrow(_tile_pairs(pct, True), "a long, b long")).distinct()
-        late = materialize(late.join(tried, ["a", "b"], "left_anti"))
+        # round two: keys that still hold two components
+        met = self._one_tile(tiles.where("NOT multi"), comp).union(self._many_tiles(tiles.where("multi"), comp))
+        late = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
+        late = materialize(self._bounded(late.join(tried, ["a", "b"], "left_anti")))
         more = self._verify(late) if late.limit(1).count() else late
         if more.limit(1).count():
-            comp = materialize(components(links.union(more)))
+            discard(comp)
+            comp = components(links.union(more))
 
         labelled = sig.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(comp, F.col("cls") == F.col("node"), "left") \
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "cls")).alias("label"))
         labelled = materialize(labelled)
+        discard(sig, self.reps, tiles, first, tried, links, late, more, comp, *self.spare)  # all that the result needs is in ``labelled``
         lowest = materialize(labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id")))
         return labelled.join(lowest, "label", "left").select(
             "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reuse_input
-from .common import batches, materialize
+from .common import batches, discard, materialize
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, START = 0, 1       # ids and classes of the end token and of the start of a text
@@ -268,6 +268,7 @@ def train(chunks: DataFrame, vocab: DataFrame, top_words: int = 4096, classes: i
     pairs = materialize(chunks.where(~F.col("held_out")).select("text").mapInArrow(_pairs(ids, base), "u int, v int, n long")
                         .groupBy("u", "v").agg(F.sum("n").alias("n")))
     cls, m = exchange(pairs, base, classes, rounds)
+    discard(pairs)
     return Model(ids, cls, m, counts, open_n, open_v, tokens, types, ends)
 
 

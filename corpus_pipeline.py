@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.llm import dedup, jaccard, mixing, packing, pu_classifier
-from tsforge.llm.common import prepare, shared_dir, table
+from tsforge.llm.common import parts_for, prepare, shared_dir, table
 from tsforge.llm.queries import fifth, tokenizer
 
 THRESHOLD = 0.3  # score from which a document is kept
@@ -46,8 +46,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, ordered by the earliest-deadline-first schedule of their sources."""
     prepare(spark)
     mixed = mixing.mix(docs)
-    n = max(1, docs.rdd.getNumPartitions())
-    return mixed.repartitionByRange(n, "mix_slot", "mix_pos").sortWithinPartitions("mix_slot", "mix_pos").select(*docs.columns)
+    return mixed.repartitionByRange(parts_for(docs), "mix_slot", "mix_pos").sortWithinPartitions("mix_slot", "mix_pos").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

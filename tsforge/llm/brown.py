@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reuse_input
-from .common import batches, discard, materialize
+from .common import batches, discard, free_memory, materialize
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, START = 0, 1       # ids and classes of the end token and of the start of a text
@@ -82,6 +82,7 @@ def _count(it):
         if sum(map(len, held.values())) >= MAX_WORDS:
             yield from rows()
     yield from rows()
+    free_memory()
 
 
 def count_words(chunks: DataFrame) -> DataFrame:
@@ -122,6 +123,7 @@ def _pairs(ids: dict[bytes, int], base: int):
                 codes, held = [], 0
         if codes:
             yield rows()
+        free_memory()
     return run
 
 

@@ -73,6 +73,18 @@ def batches(column):
     return ["" if t is None else t for t in column.to_pylist()]
 
 
+def free_memory() -> None:
+    """Give memory that a task has freed back to the system: Python workers live on and serve later
+    stages, beside an executor's heap that does not shrink."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def run_bounds(a: np.ndarray) -> np.ndarray:
     """Start positions of the runs of equal values of ``a``, with len(a) at the end."""
     if not len(a):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import batches, discard, input_bytes, materialize, run_bounds
+from .common import batches, discard, free_memory, input_bytes, materialize, run_bounds
 from .components import components
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -137,6 +137,7 @@ def _signatures(k: int, percent: int, hot: np.ndarray, hot_count: np.ndarray):
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)],
                                              names=["doc_id", "n", "cls", "cls2", "bits", "prefix", "n_hot"])
+        free_memory()
     return run
 
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import free_memory, materialize
 from .tokens import encoder, slices
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -92,6 +92,7 @@ def _pack_partition(path: str, end: int, seq_len: int, space: int):
                     out = []
         yield _rows(out, base, -1)
         yield _rows(win.rest(), base, part)
+        free_memory()
     return run
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
-from .common import batches
+from .common import batches, free_memory
 from .quality_rules import measure_text
 
 BINS = 1 << 12
@@ -168,6 +168,7 @@ def with_score(docs: DataFrame, model: Model | None, text_col: str = "text", out
                 r = Rows(texts[lo:lo + 256])
                 parts.append(np.full(r.n, 0.5) if model is None else _sigmoid(model.margin(r)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(parts))], names=[*b.schema.names, out])
+        free_memory()
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 

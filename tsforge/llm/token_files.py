@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import input_bytes, open_fs, parts_for
+from .common import free_memory, input_bytes, open_fs, parts_for
 from .tokens import encoder, slices
 
 NULL_ID = -(1 << 63)    # stands for a null id inside files
@@ -67,6 +67,8 @@ def segments(it, tokenizer: str, end: int, segment_ids: int = SEGMENT_IDS):
                 docs, parts, lengths, held = [], [], [], 0
     if docs:
         yield done()
+    docs, parts, lengths = [], [], []
+    free_memory()
 
 
 def shard_number() -> int:

@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_PIECES = 200_000  # pieces that a Python worker remembers; frequent ones come early, so it then
-CACHE_RUNS = 500_000    # keeps those and holds others for one call only. The same for runs
+CACHE_PIECES = 160_000  # pieces that a Python worker remembers; frequent ones come early, so it then
+CACHE_RUNS = 400_000    # keeps those and holds others for one call only. The same for runs
 _SAFE = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PUNCT = r"!-&(-/:-@\[-`{-~"  # ASCII, without the apostrophe

@@ -250,6 +250,41 @@ def test_move_gain_is_the_change_in_likelihood():
             assert gains[b - first] - gains[cls[w] - first] == pytest.approx(brown.likelihood(matrix(moved)) - brown.likelihood(m), abs=1e-8)
 
 
+def test_gains_of_many_words_equal_those_of_each():
+    rnd = np.random.default_rng(9)
+    words, nc, first = 40, 9, 3
+    big = rnd.integers(0, 3, (words, words)) * (rnd.random((words, words)) < 0.3).astype(float)
+    cls = np.concatenate([[0, 1, 2], rnd.integers(first, nc, words - 3)])
+    m = np.zeros((nc, nc))
+    np.add.at(m, (cls[:, None], cls[None, :]), big)
+    ids = np.arange(3, words)
+    other = [np.arange(words) != w for w in ids]
+    out = np.array([np.bincount(cls[o], big[w, o], nc) for w, o in zip(ids, other, strict=True)])
+    into = np.array([np.bincount(cls[o], big[o, w], nc) for w, o in zip(ids, other, strict=True)])
+    got = brown.gains_of(m, cls[ids], out, into, big[ids, ids], first)
+    want = [brown.move_gains(m, int(cls[w]), o, i, big[w, w], first) for w, o, i in zip(ids, out, into, strict=True)]
+    assert np.allclose(got, want, atol=1e-8)
+
+
+def test_brown_clusters_every_word_above_the_floor(spark):
+    queries.prepare(spark)
+    rnd = np.random.default_rng(10)
+    # 5,000 words of 12 tokens and one ending; the a follow rare words in "one", the b rare words in "two"
+    left, right = [rnd.permutation([f"{side}{i:04d}x" for i in range(2_500)] * 12) for side in "ab"]
+    words = [w for k, (x, y) in enumerate(zip(left, right, strict=True)) for w in (f"{k}one", x, f"{k}two", y)]
+    rows = [(i, " ".join(words[i * 300:i * 300 + 300])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    chunks = brown.chunked(brown.reuse_input(docs), "doc_id", "text", lambda c: F.col(c) < 0)
+    vocab, base = brown.numbered(brown.count_words(chunks), 10)
+    words = vocab.where("lead").select("word", "c", "id").collect()
+    assert all((r["id"] is not None) == (r["c"] >= 10) for r in words)
+    ids = [r["id"] for r in words if r["id"] is not None]
+    assert len(ids) == 5_000 and len(set(ids)) == len(ids) and 2 <= min(ids) and max(ids) == base - 1
+    model = brown.train(chunks, vocab, base, classes=2)
+    side = Counter((bytes(r["word"])[:1], int(model.cls[r["id"]])) for r in words if r["id"] is not None)
+    assert max(side[b"a", k] + side[b"b", j] for k, j in ((66, 67), (67, 66))) > 0.95 * len(ids)
+
+
 def test_brown_model_sums_to_one():
     m = np.array([[0, 0, 0, 0], [1, 0, 4, 2], [3, 0, 2, 5], [2, 0, 6, 1.0]])
     cls = np.array([0, 1, 3, 3])

@@ -2,16 +2,18 @@
 
     p(w_i | w_(i-1)) = p(class(w_i) | class(w_(i-1))) p(w_i | class(w_i))
 
-The ``top_words`` most frequent words get their classes by exchange clustering: in each round every
-word weighs a move to each class by the exact change in the training likelihood, computed from its
-neighbour-class counts; half of the words may move at a time, and the best assignment seen is kept.
-All other words, and words never seen, belong to open classes by their ending, whose emission is
-add-one smoothed with room for one unseen word. Transitions are smoothed towards the class shares.
-
-Counts cover the whole training corpus and are made in tasks, shuffled, and kept as tables; only the
-bounded word list and class matrices reach the driver. The scoring pass brings to each chunk of
-documents the counts of just the words in that chunk (cogrouped by chunk), so no vocabulary is ever
-broadcast.
+Every word seen at least ``min_count`` times in training gets its class by exchange clustering: in
+each round every word weighs a move to each class by the exact change in the training likelihood,
+computed from its neighbour-class counts. A share of the words that gain by a move moves at a time; a
+round that does not help is undone and the share halved. Rounds go on until one gains less than
+``tol`` (nats a training token, as if all had moved). Rarer words, and words never seen, belong to
+open classes by their ending, whose emission is add-one smoothed with room for one unseen word.
+Transitions are smoothed towards the class shares.
+
+Counts cover the whole training corpus and are made in tasks, shuffled, and kept as tables, and so are
+the words and their numbers. The driver holds, and tasks get, the class matrix and the class of each
+clustered word by its number (2 bytes a word), never the words. The passes that build pairs and
+score bring to each chunk of documents just the words in that chunk (cogrouped by chunk).
 
 Cases: null and empty texts are a single end token; a null id counts as the empty text for the
 hold-out rule; rows that repeat an id or a text each count and each get a row; very long texts are
@@ -93,37 +95,50 @@ def count_words(chunks: DataFrame) -> DataFrame:
                                        "row_number() OVER (PARTITION BY word ORDER BY chunk) = 1 AS lead"))
 
 
-def _pairs(ids: dict[bytes, int], base: int):
-    """Counts of neighbouring ids (u, v) in the training texts."""
-    size = base + OPEN
+def numbered(vocab: DataFrame, min_count: int, top_words: int | None = None) -> tuple[DataFrame, int]:
+    """``vocab`` with the number of each clustered word (``id``, from 2 on; null for others), and one
+    more than the largest. Words are numbered in hash buckets of about equal size, so a few numbers
+    are left without a word, and in hash order, so that first classes are dealt at random. Written."""
+    lead = vocab.where(F.col("lead") & (F.col("c") >= max(1, min_count)))
+    if top_words is not None:
+        lead = lead.orderBy(F.desc("c"), "word").limit(top_words)
+    buckets = max(1, min(1 << 16, lead.count() // 200))
+    words = lead.select("word", F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b")) \
+        .selectExpr("word", f"cast(1 + b + (row_number() OVER (PARTITION BY b ORDER BY xxhash64(word, 7), word) - 1) * {buckets} + 1 AS int) AS id")
+    out = materialize(vocab.join(words, "word", "left"))
+    return out, 1 + (out.agg(F.max("id")).first()[0] or 1)
 
-    def run(it):
-        known = dict(ids)
-        codes: list = []
-        held = 0
-
-        def rows():
-            v, c = np.unique(np.concatenate(codes), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array((v // size).astype(np.int32)), pa.array((v % size).astype(np.int32)),
-                                               pa.array(c.astype(np.int64))], names=["u", "v", "n"])
-        for b in it:
-            for text in batches(b.column(0)):
-                ws = words_of(text)
-                for w in set(ws).difference(known):
-                    known[w] = base + open_class(w)
-                s = np.empty(len(ws) + 2, np.int64)
-                s[0], s[-1] = START, END
-                s[1:-1] = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-                codes.append(s[:-1] * size + s[1:])
-                held += len(ws)
-                if len(known) > len(ids) + MAX_WORDS:
-                    known = dict(ids)
+
+def _pairs(base: int):
+    """Counts of neighbouring ids (u, v) in a chunk's training texts; open ids from ``base`` on."""
+    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+        opened = words.column("open").to_numpy().astype(np.int64)
+        own = words.column("id").fill_null(-1).to_numpy().astype(np.int64)
+        ids, local = np.unique(np.concatenate([[END, START], np.where(own < 0, base + opened, own)]), return_inverse=True)
+        at = dict(zip(words.column("word").to_pylist(), local[2:].tolist(), strict=True))
+        size, codes, held = len(ids), [], 0
+        found: list = []
+
+        def settle():
+            found.append(np.unique(np.concatenate(codes), return_counts=True))
+            codes.clear()
+        for text in batches(texts.column("text")):
+            doc = words_of(text)
+            try:
+                s = np.fromiter(map(at.__getitem__, doc), np.int64, len(doc))
+            except KeyError as e:
+                raise RuntimeError("a chunk's words differ between two scans of the same input") from e
+            s = np.concatenate([local[1:2], s, local[:1]])
+            codes.append(s[:-1] * size + s[1:])
+            held += len(s)
             if held >= 4_000_000:
-                yield rows()
-                codes, held = [], 0
+                settle()
+                held = 0
         if codes:
-            yield rows()
-        free_memory()
+            settle()
+        code, n = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return pa.table({"u": pa.array(ids[code // size].astype(np.int32)), "v": pa.array(ids[code % size].astype(np.int32)),
+                         "n": pa.array(n.astype(np.int64))})
     return run
 
 
@@ -131,7 +146,7 @@ def _matrix(cls: np.ndarray, nc: int):
     def run(it):
         m = np.zeros(nc * nc)
         for b in it:
-            u, v = cls[b.column("u").to_numpy()], cls[b.column("v").to_numpy()]
+            u, v = (cls[b.column(c).to_numpy()].astype(np.int64) for c in ("u", "v"))
             m += np.bincount(u * nc + v, b.column("n").to_numpy(), minlength=nc * nc)
         at = np.flatnonzero(m)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(m[at].astype(np.int64))], names=["cell", "n"])
@@ -172,62 +187,109 @@ def move_gains(m: np.ndarray, a: int, out: np.ndarray, into: np.ndarray, same: f
     return gain - (_xlogx(rows[to] + ro) - _xlogx(rows[to])) - (_xlogx(cols[to] + ci) - _xlogx(cols[to]))
 
 
-def _neighbours(cls: np.ndarray, nc: int, words: int):
-    """Counts of each top word with classes: cell = (id * 3 + side) * classes + class; sides are
-    after, before, itself."""
-    def run(it):
-        keys, ns = [], []
-        for b in it:
-            u, v, n = (b.column(c).to_numpy().astype(np.int64) for c in ("u", "v", "n"))
-            top_u, top_v, same = (u >= 2) & (u < words), (v >= 2) & (v < words), u == v
-            a, b_ = top_u & ~same, top_v & ~same
-            keys += [(u[a] * 3) * nc + cls[v[a]], (v[b_] * 3 + 1) * nc + cls[u[b_]], (u[top_u & same] * 3 + 2) * nc]
-            ns += [n[a], n[b_], n[top_u & same]]
-        if keys:
-            k, inv = np.unique(np.concatenate(keys), return_inverse=True)
-            s = np.bincount(inv, np.concatenate(ns), minlength=len(k)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(k // (3 * nc)), pa.array(k), pa.array(s)], names=["id", "cell", "n"])
-    return run
+def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, same: np.ndarray, first: int) -> np.ndarray:
+    """``move_gains`` of many words at once (a row each), at the cost of their nonzero counts."""
+    n, nc = out.shape
+    to, row = np.arange(first, nc), np.arange(n)
+    gain = np.zeros((n, nc - first))
+    for c, mine, other in ((m, out, into), (m.T, into, out)):
+        at, cell = np.nonzero(mine)
+        for lo in range(0, len(at), 20_000):
+            w, k = at[lo:lo + 20_000], cell[lo:lo + 20_000]
+            x = mine[w, k]
+            base = c[first:, k].T.copy()
+            e = np.flatnonzero(k == a[w])  # the word's own share of its class leaves the cells
+            base[e] -= other[w[e], first:]
+            base[e, a[w[e]] - first] -= same[w[e]]
+            base[np.arange(len(w)), a[w] - first] -= x
+            np.maximum(base, 0, out=base)
+            more = _xlogx(base + x[:, None]) - _xlogx(base)
+            start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+            gain[w[start]] += np.add.reduceat(more, start, axis=0)
+    diag = np.repeat(m[to, to][None, :], n, axis=0)
+    diag[row, a - first] -= out[row, a] + into[row, a] + same
+    np.maximum(diag, 0, out=diag)
+    o, i = out[:, first:], into[:, first:]
+    gain -= _xlogx(diag + o) - 2 * _xlogx(diag) + _xlogx(diag + i)
+    gain += _xlogx(diag + o + i + same[:, None]) - _xlogx(diag)
+    ro, ci = out.sum(1) + same, into.sum(1) + same
+    rows, cols = np.repeat(m.sum(1)[None, first:], n, axis=0), np.repeat(m.sum(0)[None, first:], n, axis=0)
+    rows[row, a - first] -= ro
+    cols[row, a - first] -= ci
+    return gain - (_xlogx(rows + ro[:, None]) - _xlogx(rows)) - (_xlogx(cols + ci[:, None]) - _xlogx(cols))
+
+
+def neighbours(pairs: DataFrame, words: int) -> DataFrame:
+    """(id, near): one row for each clustered word with its counted neighbours; k = neighbour * 3 +
+    side, sides are after, before, itself. Written once, so that no round shuffles them again."""
+    ends = "stack(2, u, v * 3 + if(u = v, 2, 0), v, if(u = v, -1, u * 3 + 1)) AS (id, k)"
+    rows = pairs.selectExpr("cast(u AS long) AS u", "cast(v AS long) AS v", "n").selectExpr(ends, "n").where(f"k >= 0 AND id >= 2 AND id < {words}")
+    return materialize(rows.groupBy("id").agg(F.collect_list(F.struct("k", "n")).alias("near")))
 
 
 def _moves(cls: np.ndarray, m: np.ndarray, first: int):
+    """The best class of each word that gains by a move, with the gain."""
     nc = len(m)
 
     def run(it):
-        tables = [b for b in it if b.num_rows]
-        if not tables:
-            return
-        ids, cell, n = (np.concatenate([b.column(c).to_numpy() for b in tables]) for c in ("id", "cell", "n"))
-        words, inv = np.unique(ids, return_inverse=True)
-        full = np.bincount(inv * (3 * nc) + cell % (3 * nc), n, minlength=len(words) * 3 * nc).reshape(len(words), 3, nc)
-        best = [first + int(np.argmax(move_gains(m, int(cls[w]), f[0], f[1], float(f[2, 0]), first))) for w, f in zip(words, full, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best, pa.int32())], names=["id", "best"])
+        for b in it:
+            for lo in range(0, b.num_rows, 500):
+                part = b.slice(lo, 500)
+                w, near = part.column("id").to_numpy(), part.column("near")
+                size = near.value_lengths().to_numpy()
+                k, n = (x.to_numpy() for x in near.flatten().flatten())
+                side = k % 3
+                cell = (np.repeat(np.arange(len(w)), size) * 3 + side) * nc + np.where(side < 2, cls[k // 3], 0)
+                full = np.bincount(cell, n, minlength=len(w) * 3 * nc).reshape(len(w), 3, nc)
+                a = cls[w].astype(np.int64)
+                gain = gains_of(m, a, full[:, 0], full[:, 1], full[:, 2, 0], first)
+                best = gain.argmax(1)
+                more = gain[np.arange(len(w)), best] - gain[np.arange(len(w)), a - first]
+                on = more > 1e-6
+                yield pa.RecordBatch.from_arrays([pa.array(w[on]), pa.array((first + best[on]).astype(np.int32)), pa.array(more[on])],
+                                                 names=["id", "best", "gain"])
+        free_memory()
     return run
 
 
-def exchange(pairs: DataFrame, words: int, classes: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def exchange(pairs: DataFrame, words: int, classes: int, rounds: int | None = None, tol: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all ids and the class matrix. Ids from 2 to ``words`` - 1 are clustered, in
-    classes from 2 + OPEN on; open ids keep their class."""
+    classes from 2 + OPEN on; open ids keep their class. Without ``rounds`` the search goes on
+    until a round gains less than ``tol`` a token, or no share of the moves helps any more."""
     nc, first = 2 + OPEN + classes, 2 + OPEN
-    cls = np.concatenate([[END, START], first + np.arange(words - 2) % classes, 2 + np.arange(OPEN)]).astype(np.int64)
+    cls = np.concatenate([[END, START], first + np.arange(words - 2) % classes, 2 + np.arange(OPEN)]).astype(np.int16)
     m = class_matrix(pairs, cls, nc)
-    best = (likelihood(m), cls, m)
-    for r in range(rounds if words > 2 else 0):
-        near = pairs.mapInArrow(_neighbours(cls, nc, words), "id long, cell long, n long").groupBy("id", "cell").agg(F.sum("n").alias("n"))
-        got = near.repartition("id").mapInArrow(_moves(cls, m, first), "id long, best int").toPandas()  # one row for each top word
-        turn = got[got["id"] % 2 == r % 2] if r else got
-        cls = cls.copy()
-        cls[turn["id"]] = turn["best"]
-        m = class_matrix(pairs, cls, nc)
-        if likelihood(m) > best[0]:
-            best = (likelihood(m), cls, m)
-        else:
-            cls, m = best[1].copy(), best[2]
-    return best[1], best[2]
+    had, share, r = likelihood(m), 1.0, 0
+    least = 1 / max(1, words)
+    near = neighbours(pairs, words)
+    while words > 2 and (rounds is None or r < rounds):
+        got = near.mapInArrow(_moves(cls, m, first), "id long, best int, gain double").toPandas()  # numbers only, of words that gain
+        ids, best = got["id"].to_numpy(), got["best"].to_numpy()
+        if got["gain"].sum() < tol * m.sum():
+            break
+        gain = 0.0
+        while gain <= 0 and share >= least:
+            draw = (ids * 2_654_435_761 + (r + 1) * 2_246_822_519) % 4_294_967_291 / 4_294_967_291
+            go = draw < share
+            new = cls.copy()
+            new[ids[go]] = best[go]
+            m2 = class_matrix(pairs, new, nc)
+            gain = likelihood(m2) - had
+            if gain <= 0:
+                share /= 2
+        if gain <= 0:
+            break
+        cls, m, had, r = new, m2, had + gain, r + 1
+        if gain / share < tol * m.sum():
+            break
+        share = min(share * 2, 0.5)
+    discard(near)
+    return cls, m
 
 
 class Model:
-    """Class transitions and emissions (log10); a few MB at most, sent with the tasks."""
+    """Class transitions and emissions (log10), sent with the tasks: class matrices and the class of
+    each numbered word. ``ids`` and ``counts`` may give words of its own (id 2 on)."""
 
     def __init__(self, ids: dict[bytes, int], cls: np.ndarray, m: np.ndarray, counts: np.ndarray, open_n: np.ndarray,
                  open_v: np.ndarray, tokens: int, types: int, end_count: int, smooth: float = 1.0):
@@ -238,40 +300,37 @@ class Model:
         self.log_step = np.log10(np.maximum((m + smooth * share) / (m.sum(1, keepdims=True) + smooth), 1e-300))
         self.ids, self.cls, self.tokens, self.types, self.end_count = ids, cls, tokens, types, end_count
         self.open_room = open_n + open_v + 1.0
+        self.class_n = m.sum(0)  # each training token follows something, so these are the classes' tokens
         total = np.zeros(nc)
         np.add.at(total, cls[2:2 + len(counts)], counts)
         self.log_word = np.log10(counts / total[cls[2:2 + len(counts)]]) if len(counts) else np.zeros(0)
 
-    def table(self, words: list[bytes], counts: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and log10 emission of each word."""
+    def table(self, words: list[bytes], counts: np.ndarray, opened: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and log10 emission of each word; ``number`` is -1 for words that are not clustered."""
         cls = 2 + opened.astype(np.int64)
         emit = np.log10((counts + 1.0) / self.open_room[opened])
-        for i, w in enumerate(words):
-            k = self.ids.get(w)
-            if k is not None:
-                cls[i], emit[i] = self.cls[k], self.log_word[k - 2]
+        on = number >= 0
+        cls[on] = self.cls[number[on]]
+        emit[on] = np.log10(counts[on] / self.class_n[cls[on]])
         return cls, emit
 
 
-def train(chunks: DataFrame, vocab: DataFrame, top_words: int = 4096, classes: int = 64, rounds: int = 5) -> Model:
+def train(chunks: DataFrame, vocab: DataFrame, base: int, classes: int = 64, rounds: int | None = None, tol: float = 1e-3) -> Model:
+    """``vocab`` with numbers below ``base`` (``numbered``)."""
     ends = chunks.where(~F.col("held_out")).count()
     lead = vocab.where("lead AND c > 0")
-    top = [(bytes(r["word"]), r["c"]) for r in lead.orderBy(F.desc("c"), "word").limit(top_words).collect()]
-    ids = {w: i + 2 for i, (w, _) in enumerate(top)}
-    base = 2 + len(top)
-    counts = np.array([c for _, c in top], float)
-    rare = lead.groupBy("open").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()  # OPEN rows
+    sums = lead.groupBy("open").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.expr("if(id IS NULL, c, 0)")).alias("open_n"),
+                                    F.sum(F.expr("if(id IS NULL, 1, 0)")).alias("open_v")).toPandas()  # OPEN rows
     open_n, open_v = np.zeros(OPEN), np.zeros(OPEN)
-    open_n[rare["open"]], open_v[rare["open"]] = rare["n"], rare["v"]
-    tokens, types = int(open_n.sum()) + ends, int(open_v.sum()) + (ends > 0)
-    for w, c in top:
-        open_n[open_class(w)] -= c
-        open_v[open_class(w)] -= 1
-    pairs = materialize(chunks.where(~F.col("held_out")).select("text").mapInArrow(_pairs(ids, base), "u int, v int, n long")
-                        .groupBy("u", "v").agg(F.sum("n").alias("n")))
-    cls, m = exchange(pairs, base, classes, rounds)
+    open_n[sums["open"]], open_v[sums["open"]] = sums["open_n"], sums["open_v"]
+    tokens, types = int(sums["n"].sum()) + ends, int(sums["v"].sum()) + (ends > 0)
+    run = _pairs(base)
+    found = chunks.where(~F.col("held_out")).select("chunk", "text").groupBy("chunk") \
+        .cogroup(vocab.select("chunk", "word", "open", "id").groupBy("chunk")).applyInArrow(lambda left, right: run(left, right), "u int, v int, n long")
+    pairs = materialize(found.groupBy("u", "v").agg(F.sum("n").alias("n")))
+    cls, m = exchange(pairs, base, classes, rounds, tol)
     discard(pairs)
-    return Model(ids, cls, m, counts, open_n, open_v, tokens, types, ends)
+    return Model({}, cls, m, np.zeros(0), open_n, open_v, tokens, types, ends)
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -284,7 +343,7 @@ def _score(model: Model):
         ws = words.column("word").to_pylist()
         counts, opened = words.column("c").to_numpy(), words.column("open").to_numpy()
         at = {w: i for i, w in enumerate(ws)}
-        cls, emit = model.table(ws, counts, opened)
+        cls, emit = model.table(ws, counts, opened, words.column("id").fill_null(-1).to_numpy())
         room = model.tokens + model.types + 1.0
         base, known = np.log10((counts + 1.0) / room), counts > 0
         end_base, end_known = np.log10((model.end_count + 1.0) / room), int(model.end_count > 0)
@@ -306,15 +365,19 @@ def _score(model: Model):
     return run
 
 
-def score_texts(docs: DataFrame, held_out, top_words: int = 4096, classes: int = 64, rounds: int = 5,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, held_out, top_words: int | None = None, classes: int = 64, rounds: int | None = None,
+                id_col: str = "doc_id", text_col: str = "text", min_count: int = 10, tol: float = 1e-3) -> DataFrame:
     """Train on the rows for which ``held_out`` (a function from an id column's name to a boolean
     column) is false, and score all rows: doc_id, held_out, n_tokens, n_known, train_tokens,
-    base_score (add-one unigrams), score, perplexity (of the class model, by token)."""
+    base_score (add-one unigrams), score, perplexity (of the class model, by token). Words seen
+    ``min_count`` times are clustered until a round gains less than ``tol``; ``top_words`` and
+    ``rounds`` bound that only if given."""
     chunks = chunked(reuse_input(docs), id_col, text_col, held_out)
-    vocab = count_words(chunks)
-    model = train(chunks, vocab, top_words, classes, rounds)
+    counted = count_words(chunks)
+    vocab, base = numbered(counted, min_count, top_words)
+    discard(counted)
+    model = train(chunks, vocab, base, classes, rounds, tol)
     run = _score(model)
-    out = chunks.groupBy("chunk").cogroup(vocab.select("chunk", "word", "c", "open").groupBy("chunk")).applyInArrow(
+    out = chunks.groupBy("chunk").cogroup(vocab.select("chunk", "word", "c", "open", "id").groupBy("chunk")).applyInArrow(
         lambda left, right: run(left, right), _OUT_DDL)
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -204,6 +204,26 @@ def test_mix(spark, nasty, empty):
     assert out[key].sort_values("doc_id").to_numpy().tolist() == again[key].sort_values("doc_id").to_numpy().tolist()
 
 
+def test_schedule_stays_within_a_block_of_the_exact_weights():
+    rows = [333_333] + [35_087] * 10 + [35_087 + 997 * k for k in range(9)]
+    for share in ([float(n) ** 0.5 for n in rows], [0.6999, 0.3, 0.0001]):
+        w = np.array(share) / sum(share)
+        made = mixing.schedule([math.ceil(n / 16) for n in rows[:len(w)]], mixing.exact_parts(share))
+        one = made[made[:, 2] == 0, 0]
+        assert len(one) > 7_000
+        done = np.cumsum(one[:, None] == np.arange(len(w)), axis=0)
+        assert np.abs(done - np.arange(1, len(one) + 1)[:, None] * w).max() < 1 + 1e-6
+
+
+def test_mix_takes_any_number_of_sources(spark):
+    queries.prepare(spark)
+    docs = spark.range(3_000).selectExpr("id AS doc_id", "concat('s', id % 700) AS source")
+    out = mixing.mix(docs, block_rows=2).toPandas()
+    assert sorted(out.doc_id) == list(range(3_000))
+    slots = out.groupby("mix_slot").source.nunique()
+    assert (slots == 1).all() and slots.index.tolist() == list(range(len(slots)))
+
+
 # ---- Brown classes -----------------------------------------------------------------------------------------
 
 def brute_unigrams(rows, held):

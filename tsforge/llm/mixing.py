@@ -3,10 +3,12 @@
 The rows of each source are dealt, in a random but repeatable order, into blocks. With weight w,
 block j (from 0) of a source has release time floor(j / w) and deadline ceil((j + 1) / w); serving
 released blocks by earliest deadline keeps every source less than one block away from its share of
-any prefix. Weights are rationals over ``grain``, so the schedule repeats every ``grain`` slots: one
-period is scheduled on the driver (a table of ``grain`` rows, whatever the input) and each row finds
-its slot by arithmetic and a join with it. When a source runs out, the others go on with the same
-ratios in a new phase; there are at most as many phases as sources.
+any prefix. Weights are taken as whole numbers of about 2^60 parts, so that rounding does not add up
+over the slots (``grain`` rounds them to so many parts instead). When a source runs out, the others go
+on with the same ratios in a new phase; there are at most as many phases as sources.
+
+The schedule has a row for each block (not for each row) and is made on the driver, about 50 bytes a
+block; rows find their slot by a join with it on source and block. Any number of sources is taken.
 
 Cases: a null source is a source of its own; null and repeated ids are rows like others; empty and
 long texts do not matter, for rows are counted; an empty table gives no rows; rows are never
@@ -18,7 +20,11 @@ from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
+from itertools import islice
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +32,6 @@ from pyspark.sql import types as T
 from .common import materialize
 
 ADDED = ["mix_block", "mix_release", "mix_deadline", "mix_phase", "mix_slot", "mix_pos"]
-MAX_SOURCES = 500  # sources (not rows) are listed on the driver; more raise an error
 
 
 def apportion(weights: list[float], grain: int) -> list[int]:
@@ -47,50 +52,55 @@ def apportion(weights: list[float], grain: int) -> list[int]:
     return parts
 
 
-def period(parts: list[int]) -> list[int]:
-    """One period of the earliest-deadline-first schedule: the source of each slot."""
+def exact_parts(weights: list[float], bits: int = 60) -> list[int]:
+    """Whole numbers in proportion to the weights, to 2^-bits of their sum."""
+    exact = [Fraction(w) for w in weights]
+    total = sum(exact)
+    return [max(1, int(w / total * (1 << bits))) for w in exact]
+
+
+def earliest(parts: list[int]):
+    """The earliest-deadline-first schedule, slot by slot: (source, block, release, deadline)."""
     grain = sum(parts)
     waiting = [(0, i, 0) for i in range(len(parts))]  # (release, source, block)
-    heapq.heapify(waiting)
-    ready: list[tuple[int, int, int]] = []  # (deadline, source, block)
-    out = []
-    for slot in range(grain):
+    ready: list[tuple[int, int, int, int]] = []  # (deadline, source, block, release)
+    slot = 0
+    while True:
         while waiting and waiting[0][0] <= slot:
-            _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * grain // parts[i]), i, j))
-        deadline, i, j = heapq.heappop(ready)
+            release, i, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * grain // parts[i]), i, j, release))
+        deadline, i, j, release = heapq.heappop(ready)
         if deadline < slot + 1:
             raise ValueError(f"block {j} of source {i} misses its deadline {deadline}")
-        out.append(i)
-        if j + 1 < parts[i]:
-            heapq.heappush(waiting, ((j + 1) * grain // parts[i], i, j + 1))
-    return out
+        yield i, j, release, deadline
+        heapq.heappush(waiting, ((j + 1) * grain // parts[i], i, j + 1))
+        slot += 1
+
+
+def period(parts: list[int]) -> list[int]:
+    """One period of the earliest-deadline-first schedule: the source of each slot."""
+    return [i for i, *_ in islice(earliest(parts), sum(parts))]
 
 
-def phases(blocks: list[int], parts: list[int]) -> list[dict]:
-    """Phases of the whole schedule: which sources take part, their parts, the first block of each
-    source and the first slot. A phase ends at the slot after which a source has no block left."""
-    out, first, slot = [], [0] * len(blocks), 0
+def schedule(blocks: list[int], parts: list[int]) -> np.ndarray:
+    """A row for each slot: source, block, phase, release and deadline (from the phase's first
+    slot). A phase ends at the slot after which a source has no block left."""
+    out = np.empty((sum(blocks), 5), np.int64)
+    first, slot, phase = [0] * len(blocks), 0, 0
     live = [i for i, n in enumerate(blocks) if n > 0]
     while live:
         own = [parts[i] for i in live]
         g = math.gcd(*own)
-        own = [x // g for x in own]
-        order = period(own)
-        where = [[s for s, k in enumerate(order) if k == q] for q in range(len(live))]
-        size = len(order)
-
-        def last_slot(q):
-            n = blocks[live[q]] - first[live[q]]
-            return (n - 1) // own[q] * size + where[q][(n - 1) % own[q]]
-
-        end = min(last_slot(q) for q in range(len(live))) + 1
-        out.append({"live": live, "parts": own, "order": order, "first": [first[i] for i in live], "slot": slot})
-        full, rest = divmod(end, size)
-        for q, i in enumerate(live):
-            first[i] += full * own[q] + sum(s < rest for s in where[q])
-        slot += end
+        start = [first[i] for i in live]
+        for q, j, release, deadline in earliest([x // g for x in own]):
+            i = live[q]
+            out[slot] = i, start[q] + j, phase, release, deadline if deadline < 1 << 62 else 1 << 62
+            slot += 1
+            first[i] += 1
+            if first[i] == blocks[i]:
+                break
         live = [i for i in live if first[i] < blocks[i]]
+        phase += 1
     return out
 
 
@@ -108,10 +118,11 @@ def positions(rows: DataFrame, n: int, source_col: str, id_col: str) -> DataFram
         .drop("__mix_s", "__mix_c", "__mix_base", "__mix_h", "__mix_b", "__mix_r")
 
 
-def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = 16, grain: int = 1000, alpha: float = 0.5,
+def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = 16, grain: int | None = None, alpha: float = 0.5,
         source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Schedule all rows. ``weights`` maps sources to target weights (missing ones share the rest
-    evenly); by default a source's weight is its row count to the power ``alpha``. Adds mix_block
+    evenly); by default a source's weight is its row count to the power ``alpha``; ``grain``, if given,
+    rounds weights to that many parts. Adds mix_block
     (block in the source), mix_release and mix_deadline (slots, from the first slot of the phase),
     mix_phase, mix_slot (the block's place in the whole order) and mix_pos (the row's place in its
     block)."""
@@ -119,9 +130,7 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = 16, grai
     docs = docs.drop(*ADDED)
     source = F.col(f"`{source_col}`")
     counts = docs.groupBy(source.alias("s")).agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.col("s").asc_nulls_first()).limit(MAX_SOURCES + 1).collect()
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+        .orderBy(F.col("s").asc_nulls_first()).collect()  # one row for each source
     names = [r["s"] for r in counts]
     blocks = [math.ceil(r["n"] / block_rows) for r in counts]
     share = [float(r["n"]) ** alpha for r in counts]
@@ -130,36 +139,20 @@ def mix(docs: DataFrame, weights: dict | None = None, block_rows: int = 16, grai
         rest = max(0.0, 1.0 - sum(w for w in named if w is not None))
         open_ = max(1, sum(w is None for w in named))
         share = [max(w if w is not None else rest / open_, 1e-9) for w in named]
-    rows = []
-    ph = phases(blocks, apportion(share, grain)) if counts else []
-    for p, x in enumerate(ph):
-        nxt = dict(zip(ph[p + 1]["live"], ph[p + 1]["first"], strict=True)) if p + 1 < len(ph) else {}
-        where: dict[int, int] = {}
-        for at, q in enumerate(x["order"]):
-            i, k = x["live"][q], where.get(q, 0)
-            where[q] = k + 1
-            rows.append((names[i], p, k, at, x["first"][q], nxt.get(i, blocks[i]), x["parts"][q], len(x["order"]), x["slot"]))
-    schema = T.StructType([T.StructField("s", docs.schema[source_col].dataType), T.StructField("phase", T.IntegerType()),
-                           T.StructField("k", T.IntegerType()), T.StructField("at", T.IntegerType()),
-                           T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
-                           T.StructField("part", T.IntegerType()), T.StructField("size", T.IntegerType()),
-                           T.StructField("slot0", T.LongType())])
-    # at most MAX_SOURCES phases of at most max(grain, MAX_SOURCES) slots, whatever the input; a row
-    # for each place of a source in the period, found by source and block
-    plan = spark.createDataFrame(rows, schema).select(*[F.col(c).alias(f"__mix_{c}") for c in schema.names])
+    parts = (exact_parts(share) if grain is None else apportion(share, grain)) if counts else []
+    made = schedule(blocks, parts)
+    plan = spark.createDataFrame(
+        pd.DataFrame({**{f"__mix_{c}": made[:, k] for k, c in enumerate(("of", "at", "phase", "release", "deadline"))},
+                      "__mix_slot": np.arange(len(made))}),
+        "__mix_of long, __mix_at long, __mix_phase long, __mix_release long, __mix_deadline long, __mix_slot long")
+    numbers = spark.createDataFrame([(s, i) for i, s in enumerate(names)], T.StructType(
+        [T.StructField("__mix_s", docs.schema[source_col].dataType), T.StructField("__mix_i", T.LongType())]))
     n, block = F.col("__mix_n"), F.floor(F.col("__mix_n") / block_rows)
     placed = positions(docs, sum(r["n"] for r in counts), source_col, id_col).withColumn("__mix_block", block)
-    spans = plan.where("__mix_k = 0").select("__mix_s", "__mix_phase", "__mix_first", "__mix_last", "__mix_part")
-    cond = source.eqNullSafe(F.col("__mix_s")) & (F.col("__mix_block") >= F.col("__mix_first")) & (F.col("__mix_block") < F.col("__mix_last"))
-    a = placed.join(F.broadcast(spans), cond).withColumn("__mix_j", F.col("__mix_block") - F.col("__mix_first")) \
-        .withColumn("__mix_turn", F.floor(F.col("__mix_j") / F.col("__mix_part"))) \
-        .withColumn("__mix_q", F.pmod("__mix_j", "__mix_part").cast("int"))
-    slots = plan.select(F.col("__mix_s").alias("__mix_s2"), F.col("__mix_phase").alias("__mix_phase2"), "__mix_k", "__mix_at", "__mix_size", "__mix_slot0")
-    b = a.join(F.broadcast(slots), F.col("__mix_s").eqNullSafe(F.col("__mix_s2")) & (F.col("__mix_phase") == F.col("__mix_phase2"))
-               & (F.col("__mix_q") == F.col("__mix_k")))
-    j, size, part = F.col("__mix_j"), F.col("__mix_size"), F.col("__mix_part")
+    b = placed.join(numbers, source.eqNullSafe(F.col("__mix_s"))) \
+        .join(plan, (F.col("__mix_i") == F.col("__mix_of")) & (F.col("__mix_block") == F.col("__mix_at")))
     return b.select(
         *[F.col(f"`{c}`") for c in docs.columns], F.col("__mix_block").alias("mix_block"),
-        F.floor(j * size / part).alias("mix_release"), F.ceil((j + 1) * size / part).alias("mix_deadline"),
-        F.col("__mix_phase").alias("mix_phase"), (F.col("__mix_slot0") + F.col("__mix_turn") * size + F.col("__mix_at")).alias("mix_slot"),
+        F.col("__mix_release").alias("mix_release"), F.col("__mix_deadline").alias("mix_deadline"),
+        F.col("__mix_phase").cast("int").alias("mix_phase"), F.col("__mix_slot").alias("mix_slot"),
         F.pmod(n, F.lit(block_rows)).alias("mix_pos"))

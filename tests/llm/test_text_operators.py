@@ -264,6 +264,17 @@ def test_disclosing_terms(spark, empty):
     assert pii.find(empty).count() == 0
 
 
+def test_disclosing_terms_anywhere_in_the_document(spark):
+    far = " ".join(["the usual talk on rules and plans"] * 40)
+    long = "q" * 400
+    rows = [(i, f"Quixotta wrote: {far} {i} {far} to zz@corp.example.com {far} {i} {long}") for i in range(3)]
+    rows += [(100 + i, f"talk {i} on the rules: {far} to wrote") for i in range(60)]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(frame(spark, rows)).collect()}
+    for i in range(3):
+        assert [rows[i][1][s["start"]:s["end"]] for s in found[i] if s["kind"] == "term"] == ["Quixotta", long]
+    assert not any(found[100 + i] for i in range(60))
+
+
 def test_pii_nasty(spark, nasty):
     got = sorted((r["doc_id"] or -1, [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] != "term"]) for r in pii.find(nasty).collect())
     assert got == sorted((i or -1, brute_spans(t) if t and len(t) < 1_000 else []) for i, t in NASTY)

@@ -1,15 +1,16 @@
 """PII: information-theoretic sanitisation.
 
 Values of fixed shape (e-mail, IP, card and phone numbers) are the protected entities. A corpus pass
-counts, over whole texts, in how many documents each term occurs, and, for words within ``reach``
-words of an entity, how often term and entity share a document. From these,
+counts, over whole texts, in how many documents each term occurs, and how often term and entity share
+a document, wherever they stand in it. From these,
 
     IC(e) = -log2 p(e),   PMI(t, e) = log2 p(t, e) / (p(t) p(e)),
 
-and a term next to an entity is disclosing if PMI >= ``alpha`` IC and the pair is seen in at least
-``min_support`` different texts (copies of one text are one). Such terms become spans of kind
-``term``: ``remove`` where the term gives the entity away for certain (PMI = IC), ``generalise``
-otherwise. The spans of fixed shape always stay.
+and a term is disclosing if PMI >= ``alpha`` IC and the pair is seen in at least ``min_support``
+different texts (copies of one text are one; entities of fewer texts are left out before pairs are
+made). A second pass finds such terms in the texts that hold the entity, outside values; they become
+spans of kind ``term``: ``remove`` where the term gives the entity away for certain (PMI = IC),
+``generalise`` otherwise. The spans of fixed shape always stay.
 
 Cases: a null or empty text has no spans; very long texts and words are scanned whole, in linear
 time; rows that repeat an id or a text each get a result; an empty table gives no rows; other
@@ -19,13 +20,12 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest
 
 from .common import batches, materialize
 
@@ -85,30 +85,30 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _context(text: str, spans: list[tuple[str, int, int]], reach: int):
-    """(entity, term, start, end) for terms within ``reach`` words of a span, spans left out."""
-    seen = set()
-    for kind, s, e in spans:
-        entity = f"{kind}:{text[s:e].lower()}"
-        # words are short in nearly all texts; the window in characters only bounds the work
-        left = [(m.start(), m.end()) for m in _TERM.finditer(text, max(0, s - 40 * reach), s)][-reach:]
-        right = []
-        for m in _TERM.finditer(text, e, min(len(text), e + 40 * reach)):
-            right.append((m.start(), m.end()))
-            if len(right) == reach:
-                break
-        for a, b in left + right:
-            if b - a >= 3 and not any(a < y and x < b for _, x, y in spans) and (entity, a) not in seen:
-                seen.add((entity, a))
-                yield entity, text[a:b], a, b
+def _places(text: str, spans: list[tuple[str, int, int]], wanted: dict[str, str]) -> list[dict]:
+    """Where the wanted terms (folded, with their actions) stand in a text, outside its spans."""
+    starts, reach = [], []  # spans by start, with the farthest end up to each
+    for _, x, y in sorted(spans, key=lambda s: s[1]):
+        starts.append(x)
+        reach.append(max(y, reach[-1] if reach else 0))
+    out = []
+    for m in _TERM.finditer(text):
+        a, b = m.span()
+        if b - a >= 3:
+            action = wanted.get(_fold(m.group()).decode("utf-8", "replace"))
+            if action:
+                k = bisect_right(starts, b - 1)
+                if not k or reach[k - 1] <= a:
+                    out.append(dict(start=a, end=b, action=action))
+    return out
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-_SCAN = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(_SPAN)),
-                   ("near", pa.list_(_NEAR)), ("term", pa.string()), ("docs", pa.int64())])
-_SCAN_DDL = ("rid long, doc_id long, text_key long, spans array<struct<kind:string,start:long,end:long>>, "
-             "near array<struct<entity:string,term:string,start:long,end:long>>, term string, docs long")
+_SCAN = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(_SPAN)), ("entities", pa.list_(pa.string())),
+                   ("terms", pa.list_(pa.string())), ("term", pa.string()), ("docs", pa.int64())])
+_SCAN_DDL = ("doc_id long, text_key long, spans array<struct<kind:string,start:long,end:long>>, "
+             "entities array<string>, terms array<string>, term string, docs long")
+_PLACE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("action", pa.string())]))
 
 
 def _fold(term: str) -> bytes:
@@ -122,52 +122,52 @@ def _term_rows(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*none, terms, pa.array(list(counts.values()), pa.int64())], schema=_SCAN)
 
 
-def _scan(reach: int):
-    """One row for each document and, beside them, the task's document counts of terms."""
-    def run(it):
-        rid, counts = TaskContext.get().partitionId() << 33, Counter()
-        for b in it:
-            cols: list[list] = [[] for _ in range(5)]
-            for doc, text in zip(b.column(0).to_pylist(), batches(b.column(1)), strict=True):
-                raw = text.encode("utf-8", "surrogatepass")
-                counts.update({t for t in raw.translate(_FOLD).split() if len(t) >= 3})
-                spans = base_spans(text)
-                near = [(e, _fold(t).decode("utf-8", "replace"), a, z) for e, t, a, z in _context(text, spans, reach)]
-                key = xxh3_64_intdigest(raw)
-                for c, v in zip(cols, (rid, doc, key - (1 << 63),
-                                       [dict(kind=k, start=s, end=e) for k, s, e in spans],
-                                       [dict(entity=e, term=t, start=a, end=z) for e, t, a, z in near]), strict=True):
-                    c.append(v)
-                rid += 1
-                if len(counts) >= MAX_TERMS:
-                    yield _term_rows(counts)
-                    counts = Counter()
-            n = len(cols[0])
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, f.type) for c, f in zip(cols, list(_SCAN)[:5], strict=True)],
-                                              pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=_SCAN)
-        if counts:
-            yield _term_rows(counts)
-    return run
-
-
-def scan(docs: DataFrame, reach: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One pass over the texts, written to the shared folder: spans and their contexts for each
+def _scan(it):
+    """One row for each document, with its distinct entities and, if there are any, terms; beside
+    them, the task's document counts of terms."""
+    counts: Counter = Counter()
+    for b in it:
+        cols: list[list] = [[] for _ in range(3)]
+        for text in batches(b.column(2)):
+            terms = {t for t in text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if len(t) >= 3}
+            counts.update(terms)
+            spans = base_spans(text)
+            for c, v in zip(cols, ([dict(kind=k, start=s, end=e) for k, s, e in spans],
+                                   sorted({f"{k}:{text[s:e].lower()}" for k, s, e in spans}),
+                                   [t.decode("utf-8", "replace") for t in terms] if spans else []), strict=True):
+                c.append(v)
+            if len(counts) >= MAX_TERMS:
+                yield _term_rows(counts)
+                counts = Counter()
+        n = b.num_rows
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, f.type) for c, f in zip(cols, list(_SCAN)[2:5], strict=True)],
+                                          pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], schema=_SCAN)
+    if counts:
+        yield _term_rows(counts)
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One pass over the texts, written to the shared folder: spans, entities and terms of each
     row, and document counts of terms (``term`` not null)."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(src.mapInArrow(_scan(reach), _SCAN_DDL))
+    return materialize(_keyed(docs, id_col, text_col).mapInArrow(_scan, _SCAN_DDL))
 
 
 def disclosing(scanned: DataFrame, alpha: float = 0.9, min_support: int = 2) -> DataFrame:
     """(entity, term, pmi, ic, action) of the terms over the threshold."""
     rows = scanned.where("term IS NULL")
     n = rows.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pairs = rows.where("size(near) > 0").select("rid", "text_key", F.explode("near").alias("x")) \
-        .select("rid", "text_key", "x.entity", "x.term").distinct()
-    texts = pairs.groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
-    both = texts.groupBy("entity", "term").agg(F.sum("c").alias("c_et"), F.count(F.lit(1)).alias("support")) \
-        .where(F.col("support") >= min_support)
-    ents = rows.where("size(near) > 0").select("rid", F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity")) \
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"))
+    held = rows.where("size(entities) > 0").select("text_key", "terms", F.explode("entities").alias("entity"))
+    ents = materialize(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("c")).groupBy("entity")
+                       .agg(F.sum("c").alias("c_e"), F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support).select("entity", "c_e"))
+    texts = held.join(ents.select("entity"), "entity", "left_semi").select("entity", "text_key", F.explode("terms").alias("term")) \
+        .groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
+    both = materialize(texts.groupBy("entity", "term").agg(F.sum("c").alias("c_et"), F.count(F.lit(1)).alias("support"))
+                       .where(F.col("support") >= min_support))
     wanted = both.select("term").distinct()
     terms = scanned.where("term IS NOT NULL").select("term", "docs").join(wanted, "term").groupBy("term").agg(F.sum("docs").alias("c_t"))
     j = both.join(ents, "entity").join(terms, "term").crossJoin(F.broadcast(n))  # n: one row
@@ -177,23 +177,31 @@ def disclosing(scanned: DataFrame, alpha: float = 0.9, min_support: int = 2) ->
         .select("entity", "term", "pmi", "ic", F.when(F.col("pmi") >= F.col("ic") - 1e-9, "remove").otherwise("generalise").alias("action"))
 
 
-def find(docs: DataFrame, alpha: float = 0.9, min_support: int = 2, reach: int = 8, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+def _find(it):
+    for b in it:
+        places = [_places(t, base_spans(t), {x["term"]: x["action"] for x in w})
+                  for t, w in zip(batches(b.column("text")), b.column("wanted").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("text_key"), pa.array(places, _PLACE)], names=["text_key", "t"])
+
+
+def find(docs: DataFrame, alpha: float = 0.9, min_support: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each input row: doc_id and ``spans`` (kind, start, end, action), by kind and
     start, disclosing terms last."""
-    scanned = scan(docs, reach, id_col, text_col)
+    scanned = scan(docs, id_col, text_col)
     found = disclosing(scanned, alpha, min_support)
     rows = scanned.where("term IS NULL")
-    hits = rows.where("size(near) > 0").select("rid", F.explode("near").alias("x")).select("rid", "x.*") \
-        .join(found.select("entity", "term", "action"), ["entity", "term"])
-    added = hits.groupBy("rid", "start", "end").agg(F.max("action").alias("action")).groupBy("rid").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("t"))
+    texts = rows.where("size(entities) > 0").select("text_key", F.explode("entities").alias("entity")).distinct()
+    chosen = materialize(texts.join(found, "entity").groupBy("text_key", "term").agg(F.max("action").alias("action"))
+                         .groupBy("text_key").agg(F.collect_list(F.struct("term", "action")).alias("wanted")))
+    places = _keyed(docs, id_col, text_col).select("text_key", "text").join(chosen, "text_key") \
+        .mapInArrow(_find, "text_key long, t array<struct<start:long,end:long,action:string>>")
+    added = materialize(places.groupBy("text_key").agg(F.first("t").alias("t")))  # copies of a text have the same places
     none = "array<struct<kind:string,start:bigint,end:bigint,action:string>>"
     base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                                                    F.lit("replace").alias("action")))
     more = F.transform("t", lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                                                s["action"].alias("action")))
-    return rows.join(added, "rid", "left").select(
+    return rows.join(added, "text_key", "left").select(
         "doc_id", F.concat(base, F.coalesce(more, F.array().cast(none))).alias("spans"))
 
 

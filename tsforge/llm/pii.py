@@ -169,8 +169,8 @@ def disclosing(scanned: DataFrame, alpha: float = 0.9, min_support: int = 2) ->
     both = materialize(texts.groupBy("entity", "term").agg(F.sum("c").alias("c_et"), F.count(F.lit(1)).alias("support"))
                        .where(F.col("support") >= min_support))
     wanted = both.select("term").distinct()
-    terms = scanned.where("term IS NOT NULL").select("term", "docs").join(wanted, "term").groupBy("term").agg(F.sum("docs").alias("c_t"))
-    j = both.join(ents, "entity").join(terms, "term").crossJoin(F.broadcast(n))  # n: one row
+    terms = scanned.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("c_t")).join(wanted, "term", "left_semi")
+    j = both.join(ents, "entity").crossJoin(F.broadcast(n)).join(terms, "term")  # n: one row; the threshold is part of the last join
     ic = -F.log2(F.col("c_e") / F.col("n"))
     pmi = F.log2(F.col("n") * F.col("c_et") / (F.col("c_e") * F.col("c_t")))
     return j.withColumn("ic", ic).withColumn("pmi", pmi).where(F.col("pmi") >= alpha * F.col("ic")).where("ic > 0") \

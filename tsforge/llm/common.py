@@ -63,9 +63,14 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def crc_id(col: str):
+    """Unsigned crc32 of the id written as text; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary"))
+
+
 def crc_mod(col: str, m: int):
     """crc32 of the id written as text, modulo m; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % m
+    return crc_id(col) % m
 
 
 def batches(column):

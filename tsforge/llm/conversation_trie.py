@@ -198,8 +198,8 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, queue: int = QUEUE, block_bi
     n_leaves, saved_tokens (over its subtree, words that its members share beyond the first) and
     ends_sha256 (digest of the sorted ids of the conversations that end there)."""
     spark = turns.sparkSession
-    parts = parts_for(turns)
     members = _members(turns, convs)
+    parts = parts_for(members)
     nodes = materialize(members.groupBy(*_NODE).agg(
         F.count(F.lit(1)).alias("n_convs"), F.min("conv_id").alias("conv_id"), F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.first("n_words").alias("n_words")))
     up = [(F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2")]

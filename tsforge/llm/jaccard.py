@@ -11,10 +11,13 @@ within t of each other, first by parity bitmaps: each set flips one bit for each
 in which two bitmaps differ are at most the symmetric difference, which bounds the overlap from
 above. What remains is decided by intersecting the sorted arrays.
 
-Links only matter through what they connect, so this runs in two rounds. Round one compares members
-of a tile with a few pivots, which joins large groups of near copies at linear cost. Round two looks
-at every tile that still holds two components, and compares every pair of different components
-that meets often enough.
+Links only matter through what they connect, so no pair table of a group is ever written. Candidates
+become the edges of groups: round one compares members of a tile with a few pivots; round two looks at
+the tiles that still hold two components. Few members: their pairs are counted over tiles, and those that
+meet often enough and pass the bitmaps are edges. Many members: the task that holds the tile keeps only as
+many edges as hold together what the bitmaps allow. The sets of a group are then brought together once,
+in tiles of size bands, and the task that holds them intersects sorted arrays and returns a forest of
+links: at most one link fewer than the tile has members.
 
 Cases: a text with fewer words than a shingle is one shingle; null and empty texts have an empty set
 and link with nothing; a null id gets results but never names a component of known ids; rows that
@@ -42,6 +45,9 @@ HOT_SAMPLE = 32        # one document in so many is looked at for them
 TILE = 1024            # most members of a tile
 PIVOTS = 4
 PER_MEETING = 40
+SMALL = 8              # members of a tile whose pairs are counted one by one
+GROUP = 128            # least members of a tile of a group of candidates
+SHINGLES = 1 << 21     # most shingles of such a tile, on average
 BROADCAST_ROWS = 1 << 20  # rows of (id) or (class, component) sent to every executor at most
 _SEEN = 500_000
 
@@ -87,6 +93,22 @@ def _sign(a: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(a, np.uint64).view(np.int64)
 
 
+def _class_name(turn: int):
+    """The class of a set given as bytes: its hash, or (for ``turn`` above 0) that hash and a second one
+    turned by so many bits, by exclusive or."""
+    def name(raw: bytes) -> int:
+        c, d = xxh3_64_intdigest(raw) ^ (1 << 63), xxh3_64_intdigest(raw, seed=1) ^ (1 << 63)
+        c ^= ((d << turn | d >> (64 - turn)) & ((1 << 64) - 1)) if turn else 0
+        return c - (1 << 64) if c >> 63 else c
+    return name
+
+
+def _renamed(turn: int):
+    """``_class_name`` of the columns cls and cls2."""
+    turned = F.shiftleft("cls2", turn).bitwiseOR(F.shiftrightunsigned("cls2", 64 - turn))
+    return F.col("cls").bitwiseXOR(turned) if turn else F.col("cls")
+
+
 def _common_shingles(src: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, estimated documents) of common shingles, sorted by shingle."""
     def count(it):
@@ -263,105 +285,122 @@ def _bound_pairs(percent: int):
     return run
 
 
-def _meeting_pairs(percent: int, n, c, p, split: int, bits: list | None = None) -> list[np.ndarray]:
-    """Rows (a, b, needed meetings) of pairs of different components with fitting sizes (and, if
-    given, bitmaps) in one tile, or between its first ``split`` members and the others."""
-    got, m = [], split
-    if not split:  # members of the largest component come last: no pairs among them
-        label, count = np.unique(p, return_counts=True)
-        own = p == label[np.argmax(count)]
-        order = np.argsort(own, kind="stable")
-        n, c, p, m = n[order], c[order], p[order], int((~own).sum())
-        bits = [bits[q] for q in order] if bits else None
-    for lo in range(0, m, 64):  # 64 members against the rest at a time
-        left = np.arange(lo, min(lo + 64, m))
-        right = np.arange(split or lo, len(n))
+def _forest(n, p, label: list[int], split: int, percent: int, bits: list, linked=None) -> list[tuple[int, int]]:
+    """Pairs (i, j) of members that join different labels, at most one fewer than members: pairs of
+    different components ``p`` with fitting sizes and bitmaps, that hold by ``linked`` if given.
+    In one tile, or between its first ``split`` members and the others. ``label`` is updated."""
+    out, m, lo, width = [], split or len(n), 0, 1
+    while lo < m:  # a few members against the rest first, so that groups of copies join early
+        now = np.array(label)
+        left, right = np.arange(lo, min(lo + width, m)), np.arange(split or lo, len(n))
         i, j = np.repeat(left, len(right)), np.tile(right, len(left))
-        small, big = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
-        ok = (p[i] != p[j]) & (100 * small >= percent * big) & (i < j)
-        i, j, small = i[ok], j[ok], small[ok]
-        if bits and len(i):
-            ok = _may_link(n[i], n[j], _differ(bits, i, j), percent)
-            i, j, small = i[ok], j[ok], small[ok]
+        ok = (now[i] != now[j]) & (p[i] != p[j]) & (i < j)
+        i, j = i[ok], j[ok]
+        ok = 100 * np.minimum(n[i], n[j]).astype(np.int64) >= percent * np.maximum(n[i], n[j]).astype(np.int64)
+        i, j = i[ok], j[ok]
         if len(i):
-            got.append(np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j]), _meetings(small)], 1))
-    return got
+            ok = _may_link(n[i], n[j], _differ(bits, i, j), percent)
+            for x, y in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+                a, b = label[x], label[y]
+                if a != b and (linked is None or linked(x, y)):
+                    out.append((x, y))
+                    label[:] = [a if v == b else v for v in label]
+        lo, width = lo + width, min(64, 2 * width)
+    return out
 
 
-def _met(got: list[np.ndarray]) -> pa.RecordBatch:
-    u = np.concatenate([np.zeros((0, 3), np.int64), *got])
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(u[:, k])) for k in range(3)], names=["a", "b", "need"])
+def _edges(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
-_MET = "a long, b long, need long"
-_FLUSH = 100_000  # pairs that a task holds before it passes them on
+def _meetings_of_small_tiles(percent: int):
+    """Rows (key, w, n, cls, comp) of tiles of at most SMALL members, a key's rows together -> pairs
+    of different components that meet in it: (a, b, times, needed meetings)."""
+    def pairs(w, n, c, p):
+        i, j = np.triu_indices(len(n), 1)
+        small, big = np.minimum(n[i], n[j]).astype(np.int64), np.maximum(n[i], n[j]).astype(np.int64)
+        ok = (p[i] != p[j]) & (100 * small >= percent * big)
+        i, j = i[ok], j[ok]
+        return np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j]), w[i], _meetings(small[ok])], 1)
 
+    def batch(got):
+        u = np.concatenate([np.zeros((0, 4), np.int64), *got])
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(u[:, k])) for k in range(4)], names=["a", "b", "w", "need"])
 
-def _runs_with_components(percent: int):
-    """Round two, keys of one tile: rows (key, n, cls, comp), a key's rows together."""
     def run(it):
         held, got = [], []
         for b in it:
-            cols = [b.column(i).to_numpy() for i in range(4)]
+            cols = [b.column(i).to_numpy() for i in range(5)]
             if held:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             if not len(cols[0]):
                 continue
             at = run_bounds(cols[0])
             for s, e in zip(at[:-2].tolist(), at[1:-1].tolist(), strict=True):
-                p = cols[3][s:e]
-                if (p != p[0]).any():
-                    got += _meeting_pairs(percent, cols[1][s:e], cols[2][s:e], p, 0)
+                if (cols[4][s:e] != cols[4][s]).any():
+                    got.append(pairs(*(x[s:e] for x in cols[1:])))
             held = [x[at[-2]:] for x in cols]
             if sum(map(len, got)) > _FLUSH:
-                yield _met(got)
+                yield batch(got)
                 got = []
         if held:
-            got += _meeting_pairs(percent, held[1], held[2], held[3], 0)
-        yield _met(got)
+            got.append(pairs(*held[1:]))
+        yield batch(got)
     return run
 
 
-def _tile_pairs(percent: int, two: bool):
-    """Round two, keys of several tiles: pairs in a tile, or between two. Members are structs
-    (n, cls, comp, bits); as such keys hold many members, their bitmaps are compared at once."""
+_FLUSH = 100_000  # pairs that a task holds before it passes them on
+
+
+def _may_link_forest(percent: int, two: bool):
+    """Large tiles, or two of one key: edges between members that the bitmaps do not rule out, only as
+    many as hold them together. Members are structs (n, cls, comp, bits)."""
     def run(it):
         for b in it:
-            got = []
+            a, c = [], []
             for r in range(b.num_rows):
                 tiles = [b.column(m)[r].values for m in (("m1", "m2") if two else ("m1",))]
-                n, c, p = (np.concatenate([t.field(f).to_numpy() for t in tiles]) for f in ("n", "cls", "comp"))
+                n, cls, p = (np.concatenate([t.field(f).to_numpy() for t in tiles]) for f in ("n", "cls", "comp"))
                 bits = [x for t in tiles for x in t.field("bits").to_pylist()]
-                got += _meeting_pairs(percent, n, c, p, len(tiles[0]) if two else 0, bits)
-                if sum(map(len, got)) > _FLUSH:
-                    yield _met(got)
-                    got = []
-            yield _met(got)
+                for x, y in _forest(n, p, list(range(len(n))), len(tiles[0]) if two else 0, percent, bits):
+                    a.append(cls[x])
+                    c.append(cls[y])
+            yield _edges(a, c)
     return run
 
 
-def _sets_of(k: int):
+def _sets_of(k: int, named):
+    """Rows (text, cls, ...) -> (..., set) where the text is of that class: an id may stand for
+    several texts."""
     def run(it):
         for b in it:
             sets = [shingles(t, k).tobytes() for t in batches(b.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array([xxh3_64_intdigest(x) - (1 << 63) for x in sets], pa.int64()),
-                                              pa.array(sets, pa.binary())], names=["cls", "set"])
+            own = pa.array([named(x) == c for x, c in zip(sets, b.column(1).to_pylist(), strict=True)], pa.bool_())
+            cols = [*b.columns[1:], pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays([c.filter(own) for c in cols], names=[*b.schema.names[1:], "set"])
     return run
 
 
-def _decide(percent: int):
-    def run(it):
-        for b in it:
-            ok = []
-            for x, y in zip(b.column("set_a"), b.column("set_b"), strict=True):
-                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                both = int(np.count_nonzero(t[at] == s))
-                ok.append(100 * both >= percent * (len(s) + len(t) - both))
-            f = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(f), b.column("b").filter(f)], names=["a", "b"])
+def _link_forest(percent: int):
+    """One or two tiles of a group (side, cls, comp, set): links that join different components, by
+    bitmaps and then by intersecting the sorted arrays."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("side", "ascending"), ("cls", "ascending")])
+        one = np.concatenate([[True], t.column("cls").to_numpy()[1:] != t.column("cls").to_numpy()[:-1]])
+        t = t.filter(pa.array(one))  # rows that repeat an id and a text
+        side, cls, p = (t.column(c).to_numpy() for c in ("side", "cls", "comp"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("set")]
+        n = np.array([len(x) for x in sets], np.int64)
+
+        def linked(x, y):
+            s, o = (sets[x], sets[y]) if n[x] <= n[y] else (sets[y], sets[x])
+            at = np.minimum(np.searchsorted(o, s), len(o) - 1)
+            both = int(np.count_nonzero(o[at] == s))
+            return 100 * both >= percent * (len(s) + len(o) - both)
+        label = np.unique(p, return_inverse=True)[1].tolist()
+        bits = [bitmap(x).tobytes() for x in sets]
+        got = _forest(n, p, label, int(np.count_nonzero(side == 0)) if side.any() else 0, percent, bits, linked)
+        return pa.Table.from_batches([_edges([cls[x] for x, _ in got], [cls[y] for _, y in got])])
     return run
 
 
@@ -378,16 +417,41 @@ class JaccardJoin:
         self.percent, self.k = percent, k
         self.parts = max(1, math.ceil(2 * input_bytes(docs) / (32 << 20)))
 
-    def _verify(self, pairs: DataFrame) -> DataFrame:
-        """Exact links among candidate pairs (a, b) of classes, written."""
-        need = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        ids = materialize(need.join(self.reps.select("cls", "doc_id"), "cls").select(F.col("doc_id").alias("need_id")).distinct())
-        sets = materialize(self.src.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("need_id"))).select("text")
-                           .mapInArrow(_sets_of(self.k), "cls long, set binary").dropDuplicates(["cls"]))
-        j = pairs.join(sets.select(F.col("cls").alias("a"), F.col("set").alias("set_a")), "a") \
-            .join(sets.select(F.col("cls").alias("b"), F.col("set").alias("set_b")), "b").select("a", "b", "set_a", "set_b")
-        out = materialize(j.mapInArrow(_decide(self.percent), "a long, b long"))
-        discard(ids, sets)
+    def _settle(self, edges: DataFrame, comp: DataFrame | None) -> DataFrame:
+        """Links among the groups that ``edges`` (a, b) hold together, written; as many as connect what
+        links connect. Every pair of different components of a group is looked at, and each set is
+        brought to its group once. A group of many sets is cut into tiles by bands of sizes, each so
+        wide that links stay in a band or join neighbouring ones, and tiles meet in pairs."""
+        group = components(edges)
+        m = group.select(F.col("node").alias("cls"), F.col("label").alias("g")).join(self.reps.select("cls", "n", "doc_id"), "cls")
+        if comp is not None:
+            m = m.join(comp.select(F.col("node").alias("cls"), F.col("label").alias("comp")), "cls", "left")
+        m = materialize(m.withColumn("comp", F.col("cls") if comp is None else F.coalesce("comp", "cls")))
+        size = F.count(F.lit(1))
+        wide = m.groupBy("g").agg(size.alias("members"), F.sum("n").alias("shingles")).where(f"members > {GROUP} OR shingles > {SHINGLES}").select("g")
+        wide = materialize(wide)
+        base = math.log(100 / self.percent) * (1 + 1e-9)  # sizes at the very border stay in neighbouring bands
+        band = F.floor(F.log(F.col("n").cast("double")) / base).cast("int")
+        big = m.join(wide, "g").withColumn("band", band)
+        cuts = materialize(big.groupBy("g", "band").agg(F.greatest(
+            F.ceil(size / F.greatest(F.lit(GROUP), 4 * F.sqrt(size))), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("cuts")))
+        tiles = cuts.select("g", "band", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+        x, y = (tiles.select("g", F.col("band").alias(f"b{k}"), F.col("cut").alias(f"c{k}")) for k in (1, 2))
+        two = x.join(y, "g").where("(b2 = b1 AND c2 >= c1) OR b2 = b1 + 1")
+        sides = two.selectExpr("g", "b1 AS band", "c1 AS cut", "struct(b1, c1, b2, c2, 0 AS side) AS job").unionByName(
+            two.where("b1 <> b2 OR c1 <> c2").selectExpr("g", "b2 AS band", "c2 AS cut", "struct(b1, c1, b2, c2, 1 AS side) AS job"))
+        jobs = sides.groupBy("g", "band", "cut").agg(F.collect_list("job").alias("jobs"))  # a tile's pairs of tiles
+        many = big.join(cuts, ["g", "band"]).withColumn("cut", F.pmod("cls", "cuts").cast("int")).join(jobs, ["g", "band", "cut"])
+        cols = ["doc_id", "cls", "g", "comp", "jobs"]
+        alone = F.expr("array(struct(0 AS b1, 0 AS c1, 0 AS b2, 0 AS c2, 0 AS side))")
+        need = materialize(m.join(wide, "g", "left_anti").withColumn("jobs", alone).select(*cols).unionByName(many.select(*cols)))
+        texts = self.src.withColumnRenamed("doc_id", "id").join(_small(need), F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "cls", "g", "comp", "jobs")
+        job = "struct<b1:int,c1:int,b2:int,c2:int,side:int>"
+        sets = texts.mapInArrow(_sets_of(self.k, self.named), f"cls long, g long, comp long, jobs array<{job}>, set binary") \
+            .select("cls", "g", "comp", F.explode("jobs").alias("job"), "set").select("cls", "g", "comp", "job.*", "set")
+        run = _link_forest(self.percent)
+        out = materialize(sets.groupBy("g", "b1", "c1", "b2", "c2").applyInArrow(lambda t: run(t), "a long, b long"))
+        discard(group, m, wide, cuts, need)
         return out
 
     def _bounded(self, pairs: DataFrame) -> DataFrame:
@@ -400,22 +464,26 @@ class JaccardJoin:
     @staticmethod
     def _members(tiles: DataFrame, comp: DataFrame) -> DataFrame:
         """A row for each member of the tiles, with its component (its own class if it has none)."""
-        rows = tiles.select("key", "tile", F.posexplode(F.arrays_zip("ns", "cs")).alias("i", "x")).select(
-            "key", "tile", "i", F.col("x.ns").alias("n"), F.col("x.cs").alias("cls"))
-        return rows.join(comp, F.col("cls") == F.col("node"), "left").select("key", "tile", "i", "n", "cls", F.coalesce("label", "cls").alias("comp"))
-
-    def _one_tile(self, tiles: DataFrame, comp: DataFrame) -> DataFrame:
-        """Meetings at keys of one tile. A key's rows lie together in the tiles' files and stay so
-        if the components come by broadcast; else they are brought together again."""
+        keep = [c for c in tiles.columns if c not in ("ns", "cs")]
+        rows = tiles.select(*keep, F.posexplode(F.arrays_zip("ns", "cs")).alias("i", "x")).select(
+            *keep, "i", F.col("x.ns").alias("n"), F.col("x.cs").alias("cls"))
+        return rows.join(comp, F.col("cls") == F.col("node"), "left").select(*keep, "i", "n", "cls", F.coalesce("label", "cls").alias("comp"))
+
+    def _met_in_small(self, tiles: DataFrame, comp: DataFrame) -> DataFrame:
+        """Pairs of different components that meet often enough in tiles of few members. A tile's
+        rows lie together and stay so if the components come by broadcast; else they are brought
+        together again."""
         small = comp.count() <= BROADCAST_ROWS
         rows = self._members(tiles, F.broadcast(comp) if small else comp)
         if not small:
             rows = rows.repartition(self.parts, "key").sortWithinPartitions("key", "i")
-        return rows.select("key", "n", "cls", "comp").mapInArrow(_runs_with_components(self.percent), _MET)
+        met = rows.select("key", "w", "n", "cls", "comp").mapInArrow(_meetings_of_small_tiles(self.percent), "a long, b long, w long, need long")
+        return met.groupBy("a", "b").agg(F.sum("w").alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
 
-    def _many_tiles(self, tiles: DataFrame, comp: DataFrame) -> DataFrame:
-        """Meetings at keys of several tiles: keys with one component are dropped, then tiles of the
-        others are compared in themselves and with each other where their size bands overlap."""
+    def _held_by_large(self, tiles: DataFrame, comp: DataFrame) -> DataFrame:
+        """Edges that hold together what may link in tiles of many members: tiles of one component are
+        dropped, the others are compared in themselves and, where a shingle has several, with those
+        whose sizes overlap."""
         pct = self.percent
         rows = materialize(self._members(tiles, comp))
         mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
@@ -425,7 +493,8 @@ class JaccardJoin:
         others = grouped.select("key", F.col("tile").alias("tile2"), F.col("n0").alias("n02"), F.col("n1").alias("n12"), F.col("m1").alias("m2"))
         across = grouped.join(others, "key").where(f"tile < tile2 AND 100 * n1 >= {pct} * n02 AND 100 * n12 >= {pct} * n0").select("m1", "m2")
         self.spare = [rows, grouped]
-        return grouped.select("m1").mapInArrow(_tile_pairs(pct, False), _MET).union(across.mapInArrow(_tile_pairs(pct, True), _MET))
+        ddl = "a long, b long"
+        return grouped.select("m1").mapInArrow(_may_link_forest(pct, False), ddl).union(across.mapInArrow(_may_link_forest(pct, True), ddl))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id): the row's set size and the smallest id in its
@@ -433,12 +502,21 @@ class JaccardJoin:
         pct = self.percent
         hot, hot_count = _common_shingles(self.src, self.k)
         salts = max(1, math.ceil(int(hot_count.max()) / (4 * TILE))) if len(hot) else 1
-        sig = materialize(self.src.mapInArrow(
+        written = materialize(self.src.mapInArrow(
             _signatures(self.k, pct, hot, hot_count),
             "doc_id long, n int, cls long, cls2 long, bits binary, prefix array<long>, n_hot int"))
         # rows of one class differ only in the id; one of those with a bitmap stands for it
-        self.reps = materialize(sig.where("bits IS NOT NULL").groupBy("cls").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+        for turn in range(0, 64, 9):
+            sig = written.withColumn("cls", _renamed(turn))
+            self.named = _class_name(turn)
+            self.reps = materialize(sig.where("bits IS NOT NULL").groupBy("cls").agg(
+                F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+                F.min("cls2").alias("low2"), F.max("cls2").alias("high2")))
+            if not self.reps.where("low2 <> high2").limit(1).count():
+                break
+            discard(self.reps)  # two different sets share a name: all classes are named anew from both of their hashes
+        else:
+            raise RuntimeError("different sets share their hashes")
         keys = sig.where("bits IS NOT NULL").select("cls", "n", "n_hot", F.size("prefix").alias("p"), F.posexplode("prefix").alias("i", "key")) \
             .select("key", F.when((F.col("i") >= F.col("p") - F.col("n_hot")) & F.lit(salts > 1), F.pmod("cls", F.lit(salts)).cast("int"))
                     .otherwise(F.lit(-1)).alias("salt"), "n", "cls")
@@ -451,22 +529,28 @@ class JaccardJoin:
         low = lone.groupBy("key").agg(F.min("a").alias("low"))
         across = lone.join(low, "key").where("a <> low").select(F.col("low").alias("a"), F.col("a").alias("b"))
         tried = materialize(self._bounded(first.where("key IS NULL").select("a", "b").union(across).distinct()))
-        links = self._verify(tried)
+        links = self._settle(tried, None)
         comp = components(links)
 
-        # round two: keys that still hold two components
-        met = self._one_tile(tiles.where("NOT multi"), comp).union(self._many_tiles(tiles.where("multi"), comp))
-        late = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.max("need").alias("need")).where("met >= need").select("a", "b")
-        late = materialize(self._bounded(late.join(tried, ["a", "b"], "left_anti")))
-        more = self._verify(late) if late.limit(1).count() else late
-        if more.limit(1).count():
+        # round two: tiles that still hold two components; those of equal members count as one tile of weight w
+        single = tiles.where("NOT multi").groupBy(F.xxhash64("cs").alias("x"), F.xxhash64(F.lit(1), "cs").alias("y")).agg(
+            F.count(F.lit(1)).alias("w"), F.first("ns").alias("ns"), F.first("cs").alias("cs"))
+        single = materialize(single.select(F.monotonically_increasing_id().alias("key"), F.lit(0).cast("long").alias("tile"), "w", "ns", "cs"))
+        met = self._met_in_small(single.where(F.size("cs") <= SMALL), comp)
+        large = single.where(F.size("cs") > SMALL).select(F.struct("key", F.lit(True).alias("one")).alias("key"), "tile", "ns", "cs").unionByName(
+            tiles.where("multi").select(F.struct("key", F.lit(False).alias("one")).alias("key"), "tile", "ns", "cs"))
+        held = self._held_by_large(large, comp)
+        late = materialize(self._bounded(met.join(tried, ["a", "b"], "left_anti")).union(held))
+        if late.limit(1).count():
+            more = self._settle(late, comp)
             discard(comp)
             comp = components(links.union(more))
+            discard(more)
 
         labelled = sig.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(comp, F.col("cls") == F.col("node"), "left") \
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "cls")).alias("label"))
         labelled = materialize(labelled)
-        discard(sig, self.reps, tiles, first, tried, links, late, more, comp, *self.spare)  # all that the result needs is in ``labelled``
+        discard(written, self.reps, tiles, first, tried, links, single, late, comp, *self.spare)  # all that the result needs is in ``labelled``
         lowest = materialize(labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id")))
         return labelled.join(lowest, "label", "left").select(
             "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

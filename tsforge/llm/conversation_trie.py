@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from .common import crc_id, discard, materialize, open_fs, parts_for, shared_dir
 
 SEGMENT_BITS = 12      # turns of a conversation, or numbers of turns, that are handled together: 2^12
-BLOCK_BITS = 12        # conversation ids whose nodes form a shard: 2^12
+BLOCK_BITS = 8         # conversation ids whose nodes form a shard: 2^8
+PIECE_BITS = 12        # conversation ids that are joined to one piece of a node's list: 2^12
 QUEUE = 1 << 20        # messages that a queue holds in memory
 _NODE = ["depth", "k1", "k2"]
 
@@ -223,7 +224,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, queue: int = QUEUE, block_bi
     add = add.groupBy("conv_id", "seg", below.alias("below")).agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"))
     above = members.select("conv_id", seg.alias("seg"), *_NODE).join(add, ["conv_id", "seg"]).where("below IS NULL OR depth < below").select(*_NODE, "leaves", "saved")
 
-    ends = members.groupBy("conv_id").agg(F.max(F.struct(*_NODE)).alias("last")).select("last.*", F.shiftright("conv_id", BLOCK_BITS).alias("chunk"), "conv_id")
+    ends = members.groupBy("conv_id").agg(F.max(F.struct(*_NODE)).alias("last")).select("last.*", F.shiftright("conv_id", PIECE_BITS).alias("chunk"), "conv_id")
     pieces = ends.groupBy(*_NODE, "chunk").agg(F.array_join(F.array_sort(F.collect_list("conv_id")), ",").alias("piece"))
     digests = pieces.repartition(parts, *_NODE).sortWithinPartitions(*_NODE, "chunk").mapInArrow(_hash_ends, "depth long, k1 long, k2 long, ends string")
 

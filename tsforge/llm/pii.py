@@ -1,14 +1,17 @@
 """PII: information-theoretic sanitisation.
 
-Values of fixed shape (e-mail, IP, card and phone numbers) are the protected entities. A corpus pass
-counts, over whole texts, in how many documents each term occurs, and how often term and entity share
+Values of fixed shape (e-mail, IP, card and phone numbers) are the protected entities, and so are the
+parts by which they can be told: the names and the host of an address, the network of an IP, the first
+digits of a card (issuer) or phone number (area). Most values stand in one text only, where nothing can
+be learned about them; their parts recur. A corpus pass counts, over whole texts, in how many documents each term occurs, and how often term and entity share
 a document, wherever they stand in it. From these,
 
     IC(e) = -log2 p(e),   PMI(t, e) = log2 p(t, e) / (p(t) p(e)),
 
 and a term is disclosing if PMI >= ``alpha`` IC and the pair is seen in at least ``min_support``
 different texts (copies of one text are one; entities of fewer texts are left out before pairs are
-made). A second pass finds such terms in the texts that hold the entity, outside values; they become
+made). A name in an address is tried against the term that spells it without that support: shape, not
+chance, ties the two. A second pass finds such terms in the texts that hold the entity, outside values; they become
 spans of kind ``term``: ``remove`` where the term gives the entity away for certain (PMI = IC),
 ``generalise`` otherwise. The spans of fixed shape always stay.
 
@@ -36,9 +39,11 @@ _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_NAME = re.compile(r"[a-z]{3,}")
 _TERM = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 # ASCII letters to lower case, all ASCII that is not a letter or digit to a space
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
+LEAST_BYTES = 3      # of a term in UTF-8: three ASCII letters, or one sign of most other scripts
 MAX_TERMS = 300_000  # terms counted in a task before the counts are passed on
 
 
@@ -85,6 +90,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def parts_of(kind: str, value: str) -> list[str]:
+    """Entities that a value stands for beside itself: names and host of an address, network (two
+    numbers) of an IP, first six digits of a card, first four of a phone number."""
+    if kind == "email":
+        local, _, host = value.lower().partition("@")
+        return [f"host:{host}", *(f"name:{x}" for x in _NAME.findall(local))]
+    if kind == "ip":
+        return ["network:" + ".".join(value.split(".")[:2])]
+    digits = "".join(c for c in value if c.isdigit())
+    return [f"issuer:{digits[:6]}" if kind == "card" else f"area:{digits[:4]}"]
+
+
 def _places(text: str, spans: list[tuple[str, int, int]], wanted: dict[str, str]) -> list[dict]:
     """Where the wanted terms (folded, with their actions) stand in a text, outside its spans."""
     starts, reach = [], []  # spans by start, with the farthest end up to each
@@ -94,8 +111,9 @@ def _places(text: str, spans: list[tuple[str, int, int]], wanted: dict[str, str]
     out = []
     for m in _TERM.finditer(text):
         a, b = m.span()
-        if b - a >= 3:
-            action = wanted.get(_fold(m.group()).decode("utf-8", "replace"))
+        term = _fold(m.group())
+        if len(term) >= LEAST_BYTES:
+            action = wanted.get(term.decode("utf-8", "replace"))
             if action:
                 k = bisect_right(starts, b - 1)
                 if not k or reach[k - 1] <= a:
@@ -129,11 +147,11 @@ def _scan(it):
     for b in it:
         cols: list[list] = [[] for _ in range(3)]
         for text in batches(b.column(2)):
-            terms = {t for t in text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if len(t) >= 3}
+            terms = {t for t in text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if len(t) >= LEAST_BYTES}
             counts.update(terms)
             spans = base_spans(text)
             for c, v in zip(cols, ([dict(kind=k, start=s, end=e) for k, s, e in spans],
-                                   sorted({f"{k}:{text[s:e].lower()}" for k, s, e in spans}),
+                                   sorted({x for k, s, e in spans for x in (f"{k}:{text[s:e].lower()}", *parts_of(k, text[s:e]))}),
                                    [t.decode("utf-8", "replace") for t in terms] if spans else []), strict=True):
                 c.append(v)
             if len(counts) >= MAX_TERMS:
@@ -160,19 +178,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def disclosing(scanned: DataFrame, alpha: float = 0.9, min_support: int = 2) -> DataFrame:
     """(entity, term, pmi, ic, action) of the terms over the threshold."""
     rows = scanned.where("term IS NULL")
-    n = rows.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    n = float(rows.count())
     held = rows.where("size(entities) > 0").select("text_key", "terms", F.explode("entities").alias("entity"))
+    spelt = F.col("entity") == F.concat(F.lit("name:"), "term")
     ents = materialize(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("c")).groupBy("entity")
-                       .agg(F.sum("c").alias("c_e"), F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support).select("entity", "c_e"))
-    texts = held.join(ents.select("entity"), "entity", "left_semi").select("entity", "text_key", F.explode("terms").alias("term")) \
-        .groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
+                       .agg(F.sum("c").alias("c_e"), F.count(F.lit(1)).alias("texts"))
+                       .where((F.col("texts") >= min_support) | F.col("entity").startswith("name:")))
+    texts = held.join(ents.select("entity", "texts"), "entity").select("entity", "text_key", "texts", F.explode("terms").alias("term")) \
+        .where((F.col("texts") >= min_support) | spelt).groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
     both = materialize(texts.groupBy("entity", "term").agg(F.sum("c").alias("c_et"), F.count(F.lit(1)).alias("support"))
-                       .where(F.col("support") >= min_support))
+                       .where((F.col("support") >= min_support) | spelt))
     wanted = both.select("term").distinct()
     terms = scanned.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("c_t")).join(wanted, "term", "left_semi")
-    j = both.join(ents, "entity").crossJoin(F.broadcast(n)).join(terms, "term")  # n: one row; the threshold is part of the last join
-    ic = -F.log2(F.col("c_e") / F.col("n"))
-    pmi = F.log2(F.col("n") * F.col("c_et") / (F.col("c_e") * F.col("c_t")))
+    j = both.join(ents.select("entity", "c_e"), "entity").join(terms, "term")
+    ic = -F.log2(F.col("c_e") / F.lit(n))
+    pmi = F.log2(F.lit(n) * F.col("c_et") / (F.col("c_e") * F.col("c_t")))
     return j.withColumn("ic", ic).withColumn("pmi", pmi).where(F.col("pmi") >= alpha * F.col("ic")).where("ic > 0") \
         .select("entity", "term", "pmi", "ic", F.when(F.col("pmi") >= F.col("ic") - 1e-9, "remove").otherwise("generalise").alias("action"))
 

@@ -72,10 +72,11 @@ def shingles(text: str, k: int = 5) -> np.ndarray:
     return np.unique(_mix(h))
 
 
-def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, four to eight for each shingle (a power of two, 64 to 2^19): few enough
-    share a bit that the bound is close to the true overlap."""
-    width = min(1 << 19, max(64, 1 << (4 * len(s) - 1).bit_length()))
+def bitmap(s: np.ndarray, per: int = 4) -> np.ndarray:
+    """Parity bits of a set, ``per`` to twice as many for each shingle (a power of two, 64 to 2^19). With
+    four, few enough share a bit that the bound is close to the true overlap; one (a sketch) still tells
+    unrelated sets apart: half its bits differ, and a link allows a seventh of both sizes."""
+    width = min(1 << 19, max(64, 1 << (per * len(s) - 1).bit_length()))
     odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
@@ -131,18 +132,18 @@ def _signatures(k: int, percent: int, hot: np.ndarray, hot_count: np.ndarray):
     def run(it):
         seen: set = set()
         for b in it:
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for doc, text in zip(b.column(0).to_pylist(), batches(b.column(1)), strict=True):
                 s = shingles(text, k)
                 raw = s.tobytes()
                 c1, c2 = xxh3_64_intdigest(raw) - (1 << 63), xxh3_64_intdigest(raw, seed=1) - (1 << 63)
-                bits = prefix = None
+                bits = sketch = prefix = None
                 n_hot = 0
                 if len(s) and (c1, c2) not in seen:
                     if len(seen) >= _SEEN:
                         seen.clear()
                     seen.add((c1, c2))
-                    bits = bitmap(s).tobytes()
+                    bits, sketch = bitmap(s).tobytes(), bitmap(s, 1).tobytes()
                     p = _prefix_size(len(s), percent)
                     if len(hot):
                         at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
@@ -154,11 +155,11 @@ def _signatures(k: int, percent: int, hot: np.ndarray, hot_count: np.ndarray):
                     else:
                         prefix = s[:p]
                     prefix = _sign(prefix)
-                for c, v in zip(out, (doc, len(s), c1, c2, bits, prefix, n_hot), strict=True):
+                for c, v in zip(out, (doc, len(s), c1, c2, bits, sketch, prefix, n_hot), strict=True):
                     c.append(v)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)],
-                                             names=["doc_id", "n", "cls", "cls2", "bits", "prefix", "n_hot"])
+                                             names=["doc_id", "n", "cls", "cls2", "bits", "sketch", "prefix", "n_hot"])
         free_memory()
     return run
 
@@ -354,14 +355,14 @@ _FLUSH = 100_000  # pairs that a task holds before it passes them on
 
 def _may_link_forest(percent: int, two: bool):
     """Large tiles, or two of one key: edges between members that the bitmaps do not rule out, only as
-    many as hold them together. Members are structs (n, cls, comp, bits)."""
+    many as hold them together. Members are structs (n, cls, comp, sketch)."""
     def run(it):
         for b in it:
             a, c = [], []
             for r in range(b.num_rows):
                 tiles = [b.column(m)[r].values for m in (("m1", "m2") if two else ("m1",))]
                 n, cls, p = (np.concatenate([t.field(f).to_numpy() for t in tiles]) for f in ("n", "cls", "comp"))
-                bits = [x for t in tiles for x in t.field("bits").to_pylist()]
+                bits = [x for t in tiles for x in t.field("sketch").to_pylist()]
                 for x, y in _forest(n, p, list(range(len(n))), len(tiles[0]) if two else 0, percent, bits):
                     a.append(cls[x])
                     c.append(cls[y])
@@ -487,9 +488,9 @@ class JaccardJoin:
         pct = self.percent
         rows = materialize(self._members(tiles, comp))
         mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        left = rows.join(mixed, "key").join(self.reps.select("cls", "bits"), "cls")
+        left = rows.join(mixed, "key").join(self.reps.select("cls", "sketch"), "cls")
         grouped = materialize(left.groupBy("key", "tile").agg(
-            F.min("n").alias("n0"), F.max("n").alias("n1"), F.collect_list(F.struct("n", "cls", "comp", "bits")).alias("m1")))
+            F.min("n").alias("n0"), F.max("n").alias("n1"), F.collect_list(F.struct("n", "cls", "comp", "sketch")).alias("m1")))
         others = grouped.select("key", F.col("tile").alias("tile2"), F.col("n0").alias("n02"), F.col("n1").alias("n12"), F.col("m1").alias("m2"))
         across = grouped.join(others, "key").where(f"tile < tile2 AND 100 * n1 >= {pct} * n02 AND 100 * n12 >= {pct} * n0").select("m1", "m2")
         self.spare = [rows, grouped]
@@ -504,13 +505,13 @@ class JaccardJoin:
         salts = max(1, math.ceil(int(hot_count.max()) / (4 * TILE))) if len(hot) else 1
         written = materialize(self.src.mapInArrow(
             _signatures(self.k, pct, hot, hot_count),
-            "doc_id long, n int, cls long, cls2 long, bits binary, prefix array<long>, n_hot int"))
+            "doc_id long, n int, cls long, cls2 long, bits binary, sketch binary, prefix array<long>, n_hot int"))
         # rows of one class differ only in the id; one of those with a bitmap stands for it
         for turn in range(0, 64, 9):
             sig = written.withColumn("cls", _renamed(turn))
             self.named = _class_name(turn)
             self.reps = materialize(sig.where("bits IS NOT NULL").groupBy("cls").agg(
-                F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+                F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("sketch").alias("sketch"),
                 F.min("cls2").alias("low2"), F.max("cls2").alias("high2")))
             if not self.reps.where("low2 <> high2").limit(1).count():
                 break

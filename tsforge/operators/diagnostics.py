@@ -30,14 +30,18 @@ def demeaned(df: DataFrame, value: str = "close", key: str = "series_id") -> Dat
     broadcasts the per-series table if its files are small, and shuffles it otherwise)."""
     df = reuse_input(df)
     mean = F.when(F.min(value) == F.max(value), F.min(value).cast("double")).otherwise(F.avg(value))
-    m = df.groupBy(key).agg(mean.alias("_mu"), F.count(value).alias("_n"))
-    return df.filter(F.col(value).isNotNull()).join(sg._maybe_broadcast(m), key).withColumn("_e", F.col(value) - F.col("_mu"))
+    m = sg.home_rows(df).groupBy(key).agg(mean.alias("_mu"), F.count(value).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    m = sg._maybe_broadcast(m)
+    if sg.stored(df) and m.where("_n < _rows").limit(1).count():  # stored positions count the nulls, too
+        df = sg.home_rows(df).drop(sg.POS, sg.LEN)
+    return df.filter(F.col(value).isNotNull()).join(m.drop("_rows"), key).withColumn("_e", F.col(value) - F.col("_mu"))
 
 
 def autocov_sums(df: DataFrame, value: str = "close", max_lag: int = 40, key: str = "series_id", ts: str = "ts",
                  **kw) -> DataFrame:
     """``key, n, mean, s`` with ``s[k] = sum_t e_t * e_{t-k}`` for k = 0..max_lag."""
-    return _autocov_from(demeaned(df, value, key).select(key, ts, "_e", "_mu", "_n"), max_lag, key, ts, **kw)
+    d = demeaned(df, value, key)
+    return _autocov_from(d.select(key, ts, "_e", "_mu", "_n", *sg.layout_columns(d)), max_lag, key, ts, **kw)
 
 
 def _autocov_from(d: DataFrame, max_lag: int, key: str, ts: str, **kw) -> DataFrame:
@@ -132,34 +136,43 @@ def kpss(df: DataFrame, value: str = "close", key: str = "series_id", ts: str =
     ``max_lag`` sums are made for every series in one window pass; the few series whose own
     bandwidth needs more get theirs from ``lag_sums``. A constant series has no statistic and no
     p-value, with a ``reason``."""
-    df = reuse_input(df.select(key, ts, value))
+    df = reuse_input(df.select(key, ts, value, *sg.layout_columns(df)))
     # positions of the demeaned series once, shared by the lag sums and the running sum
-    d = reuse_input(sg.with_positions(demeaned(df, value, key).select(key, ts, "_e", "_mu", "_n"), key, ts,
-                                      kw.get("unit", "auto")))
+    d = demeaned(df, value, key)
+    if sg.stored(d):
+        d = d.select(key, ts, "_e", "_mu", "_n", *sg.layout_columns(d))
+    else:
+        d = reuse_input(sg.with_positions(d.select(key, ts, "_e", "_mu", "_n"), key, ts, kw.get("unit", "auto")))
     sums = materialize(sums if sums is not None else _autocov_from(d, max_lag, key, ts, **kw))
     for _ in range(2):  # first the sums the bandwidth is made of, then those the variance needs
         wanted = sums.withColumn("_need", F.when(F.col("s")[0] > 0, F.greatest(kpss_cov_lags(), kpss_lag(), F.lit(0))))
         short = materialize(wanted.where(F.col("_need") >= F.size("s")).select(key, "_need"))
         if not short.limit(1).count():
             break
-        more = sums.drop("s").join(lag_sums(d, short, key, kw.get("size", sg.DEFAULT_SEGMENT_ROWS)), key)
+        more = sums.drop("s").join(lag_sums(sg.home_rows(d), short, key, kw.get("size", sg.DEFAULT_SEGMENT_ROWS)), key)
         sums = materialize(sums.join(short, key, "left_anti").unionByName(more))
+    cols = sg.layout_columns(d) or [sg.POS]
+    eta = sg.running_sum(d.select(key, "_e", *cols), "_e", "_S", key).groupBy(key).agg(
+        F.sum(F.col("_S") * F.col("_S")).alias("_ss"))
+    return kpss_from(sums, eta, key)
+
+
+def kpss_from(sums: DataFrame, eta: DataFrame, key: str = "series_id") -> DataFrame:
+    """The test from the autocovariance sums and ``eta`` (key, ``_ss``: sum of squared running sums)."""
     lagged = sums.withColumn("kpss_lags", kpss_lag())
     n = F.col("n").cast("double")
     l = F.col("kpss_lags")
     wsum = F.aggregate(F.sequence(F.lit(1), F.greatest(l, F.lit(1))),
                        F.lit(0.0), lambda acc, i: acc + F.when(i <= l, _s(i) * (1.0 - i / (l + 1.0))).otherwise(0.0))
     sig = F.when(l.isNotNull(), (_s(0) + 2.0 * wsum) / n)
-    eta = sg.running_sum(d.select(key, sg.POS, "_e"), "_e", "_S", key).groupBy(key).agg(
-        F.sum(F.col("_S") * F.col("_S")).alias("_ss"))
-    out = lagged.join(eta, key).select(key, "n", "kpss_lags", F.try_divide(F.col("_ss") / (n * n), sig).alias("kpss_stat"))
+    out = lagged.join(eta, key).select(key, "n", "kpss_lags", (F.col("s")[0] == 0).alias("_flat"), F.try_divide(F.col("_ss") / (n * n), sig).alias("kpss_stat"))
     crit, pv = solvers.KPSS_CRIT, solvers.KPSS_PVAL
     x = F.col("kpss_stat")
     p = F.when(x.isNull(), F.lit(None).cast("double")).when(x <= crit[0], pv[0])
     for i in range(3):
         p = p.when(x <= crit[i + 1], pv[i] + (x - crit[i]) * (pv[i + 1] - pv[i]) / (crit[i + 1] - crit[i]))
-    return out.withColumn("kpss_pvalue", p.otherwise(pv[-1])).withColumn(
-        "kpss_reason", F.when(x.isNull(), F.lit("constant series")))
+    reason = F.when(x.isNull(), F.when(F.col("_flat"), F.lit("constant series")).otherwise(F.lit("bandwidth beyond the lags that are kept")))
+    return out.withColumn("kpss_pvalue", p.otherwise(pv[-1])).withColumn("kpss_reason", reason).drop("_flat")
 
 
 def _levinson_udf(nlags: int, order: int, method: str = "adjusted"):
@@ -196,7 +209,7 @@ def pacf_long(py: DataFrame, key: str = "series_id") -> DataFrame:
 
 def decompose_type(df: DataFrame, value: str = "close", key: str = "series_id") -> DataFrame:
     """Multiplicative only when every value is positive."""
-    return df.groupBy(key).agg(F.bool_or(F.col(value) <= 0).alias("has_non_positive")).withColumn(
+    return sg.home_rows(df).groupBy(key).agg(F.bool_or(F.col(value) <= 0).alias("has_non_positive")).withColumn(
         "model", F.when(F.col("has_non_positive"), "additive").otherwise("multiplicative"))
 
 
@@ -212,7 +225,8 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
     values, otherwise the component columns are null and ``reason`` says why."""
     h = period // 2
     x = F.col(value)
-    df = reuse_input(df.select(key, ts, value))
+    cols = sg.layout_columns(df)
+    df = reuse_input(df.select(key, ts, value, *cols))
 
     def trend(w):
         if period % 2 == 0:
@@ -221,14 +235,14 @@ def decompose(df: DataFrame, value: str = "close", period: int = 30, model: str
             return (core + edge) / float(period)
         return F.when(F.count(x).over(w.rowsBetween(-h, h)) == period, F.avg(x).over(w.rowsBetween(-h, h)))
 
-    gate = df.groupBy(key).agg(F.count(x).alias("_n"), F.coalesce(F.bool_or(x <= 0), F.lit(False)).alias("_nonpos"))
+    gate = sg.home_rows(df).groupBy(key).agg(F.count(x).alias("_n"), F.coalesce(F.bool_or(x <= 0), F.lit(False)).alias("_nonpos"))
     gate = sg._maybe_broadcast(gate.withColumn("_mult", ~F.col("_nonpos") if model == "auto" else F.lit(model.startswith("mult"))))
     mult = F.col("_mult")
 
     def per(a, b):
         return F.when(mult, safe_div(a, b)).otherwise(a - b)
 
-    d = windowed(df.select(key, ts, value), [{"trend": trend}], before=h, after=h, key=key, ts=ts, keep_pos=True, **kw)
+    d = windowed(df.select(key, ts, value, *cols), [{"trend": trend}], before=h, after=h, key=key, ts=ts, keep_pos=True, **kw)
     d = d.withColumn("_phase", F.pmod(F.col(sg.POS) - 1, F.lit(period))).join(gate, key).withColumn("_det", per(x, F.col("trend")))
     pa = d.groupBy(key, "_phase", "_mult").agg(F.avg("_det").alias("_pa"))
     pa = pa.withColumn("seasonal", per(F.col("_pa"), F.avg("_pa").over(Window.partitionBy(key)))).drop("_mult", "_pa")

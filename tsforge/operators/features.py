@@ -47,7 +47,7 @@ def windowed(df: DataFrame, steps: list[dict[str, Builder]], before: int = 0, af
     if layout == "series":  # reference layout (one task per series), used to check the segmented one
         w = Window.partitionBy(key).orderBy(ts)
         ctx = Ctx([key], "_rowpos")
-        d = df.withColumn("_rowpos", F.row_number().over(w))
+        d = sg.home_rows(df).withColumn("_rowpos", F.row_number().over(w))
         for step in steps:
             d = d.withColumns({n: _call(b, w, ctx) for n, b in step.items()})
         return d.drop("_rowpos")
@@ -247,7 +247,11 @@ def backfill(df, cols: list[str], key="series_id", ts="ts", size: int = sg.DEFAU
 
     Two-level scan: next non-null inside the segment, else the first non-null of the
     nearest later segment (from a per-segment table of first non-null values)."""
-    d = sg.with_positions(df, key, ts, unit).withColumn("_fs", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
+    info = sg.stored(df)
+    if info and info["size"] <= size:
+        d = sg.home_rows(df, keep=True).withColumnRenamed(sg.SEG, "_fs").drop(sg.LEN)
+    else:
+        d = sg.with_positions(df, key, ts, unit).withColumn("_fs", F.floor((F.col(sg.POS) - 1) / size).cast("bigint"))
     local = Window.partitionBy(key, "_fs").orderBy(sg.POS).rowsBetween(0, Window.unboundedFollowing)
     firsts = d.groupBy(key, "_fs").agg(*[F.min_by(F.col(x), F.when(F.col(x).isNotNull(), F.col(sg.POS))).alias(f"_f_{x}")
                                           for x in cols])

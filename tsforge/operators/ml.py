@@ -14,10 +14,11 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.operators import features as fe
+from tsforge.operators import ranks
 from tsforge.operators import segments as sg
 from tsforge.session import materialize, reuse_input
 
@@ -201,32 +202,31 @@ def gbt_early_stopping(ds: DataFrame, tol: float = 0.01, **params):
 
 # ---- permutation importance (M8) -------------------------------------------------------------------
 
-def permute_within_blocks(df: DataFrame, col: str, seed: int, blocks: int, key: str = "_rid") -> DataFrame:
-    """Randomly permute ``col`` across rows. Rows are dealt into ``blocks`` random blocks and the
-    values are permuted inside each, so no task ever ranks all rows (a global ``orderBy(rand())``
-    would). Two keys deal rows and values out anew for every seed."""
-    d = df.withColumn("_blk", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(blocks)))
-    w_rows = Window.partitionBy("_blk").orderBy(F.xxhash64(F.col(key), F.lit(seed + 1)))
-    w_vals = Window.partitionBy("_blk").orderBy(F.xxhash64(F.col(key), F.lit(seed + 2)))
-    rows = d.withColumn("_r", F.row_number().over(w_rows)).drop(col)
-    vals = d.select("_blk", F.col(col).alias(col), F.row_number().over(w_vals).alias("_r"))
-    return rows.join(vals, ["_blk", "_r"]).drop("_blk", "_r")
-
-
 def permutation_importance(model, ds: DataFrame, groups: dict[str, list[str]], label: str = "label",
-                           seed: int = 42, block_rows: int = 50_000) -> DataFrame:
-    """M8: for each feature group, permute its columns together across rows (in random blocks of
-    about ``block_rows``), re-score and report the percentage rise in MSE over the unpermuted
-    score, sorted descending."""
+                           seed: int = 42, order: list[str] | None = None) -> DataFrame:
+    """M8: for each feature group, permute its columns together across all rows, re-score and report
+    the percentage rise in MSE over the unpermuted score, sorted descending.
+
+    A row takes the group's values of the row that a keyed bijection of row numbers (``ranks.permute``,
+    one key for each group) sends it to, so every permutation is one over the whole table, nothing is
+    ranked, and all groups and the unpermuted score are one job: rows times groups, joined with the
+    rows by number. ``order`` numbers the rows by these columns (by their place in the input if not
+    given)."""
     spark = ds.sparkSession
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse")
-    base_ds = materialize(ds.withColumn("_rid", F.monotonically_increasing_id()))
-    base = ev.evaluate(model.transform(base_ds))
-    blocks = -(-base_ds.count() // block_rows)
-    out = []
-    for i, (name, cols) in enumerate(groups.items()):
-        packed = base_ds.withColumn("_grp", F.struct(*[F.col(c) for c in cols]))
-        p = permute_within_blocks(packed, "_grp", seed + 17 * i, max(1, blocks))
-        p = p.withColumns({c: F.col(f"_grp.{c}") for c in cols}).drop("_grp")
-        out.append((name, float((ev.evaluate(model.transform(p)) - base) / base * 100.0)))
+    names = list(groups)
+    rows = ranks.row_numbers(ds, order) if order else ranks.numbered(ds)
+    rows = materialize(rows)
+    n = rows.count()
+    cols = sorted({c for g in groups.values() for c in g})
+    each = rows.withColumn("_group", F.explode(F.sequence(F.lit(-1), F.lit(len(names) - 1))))
+    source = F.when(F.col("_group") < 0, F.col("_row")).otherwise(ranks.permuted_row("_row", n, "_key"))
+    each = each.withColumn("_key", (F.lit(seed) + 17 * F.col("_group")).cast("long")).withColumn("_from", source)
+    other = rows.select(F.col("_row").alias("_from"), F.struct(*[F.col(c) for c in cols]).alias("_other"))
+    mixed = each.join(other, "_from").withColumns({
+        c: F.when(F.col("_group").isin([i for i, g in enumerate(names) if c in groups[g]]), F.col(f"_other.{c}")).otherwise(F.col(c)) for c in cols})
+    scored = model.transform(mixed.drop("_other", "_from", "_key", "_row"))
+    err = F.pow(F.col(label) - F.col("prediction"), 2)
+    mse = {r["_group"]: r["mse"] for r in scored.groupBy("_group").agg(F.avg(err).alias("mse")).collect()}  # a row for each group
+    base = mse.get(-1)
+    out = [(name, float((mse[i] - base) / base * 100.0) if base else None) for i, name in enumerate(names)]
     return spark.createDataFrame(out, "feature string, mse_increase_pct double").orderBy(F.desc("mse_increase_pct"))

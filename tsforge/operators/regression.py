@@ -149,7 +149,7 @@ def adf(df: DataFrame, value: str = "close", key: str = "series_id", ts: str = "
     series carries only its own pmax lags; a series too short or constant has a null statistic."""
     if key != "series_id":
         df = df.withColumnRenamed(key, "series_id")
-    base = reuse_input(df.select("series_id", ts, value).filter(F.col(value).isNotNull()))
+    base = reuse_input(sg.home_rows(df).select("series_id", ts, value).filter(F.col(value).isNotNull()))
     st = base.groupBy("series_id").agg(F.count(F.lit(1)).alias("_n"), F.avg(value).alias("_mu"),
                                        F.when(F.min(value) == F.max(value), 0.0).otherwise(F.stddev_pop(value)).alias("_sd"))
     pmax_col = F.least(F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2).cast("int")

@@ -31,6 +31,29 @@ BUCKET = "_bkt"
 DEFAULT_SEGMENT_ROWS = 200_000
 
 
+def stored(df: DataFrame) -> dict | None:
+    """What is known of a frame in the stored layout (``layout.store``): key, ts, size, before, after,
+    buckets; None for other frames."""
+    if not {POS, SEG, HOME} <= set(df.columns):
+        return None
+    import json
+    return json.loads(df.schema[SEG].metadata.get("layout", "null"))
+
+
+def layout_columns(df: DataFrame) -> list[str]:
+    """Columns that a projection must keep for a frame to stay in the stored layout."""
+    return [POS, LEN, SEG, HOME] if stored(df) else []
+
+
+def home_rows(df: DataFrame, keep: bool = False) -> DataFrame:
+    """The rows of a frame in the stored layout, each once (with their segment if ``keep``); other
+    frames as they are."""
+    if not stored(df):
+        return df
+    df = df.filter(F.col(HOME)).drop(HOME)
+    return df if keep else df.drop(SEG)
+
+
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
@@ -69,6 +92,8 @@ def with_positions(df: DataFrame, key="series_id", ts: str = "ts", unit: str = "
     ``(key, ts)`` must be unique (see ``clean.dedupe``) so the order is total.
     """
     from tsforge.session import reuse_input
+    if stored(df):
+        return home_rows(df) if with_len else home_rows(df).drop(LEN)
     keys = _keys(key)
     unit = resolve_unit(df, ts, unit)
     b = reuse_input(df).withColumn(BUCKET, bucket_expr(ts, unit))
@@ -113,7 +138,12 @@ def drop_halo(df: DataFrame) -> DataFrame:
 
 def series_layout(df: DataFrame, before: int = 0, after: int = 0, key="series_id", ts: str = "ts",
                   size: int = DEFAULT_SEGMENT_ROWS, unit: str = "auto") -> DataFrame:
-    """``with_positions`` (reused when ``_pos`` is already there) + ``segmented``."""
+    """``with_positions`` (reused when ``_pos`` is already there) + ``segmented``. A frame in the stored
+    layout that reaches far enough is taken as it is."""
+    info = stored(df)
+    if info and _keys(key) == _keys(info["key"]) and before <= info["before"] and after <= info["after"]:
+        return df.drop(LEN)
+    df = home_rows(df)
     d = df if POS in df.columns else with_positions(df, key, ts, unit)
     return segmented(d, before, after, size, key)
 
@@ -125,7 +155,11 @@ def running_sum(df: DataFrame, value: str, out: str, key="series_id", size: int
     segments, taken from the small per-segment totals table.
     """
     keys = _keys(key)
-    d = df.withColumn("_sseg", F.floor((F.col(POS) - 1) / size).cast("bigint"))
+    info = stored(df)
+    if info and info["size"] <= size:  # the stored segments, so that the window needs no exchange
+        d = home_rows(df, keep=True).withColumnRenamed(SEG, "_sseg")
+    else:
+        d = home_rows(df).withColumn("_sseg", F.floor((F.col(POS) - 1) / size).cast("bigint"))
     tot = d.groupBy(*keys, "_sseg").agg(F.sum(value).alias("_t"))
     prev = Window.partitionBy(*keys).orderBy("_sseg").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*keys, "_sseg", F.coalesce(F.sum("_t").over(prev), F.lit(0.0)).alias("_soff"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tsforge.operators import (baselines, clean, diagnostics, evaluate, features as fe, ml, neural, regression, smoothing,
+from tsforge.operators import (baselines, boosting, clean, diagnostics, evaluate, features as fe, incremental, layout, ml, neural, ranks, regression, smoothing,
                                splits, summary)
 from tsforge.plans import forecasting
 from tsforge.session import materialize
@@ -196,6 +196,34 @@ def histogram(spark, sf):
     return h.select("series_id", "bin", r("lo_edge", 4), r("hi_edge", 4), "count")
 
 
+def _edge_values(spark, sf):
+    """Bars with marks on some rows: an infinite value on the first of each series of 1-URGENT and 2-HIGH,
+    NaN on every fifth of 3-MEDIUM, one outlier in 4-NOT SPECIFIED, a constant 5-LOW."""
+    b = B.bars_orders(spark, sf).select("series_id", "ts", "close")
+    first = b.groupBy("series_id").agg(F.min("ts").alias("first"))
+    sid, one = F.col("series_id"), F.col("ts") == F.col("first")
+    v = (F.when(one & (sid == "1-URGENT"), F.lit(float("inf"))).when(one & (sid == "2-HIGH"), F.lit(float("-inf")))
+          .when((sid == "3-MEDIUM") & (F.dayofmonth("ts") % 5 == 0), F.lit(float("nan")))
+          .when(one & (sid == "4-NOT SPECIFIED"), F.lit(1e12)).when(sid == "5-LOW", F.lit(7.25)).otherwise(F.col("close")))
+    return b.join(first, "series_id").select("series_id", "ts", v.alias("close"))
+
+
+@query("describe_edge")
+def describe_edge(spark, sf):
+    """A4 over infinite, missing and outlying values."""
+    d = summary.describe(_edge_values(spark, sf), "close")
+    limits = [F.when(F.abs(F.col(c)) < float("inf"), F.round(F.col(c), 4)).alias(c) for c in ("min", "p25", "p50", "p75", "max")]
+    return d.select("series_id", "count", r("mean", 2), r("std", 1), *limits, F.signum(F.when(F.abs("min") == float("inf"), F.col("min"))).cast("int").alias("low"),
+                    F.signum(F.when(F.abs("max") == float("inf"), F.col("max"))).cast("int").alias("high"))
+
+
+@query("histogram_edge")
+def histogram_edge(spark, sf):
+    """A5 by the automatic rule over infinite, missing and outlying values."""
+    h = summary.histogram(_edge_values(spark, sf), "close", bins="auto")
+    return h.select("series_id", "bin", *(F.when(F.abs(F.col(c)) < float("inf"), F.round(F.col(c), 4)).alias(c) for c in ("lo_edge", "hi_edge")), "count", "reason")
+
+
 @query("kde")
 def kde(spark, sf):
     k = summary.kde(B.bars_orders(spark, sf), "close", grid=200)
@@ -344,6 +372,93 @@ def stationarity_edge(spark, sf):
     return k.select("series_id", "n", "kpss_lags", r("kpss_stat", 8), r("kpss_pvalue", 8), "kpss_reason")
 
 
+_LAYOUTS: dict = {}  # (application, input, fixture) -> stored layout
+
+
+def _stored(spark, sf, which):
+    """Bars in the stored positional layout: written by the first query of an application that asks for them."""
+    make = {"orders": lambda: B.bars_orders(spark, sf),
+            "features": lambda: fe.technical_features(B.bars_orders(spark, sf)).select("series_id", "ts", "sma_5", "sma_20", "rsi_14"),
+            "walk": lambda: _walk(spark, sf), "levels_and_walk": lambda: _levels_and_walk(spark, sf)}
+    at = (spark.sparkContext.applicationId, sf, which)
+    if at not in _LAYOUTS:
+        _LAYOUTS[at] = layout.store(make[which]())
+    return _LAYOUTS[at]
+
+
+@query("stored_rolling_mean")
+def stored_rolling_mean(spark, sf):
+    """W4 on the stored layout: the window starts from the scan."""
+    return fe.rolling(_stored(spark, sf, "orders"), windows=(5, 20, 30), std_windows=()).select(
+        "series_id", "ts", r("sma_5", 4), r("sma_20", 4), r("sma_30", 4))
+
+
+@query("stored_backfill")
+def stored_backfill(spark, sf):
+    """P13 on the stored layout of the features."""
+    f = fe.backfill(_stored(spark, sf, "features"), ["sma_5", "sma_20", "rsi_14"])
+    return f.select("series_id", "ts", r("sma_5", 4), r("sma_20", 4), r("rsi_14", 8))
+
+
+@query("stored_acf30")
+def stored_acf30(spark, sf):
+    """T4 on the stored layout."""
+    a = diagnostics.acf(diagnostics.autocov_sums(_stored(spark, sf, "walk"), "close", 30), 30)
+    return a.select("series_id", "lag", r("acf", 8))
+
+
+@query("stored_kpss")
+def stored_kpss(spark, sf):
+    """T2 on the stored layout: lag sums and running sums from the stored segments."""
+    k = diagnostics.kpss(_stored(spark, sf, "levels_and_walk"), "close")
+    return k.select("series_id", "n", "kpss_lags", r("kpss_stat", 8), r("kpss_pvalue", 8))
+
+
+@query("stored_decompose")
+def stored_decompose(spark, sf):
+    """T8 on the stored layout."""
+    d = diagnostics.decompose(_stored(spark, sf, "walk"), "close", 30, "additive")
+    return d.select("series_id", "ts", r("observed", 6), r("trend", 8), r("seasonal", 8), r("resid", 6), "reason")
+
+
+_LIVE: dict = {}
+
+
+def _live(spark, sf):
+    """Statistics of level and walk bars after ten appends, each of a tenth of the time span."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _LIVE:
+        bars = materialize(_levels_and_walk(spark, sf))
+        span = bars.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+        tenth = F.floor(F.datediff("ts", F.lit(span["a"])) * 10 / ((span["b"] - span["a"]).days + 1))
+        state = None
+        for i in range(10):
+            state = incremental.update(state, bars.where(tenth == i))
+        _LIVE[at] = state
+    return _LIVE[at]
+
+
+@query("live_ljung_box")
+def live_ljung_box(spark, sf):
+    """T3 from sums kept up to date from new bars only."""
+    lb = diagnostics.ljung_box(incremental.autocov_sums(_live(spark, sf)), 10)
+    return lb.select("series_id", "n", r("lb_stat", 6), r("lb_pvalue", 8))
+
+
+@query("live_kpss")
+def live_kpss(spark, sf):
+    """T2 from sums kept up to date from new bars only."""
+    k = incremental.kpss(_live(spark, sf))
+    return k.select("series_id", "n", "kpss_lags", r("kpss_stat", 8), r("kpss_pvalue", 8))
+
+
+@query("live_describe")
+def live_describe(spark, sf):
+    """A4 from sums and value counts kept up to date from new bars only (the level bars)."""
+    d = incremental.describe(_live(spark, sf)).where("series_id LIKE 'level|%'").withColumn("series_id", F.substring("series_id", 7, 100))
+    return d.select("series_id", "count", r("mean", 4), r("std", 3), r("min", 4), r("p25", 4), r("p50", 4), r("p75", 4), r("max", 4))
+
+
 @query("decompose_type")
 def decompose_type(spark, sf):
     return diagnostics.decompose_type(_levels_and_differences(spark, sf), "close")
@@ -560,11 +675,42 @@ def permutation_importance(spark, sf):
     wide = materialize(ml.multivariate_dataset(B.bars_orders(spark, sf)))
     cols = [c for c in wide.columns if c not in ("series_id", "ts", "split", "target")]
     model = ml.fit_pipeline(wide.filter("split = 'train'"), cols, "target", "rf")
-    imp = ml.permutation_importance(model, wide.filter("split = 'test'"),
-                                    {x: [f"{x}_{j}" for j in range(20)] for x in ml.WINDOW_FEATURES}, label="target")
+    imp = ml.permutation_importance(model, wide.filter("split = 'test'"), {x: [f"{x}_{j}" for j in range(20)] for x in ml.WINDOW_FEATURES},
+                                    label="target", order=["series_id", "ts"])
     return imp.select("feature", r("mse_increase_pct", 4))
 
 
+@query("permuted_rows")
+def permuted_rows(spark, sf):
+    """M8's permutation of all bars (by series and date), keyed by 42: each bar with the close it takes."""
+    b = materialize(ranks.row_numbers(B.bars_orders(spark, sf).select("series_id", "ts", "close"), ["series_id", "ts"]))
+    taken = b.select("series_id", "ts", "_row", ranks.permuted_row("_row", b.count(), 42).alias("source_row"))
+    return taken.join(b.select(F.col("_row").alias("source_row"), F.round("close", 4).alias("close")), "source_row") \
+        .select("series_id", "ts", F.col("_row").alias("row"), "source_row", "close")
+
+
+def _boosted(spark, sf, **kw):
+    """Second-order boosting on lagged features (hash split as F5/F6): the scored test rows."""
+    bars = materialize(B.bars_many(spark, sf).withColumn("volume", F.col("volume").cast("double")))
+    d, cols = ml.lagged_features(bars)
+    d = materialize(splits.hash_split(d, ["series_id", "ts"]))
+    model = boosting.fit(d.where("split = 'train'"), cols, "close", **kw)
+    return model.predict(d.where("split = 'test'"))
+
+
+@query("boosting")
+def boosted_trees(spark, sf):
+    """F6 with second-order splits: three trees of depth two, each test row's forecast."""
+    p = _boosted(spark, sf, rounds=3, depth=2, eta=0.3, bins=32)
+    return p.select("series_id", "ts", r("close", 4), r("prediction", 4))
+
+
+@query("boosting_100")
+def boosted_trees_100(spark, sf):
+    """F6 as the reference sets it: 100 rounds, depth 5, step 0.1."""
+    return _ml_metrics(ml.to_forecasts(_boosted(spark, sf), "boosting_100", "close"))
+
+
 # ---- step 10: streaming ------------------------------------------------------------------------
 
 @query("stream_bars")

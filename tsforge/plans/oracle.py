@@ -556,3 +556,47 @@ SQL["forecast_selection"] = _w(BARS, BASELINES) + """
 select series_id, model, ts, actual, round(forecast, 4) as forecast, round(actual - forecast, 4) as error,
        round(abs(actual - forecast), 4) as abs_error
 from fc where model in ('naive', 'mean5')"""
+
+
+# the same results from the stored layout
+for _name in ("rolling_mean", "backfill", "acf30", "kpss"):
+    SQL[f"stored_{_name}"] = SQL[_name]
+SQL["stored_decompose"] = SQL["decompose_additive"]
+
+# Marked bars: infinite and missing values apart, an outlier, a constant series.
+EDGE = """fst as (select series_id, min(ts) as f from bars group by 1),
+edge as (select series_id, ts, case when ts = f and series_id = '1-URGENT' then 1 when ts = f and series_id = '2-HIGH' then -1 else 0 end as inf,
+                case when series_id = '3-MEDIUM' and day(ts) % 5 = 0 then null when series_id = '5-LOW' then 7.25
+                     when ts = f and series_id = '4-NOT SPECIFIED' then 1e12 when ts = f and series_id in ('1-URGENT', '2-HIGH') then null
+                     else close end as v from bars join fst using (series_id)),
+-- ranks with the infinite values at the ends
+ranked as (select *, row_number() over (partition by series_id order by inf, v) - 1 as rk from edge where inf <> 0 or v is not null),
+cnt as (select series_id, count(*) as n, count(v) as nf, min(inf) as low, max(inf) as high, avg(v) as mean, stddev_samp(v) as std, min(v) as lo, max(v) as hi
+        from ranked group by 1),
+qs as (select series_id, p, max(case when rk = floor((n - 1) * p) then v end) as a, max(case when rk = ceil((n - 1) * p) then v end) as b, any_value((n - 1) * p % 1) as fr
+       from ranked join cnt using (series_id) cross join (select unnest([0.25::double, 0.5, 0.75]) as p) group by 1, 2)"""
+
+SQL["describe_edge"] = _w(BARS, EDGE) + """
+select series_id, n as count, case when n = nf then round(mean, 2) end as mean, case when n = nf then round(std, 1) end as std,
+       case when low = 0 then round(lo, 4) end as min, case when high = 0 then round(hi, 4) end as max,
+       round(max(case when p = 0.25 then a + fr * (b - a) end), 4) as p25, round(max(case when p = 0.5 then a + fr * (b - a) end), 4) as p50,
+       round(max(case when p = 0.75 then a + fr * (b - a) end), 4) as p75,
+       cast(case when low <> 0 then -1 end as integer) as low, cast(case when high <> 0 then 1 end as integer) as high
+from cnt join qs using (series_id) group by all"""
+
+SQL["histogram_edge"] = _w(BARS, EDGE) + """
+, iqr as (select series_id, max(case when p = 0.75 then a + fr * (b - a) end) - max(case when p = 0.25 then a + fr * (b - a) end) as iqr from qs group by 1)
+, w as (select *, (hi - lo) / (log2(n) + 1.0) as sw, 2.0 * iqr * pow(n, -1.0 / 3.0) as fw from cnt join iqr using (series_id))
+, nb as (select *, greatest(coalesce(ceil((hi - lo) / nullif(case when fw > 0 then least(fw, sw) else sw end, 0)), 1), 1) as want from w)
+, ok as (select *, cast(want as integer) as nb from nb where n = nf and want <= 100000)
+, hb as (select series_id, cast(least(coalesce(floor(((v - lo) / nullif(hi - lo, 0)) * nb), 0), nb - 1) as integer) as bin, count(*) as c
+         from ranked join ok using (series_id) group by all)
+, ev as (select series_id, lo, hi, nb, cast(unnest(range(0, nb)) as integer) as bin from ok)
+select series_id, bin, round(lo + bin * ((hi - lo) / nb), 4) as lo_edge, round(lo + (bin + 1) * ((hi - lo) / nb), 4) as hi_edge, coalesce(c, 0) as count,
+       null::varchar as reason from ev left join hb using (series_id, bin)
+union all select series_id, null, case when low = 0 then round(lo, 4) end, case when high = 0 then round(hi, 4) end, n,
+       case when n <> nf then 'infinite value' else 'more than 100000 bins' end from nb where n <> nf or want > 100000"""
+
+# and from statistics kept up to date append by append
+for _name in ("ljung_box", "kpss", "describe"):
+    SQL[f"live_{_name}"] = SQL[_name]

@@ -27,11 +27,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reuse_input
-from .common import batches, discard, free_memory, materialize
+from .common import batches, discard, free_memory, materialize, parts_for, run_bounds
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, START = 0, 1       # ids and classes of the end token and of the start of a text
@@ -109,8 +110,41 @@ def numbered(vocab: DataFrame, min_count: int, top_words: int | None = None) ->
     return out, 1 + (out.agg(F.max("id")).first()[0] or 1)
 
 
-def _pairs(base: int):
-    """Counts of neighbouring ids (u, v) in a chunk's training texts; open ids from ``base`` on."""
+def _pack(i: np.ndarray, v: np.ndarray, n: np.ndarray) -> bytes:
+    """Counted pairs (i, v), sorted by both, as compressed bytes: gaps of i, then v, then n."""
+    raw = np.array([len(i)], "<i8").tobytes() + np.diff(i, prepend=0).astype("<i4").tobytes() + v.astype("<i4").tobytes() + n.astype("<i8").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    m = int(np.frombuffer(raw, "<i8", 1)[0])
+    return (np.cumsum(np.frombuffer(raw, "<i4", m, 8), dtype=np.int64), np.frombuffer(raw, "<i4", m, 8 + 4 * m).astype(np.int64),
+            np.frombuffer(raw, "<i8", m, 8 + 8 * m))
+
+
+def _dealt(i: np.ndarray, v: np.ndarray, n: np.ndarray, parts: int):
+    """(part, packed pairs) for the pairs of each part; words are dealt to parts by number."""
+    part = (i * 2_654_435_761 % 4_294_967_291) % parts
+    order = np.lexsort((v, i, part))
+    i, v, n, part = i[order], v[order], n[order], part[order]
+    at = run_bounds(part)
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        yield int(part[lo]), _pack(i[lo:hi], v[lo:hi], n[lo:hi])
+
+
+def _added(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of several packs, sorted, equal ones added up."""
+    i, v, n = (np.concatenate(x) for x in zip(*map(_unpack, packed), strict=True))
+    order = np.lexsort((v, i))
+    i, v, n = i[order], v[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (v[1:] != v[:-1])])) if len(i) else np.zeros(0, np.int64)
+    return i[first], v[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _pairs(base: int, parts: int):
+    """Counts of neighbouring ids (u, v) in a chunk's training texts, dealt by u and packed; open ids
+    from ``base`` on."""
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
         opened = words.column("open").to_numpy().astype(np.int64)
         own = words.column("id").fill_null(-1).to_numpy().astype(np.int64)
@@ -137,24 +171,70 @@ def _pairs(base: int):
         if codes:
             settle()
         code, n = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        return pa.table({"u": pa.array(ids[code // size].astype(np.int32)), "v": pa.array(ids[code % size].astype(np.int32)),
-                         "n": pa.array(n.astype(np.int64))})
+        got = list(_dealt(ids[code // max(size, 1)], ids[code % max(size, 1)], n, parts))
+        return pa.table({"part": pa.array([p for p, _ in got], pa.int32()), "after": pa.array([d for _, d in got], pa.binary())})
+    return run
+
+
+def _merge_after(parts: int):
+    """Packs of a part -> its pairs added up, and the same pairs turned round for the parts of v."""
+    def run(it):
+        held: dict[int, list[bytes]] = defaultdict(list)
+        for b in it:
+            for p, d in zip(b.column("part").to_pylist(), b.column("after").to_pylist(), strict=True):
+                held[p].append(d)
+        for p in sorted(held):
+            u, v, n = _added(held.pop(p))
+            rows = [(p, _pack(u, v, n), None), *((q, None, d) for q, d in _dealt(v, u, n, parts))]
+            q, after, before = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int32()), pa.array(after, pa.binary()), pa.array(before, pa.binary())],
+                                             names=["part", "after", "before"])
+        free_memory()
     return run
 
 
+def _merge_both(it):
+    """A part's pairs both ways: after (u before v: u, v, n) and before (v, u, n)."""
+    held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+    for b in it:
+        for p, *data in zip(*(b.column(c).to_pylist() for c in ("part", "after", "before")), strict=True):
+            for kept, d in zip(held[p], data, strict=True):
+                if d is not None:
+                    kept.append(d)
+    for p in sorted(held):
+        cols = [pa.array([_pack(*_added(x)) if x else _pack(*[np.zeros(0, np.int64)] * 3)], pa.binary()) for x in held.pop(p)]
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *cols], names=["part", "after", "before"])
+    free_memory()
+
+
+def neighbours(chunks: DataFrame, vocab: DataFrame, base: int) -> DataFrame:
+    """(part, after, before): for the words of a part, their counted neighbours on either side, packed.
+    Written once; a round reads it as bytes and shuffles nothing of it."""
+    parts = max(1, parts_for(chunks, 4 << 20))
+    run = _pairs(base, parts)
+    found = chunks.where(~F.col("held_out")).select("chunk", "text").groupBy("chunk") \
+        .cogroup(vocab.select("chunk", "word", "open", "id").groupBy("chunk")).applyInArrow(lambda left, right: run(left, right), "part int, after binary")
+    ddl = "part int, after binary, before binary"
+    once = materialize(found.repartition(parts, "part").mapInArrow(_merge_after(parts), ddl))
+    out = materialize(once.repartition(parts, "part").mapInArrow(_merge_both, ddl))
+    discard(once)
+    return out
+
+
 def _matrix(cls: np.ndarray, nc: int):
     def run(it):
         m = np.zeros(nc * nc)
         for b in it:
-            u, v = (cls[b.column(c).to_numpy()].astype(np.int64) for c in ("u", "v"))
-            m += np.bincount(u * nc + v, b.column("n").to_numpy(), minlength=nc * nc)
+            for data in b.column(0).to_pylist():
+                u, v, n = _unpack(data)
+                m += np.bincount(cls[u].astype(np.int64) * nc + cls[v], n, minlength=nc * nc)
         at = np.flatnonzero(m)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(m[at].astype(np.int64))], names=["cell", "n"])
     return run
 
 
-def class_matrix(pairs: DataFrame, cls: np.ndarray, nc: int) -> np.ndarray:
-    rows = pairs.mapInArrow(_matrix(cls, nc), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # nc^2 rows
+def class_matrix(near: DataFrame, cls: np.ndarray, nc: int) -> np.ndarray:
+    rows = near.select("after").mapInArrow(_matrix(cls, nc), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # nc^2 rows
     m = np.zeros(nc * nc)
     m[rows["cell"]] = rows["n"]
     return m.reshape(nc, nc)
@@ -219,51 +299,57 @@ def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, sa
     return gain - (_xlogx(rows + ro[:, None]) - _xlogx(rows)) - (_xlogx(cols + ci[:, None]) - _xlogx(cols))
 
 
-def neighbours(pairs: DataFrame, words: int) -> DataFrame:
-    """(id, near): one row for each clustered word with its counted neighbours; k = neighbour * 3 +
-    side, sides are after, before, itself. Written once, so that no round shuffles them again."""
-    ends = "stack(2, u, v * 3 + if(u = v, 2, 0), v, if(u = v, -1, u * 3 + 1)) AS (id, k)"
-    rows = pairs.selectExpr("cast(u AS long) AS u", "cast(v AS long) AS v", "n").selectExpr(ends, "n").where(f"k >= 0 AND id >= 2 AND id < {words}")
-    return materialize(rows.groupBy("id").agg(F.collect_list(F.struct("k", "n")).alias("near")))
+def _counts(i: np.ndarray, v: np.ndarray, n: np.ndarray, words: np.ndarray, cls: np.ndarray, nc: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``words`` its counts with the classes of other words, and with itself."""
+    lo, hi = np.searchsorted(i, words[0]), np.searchsorted(i, words[-1], "right")
+    i, v, n = i[lo:hi], v[lo:hi], n[lo:hi]
+    row = np.searchsorted(words, i)
+    own = i == v
+    full = np.bincount(row[~own] * nc + cls[v[~own]], n[~own], minlength=len(words) * nc).reshape(len(words), nc)
+    return full, np.bincount(row[own], n[own], minlength=len(words))
 
 
-def _moves(cls: np.ndarray, m: np.ndarray, first: int):
-    """The best class of each word that gains by a move, with the gain."""
+def _moves(cls: np.ndarray, m: np.ndarray, first: int, words: int):
+    """The best class of each clustered word (ids from 2 to ``words`` - 1) that gains by a move, with
+    the gain."""
     nc = len(m)
 
     def run(it):
         for b in it:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                w, near = part.column("id").to_numpy(), part.column("near")
-                size = near.value_lengths().to_numpy()
-                k, n = (x.to_numpy() for x in near.flatten().flatten())
-                side = k % 3
-                cell = (np.repeat(np.arange(len(w)), size) * 3 + side) * nc + np.where(side < 2, cls[k // 3], 0)
-                full = np.bincount(cell, n, minlength=len(w) * 3 * nc).reshape(len(w), 3, nc)
-                a = cls[w].astype(np.int64)
-                gain = gains_of(m, a, full[:, 0], full[:, 1], full[:, 2, 0], first)
-                best = gain.argmax(1)
-                more = gain[np.arange(len(w)), best] - gain[np.arange(len(w)), a - first]
-                on = more > 1e-6
-                yield pa.RecordBatch.from_arrays([pa.array(w[on]), pa.array((first + best[on]).astype(np.int32)), pa.array(more[on])],
-                                                 names=["id", "best", "gain"])
+            for after, before in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                x, y = _unpack(after), _unpack(before)
+                ids = np.unique(np.concatenate([x[0], y[0]]))
+                ids = ids[(ids >= 2) & (ids < words)]
+                for lo in range(0, len(ids), 500):
+                    w = ids[lo:lo + 500]
+                    (out, same), (into, _) = _counts(*x, w, cls, nc), _counts(*y, w, cls, nc)
+                    a = cls[w].astype(np.int64)
+                    gain = gains_of(m, a, out, into, same, first)
+                    best = gain.argmax(1)
+                    more = gain[np.arange(len(w)), best] - gain[np.arange(len(w)), a - first]
+                    on = more > 1e-6
+                    yield pa.RecordBatch.from_arrays([pa.array(w[on]), pa.array((first + best[on]).astype(np.int32)), pa.array(more[on])],
+                                                     names=["id", "best", "gain"])
         free_memory()
     return run
 
 
-def exchange(pairs: DataFrame, words: int, classes: int, rounds: int | None = None, tol: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+def exchange(near: DataFrame, words: int, classes: int, rounds: int | None = None, tol: float = 1e-3,
+             heads: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Classes of all ids and the class matrix. Ids from 2 to ``words`` - 1 are clustered, in
-    classes from 2 + OPEN on; open ids keep their class. Without ``rounds`` the search goes on
-    until a round gains less than ``tol`` a token, or no share of the moves helps any more."""
+    classes from 2 + OPEN on; open ids keep their class. ``heads`` (the most frequent words) start in a
+    class each, so that the first round has contexts that mean something. Without ``rounds`` the
+    search goes on until a round gains less than ``tol`` a token, or no share of the moves helps any
+    more."""
     nc, first = 2 + OPEN + classes, 2 + OPEN
     cls = np.concatenate([[END, START], first + np.arange(words - 2) % classes, 2 + np.arange(OPEN)]).astype(np.int16)
-    m = class_matrix(pairs, cls, nc)
+    for k, i in enumerate((heads or [])[:classes]):
+        cls[i] = first + k
+    m = class_matrix(near, cls, nc)
     had, share, r = likelihood(m), 1.0, 0
     least = 1 / max(1, words)
-    near = neighbours(pairs, words)
     while words > 2 and (rounds is None or r < rounds):
-        got = near.mapInArrow(_moves(cls, m, first), "id long, best int, gain double").toPandas()  # numbers only, of words that gain
+        got = near.select("after", "before").mapInArrow(_moves(cls, m, first, words), "id long, best int, gain double").toPandas()  # numbers only, of words that gain
         ids, best = got["id"].to_numpy(), got["best"].to_numpy()
         if got["gain"].sum() < tol * m.sum():
             break
@@ -273,7 +359,7 @@ def exchange(pairs: DataFrame, words: int, classes: int, rounds: int | None = No
             go = draw < share
             new = cls.copy()
             new[ids[go]] = best[go]
-            m2 = class_matrix(pairs, new, nc)
+            m2 = class_matrix(near, new, nc)
             gain = likelihood(m2) - had
             if gain <= 0:
                 share /= 2
@@ -283,7 +369,6 @@ def exchange(pairs: DataFrame, words: int, classes: int, rounds: int | None = No
         if gain / share < tol * m.sum():
             break
         share = min(share * 2, 0.5)
-    discard(near)
     return cls, m
 
 
@@ -324,12 +409,10 @@ def train(chunks: DataFrame, vocab: DataFrame, base: int, classes: int = 64, rou
     open_n, open_v = np.zeros(OPEN), np.zeros(OPEN)
     open_n[sums["open"]], open_v[sums["open"]] = sums["open_n"], sums["open_v"]
     tokens, types = int(sums["n"].sum()) + ends, int(sums["v"].sum()) + (ends > 0)
-    run = _pairs(base)
-    found = chunks.where(~F.col("held_out")).select("chunk", "text").groupBy("chunk") \
-        .cogroup(vocab.select("chunk", "word", "open", "id").groupBy("chunk")).applyInArrow(lambda left, right: run(left, right), "u int, v int, n long")
-    pairs = materialize(found.groupBy("u", "v").agg(F.sum("n").alias("n")))
-    cls, m = exchange(pairs, base, classes, rounds, tol)
-    discard(pairs)
+    heads = [r["id"] for r in lead.where("id IS NOT NULL").orderBy(F.desc("c"), "word").limit(classes).select("id").collect()]
+    near = neighbours(chunks, vocab, base)
+    cls, m = exchange(near, base, classes, rounds, tol, heads)
+    discard(near)
     return Model({}, cls, m, np.zeros(0), open_n, open_v, tokens, types, ends)
 
 

@@ -64,27 +64,64 @@ def dump(doc_ids: np.ndarray, offsets: np.ndarray, ids: np.ndarray, width: int =
         yield from (chunks.tobytes(), words.tobytes(), ranks.tobytes())
 
 
+class FileArray:
+    """An array in an open file: indexing reads just those items (items less than ``GAP`` bytes apart in
+    one call)."""
+
+    GAP = 4096
+
+    def __init__(self, f, at: int, kind, n: int):
+        self.f, self.at, self.kind, self.n = f, at, np.dtype(kind), n
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _read(self, lo: int, hi: int) -> np.ndarray:
+        size = self.kind.itemsize
+        return np.frombuffer(self.f.read_at((hi - lo) * size, self.at + lo * size), self.kind)
+
+    def __getitem__(self, key):
+        if isinstance(key, slice):
+            lo, hi, _ = key.indices(self.n)
+            return self._read(lo, max(lo, hi))
+        if np.ndim(key) == 0:
+            return self._read(int(key), int(key) + 1)[0]
+        u, inv = np.unique(np.asarray(key, np.int64), return_inverse=True)
+        out = np.empty(len(u), self.kind)
+        cut = [0, *(np.flatnonzero(np.diff(u) * self.kind.itemsize > self.GAP) + 1).tolist(), len(u)]
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            if hi > lo:
+                out[lo:hi] = self._read(int(u[lo]), int(u[hi - 1]) + 1)[u[lo:hi] - u[lo]]
+        return out[inv]
+
+
 class Reader:
-    """Random access to the ids of one file held in memory or mapped."""
+    """Random access to the ids of one segment: in memory (bytes), or in an open file from ``base`` on,
+    of which only the header, directory entries, chunks and words that are asked for are read."""
+
+    def __init__(self, raw, base: int = 0):
+        stored = hasattr(raw, "read_at")
+
+        def head(at: int, size: int) -> bytes:
+            return raw.read_at(size, base + at) if stored else bytes(raw[at:at + size])
 
-    def __init__(self, raw):
-        if bytes(raw[:4]) != b"DAC1":
+        def array(kind, n: int, at: int):
+            return FileArray(raw, base + at, kind, n) if stored else np.frombuffer(raw, kind, n, at)
+        if head(0, 4) != b"DAC1":
             raise ValueError("not a file of directly addressable codes")
-        self.width, n_levels, self.n, n_docs = struct.unpack_from("<IIQQ", raw, 4)
-        at, kind = 28, np.uint8 if self.width == 8 else np.uint16
-        self.doc_ids = np.frombuffer(raw, "<i8", n_docs, at)
-        self.offsets = np.frombuffer(raw, "<u8", n_docs + 1, at + 8 * n_docs).astype(np.int64)
+        self.width, n_levels, self.n, n_docs = struct.unpack("<IIQQ", head(4, 24))
+        at, kind = 28, np.dtype(np.uint8 if self.width == 8 else np.uint16)
+        self.doc_ids, self.offsets = array("<i8", n_docs, at), array("<i8", n_docs + 1, at + 8 * n_docs)
         at += 8 * (2 * n_docs + 1)
         self.levels = []
         for _ in range(n_levels):
-            (m,) = struct.unpack_from("<Q", raw, at)
-            chunks = np.frombuffer(raw, kind, m, at + 8)
-            at += 8 + chunks.nbytes
+            (m,) = struct.unpack("<Q", head(at, 8))
+            chunks = array(kind, m, at + 8)
+            at += 8 + m * kind.itemsize
             n_words = -(-max(m, 1) // 64) + 1
-            words = np.frombuffer(raw, "<u8", n_words, at)
-            ranks = np.frombuffer(raw, "<u8", -(-n_words // BLOCK_WORDS), at + 8 * n_words)
-            at += 8 * n_words + ranks.nbytes
-            self.levels.append((chunks, words, ranks))
+            n_ranks = -(-n_words // BLOCK_WORDS)
+            self.levels.append((chunks, array("<u8", n_words, at), array("<u8", n_ranks, at + 8 * n_words)))
+            at += 8 * (n_words + n_ranks)
 
     @staticmethod
     def _rank(words: np.ndarray, ranks: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -149,7 +186,8 @@ def file_chunks(segs, width: int, log: list):
 
 
 class CodeFile:
-    """A file of segments: reads the directory, and of a segment only what is asked for."""
+    """A file of segments: reads the directory, and of a segment only what is asked for (``segment``:
+    all of it, for reading in order)."""
 
     def __init__(self, uri: str):
         fs, path = open_fs(uri)
@@ -164,6 +202,15 @@ class CodeFile:
     def segment(self, k: int) -> Reader:
         return Reader(self.f.read_at(int(self.dir[k, 1]), int(self.dir[k, 0])))
 
+    def part(self, k: int) -> Reader:
+        return Reader(self.f, int(self.dir[k, 0]))
+
+    def document(self, i: int) -> tuple[int, np.ndarray]:
+        """Id and token ids of the file's i-th document."""
+        k = int(np.searchsorted(self.dir[:, 3], i, "right")) - 1
+        r = self.part(k)
+        return int(r.doc_ids[i - int(self.dir[k, 3])]), r.document(i - int(self.dir[k, 3]))
+
     def get(self, pos) -> np.ndarray:
         """Ids at any positions of the file."""
         pos = np.asarray(pos, np.int64)
@@ -171,18 +218,19 @@ class CodeFile:
         out = np.zeros(len(pos), np.uint64)
         for k in np.unique(of).tolist():
             at = of == k
-            out[at] = self.segment(k).get(pos[at] - self.dir[k, 2])
+            out[at] = self.part(k).get(pos[at] - self.dir[k, 2])
         return out
 
 
 def write_codes(docs: DataFrame, tokenizer: str, end: int, folder: str | None = None, shards: int | None = None,
-                width: int = 8, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> DataFrame:
+                width: int = 8, id_col: str = "doc_id", text_col: str = "text", segment_ids: int = SEGMENT_IDS,
+                special: bool = False) -> DataFrame:
     """Encode whole texts and write the shards. Returns the manifest (shard, path, n_tokens,
     n_docs), itself kept as a table, with ``start``: the ids in all shards before."""
     folder = folder or shared_dir(docs.sparkSession, "dac")
 
     def write(it):
-        segs = segments(it, tokenizer, end, segment_ids)
+        segs = segments(it, tokenizer, end, segment_ids, special)
         first = next(segs, None)
         if first is not None:
             shard, log = shard_number(), []

@@ -16,7 +16,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WS, materialize, shared_dir
+from .common import WS, materialize, parts_for, shared_dir
 
 
 def digest_of(text_col: str):
@@ -53,6 +53,13 @@ class DigestIndex:
         firsts = batch.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
         return firsts.join(self.table().select("digest").hint("merge"), "digest", "left_anti")
 
+    def drop(self) -> None:
+        """Delete the index and its catalog entry."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
     def append(self, batch: DataFrame) -> None:
         """Add what is new in ``batch``. A repeated call adds nothing, so a job that died after
         the append can simply run it again."""
@@ -62,18 +69,20 @@ class DigestIndex:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2,
-                buckets: int = 16, path: str | None = None) -> DataFrame:
+                buckets: int | None = None, path: str | None = None) -> DataFrame:
     """Deduplicate a whole table through a digest index, in ``batches`` of ascending ids so that
     the smallest id of each group enters the index. Returns doc_id, keep_id, group_size, kept,
     text_sha256: one row for each input row.
 
-    Digests are computed once and written to the shared folder. The last join, which brings a
+    Digests are computed once and written to the shared folder. The index lies under ``path`` and is
+    found there again by later runs; without a path it is only for this run and deleted at its end. It is
+    made with one bucket for each 64 MB of digests, 16 at least. The last join, which brings a
     group's id to each of its rows, has one row per digest on one side and lets AQE split a hot
     digest on the other.
     """
     spark = docs.sparkSession
     dig = materialize(digests(docs, id_col, text_col))
-    index = DigestIndex(spark, path or shared_dir(spark, "digests"), buckets)
+    index = DigestIndex(spark, path or shared_dir(spark, "digests"), buckets or parts_for(dig, 64 << 20, 16))
     cuts = dig.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     lo = None
     for hi in [*sorted(set(cuts)), None]:
@@ -88,6 +97,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lo = hi
     sizes = dig.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     groups = materialize(sizes.join(index.plain().groupBy("digest").agg(F.min("first_id").alias("keep_id")), "digest"))
+    if path is None:
+        index.drop()
     return dig.join(groups, "digest").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"))

@@ -133,7 +133,7 @@ def _signatures(k: int, percent: int, hot: np.ndarray, hot_count: np.ndarray):
         seen: set = set()
         for b in it:
             out: list[list] = [[] for _ in range(8)]
-            for doc, text in zip(b.column(0).to_pylist(), batches(b.column(1)), strict=True):
+            for doc, text in zip(b.column("doc_id").to_pylist(), batches(b.column("text")), strict=True):
                 s = shingles(text, k)
                 raw = s.tobytes()
                 c1, c2 = xxh3_64_intdigest(raw) - (1 << 63), xxh3_64_intdigest(raw, seed=1) - (1 << 63)
@@ -158,8 +158,8 @@ def _signatures(k: int, percent: int, hot: np.ndarray, hot_count: np.ndarray):
                 for c, v in zip(out, (doc, len(s), c1, c2, bits, sketch, prefix, n_hot), strict=True):
                     c.append(v)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)],
-                                             names=["doc_id", "n", "cls", "cls2", "bits", "sketch", "prefix", "n_hot"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(out, types, strict=True)), b.column("tag")],
+                                             names=["doc_id", "n", "cls", "cls2", "bits", "sketch", "prefix", "n_hot", "tag"])
         free_memory()
     return run
 
@@ -413,8 +413,10 @@ def _small(df: DataFrame) -> DataFrame:
 class JaccardJoin:
     """The join of one table; ``result`` runs it."""
 
-    def __init__(self, docs: DataFrame, percent: int = 75, k: int = 5, id_col: str = "doc_id", text_col: str = "text"):
-        self.src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    def __init__(self, docs: DataFrame, percent: int = 75, k: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                 tag_col: str | None = None):
+        tag = F.lit(None) if tag_col is None else F.col(tag_col)
+        self.src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), tag.cast("string").alias("tag"))
         self.percent, self.k = percent, k
         self.parts = max(1, math.ceil(2 * input_bytes(docs) / (32 << 20)))
 
@@ -498,14 +500,14 @@ class JaccardJoin:
         return grouped.select("m1").mapInArrow(_may_link_forest(pct, False), ddl).union(across.mapInArrow(_may_link_forest(pct, True), ddl))
 
     def run(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id): the row's set size and the smallest id in its
-        component."""
+        """(doc_id, n_shingles, component_id, label, tag): the row's set size, the smallest id in its
+        component, the component's own name (null for an empty set), and the row's tag."""
         pct = self.percent
         hot, hot_count = _common_shingles(self.src, self.k)
         salts = max(1, math.ceil(int(hot_count.max()) / (4 * TILE))) if len(hot) else 1
         written = materialize(self.src.mapInArrow(
             _signatures(self.k, pct, hot, hot_count),
-            "doc_id long, n int, cls long, cls2 long, bits binary, sketch binary, prefix array<long>, n_hot int"))
+            "doc_id long, n int, cls long, cls2 long, bits binary, sketch binary, prefix array<long>, n_hot int, tag string"))
         # rows of one class differ only in the id; one of those with a bitmap stands for it
         for turn in range(0, 64, 9):
             sig = written.withColumn("cls", _renamed(turn))
@@ -548,15 +550,30 @@ class JaccardJoin:
             comp = components(links.union(more))
             discard(more)
 
-        labelled = sig.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(comp, F.col("cls") == F.col("node"), "left") \
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "cls")).alias("label"))
+        labelled = sig.select("doc_id", F.col("n").alias("n_shingles"), "cls", "tag").join(comp, F.col("cls") == F.col("node"), "left") \
+            .select("doc_id", "tag", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "cls")).alias("label"))
         labelled = materialize(labelled)
         discard(written, self.reps, tiles, first, tried, links, single, late, comp, *self.spare)  # all that the result needs is in ``labelled``
         lowest = materialize(labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id")))
         return labelled.join(lowest, "label", "left").select(
-            "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+            "doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "label", "tag")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable by links): one row for each row."""
-    return JaccardJoin(docs, percent, k, id_col, text_col).run()
+    return JaccardJoin(docs, percent, k, id_col, text_col).run().drop("label", "tag")
+
+
+def one_of_each(docs: DataFrame, percent: int = 75, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (null last), then the
+    smallest digest of its text. Rows with an empty set all stay, and so do rows that repeat both the id
+    and the text of one that stays. Rows are told apart by id and digest, so unrelated texts under one
+    id do not share their fate."""
+    digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+    tagged = docs.withColumn("__tag", digest)
+    rows = JaccardJoin(tagged, percent, k, id_col, text_col, "__tag").run()
+    first = rows.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tag")).alias("r"))
+    stay = first.select(F.col("r.doc_id").alias("__id"), F.col("r.tag").alias("__t")).unionByName(
+        rows.where("label IS NULL").select(F.col("doc_id").alias("__id"), F.col("tag").alias("__t"))).distinct()
+    same = (F.col("__tag") == F.col("__t")) & F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    return tagged.join(stay, same, "left_semi").select(*docs.columns)

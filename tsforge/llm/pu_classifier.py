@@ -12,8 +12,9 @@ most 1 / pi, and reaches it where only positives live, so pi is one over the top
 90 % quantile, against noise) at positives left out of q. Too large a prior would stop the descent
 before the negatives in U are told apart; too small a one only lowers the scores of positives to it.
 
-The fit reads a bounded sample (``max_positive`` and ``max_unlabelled`` rows, those with the
-smallest hash of the id); every document is scored, over its whole text.
+The descent reads a bounded sample (``max_positive`` and ``max_unlabelled`` rows, those with the
+smallest hash of the id; of an id that repeats, the smallest text); the means and deviations that scale
+the measures come from all training texts, and every document is scored, over its whole text.
 
 Cases: null and empty texts get the score of an empty text; null or repeated ids each get a row;
 labels whose documents are missing are ignored; without any positives every score is the prior
@@ -121,20 +122,41 @@ def estimate_prior(pos: Rows, unl: Rows, mean, std, steps: int = 80) -> float:
     return float(np.clip(1 / np.quantile(ratio, 0.9), 0.05, 0.95))
 
 
+def moments(docs: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Mean and deviation of the dense measures over all texts of ``docs`` (column text): sums of each
+    batch, added up."""
+    def run(it):
+        for b in it:
+            x = np.array([features(t)[0] for t in batches(b.column(0))]).reshape(-1, N_DENSE)
+            v = np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v)), pa.int64()), pa.array(v)], names=["i", "v"])
+        free_memory()
+    got = docs.select("text").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").toPandas()["v"].to_numpy()
+    if not len(got) or not got[0]:
+        return None
+    mean = got[1:1 + N_DENSE] / got[0]
+    return mean, np.sqrt(np.maximum(got[1 + N_DENSE:] / got[0] - mean * mean, 0)) + 1e-6
+
+
+def risk(model: "Model", pos: Rows, unl: Rows, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative unbiased risk, and the direction of descent: its gradient, or, where the part
+    that belongs to negatives falls below zero, the gradient that undoes this."""
+    gp, gu = model.margin(pos), model.margin(unl)
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    plus = model.gradient(pos, prior * (_sigmoid(gp) - 1) / pos.n)
+    minus = model.gradient(unl, _sigmoid(gu) / unl.n) - model.gradient(pos, prior * _sigmoid(gp) / pos.n)
+    return prior * np.logaddexp(0, -gp).mean() + max(0.0, negative), plus + minus if negative >= 0 else -minus
+
+
 def fit(pos: Rows, unl: Rows, prior: float | None = None, steps: int = 200, rate: float = 0.05,
-        decay: float = 1e-4) -> tuple[Model, float]:
-    """Model of least non-negative unbiased risk, and the prior it used."""
-    mean, std = unl.dense.mean(0), unl.dense.std(0) + 1e-6
+        decay: float = 1e-4, scale: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[Model, float]:
+    """Model of least non-negative unbiased risk, and the prior it used. ``scale`` gives the mean and
+    deviation of the dense measures (those of ``unl`` if not given)."""
+    mean, std = scale or (unl.dense.mean(0), unl.dense.std(0) + 1e-6)
     prior = estimate_prior(pos, unl, mean, std) if prior is None else prior
     model = Model(mean, std)
 
-    def step():
-        gp, gu = model.margin(pos), model.margin(unl)
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        plus = model.gradient(pos, prior * (_sigmoid(gp) - 1) / pos.n)
-        minus = model.gradient(unl, _sigmoid(gu) / unl.n) - model.gradient(pos, prior * _sigmoid(gp) / pos.n)
-        return plus + minus if negative >= 0 else -minus
-    _descend(model, step, steps, rate, decay)
+    _descend(model, lambda: risk(model, pos, unl, prior)[1], steps, rate, decay)
     return model, prior
 
 
@@ -143,8 +165,9 @@ def sample_texts(docs: DataFrame, ids: DataFrame | None, limit: int) -> list[str
     are chosen before any text is read."""
     pool = docs.select("doc_id") if ids is None else ids.select("doc_id")
     chosen = pool.where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(limit)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text").toPandas()  # at most ``limit`` ids
-    return ["" if t is None else t for t in rows.sort_values("doc_id", kind="stable")["text"].head(limit)]
+    one = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))  # at most ``limit`` ids, a text for each
+    rows = one.toPandas()
+    return ["" if t is None else t for t in rows.sort_values("doc_id", kind="stable")["text"]]
 
 
 def train(docs: DataFrame, positives: DataFrame, max_positive: int = 3000, max_unlabelled: int = 6000) -> tuple[Model | None, float]:
@@ -152,7 +175,7 @@ def train(docs: DataFrame, positives: DataFrame, max_positive: int = 3000, max_u
     p, u = sample_texts(docs, positives, max_positive), sample_texts(docs, None, max_unlabelled)
     if not p or not u:
         return None, 0.5
-    return fit(Rows(p), Rows(u))
+    return fit(Rows(p), Rows(u), scale=moments(docs))
 
 
 def with_score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str = "pu_score") -> DataFrame:

@@ -18,7 +18,7 @@ def tokenizer(name: str) -> str:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end=2)
+    p = packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end=2, special=True)
     return p.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
                     F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
@@ -81,7 +81,7 @@ def op9_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = dac.write_codes(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end=0)
+    made = dac.write_codes(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), end=0, special=True)
     return dac.read_documents(made)
 
 

@@ -42,6 +42,8 @@ def write_flat(docs: DataFrame, tokenizer: str, end: int, folder: str | None = N
         def chunks(first):
             for own, ids, _ in chain([first], segs):
                 doc_ids.append(own)
+                if len(ids) and int(ids.max()) > np.iinfo(dtype).max:
+                    raise ValueError(f"id {int(ids.max())} does not fit {dtype}")
                 yield ids.astype(dtype).tobytes()
         first = next(segs, None)
         if first is not None:

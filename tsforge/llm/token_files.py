@@ -46,10 +46,10 @@ def ascending(docs: DataFrame, shards: int | None = None, id_col: str = "doc_id"
     return src.repartitionByRange(shards or shards_for(docs), "doc_id").sortWithinPartitions("doc_id", "text")
 
 
-def segments(it, tokenizer: str, end: int, segment_ids: int = SEGMENT_IDS):
+def segments(it, tokenizer: str, end: int, segment_ids: int = SEGMENT_IDS, special: bool = False):
     """Documents of a partition in order, about ``segment_ids`` ids at a time and never cut:
     (ids of documents, token ids, offsets)."""
-    enc, docs, parts, lengths, held = encoder(tokenizer), [], [], [], 0
+    enc, docs, parts, lengths, held = encoder(tokenizer, special), [], [], [], 0
 
     def done():
         at = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int64)

@@ -30,11 +30,14 @@ _STEP = 256  # runs in one call; the tokenizer's cost grows faster than the text
 _ENCODERS: dict = {}
 
 
-def encoder(path: str) -> "PieceEncoder":
-    """The worker's encoder for a tokenizer file (one for each process)."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, special: bool = False) -> "PieceEncoder":
+    """The worker's encoder for a tokenizer file (one for each process). With ``special``, strings like
+    ``<|endoftext|>`` in a text become the special tokens' ids, as in the library's own call; without, they
+    are ordinary text."""
+    key = path, special
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PieceEncoder(path, special)
+    return _ENCODERS[key]
 
 
 class Store:
@@ -91,10 +94,10 @@ class Store:
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = False):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special
         # whether a leading space is part of the piece after it, and whether case is kept
         self.spaced = self._whole(" a") != self._whole("a")
         self.cased = self._whole("A") != self._whole("a")

@@ -2,8 +2,13 @@
 in an order that mixes sources to target weights, packed into sequences.
 
 ``run`` writes each stage's result as parquet in the shared folder and rereads it as the next one's
-documents. All stages but the last return the columns of documents. Rows that share an id share
-their fate in the near-duplicate stage; there, rows with a null id stay.
+documents. All stages but the last return the columns of documents.
+
+Cases: an empty table gives an empty one in every stage; null and empty texts are documents with an
+empty text (scored as such, one of them stays after exact dedup, none is a near copy); very long texts
+are read whole; null and repeated ids are rows like others, told apart by their texts; equal texts, and
+near copies, leave the row with the smallest id (null last, ties by the digest of the text); other
+columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,9 +42,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies; the smallest id stays."""
     prepare(spark)
-    comp = jaccard.jaccard_components(docs)
-    gone = comp.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return jaccard.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4,096 ids, with their sequence and place."""
     prepare(spark)
-    return packing.pack(docs, tokenizer("word_bpe_49k.json"), end=2)
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"), end=2, special=True)
 
 
 STAGES = [

@@ -10,10 +10,10 @@ number of partitions; the rows never do.
 from __future__ import annotations
 
 import random
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,53 +71,82 @@ def _unpack(flat, shapes):
 N_STATS = 6  # training rows, their loss and error sums; validation rows, squared and absolute error sums
 
 
-def _local_epoch(bc, shapes, lr: float, batch: int, drop: float, seed: int, fit: bool):
-    """One partition's epoch: sums of ``N_STATS`` numbers, then its weights times its rows."""
+CHUNK = 4096  # numbers of a partition's vector that travel as one row
+_PARTS = "trial int, chunk int, pid int, v binary"
+
+
+class _Local:
+    """One trial's epoch in one partition: Adam from the weights sent, and the sums of ``N_STATS`` numbers."""
+
+    def __init__(self, start: list[np.ndarray], lr: float, batch: int, drop: float, seed: int, fit: bool):
+        self.start, self.lr, self.batch, self.drop, self.seed, self.fit = start, lr, batch, drop, seed, fit
+        self.ws = [w.copy() for w in start]
+        self.m, self.v = [np.zeros_like(w) for w in start], [np.zeros_like(w) for w in start]
+        self.step, self.stats = 0, np.zeros(N_STATS)
+
+    def score(self, x, y) -> None:
+        e = forward(self.start, x)[0] - y
+        self.stats[3:] += len(y), float((e ** 2).sum()), float(np.abs(e).sum())
+
+    def train(self, x, y, pid: int) -> None:
+        ws, m, v = self.ws, self.m, self.v
+        rng = np.random.default_rng(self.seed + pid)
+        order = rng.permutation(len(y))
+        for s in range(0, len(y), self.batch):
+            idx = order[s:s + self.batch]
+            g, l2, l1 = _grads(ws, x[idx], y[idx], self.drop, rng)
+            self.step += 1
+            for k in range(len(ws)):
+                m[k] = 0.9 * m[k] + 0.1 * g[k]
+                v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
+                mh = m[k] / (1 - 0.9 ** self.step)
+                vh = v[k] / (1 - 0.999 ** self.step)
+                ws[k] = ws[k] - self.lr * mh / (np.sqrt(vh) + 1e-7)
+            self.stats[:3] += len(idx), l2 * len(idx), l1 * len(idx)
+
+    def vector(self) -> np.ndarray:
+        return np.concatenate([self.stats, _pack(self.ws) * self.stats[0]]) if self.fit else self.stats
+
+
+def _local_epochs(bc, plan: list[tuple]):
+    """One partition's epoch of every trial of ``plan`` (trial, shapes, lr, batch, dropout, seed, fit),
+    side by side in one pass over the rows; ``bc`` holds their weights."""
     def run(batches):
-        start = _unpack(bc.value, shapes)
-        ws = [w.copy() for w in start]
-        m = [np.zeros_like(w) for w in ws]
-        v = [np.zeros_like(w) for w in ws]
-        step, stats = 0, np.zeros(N_STATS)
+        each = {t: _Local(_unpack(bc.value[t], shapes), *rest) for t, shapes, *rest in plan}
+        pid = 0
         for pdf in batches:
             if pdf.empty:
                 continue
-            val = pdf[pdf["split"] == "valid"]
-            if len(val):
-                y = val["label"].to_numpy(dtype=float)
-                e = forward(start, np.stack(val["x"].to_numpy()).astype(float))[0] - y
-                stats[3:] += len(y), float((e ** 2).sum()), float(np.abs(e).sum())
-            pdf = pdf[pdf["split"] == "train"]
-            if not fit or pdf.empty:
-                continue
-            x = np.stack(pdf["x"].to_numpy()).astype(float)
-            y = pdf["label"].to_numpy(dtype=float)
-            rng = np.random.default_rng(seed + int(pdf["_pid"].iloc[0]))
-            order = rng.permutation(len(y))
-            for s in range(0, len(y), batch):
-                idx = order[s:s + batch]
-                g, l2, l1 = _grads(ws, x[idx], y[idx], drop, rng)
-                step += 1
-                for k in range(len(ws)):
-                    m[k] = 0.9 * m[k] + 0.1 * g[k]
-                    v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                    mh = m[k] / (1 - 0.9 ** step)
-                    vh = v[k] / (1 - 0.999 ** step)
-                    ws[k] = ws[k] - lr * mh / (np.sqrt(vh) + 1e-7)
-                stats[:3] += len(idx), l2 * len(idx), l1 * len(idx)
-        if stats.any():
-            yield pd.DataFrame({"v": [np.concatenate([stats, _pack(ws) * stats[0]] if fit else [stats]).tolist()]})
+            pid = int(pdf["_pid"].iloc[0])
+            x, y = np.stack(pdf["x"].to_numpy()).astype(float), pdf["label"].to_numpy(dtype=float)
+            valid, train = (pdf["split"] == "valid").to_numpy(), (pdf["split"] == "train").to_numpy()
+            for t in each.values():
+                if valid.any():
+                    t.score(x[valid], y[valid])
+                if t.fit and train.any():
+                    t.train(x[train], y[train], pid)
+        rows = []
+        for t, e in each.items():
+            if e.stats.any():
+                v = e.vector()
+                rows += [(t, k, pid, v[k * CHUNK:(k + 1) * CHUNK].tobytes()) for k in range(-(-len(v) // CHUNK))]
+        if rows:
+            yield pd.DataFrame(rows, columns=["trial", "chunk", "pid", "v"])
     return run
 
 
-def _sum_vectors(parts: DataFrame, size: int) -> np.ndarray:
-    """Elementwise sum of the partitions' vectors: added up on the executors, ``size`` numbers
-    collected."""
-    rows = parts.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-    out = np.zeros(size)
-    for r in rows:
-        out[r["i"]] = r["x"]
-    return out
+def _add_up(t: pa.Table) -> pa.Table:
+    """Sum of a chunk's vectors, in the order of the partitions."""
+    t = t.sort_by("pid")
+    total = np.sum([np.frombuffer(v.as_buffer(), float) for v in t.column("v")], axis=0)
+    return pa.table({"trial": t.column("trial").slice(0, 1), "chunk": t.column("chunk").slice(0, 1), "v": pa.array([total.tobytes()], pa.binary())})
+
+
+def _sum_vectors(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Elementwise sum of the partitions' vectors of each trial, added up on the executors: one vector
+    of its size for each trial comes back."""
+    got = parts.groupBy("trial", "chunk").applyInArrow(lambda t: _add_up(t), "trial int, chunk int, v binary").toPandas().sort_values(["trial", "chunk"])
+    return {int(t): np.concatenate([np.frombuffer(v, float) for v in g["v"]]) for t, g in got.groupby("trial")}
 
 
 class MLPResult:
@@ -140,47 +169,70 @@ def train_mlp(ds: DataFrame, hidden: tuple[int, ...] = (32,), epochs: int = 15,
     cluster's parallelism), so one long series is spread over many workers; a given count and an
     in-partition sort make runs repeatable. An epoch is one job: it scores the validation rows
     with the weights it starts from and trains on the others."""
+    return train_many(ds, [{"hidden": hidden, "lr": lr, "dropout": dropout}], epochs, batch, partitions, patience, lr_patience,
+                      lr_factor, min_lr, seed, chunk)[0]
+
+
+class _Trial:
+    """What the driver keeps of one network in training."""
+
+    def __init__(self, n_in: int, hidden, lr: float, dropout: float, seed: int):
+        ws = init_weights(n_in, tuple(hidden), seed)
+        self.shapes, self.flat = [w.shape for w in ws], _pack(ws)
+        self.lr, self.dropout = lr, dropout
+        self.best, self.best_w, self.bad, self.bad_lr = None, self.flat, 0, 0
+        self.history, self.loss, self.live = [], None, True
+
+    def step(self, ep: int, tot: np.ndarray, fit: bool, patience: int, lr_patience: int, lr_factor: float, min_lr: float) -> None:
+        n, nv = tot[0], tot[3]
+        if ep > 1:  # what the weights of the epoch before score
+            vl = tot[4] / nv if nv else self.loss
+            if nv:
+                self.history.append((ep - 1, "valid", float(vl), float(tot[5] / nv), float(self.lr)))
+            if self.best is None or vl < self.best - 1e-12:
+                self.best, self.best_w, self.bad, self.bad_lr = vl, self.flat, 0, 0
+            else:
+                self.bad += 1
+                self.bad_lr += 1
+                if self.bad_lr >= lr_patience:
+                    self.lr, self.bad_lr = max(self.lr * lr_factor, min_lr), 0
+                if self.bad >= patience:
+                    self.live = False
+                    return
+        if fit and n:
+            self.flat = tot[N_STATS:] / n
+            self.loss = tot[1] / n
+            self.history.append((ep, "train", float(self.loss), float(tot[2] / n), float(self.lr)))
+
+
+def train_many(ds: DataFrame, configs: list[dict], epochs: int = 15, batch: int = 8, partitions: int | None = None, patience: int = 5,
+               lr_patience: int = 5, lr_factor: float = 0.5, min_lr: float = 1e-6, seed: int = 42, chunk: str = "month") -> list[MLPResult]:
+    """``train_mlp`` for several networks (``hidden``, ``lr``, ``dropout``) at once: an epoch of all that
+    have not stopped is one job and one pass over the rows, so a search takes as many jobs as its
+    longest trial."""
     spark = ds.sparkSession
     parts_n = partitions or spark.sparkContext.defaultParallelism
     d = ds.select(vector_to_array("features").alias("x"), "label", "split", "series_id", "ts").where("split <> 'test'")
     rows = (d.repartition(parts_n, "series_id", F.date_trunc(chunk, F.col("ts").cast("timestamp")))
              .sortWithinPartitions("series_id", "ts").withColumn("_pid", F.spark_partition_id()).cache())
+    sc = spark.sparkContext
     try:
-        return _train(rows, hidden, epochs, lr, batch, dropout, patience, lr_patience, lr_factor, min_lr, seed)
+        n_in = len(rows.select("x").first()["x"])
+        trials = [_Trial(n_in, c["hidden"], c["lr"], c.get("dropout", 0.0), seed) for c in configs]
+        for ep in range(1, epochs + 2):  # the last round only scores the last weights
+            live = {i: t for i, t in enumerate(trials) if t.live}
+            if not live:
+                break
+            fit = ep <= epochs
+            bc = sc.broadcast({i: t.flat for i, t in live.items()})
+            plan = [(i, t.shapes, t.lr, batch, t.dropout, seed * 1000 + ep, fit) for i, t in live.items()]
+            got = _sum_vectors(rows.mapInPandas(_local_epochs(bc, plan), _PARTS))
+            bc.unpersist()
+            for i, t in live.items():
+                t.step(ep, got.get(i, np.zeros(N_STATS)), fit, patience, lr_patience, lr_factor, min_lr)
     finally:
         rows.unpersist()
-
-
-def _train(rows: DataFrame, hidden, epochs, lr, batch, dropout, patience, lr_patience, lr_factor, min_lr, seed) -> MLPResult:
-    sc = rows.sparkSession.sparkContext
-    ws = init_weights(len(rows.select("x").first()["x"]), hidden, seed)
-    shapes, flat = [w.shape for w in ws], _pack(ws)
-    size = N_STATS + len(flat)
-    best, best_w, bad, bad_lr, history, loss = None, flat, 0, 0, [], None
-    for ep in range(1, epochs + 2):  # the last round only scores the last weights
-        fit = ep <= epochs
-        bc = sc.broadcast(flat)
-        tot = _sum_vectors(rows.mapInPandas(_local_epoch(bc, shapes, lr, batch, dropout, seed * 1000 + ep, fit), "v array<double>"), size)
-        bc.unpersist()
-        n, nv = tot[0], tot[3]
-        if ep > 1:  # what the weights of the epoch before score
-            vl = tot[4] / nv if nv else loss
-            if nv:
-                history.append((ep - 1, "valid", float(vl), float(tot[5] / nv), float(lr)))
-            if best is None or vl < best - 1e-12:
-                best, best_w, bad, bad_lr = vl, flat, 0, 0
-            else:
-                bad += 1
-                bad_lr += 1
-                if bad_lr >= lr_patience:
-                    lr, bad_lr = max(lr * lr_factor, min_lr), 0
-                if bad >= patience:
-                    break
-        if fit and n:
-            flat = tot[N_STATS:] / n
-            loss = tot[1] / n
-            history.append((ep, "train", float(loss), float(tot[2] / n), float(lr)))
-    return MLPResult(_unpack(best_w, shapes), shapes, history, best)
+    return [MLPResult(_unpack(t.best_w, t.shapes), t.shapes, t.history, t.best) for t in trials]
 
 
 # The search space of the dense-network script.
@@ -199,20 +251,17 @@ def sample_networks(n: int, space: dict | None = None, seed: int = 42) -> list[d
 
 
 def search_networks(ds: DataFrame, trials: int = 10, epochs: int = 50, batch: int = 32, space: dict | None = None,
-                    seed: int = 42, parallelism: int = 4, **kw) -> tuple[DataFrame, MLPResult]:
-    """M3 + M4 + refit: random search over the network by validation loss, with early stopping,
-    and the best configuration trained once more. Trials run side by side as Spark jobs.
-    Returns one row for each trial and the refitted network."""
+                    seed: int = 42, **kw) -> tuple[DataFrame, MLPResult]:
+    """M3 + M4: random search over the network by validation loss, with early stopping of each trial.
+    All trials run side by side in one pass over the rows for each epoch. Returns one row for each
+    trial and the best network."""
     maps = sample_networks(trials, space, seed)
-
-    def run(m):
-        return train_mlp(ds, epochs=epochs, batch=batch, seed=seed, **m, **kw).best
-    with ThreadPoolExecutor(parallelism) as ex:
-        losses = list(ex.map(run, maps))
+    made = train_many(ds, maps, epochs, batch, seed=seed, **kw)
+    losses = [r.best for r in made]
     best = min(range(trials), key=lambda i: (losses[i] if losses[i] is not None else float("inf"), i))
     rows = [(i, list(m["hidden"]), float(m["dropout"]), m["lr"], None if losses[i] is None else float(losses[i]), i == best) for i, m in enumerate(maps)]
     table = ds.sparkSession.createDataFrame(rows, "trial int, hidden array<int>, dropout double, lr double, valid_loss double, best boolean")
-    return table, train_mlp(ds, epochs=epochs, batch=batch, seed=seed, **maps[best], **kw)
+    return table, made[best]
 
 
 def predict(res: MLPResult, ds: DataFrame) -> DataFrame:

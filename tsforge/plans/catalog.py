@@ -5,6 +5,9 @@ driver tables. Computed columns are rounded and aliased exactly like the oracle
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from pyspark.sql import types as T
 from tsforge.operators import (baselines, boosting, clean, diagnostics, evaluate, features as fe, incremental, layout, ml, neural, ranks, regression, smoothing,
                                splits, summary)
 from tsforge.plans import forecasting
-from tsforge.session import materialize
+from tsforge.session import checkpoint_dir, materialize
 from tsforge.sources import bars as B, files, sinks
 from tsforge.streaming import bars as live, scoring
 
@@ -208,6 +211,37 @@ def _edge_values(spark, sf):
     return b.join(first, "series_id").select("series_id", "ts", v.alias("close"))
 
 
+@query("naive_utc")
+def naive_utc(spark, sf):
+    """Zoned timestamp text of events (two offsets) as naive UTC time."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    off = F.when(F.col("event_id") % 2 == 0, "+02:00").otherwise("-05:30")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), off)
+    return clean.to_naive_utc(e.select("event_id", text.alias("Date")), "Date", "utc").select("event_id", "utc")
+
+
+@query("preview_rows")
+def preview_rows(spark, sf):
+    """The first rows in order of series and date."""
+    return files.preview(B.bars_orders(spark, sf).select("series_id", "ts", r("close", 4)), ["series_id", "ts"], 5)
+
+
+@query("formatted_metrics")
+def formatted_metrics(spark, sf):
+    """Metrics as text with fixed decimals."""
+    m = evaluate.format_metrics(_baseline_metrics(spark, sf), {"rmse": 3, "mae": 3, "r2": 6, "mape": 4})
+    return m.select("series_id", "model", "rmse_text", "mae_text", "r2_text", "mape_text")
+
+
+@query("dropped_rows")
+def dropped_rows(spark, sf):
+    """P8/P9 + P10: technical features without warm-up rows, and positive pairs of close and difference."""
+    f = fe.windowed(B.bars_orders(spark, sf), [{"diff": fe.diff("close"), "sma_20": fe.rolling_mean("close", 20)}], before=20)
+    whole = clean.dropna_subset(f, ["diff", "sma_20"])
+    pos = clean.positive_pairs(whole, "close", "diff")
+    return whole.groupBy("series_id").agg(F.count(F.lit(1)).alias("whole")).join(pos.groupBy("series_id").agg(F.count(F.lit(1)).alias("positive")), "series_id")
+
+
 @query("describe_edge")
 def describe_edge(spark, sf):
     """A4 over infinite, missing and outlying values."""
@@ -583,6 +617,22 @@ def model_comparison_all(spark, sf):
 
 # ---- step 8/9: machine-learning forecasters ---------------------------------------------------------
 
+_MADE: dict = {}  # (application, input, name) -> a result that several queries read
+
+
+def _once(spark, sf, name, make):
+    """A result written by the first query of an application that asks for it."""
+    at = (spark.sparkContext.applicationId, sf, name)
+    if at not in _MADE:
+        _MADE[at] = materialize(make())
+    return _MADE[at]
+
+
+def _forecast_rows(fc):
+    """The part of a forecast table that does not depend on the model's arithmetic."""
+    return fc.select("series_id", "model", "ts", r("actual", 4), F.col("forecast").isNotNull().alias("has_forecast"))
+
+
 def _ml_metrics(fc):
     m = evaluate.forecast_metrics(fc, key=("model",))
     return m.select("model", "n", r("rmse", 4), r("mae", 4), r("r2", 6), r("mape", 6), r("mape_pos", 6),
@@ -600,17 +650,51 @@ def _tree_query(spark, sf, kind):
         model = ml.fit_pipeline(d.filter("split = 'train'"), cols, "close", kind)
         fc = ml.to_forecasts(model.transform(d.filter("split = 'test'")), f"{kind}_{mode}", "close")
         out = fc if out is None else out.unionByName(fc)
-    return _ml_metrics(out)
+    return out
 
 
 @query("random_forest")
 def random_forest(spark, sf):
-    return _tree_query(spark, sf, "rf")
+    return _ml_metrics(_once(spark, sf, "rf", lambda: _tree_query(spark, sf, "rf")))
+
+
+@query("random_forest_rows")
+def random_forest_rows(spark, sf):
+    """Which rows the forest forecasts, with their labels."""
+    return _forecast_rows(_once(spark, sf, "rf", lambda: _tree_query(spark, sf, "rf")))
 
 
 @query("gbt")
 def gbt(spark, sf):
-    return _tree_query(spark, sf, "gbt")
+    return _ml_metrics(_once(spark, sf, "gbt", lambda: _tree_query(spark, sf, "gbt")))
+
+
+@query("gbt_rows")
+def gbt_rows(spark, sf):
+    """which rows the boosted trees forecast, with their labels."""
+    return _forecast_rows(_once(spark, sf, "gbt", lambda: _tree_query(spark, sf, "gbt")))
+
+
+@query("lagged_feature_rows")
+def lagged_feature_rows(spark, sf):
+    """M12 + M1 + P4: the assembled feature vector of each bar with five earlier ones, and its split."""
+    d, cols = ml.lagged_features(B.bars_many(spark, sf).withColumn("volume", F.col("volume").cast("double")))
+    v = ml.assembler(cols).transform(splits.hash_split(d, ["series_id", "ts"]))
+    return v.select("series_id", "ts", "split", F.transform(vector_to_array("features"), lambda x: F.round(x, 4)).alias("features"), r("close", 4))
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf):
+    """K4: a forest saved, loaded again and applied to the test rows; both forecasts agree on each."""
+    d, cols = ml.lagged_features(B.bars_orders(spark, sf))
+    d = materialize(splits.hash_split(d, ["series_id", "ts"]))
+    model = ml.fit_pipeline(d.where("split = 'train'"), cols, "close", "rf", numTrees=3)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/roundtrip-{uuid.uuid4().hex}"
+    ml.save_model(model, path)
+    test = d.where("split = 'test'")
+    again = PipelineModel.load(path).transform(test).select("series_id", "ts", F.col("prediction").alias("again"))
+    return model.transform(test).join(again, ["series_id", "ts"]).select(
+        "series_id", "ts", r("close", 4), (F.col("prediction") == F.col("again")).alias("same"))
 
 
 def _windows(spark, sf, **kw):
@@ -641,9 +725,20 @@ def random_search(spark, sf):
 def mlp(spark, sf):
     """Data-parallel dense network on 20-lag windows, last 25 windows of each series as
     test (as the dense-network script): 50 epochs, two hidden layers, dropout, early stopping."""
-    ds = _windows(spark, sf, test_windows=25)
-    res = neural.train_mlp(ds, hidden=(64, 32), epochs=50, lr=3e-3, batch=32, dropout=0.1)
-    return _ml_metrics(neural.mlp_forecasts(res, ds))
+    return _ml_metrics(_mlp(spark, sf))
+
+
+def _mlp(spark, sf):
+    def make():
+        ds = _windows(spark, sf, test_windows=25)
+        return neural.mlp_forecasts(neural.train_mlp(ds, hidden=(64, 32), epochs=50, lr=3e-3, batch=32, dropout=0.1), ds)
+    return _once(spark, sf, "mlp", make)
+
+
+@query("mlp_rows")
+def mlp_rows(spark, sf):
+    """Which windows the network forecasts, with their labels."""
+    return _forecast_rows(_mlp(spark, sf))
 
 
 @query("network_search")
@@ -725,11 +820,7 @@ def stream_lag_windows(spark, sf):
     return scoring.replay(spark.read.parquet(f"{sf}/events.parquet"), 20).select("series_id", "ts", "lags", "target")
 
 
-@query("stream_scoring")
-def stream_scoring(spark, sf):
-    """R2 + M11: candidate lag-window models (linear, forest) are fitted on the batch windows of
-    the same events, the one with the lowest RMSE on the ordered batch holdout is chosen, and
-    that stateless model scores the windows the stream builds from per-series state."""
+def _scored(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_type").alias("series_id"), "ts", F.col("value").alias("close"))
     seq = splits.holdout_fraction(fe.lag_sequences(ev, "close", 20), 0.8).withColumn("features", ml.array_to_vector("lags"))
     seq = materialize(seq)
@@ -742,7 +833,23 @@ def stream_scoring(spark, sf):
         fc = f if fc is None else fc.unionByName(f)
     chosen = evaluate.best_model(evaluate.forecast_metrics(fc.withColumn("series_id", F.lit("all")))).first()["best_model"]
     s = scoring.replay(spark.read.parquet(f"{sf}/events.parquet"), 20, models[chosen])
-    return s.select("series_id", "ts", "target", r("prediction", 6), F.lit(chosen).alias("model"))
+    return s.select("series_id", "ts", "target", "prediction", F.lit(chosen).alias("model"))
+
+
+@query("stream_scoring")
+def stream_scoring(spark, sf):
+    """R2 + M11: candidate lag-window models (linear, forest) are fitted on the batch windows of
+    the same events, the one with the lowest RMSE on the ordered batch holdout is chosen, and
+    that stateless model scores the windows the stream builds from per-series state."""
+    s = _once(spark, sf, "stream_scoring", lambda: _scored(spark, sf))
+    return s.select("series_id", "ts", "target", r("prediction", 6), "model")
+
+
+@query("stream_scoring_rows")
+def stream_scoring_rows(spark, sf):
+    """R2: which rows the stream scores, with their targets."""
+    s = _once(spark, sf, "stream_scoring", lambda: _scored(spark, sf))
+    return s.select("series_id", "ts", "target", F.col("prediction").isNotNull().alias("scored"))
 
 
 # ---- sources and sinks -----------------------------------------------------------------------------

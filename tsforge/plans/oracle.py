@@ -109,7 +109,7 @@ from lineitem group by 1, 2"""
 
 SQL["stream_bars"] = SQL["bars_hourly_events"] = """
 select event_type as series_id, date_trunc('hour', ts) as ts,
-       min_by(value, ts) as open, max(value) as high, min(value) as low, max_by(value, ts) as close,
+       min_by(value, (ts, event_id)) as open, max(value) as high, min(value) as low, max_by(value, (ts, event_id)) as close,
        cast(count(*) as bigint) as volume
 from events group by 1, 2"""
 

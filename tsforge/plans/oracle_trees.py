@@ -4,7 +4,7 @@ functions, and the bijection of row numbers by a recursive query."""
 from __future__ import annotations
 
 from tsforge.operators import ranks
-from tsforge.plans.oracle import BARS, SQL, W, _w
+from tsforge.plans.oracle import BARS, BASELINES, METRICS_CTE, SQL, W, _w
 
 LAGGED = f"""many as ({SQL['bars_many'].strip()}),
 lagged as (select series_id, ts, close,
@@ -81,3 +81,46 @@ walk as (
   {bijection('place', 42)})
 select x.series_id, x.ts, x.rw as row, place as source_row, round(y.close, 4) as close
 from num x join walk w on w.rw = x.rw and not w.fresh and w.place < w.n join num y on y.rw = w.place"""
+
+
+# ---- the part of a model's results that does not depend on its arithmetic --------------------------------------
+
+def _split(by: str) -> str:
+    return (f"case when cast(('0x' || substr(md5(concat_ws('|', {by}, cast(ts as varchar), '42')), 1, 8)) as bigint) % 100 < 80 then 'train' else 'test' end")
+
+
+_X = [f"x{i}" for i in range(9)]
+for _kind, _name in (("rf", "random_forest"), ("gbt", "gbt")):
+    SQL[f"{_name}_rows"] = _w(LAGGED) + f"""
+select series_id, '{_kind}_same_day' as model, ts, round(close, 4) as actual, true as has_forecast from lagged where train = 0
+union all select series_id, '{_kind}_lagged', ts, round(close, 4), true from lagged where train = 0 and {' and '.join(f'{x} is not null' for x in _X)}"""
+
+SQL["lagged_feature_rows"] = _w(LAGGED) + f"""
+select series_id, ts, case when train = 1 then 'train' else 'test' end as split, [{', '.join(f'round({x}, 4)' for x in _X)}] as features, round(close, 4) as close
+from lagged where {' and '.join(f'{x} is not null' for x in _X)}"""
+
+SQL["model_roundtrip"] = _w(BARS) + f"""
+select series_id, ts, round(close, 4) as close, true as same from (select *, row_number() over ({W}) as pos, {_split('series_id')} as split from bars)
+where split = 'test' and pos > 5"""
+
+SQL["mlp_rows"] = _w(BARS) + f"""
+select series_id, 'mlp' as model, ts, round(close, 4) as actual, true as has_forecast
+from (select *, row_number() over (partition by series_id order by ts desc) as back from bars) where back <= 25"""
+
+SQL["naive_utc"] = """
+select event_id, case when event_id % 2 = 0 then ts - interval 2 hour else ts + interval 330 minute end as utc from events"""
+
+SQL["preview_rows"] = _w(BARS) + "select series_id, ts, round(close, 4) as close from bars order by 1, 2 limit 5"
+
+SQL["formatted_metrics"] = _w(BARS, BASELINES, METRICS_CTE) + """
+select series_id, model, format('{:,.3f}', rmse) as rmse_text, format('{:,.3f}', mae) as mae_text, format('{:,.6f}', r2) as r2_text,
+       format('{:,.4f}', mape) || '%' as mape_text from ("""
+SQL["formatted_metrics"] += SQL["forecast_metrics"].split(METRICS_CTE)[1].strip().replace("select series_id, model, n, round(rmse, 4) as rmse, round(mse, 2) as mse, round(mae, 4) as mae, round(r2, 8) as r2,\n       round(mape, 6) as mape,", "select series_id, model, n, rmse, mse, mae, r2,\n       mape,") + ")"
+
+SQL["dropped_rows"] = _w(BARS) + f"""
+, f as (select series_id, close - lag(close) over ({W}) as diff, close, row_number() over ({W}) as pos from bars)
+select series_id, count(*) as whole, count_if(close > 0 and diff > 0) as positive from f where pos >= 20 group by 1"""
+
+SQL["stream_scoring_rows"] = """
+select series_id, ts, target, true as scored from (
+  select event_type as series_id, ts, value as target, row_number() over (partition by event_type order by ts, event_id) as pos from events) where pos > 20"""

@@ -53,7 +53,7 @@ def bars_events(spark: SparkSession, sf_dir: str, unit: str = "hour") -> DataFra
     """Hourly (or daily) bars of event values per event type. ``ts`` is a TIMESTAMP."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     t = F.date_trunc(unit, F.col("ts").cast("timestamp")).cast("timestamp_ntz")
-    return ohlcv(e, F.col("event_type"), t, F.col("value"), F.col("ts"))
+    return ohlcv(e, F.col("event_type"), t, F.col("value"), F.struct("ts", "event_id"))
 
 
 def walk(bars: DataFrame, value: str = "close", out: str = "close", base: float = 1000.0, **kw) -> DataFrame:

@@ -32,19 +32,21 @@ def tick_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", sc
                 files_per_trigger: int | None = None) -> DataFrame:
     """Stream the parquet files of ``folder`` whose names match ``pattern`` (new files are
     picked up as they land)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    r = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     return r.parquet(folder)
 
 
 def live_bars(ticks: DataFrame, series: str = "event_type", ts: str = "ts", price: str = "value", width: str = "1 hour",
-              late: str = "2 hours") -> DataFrame:
-    """Streaming OHLCV: ``withWatermark`` needs a TIMESTAMP, so a naive ``ts`` is read as UTC."""
+              late: str = "2 hours", tie: str = "event_id") -> DataFrame:
+    """Streaming OHLCV: ``withWatermark`` needs a TIMESTAMP, so a naive ``ts`` is read as UTC. ``tie``
+    orders ticks of one instant."""
+    order = F.struct("_et", tie)
     t = ticks.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", late)
     return (t.groupBy(F.col(series).alias("series_id"), F.window("_et", width).alias("w"))
-             .agg(F.min_by(price, "_et").alias("open"), F.max(price).alias("high"), F.min(price).alias("low"),
-                  F.max_by(price, "_et").alias("close"), F.count(F.lit(1)).cast("bigint").alias("volume")))
+             .agg(F.min_by(price, order).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"),
+                  F.max_by(price, order).alias("close"), F.count(F.lit(1)).cast("bigint").alias("volume")))
 
 
 def latest_bars(spark: SparkSession, out: str) -> DataFrame:

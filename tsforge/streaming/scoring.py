@@ -1,9 +1,13 @@
-"""R2: live scoring. Each series keeps its last ``lookback`` values as streaming state
-(``applyInPandasWithState``); every new row with a full window becomes a lag window, which a
-stateless fitted model (a Spark ML ``PipelineModel``/``Model``) scores.
-
-Rows wait in a buffer in the state until the watermark has passed them, and are then used in order
-of (microsecond, tie-break column), so rows may arrive in any order within the ``late`` bound and
+"""R2: live scoring. Each series keeps its last ``lookback`` values as streaming state; every new row
+with a full window becomes a lag window, which a stateless fitted model (a Spark ML
+``PipelineModel``/``Model``) scores.
+
+The state is keyed by rows, not one value for each series (``transformWithState``): rows wait in a map
+from a short span of event time to the rows of that span, and a timer for each span fires when the
+watermark has passed it. A micro-batch touches only the spans it has rows for, and a timer reads and
+removes one span, so a hot series takes the memory of a micro-batch or a span, however much waits
+within the ``late`` bound (in the state store on disk). Spans fire in order of time and their rows are
+used in order of (microsecond, tie-break column), so rows may arrive in any order within the bound and
 ticks of the same instant all count. Spark drops and counts only rows behind the watermark
 (``numRowsDroppedByWatermark``). A row without a value is a heartbeat: it makes no window, but moves
 the watermark on, so that a quiet stream's last rows are released. A series is forgotten only if
@@ -12,6 +16,8 @@ the watermark on, so that a quiet stream's last rows are released. A series is f
 
 from __future__ import annotations
 
+import math
+import time
 import uuid
 
 import numpy as np
@@ -20,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tsforge.session import checkpoint_dir
 from tsforge.streaming.bars import tick_stream
@@ -30,11 +36,11 @@ WINDOW_SCHEMA = T.StructType([
     T.StructField("series_id", T.StringType()), T.StructField("ts", T.TimestampNTZType()),
     T.StructField("lags", T.ArrayType(T.DoubleType())), T.StructField("target", T.DoubleType()),
 ])
-STATE_SCHEMA = T.StructType([
-    T.StructField("hist", T.ArrayType(T.DoubleType())),
-    T.StructField("us", T.ArrayType(T.LongType())), T.StructField("tie", T.ArrayType(T.LongType())),
-    T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("seen", T.LongType()),
-])
+SPAN_SCHEMA = T.StructType([T.StructField("us", T.ArrayType(T.LongType())), T.StructField("tie", T.ArrayType(T.LongType())),
+                            T.StructField("v", T.ArrayType(T.DoubleType()))])
+SERIES_SCHEMA = T.StructType([T.StructField("hist", T.ArrayType(T.DoubleType())), T.StructField("passed", T.LongType()),
+                              T.StructField("seen", T.LongType())])
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _windows(sid, us, v, hist: np.ndarray, lookback: int) -> pd.DataFrame:
@@ -43,79 +49,124 @@ def _windows(sid, us, v, hist: np.ndarray, lookback: int) -> pd.DataFrame:
     first = max(0, lookback - len(hist))  # values that still have too few before them
     at = np.arange(first, len(v)) + len(hist)
     lags = full[at[:, None] - np.arange(lookback, 0, -1)] if len(at) else np.zeros((0, lookback))
-    return pd.DataFrame({"series_id": sid, "ts": pd.to_datetime(us[first:], unit="us"), "lags": list(lags), "target": v[first:]})
-
-
-def _lag_state(lookback: int, idle_us: int | None):
-    def fn(key, pdfs, state):
-        hist, us, tie, v, seen = [], [], [], [], 0
-        if state.exists:
-            hist, us, tie, v, seen = (list(x) if isinstance(x, (list, tuple)) else x for x in state.get)
-        mark = state.getCurrentWatermarkMs() * 1000
-        us, tie, v = [np.array(us, np.int64)], [np.array(tie, np.int64)], [np.array(v, float)]
-        for pdf in ([] if state.hasTimedOut else pdfs):
-            if len(pdf):
-                seen = max(seen, int(pdf["us"].max()))
-            pdf = pdf[pdf["v"].notna()]
-            us.append(pdf["us"].to_numpy(np.int64))
-            tie.append(pdf["tie"].to_numpy(np.int64))
-            v.append(pdf["v"].to_numpy(float))
-        us, tie, v = np.concatenate(us), np.concatenate(tie), np.concatenate(v)
-        order = np.lexsort((tie, us))
-        us, tie, v = us[order], tie[order], v[order]
-        n = int(np.searchsorted(us, mark, "right"))  # the watermark has passed these
-        if n:
-            out = _windows(key[0], us[:n], v[:n], np.array(hist, float), lookback)
-            hist = np.concatenate([np.array(hist, float), v[:n]])[-lookback:].tolist()
-            us, tie, v = us[n:], tie[n:], v[n:]
-            if len(out):
-                yield out
-        wake = int(us[0]) if len(us) else None
-        if wake is None and idle_us is not None:
-            wake = seen + idle_us
-            if state.hasTimedOut and wake <= mark:
-                state.remove()
-                return
-        state.update((hist, us.tolist(), tie.tolist(), v.tolist(), seen))
-        if wake is not None:
-            state.setTimeoutTimestamp(max(wake, mark) // 1000 + 1)
-    return fn
+    return pd.DataFrame({"series_id": sid, "ts": pd.to_datetime(us[first:], unit="us"), "lags": pd.Series(list(lags), dtype=object), "target": v[first:]})
+
+
+class LagWindows(StatefulProcessor):
+    """State of one series: ``spans`` (span of event time -> its waiting rows) and ``series`` (the last
+    values used, the span up to which they go, and the newest event time seen)."""
+
+    def __init__(self, lookback: int, span_ms: int, idle_ms: int | None):
+        self.lookback, self.span_ms, self.idle_ms = lookback, span_ms, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.spans = handle.getMapState("spans", T.StructType([T.StructField("span", T.LongType())]), SPAN_SCHEMA)
+        self.series = handle.getValueState("series", SERIES_SCHEMA)
+
+    def _read(self):
+        return self.series.get() if self.series.exists() else ([], None, 0)
+
+    def handleInputRows(self, key, rows, timerValues):
+        got = pd.concat(list(rows), ignore_index=True)
+        hist, passed, seen = self._read()
+        seen = max(seen, int(got["us"].max()))
+        got = got[got["v"].notna()]
+        span = got["us"].to_numpy(np.int64) // (1000 * self.span_ms)
+        for k in np.unique(span).tolist():
+            mine = got[span == k]
+            cols = [mine[c].tolist() for c in ("us", "tie", "v")]
+            if self.spans.containsKey((k,)):
+                cols = [[*old, *new] for old, new in zip(self.spans.getValue((k,)), cols, strict=True)]
+            else:
+                self.handle.registerTimer((k + 1) * self.span_ms)
+            self.spans.updateValue((k,), tuple(cols))
+        if self.idle_ms is not None:
+            self.handle.registerTimer(seen // 1000 + self.idle_ms)
+        self.series.update((list(hist), passed, seen))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        hist, passed, seen = self._read()
+        k = at // self.span_ms - 1
+        if at % self.span_ms == 0 and self.spans.containsKey((k,)):
+            if passed is not None and k <= passed:
+                raise RuntimeError(f"rows of {key[0]} in span {k} were released after span {passed}")
+            us, tie, v = (np.array(x) for x in self.spans.getValue((k,)))
+            self.spans.removeKey((k,))
+            order = np.lexsort((tie, us))
+            hist = np.array(hist, float)
+            yield _windows(key[0], us[order], v[order], hist, self.lookback)
+            self.series.update((np.concatenate([hist, v[order]])[-self.lookback:].tolist(), k, seen))
+        if self.idle_ms is not None and at >= seen // 1000 + self.idle_ms:
+            self.series.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def _millis(bound: str) -> int:
+    """Length of an interval like '2 hours'."""
+    return int(pd.Timedelta(bound).total_seconds() * 1000)
 
 
 def lag_window_stream(ticks: DataFrame, series: str = "event_type", ts: str = "ts", value: str = "value", tie: str = "event_id",
-                      lookback: int = 20, late: str = "2 hours", idle_hours: float | None = None) -> DataFrame:
+                      lookback: int = 20, late: str = "2 hours", idle_hours: float | None = None, span_ms: int | None = None) -> DataFrame:
     """Lag windows of a tick stream. ``tie`` orders rows of one instant; ``idle_hours`` (off by
-    default) forgets a series that was quiet for that long."""
+    default) forgets a series that was quiet for that long; ``span_ms`` is the length of the spans in
+    which rows wait (an eighth of the late bound)."""
     t = (ticks.select(F.col(series).alias("series_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
                       F.coalesce(F.col(tie).cast("long"), F.lit(0)).alias("tie"), F.col(value).cast("double").alias("v"),
                       F.col(ts).cast("timestamp").alias("_et")).withWatermark("_et", late))
-    idle = None if idle_hours is None else int(idle_hours * 3_600_000_000)
-    return t.groupBy("series_id").applyInPandasWithState(
-        _lag_state(lookback, idle), WINDOW_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    idle = None if idle_hours is None else int(idle_hours * 3_600_000)
+    span = span_ms or max(1_000, _millis(late) // 8)
+    return t.groupBy("series_id").transformWithStateInPandas(
+        LagWindows(lookback, span, idle), WINDOW_SCHEMA, "Append", "EventTime")
+
 
+def stage_ticks(ticks: DataFrame, late_hours: int = 2, slice_rows: int = 2_000_000, file_rows: int = 500_000) -> tuple[str, int]:
+    """Write a finite tick table as stream input: slices, one after the other, of the order of time plus
+    a random delay of up to half the late bound (so rows are out of order, within the bound), and last
+    one heartbeat for each series that lets the stream release all rows. Returns the folder and the
+    files of each slice, which one trigger should take together.
 
-def stage_ticks(ticks: DataFrame, files: int = 4, late_hours: int = 2) -> str:
-    """Write a finite tick table as stream input: ``files`` slices, one after the other, of the
-    order of time plus a random delay of up to half the late bound (so rows are out of order, within
-    the bound), and last one heartbeat for each series that lets the stream release all rows."""
+    The table is read once for the slices' borders and once to write them: at least four slices, of about
+    ``slice_rows`` rows, each in equally many files of about ``file_rows``. The stream takes files in the
+    order of their times, so these are set in the order of the slices."""
     spark = ticks.sparkSession
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-input/{uuid.uuid4().hex}"
-    hour = 3_600_000_000
-    delay = F.pmod(F.xxhash64("event_id"), F.lit(late_hours * hour // 2))
+    delay = F.pmod(F.xxhash64("event_id"), F.lit(late_hours * 3_600_000_000 // 2))
     t = ticks.select("event_id", "ts", "event_type", "value").withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")) + delay)
-    cuts = sorted(set(t.approxQuantile("_at", [i / files for i in range(1, files)], 0.001)))
-    bounds = [None, *cuts, None]
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        s = t
-        if lo is not None:
-            s = s.where(F.col("_at") > F.lit(int(lo)))
-        if hi is not None:
-            s = s.where(F.col("_at") <= F.lit(int(hi)))
-        s.drop("_at").coalesce(1).write.mode("append").parquet(base)
+    n = t.count()
+    slices, files = max(4, math.ceil(n / slice_rows)), max(1, math.ceil(min(n, slice_rows) / file_rows))
+    cuts = sorted(set(t.approxQuantile("_at", [i / slices for i in range(1, slices)], 0.1 / slices))) if n else []
+    which = F.lit(0)
+    for lo in range(0, len(cuts), 500):  # a short sum for each 500 borders
+        which = which + F.aggregate(F.array(*[F.lit(int(c)) for c in cuts[lo:lo + 500]]), F.lit(0), lambda acc, c: acc + F.when(F.col("_at") > c, 1).otherwise(0))
     end = t.groupBy("event_type").agg((F.max("ts") + F.expr(f"INTERVAL {24 * 3650 + late_hours} HOURS")).alias("ts"))
-    end.select(F.lit(None).cast("long").alias("event_id"), "ts", "event_type", F.lit(None).cast("double").alias("value")) \
-        .coalesce(1).write.mode("append").parquet(base)
-    return base
+    last = end.select(F.lit(None).cast("long").alias("event_id"), "ts", "event_type", F.lit(None).cast("double").alias("value"),
+                      F.lit(len(cuts) + 1).alias("slice"))
+    dealt = t.withColumn("slice", which).drop("_at")
+    dealt = dealt.coalesce(1) if files == 1 else dealt.repartition(files, F.xxhash64("event_id"))
+    dealt.write.partitionBy("slice").parquet(f"{base}/ticks")
+    last.coalesce(1).write.mode("append").partitionBy("slice").parquet(f"{base}/ticks")
+    _stamp(spark, f"{base}/ticks")
+    return f"{base}/ticks", files
+
+
+def _stamp(spark: SparkSession, folder: str) -> None:
+    """Set the times of the files under ``folder``/slice=k in the order of k, two seconds apart."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    parts = sorted((int(x.getPath().getName().split("=")[1]), x.getPath()) for x in fs.listStatus(path(folder)) if "=" in x.getPath().getName())
+    start = int(time.time() * 1000) - 2_000 * (len(parts) + 1)
+    for k, (_, part) in enumerate(parts):
+        for f in fs.listStatus(part):
+            fs.setTimes(f.getPath(), start + 2_000 * k, -1)
+            if abs(fs.getFileStatus(f.getPath()).getModificationTime() - (start + 2_000 * k)) >= 1_000:
+                raise RuntimeError("replay needs a file system that keeps the modification times it is told")
 
 
 def run_lag_windows(spark: SparkSession, folder: str, pattern: str = "*.parquet", lookback: int = 20, model=None,
@@ -127,13 +178,19 @@ def run_lag_windows(spark: SparkSession, folder: str, pattern: str = "*.parquet"
     win = lag_window_stream(tick_stream(spark, folder, pattern, files_per_trigger=files_per_trigger), lookback=lookback, **kw)
     if model is not None:
         win = model.transform(win.withColumn("features", array_to_vector("lags"))).drop("features")
-    q = (win.writeStream.outputMode("append").option("checkpointLocation", ckpt)
-             .foreachBatch(epoch_sink(out)).trigger(availableNow=True).start())
+    name_of = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name_of)
+    spark.conf.set(name_of, ROCKSDB)  # the store that keeps maps and timers; a query takes it when it starts
+    try:
+        q = (win.writeStream.outputMode("append").option("checkpointLocation", ckpt)
+                 .foreachBatch(epoch_sink(out)).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(name_of, before)
     q.awaitTermination()
     return spark.read.parquet(out).drop("epoch")
 
 
 def replay(ticks: DataFrame, lookback: int = 20, model=None, late_hours: int = 2, **kw) -> DataFrame:
     """All windows of a finite tick table, through the stream, slice by slice."""
-    base = stage_ticks(ticks, late_hours=late_hours)
-    return run_lag_windows(ticks.sparkSession, base, "*.parquet", lookback, model, files_per_trigger=1, late=f"{late_hours} hours", **kw)
+    base, files = stage_ticks(ticks, late_hours=late_hours)
+    return run_lag_windows(ticks.sparkSession, base, "*.parquet", lookback, model, files_per_trigger=files, late=f"{late_hours} hours", **kw)

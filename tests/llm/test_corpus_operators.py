@@ -281,9 +281,15 @@ def test_gains_of_many_words_equal_those_of_each():
     other = [np.arange(words) != w for w in ids]
     out = np.array([np.bincount(cls[o], big[w, o], nc) for w, o in zip(ids, other, strict=True)])
     into = np.array([np.bincount(cls[o], big[o, w], nc) for w, o in zip(ids, other, strict=True)])
-    got = brown.gains_of(m, cls[ids], out, into, big[ids, ids], first)
+    every = np.tile(np.arange(first, nc), (len(ids), 1))
+    got = brown.gains_of(m, cls[ids], out, into, big[ids, ids], every)
     want = [brown.move_gains(m, int(cls[w]), o, i, big[w, w], first) for w, o, i in zip(ids, out, into, strict=True)]
     assert np.allclose(got, want, atol=1e-8)
+    short = brown.shortlist(m, cls[ids], out, into, first, 4)
+    assert all(len(set(t)) == 4 and c in t for t, c in zip(short.tolist(), cls[ids], strict=True))
+    rows = np.arange(len(ids))[:, None]
+    assert np.allclose(brown.gains_of(m, cls[ids], out, into, big[ids, ids], short), np.array(want)[rows, short - first], atol=1e-8)
+    assert (np.array(want)[rows, short - first].max(1) >= np.sort(want, axis=1)[:, -2] - 1e-9).mean() > 0.8  # the best is mostly among them
 
 
 def test_brown_clusters_every_word_above_the_floor(spark):

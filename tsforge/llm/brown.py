@@ -3,8 +3,8 @@
     p(w_i | w_(i-1)) = p(class(w_i) | class(w_(i-1))) p(w_i | class(w_i))
 
 Every word seen at least ``min_count`` times in training gets its class by exchange clustering: in
-each round every word weighs a move to each class by the exact change in the training likelihood,
-computed from its neighbour-class counts. A share of the words that gain by a move moves at a time; a
+each round every word weighs moves by the exact change in the training likelihood, computed from its
+neighbour-class counts, to the classes of largest first-order change (``SHORTLIST``). A share of the words that gain by a move moves at a time; a
 round that does not help is undone and the share halved. Rounds go on until one gains less than
 ``tol`` (nats a training token, as if all had moved). Rarer words, and words never seen, belong to
 open classes by their ending, whose emission is add-one smoothed with room for one unseen word.
@@ -39,6 +39,7 @@ END, START = 0, 1       # ids and classes of the end token and of the start of a
 OPEN = 64               # open classes
 MAX_WORDS = 400_000     # words counted in a task before the counts are passed on
 CHUNK_BYTES = 16 << 20  # of input files for each chunk
+SHORTLIST = 8           # classes whose gains a round computes exactly for a word
 
 
 def words_of(text: str) -> list[bytes]:
@@ -267,35 +268,43 @@ def move_gains(m: np.ndarray, a: int, out: np.ndarray, into: np.ndarray, same: f
     return gain - (_xlogx(rows[to] + ro) - _xlogx(rows[to])) - (_xlogx(cols[to] + ci) - _xlogx(cols[to]))
 
 
-def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, same: np.ndarray, first: int) -> np.ndarray:
-    """``move_gains`` of many words at once (a row each), at the cost of their nonzero counts."""
-    n, nc = out.shape
-    to, row = np.arange(first, nc), np.arange(n)
-    gain = np.zeros((n, nc - first))
+def shortlist(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, first: int, size: int) -> np.ndarray:
+    """For each word its own class ``a`` and the ``size`` - 1 others of largest first-order change in
+    likelihood (the word's counts times the log ratios of the class pairs)."""
+    soft = m + 0.1
+    ratio = np.log(soft) - np.log(soft.sum(1, keepdims=True)) - np.log(soft.sum(0, keepdims=True))
+    near = out @ ratio[first:].T + into @ ratio[:, first:]
+    near[np.arange(len(a)), a - first] = np.inf
+    size = min(size, near.shape[1])
+    return first + np.argpartition(-near, size - 1, axis=1)[:, :size]
+
+
+def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, same: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """``move_gains`` of many words at once (a row each), for the classes ``to`` of each word, at the cost
+    of their nonzero counts."""
+    n, row = len(a), np.arange(len(a))[:, None]
+    own = to == a[:, None]
+    gain = np.zeros(to.shape)
     for c, mine, other in ((m, out, into), (m.T, into, out)):
         at, cell = np.nonzero(mine)
-        for lo in range(0, len(at), 20_000):
-            w, k = at[lo:lo + 20_000], cell[lo:lo + 20_000]
-            x = mine[w, k]
-            base = c[first:, k].T.copy()
+        for lo in range(0, len(at), 200_000):
+            w, k = at[lo:lo + 200_000], cell[lo:lo + 200_000]
+            x, t = mine[w, k], to[w]
+            base = c[t, k[:, None]]
             e = np.flatnonzero(k == a[w])  # the word's own share of its class leaves the cells
-            base[e] -= other[w[e], first:]
-            base[e, a[w[e]] - first] -= same[w[e]]
-            base[np.arange(len(w)), a[w] - first] -= x
+            base[e] -= other[w[e][:, None], t[e]] + own[w[e]] * same[w[e]][:, None]
+            base -= own[w] * x[:, None]
             np.maximum(base, 0, out=base)
             more = _xlogx(base + x[:, None]) - _xlogx(base)
             start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
             gain[w[start]] += np.add.reduceat(more, start, axis=0)
-    diag = np.repeat(m[to, to][None, :], n, axis=0)
-    diag[row, a - first] -= out[row, a] + into[row, a] + same
+    diag = m[to, to] - own * (out[row, to] + into[row, to] + same[:, None])
     np.maximum(diag, 0, out=diag)
-    o, i = out[:, first:], into[:, first:]
+    o, i = out[row, to], into[row, to]
     gain -= _xlogx(diag + o) - 2 * _xlogx(diag) + _xlogx(diag + i)
     gain += _xlogx(diag + o + i + same[:, None]) - _xlogx(diag)
     ro, ci = out.sum(1) + same, into.sum(1) + same
-    rows, cols = np.repeat(m.sum(1)[None, first:], n, axis=0), np.repeat(m.sum(0)[None, first:], n, axis=0)
-    rows[row, a - first] -= ro
-    cols[row, a - first] -= ci
+    rows, cols = m.sum(1)[to] - own * ro[:, None], m.sum(0)[to] - own * ci[:, None]
     return gain - (_xlogx(rows + ro[:, None]) - _xlogx(rows)) - (_xlogx(cols + ci[:, None]) - _xlogx(cols))
 
 
@@ -324,11 +333,12 @@ def _moves(cls: np.ndarray, m: np.ndarray, first: int, words: int):
                     w = ids[lo:lo + 500]
                     (out, same), (into, _) = _counts(*x, w, cls, nc), _counts(*y, w, cls, nc)
                     a = cls[w].astype(np.int64)
-                    gain = gains_of(m, a, out, into, same, first)
+                    to = shortlist(m, a, out, into, first, SHORTLIST)
+                    gain = gains_of(m, a, out, into, same, to)
                     best = gain.argmax(1)
-                    more = gain[np.arange(len(w)), best] - gain[np.arange(len(w)), a - first]
+                    more = gain.max(1) - gain[to == a[:, None]]
                     on = more > 1e-6
-                    yield pa.RecordBatch.from_arrays([pa.array(w[on]), pa.array((first + best[on]).astype(np.int32)), pa.array(more[on])],
+                    yield pa.RecordBatch.from_arrays([pa.array(w[on]), pa.array(to[on, best[on]].astype(np.int32)), pa.array(more[on])],
                                                      names=["id", "best", "gain"])
         free_memory()
     return run

@@ -98,6 +98,8 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = not special
+        marks = [t.content for t in self.tok.get_added_tokens_decoder().values()] if special else []
+        self.special = re.compile("|".join(map(re.escape, marks))) if marks else None
         # whether a leading space is part of the piece after it, and whether case is kept
         self.spaced = self._whole(" a") != self._whole("a")
         self.cased = self._whole("A") != self._whole("a")
@@ -109,6 +111,10 @@ class PieceEncoder:
             self.tok.model._resize_cache(0)  # runs are remembered here
         self.pieces, self.parts, self.risky = Store(CACHE_PIECES), Store(CACHE_RUNS), np.zeros(0, bool)
 
+    def _marked(self, text: str) -> bool:
+        """Whether a special token stands in the text, which is then encoded as a whole."""
+        return self.special is not None and self.special.search(text) is not None
+
     def _whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
@@ -137,11 +143,11 @@ class PieceEncoder:
         not a space, is written with a leading mark if spaces are part of pieces."""
         plain, odd = [], []
         for p in new:
-            (plain if _PLAIN.fullmatch(p) else odd).append(p)
+            (plain if _PLAIN.fullmatch(p) and not self._marked(p) else odd).append(p)
         if odd:
             self.pieces.add(odd, *self._one_by_one([self._text(p) for p in odd]))
             bare = [p[1:] if p[:1] == _FIRST else p for p in odd]
-            flags = [not u or not (u[0].isprintable() and u[-1].isprintable()) or "<|" in u or _MARK in u or _FIRST in u for u in bare]
+            flags = [not u or not (u[0].isprintable() and u[-1].isprintable()) or "<|" in u or _MARK in u or _FIRST in u or self._marked(u) for u in bare]
             self.risky = np.concatenate([self.risky, np.array(flags, bool)])
         for lo in range(0, len(plain), 50_000):
             some = plain[lo:lo + 50_000]
@@ -158,7 +164,7 @@ class PieceEncoder:
 
     def _careful(self, text: str) -> list[str]:
         """Pieces of a text with white space in a row or the shape of a special token."""
-        if "<|" in text or _MARK in text:
+        if "<|" in text or _MARK in text or self._marked(text):
             return [_FIRST + text] if self.spaced else [text]
         parts = _SAFE.split(text)
         return [_FIRST + parts[0], *parts[1:]] if self.spaced else parts

@@ -65,7 +65,7 @@ class LagWindows(StatefulProcessor):
         self.series = handle.getValueState("series", SERIES_SCHEMA)
 
     def _read(self):
-        return self.series.get() if self.series.exists() else ([], None, 0)
+        return self.series.get() or ([], None, 0)
 
     def handleInputRows(self, key, rows, timerValues):
         got = pd.concat(list(rows), ignore_index=True)
@@ -76,10 +76,11 @@ class LagWindows(StatefulProcessor):
         for k in np.unique(span).tolist():
             mine = got[span == k]
             cols = [mine[c].tolist() for c in ("us", "tie", "v")]
-            if self.spans.containsKey((k,)):
-                cols = [[*old, *new] for old, new in zip(self.spans.getValue((k,)), cols, strict=True)]
-            else:
+            waiting = self.spans.getValue((k,))
+            if waiting is None:
                 self.handle.registerTimer((k + 1) * self.span_ms)
+            else:
+                cols = [[*old, *new] for old, new in zip(waiting, cols, strict=True)]
             self.spans.updateValue((k,), tuple(cols))
         if self.idle_ms is not None:
             self.handle.registerTimer(seen // 1000 + self.idle_ms)
@@ -90,10 +91,11 @@ class LagWindows(StatefulProcessor):
         at = expiredTimerInfo.getExpiryTimeInMs()
         hist, passed, seen = self._read()
         k = at // self.span_ms - 1
-        if at % self.span_ms == 0 and self.spans.containsKey((k,)):
+        waiting = self.spans.getValue((k,)) if at % self.span_ms == 0 else None
+        if waiting is not None:
             if passed is not None and k <= passed:
                 raise RuntimeError(f"rows of {key[0]} in span {k} were released after span {passed}")
-            us, tie, v = (np.array(x) for x in self.spans.getValue((k,)))
+            us, tie, v = (np.array(x) for x in waiting)
             self.spans.removeKey((k,))
             order = np.lexsort((tie, us))
             hist = np.array(hist, float)
@@ -115,12 +117,12 @@ def lag_window_stream(ticks: DataFrame, series: str = "event_type", ts: str = "t
                       lookback: int = 20, late: str = "2 hours", idle_hours: float | None = None, span_ms: int | None = None) -> DataFrame:
     """Lag windows of a tick stream. ``tie`` orders rows of one instant; ``idle_hours`` (off by
     default) forgets a series that was quiet for that long; ``span_ms`` is the length of the spans in
-    which rows wait (an eighth of the late bound)."""
+    which rows wait (half the late bound)."""
     t = (ticks.select(F.col(series).alias("series_id"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
                       F.coalesce(F.col(tie).cast("long"), F.lit(0)).alias("tie"), F.col(value).cast("double").alias("v"),
                       F.col(ts).cast("timestamp").alias("_et")).withWatermark("_et", late))
     idle = None if idle_hours is None else int(idle_hours * 3_600_000)
-    span = span_ms or max(1_000, _millis(late) // 8)
+    span = span_ms or max(1_000, _millis(late) // 2)
     return t.groupBy("series_id").transformWithStateInPandas(
         LagWindows(lookback, span, idle), WINDOW_SCHEMA, "Append", "EventTime")
 

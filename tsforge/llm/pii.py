@@ -9,7 +9,7 @@ a document, wherever they stand in it. From these,
     IC(e) = -log2 p(e),   PMI(t, e) = log2 p(t, e) / (p(t) p(e)),
 
 and a term is disclosing if PMI >= ``alpha`` IC and the pair is seen in at least ``min_support``
-different texts (copies of one text are one; entities of fewer texts are left out before pairs are
+different texts, one more for parts, which terms meet by chance more often (copies of one text are one; entities of fewer texts are left out before pairs are
 made). A name in an address is tried against the term that spells it without that support: shape, not
 chance, ties the two. A second pass finds such terms in the texts that hold the entity, outside values; they become
 spans of kind ``term``: ``remove`` where the term gives the entity away for certain (PMI = IC),
@@ -180,14 +180,16 @@ def disclosing(scanned: DataFrame, alpha: float = 0.9, min_support: int = 2) ->
     rows = scanned.where("term IS NULL")
     n = float(rows.count())
     held = rows.where("size(entities) > 0").select("text_key", "terms", F.explode("entities").alias("entity"))
+    # a part is shared by many values, so terms meet it by chance more often
+    need = F.when(F.substring_index("entity", ":", 1).isin(KINDS), min_support).otherwise(min_support + 1)
     spelt = F.col("entity") == F.concat(F.lit("name:"), "term")
     ents = materialize(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("c")).groupBy("entity")
                        .agg(F.sum("c").alias("c_e"), F.count(F.lit(1)).alias("texts"))
-                       .where((F.col("texts") >= min_support) | F.col("entity").startswith("name:")))
+                       .where((F.col("texts") >= need) | F.col("entity").startswith("name:")))
     texts = held.join(ents.select("entity", "texts"), "entity").select("entity", "text_key", "texts", F.explode("terms").alias("term")) \
-        .where((F.col("texts") >= min_support) | spelt).groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
+        .where((F.col("texts") >= need) | spelt).groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
     both = materialize(texts.groupBy("entity", "term").agg(F.sum("c").alias("c_et"), F.count(F.lit(1)).alias("support"))
-                       .where((F.col("support") >= min_support) | spelt))
+                       .where((F.col("support") >= need) | spelt))
     wanted = both.select("term").distinct()
     terms = scanned.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("c_t")).join(wanted, "term", "left_semi")
     j = both.join(ents.select("entity", "c_e"), "entity").join(terms, "term")

@@ -185,8 +185,8 @@ def brute_terms(rows, alpha=0.9, support=2):
                 named = e == "name:" + x.decode("utf-8", "replace")
                 ic = -math.log2(c_e[e] / n)
                 pmi = math.log2(n * c_et[e, x] / (c_e[e] * c_t[x]))
-                need = support + (e.split(":")[0] not in pii.KINDS)
-                if ic > 0 and pmi >= alpha * ic and (named or (len(te[e]) >= need and len(tet[e, x]) >= need)):
+                value = e.split(":")[0] in pii.KINDS
+                if ic > 0 and pmi >= alpha * ic and (named or (value and len(te[e]) >= support and len(tet[e, x]) >= support)):
                     for m in pii._TERM.finditer(t):
                         if fold(m.group()) == x and all(m.end() <= a or m.start() >= b for _, a, b in spans):
                             out.add((i, m.start(), m.end()))

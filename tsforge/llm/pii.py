@@ -1,15 +1,13 @@
 """PII: information-theoretic sanitisation.
 
 Values of fixed shape (e-mail, IP, card and phone numbers) are the protected entities, and so are the
-parts by which they can be told: the names and the host of an address, the network of an IP, the first
-digits of a card (issuer) or phone number (area). Most values stand in one text only, where nothing can
-be learned about them; their parts recur. A corpus pass counts, over whole texts, in how many documents each term occurs, and how often term and entity share
-a document, wherever they stand in it. From these,
+names in an address. A corpus pass counts, over whole texts, in how many documents each term occurs, and
+how often term and entity share a document, wherever they stand in it. From these,
 
     IC(e) = -log2 p(e),   PMI(t, e) = log2 p(t, e) / (p(t) p(e)),
 
 and a term is disclosing if PMI >= ``alpha`` IC and the pair is seen in at least ``min_support``
-different texts, one more for parts, which terms meet by chance more often (copies of one text are one; entities of fewer texts are left out before pairs are
+different texts (copies of one text are one; entities of fewer texts are left out before pairs are
 made). A name in an address is tried against the term that spells it without that support: shape, not
 chance, ties the two. A second pass finds such terms in the texts that hold the entity, outside values; they become
 spans of kind ``term``: ``remove`` where the term gives the entity away for certain (PMI = IC),
@@ -91,15 +89,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def parts_of(kind: str, value: str) -> list[str]:
-    """Entities that a value stands for beside itself: names and host of an address, network (two
-    numbers) of an IP, first six digits of a card, first four of a phone number."""
-    if kind == "email":
-        local, _, host = value.lower().partition("@")
-        return [f"host:{host}", *(f"name:{x}" for x in _NAME.findall(local))]
-    if kind == "ip":
-        return ["network:" + ".".join(value.split(".")[:2])]
-    digits = "".join(c for c in value if c.isdigit())
-    return [f"issuer:{digits[:6]}" if kind == "card" else f"area:{digits[:4]}"]
+    """Entities that a value stands for beside itself: the names in the local part of an address."""
+    return [f"name:{x}" for x in _NAME.findall(value.lower().partition("@")[0])] if kind == "email" else []
 
 
 def _places(text: str, spans: list[tuple[str, int, int]], wanted: dict[str, str]) -> list[dict]:
@@ -180,16 +171,15 @@ def disclosing(scanned: DataFrame, alpha: float = 0.9, min_support: int = 2) ->
     rows = scanned.where("term IS NULL")
     n = float(rows.count())
     held = rows.where("size(entities) > 0").select("text_key", "terms", F.explode("entities").alias("entity"))
-    # a part is shared by many values, so terms meet it by chance more often
-    need = F.when(F.substring_index("entity", ":", 1).isin(KINDS), min_support).otherwise(min_support + 1)
-    spelt = F.col("entity") == F.concat(F.lit("name:"), "term")
+    names = F.col("entity").startswith("name:")
     ents = materialize(held.groupBy("entity", "text_key").agg(F.count(F.lit(1)).alias("c")).groupBy("entity")
-                       .agg(F.sum("c").alias("c_e"), F.count(F.lit(1)).alias("texts"))
-                       .where((F.col("texts") >= need) | F.col("entity").startswith("name:")))
-    texts = held.join(ents.select("entity", "texts"), "entity").select("entity", "text_key", "texts", F.explode("terms").alias("term")) \
-        .where((F.col("texts") >= need) | spelt).groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
+                       .agg(F.sum("c").alias("c_e"), F.count(F.lit(1)).alias("texts")).where((F.col("texts") >= min_support) | names))
+    seen = held.join(ents.where(~names).select("entity"), "entity", "left_semi").select("entity", "text_key", F.explode("terms").alias("term"))
+    spelt = held.where(names).withColumn("term", F.expr("substring(entity, 6)")).where(F.array_contains("terms", F.col("term"))) \
+        .select("entity", "text_key", "term")  # a row for each name, not for each term of its text
+    texts = seen.unionByName(spelt).groupBy("entity", "term", "text_key").agg(F.count(F.lit(1)).alias("c"))
     both = materialize(texts.groupBy("entity", "term").agg(F.sum("c").alias("c_et"), F.count(F.lit(1)).alias("support"))
-                       .where((F.col("support") >= need) | spelt))
+                       .where((F.col("support") >= min_support) | names))
     wanted = both.select("term").distinct()
     terms = scanned.where("term IS NOT NULL").groupBy("term").agg(F.sum("docs").alias("c_t")).join(wanted, "term", "left_semi")
     j = both.join(ents.select("entity", "c_e"), "entity").join(terms, "term")

@@ -42,6 +42,7 @@ _TERM = re.compile(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 # ASCII letters to lower case, all ASCII that is not a letter or digit to a space
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c) if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 LEAST_BYTES = 3      # of a term in UTF-8: three ASCII letters, or one sign of most other scripts
+BROADCAST_ROWS = 1 << 20  # rows (text key, chosen terms) sent to every executor at most
 MAX_TERMS = 300_000  # terms counted in a task before the counts are passed on
 
 
@@ -205,7 +206,8 @@ def find(docs: DataFrame, alpha: float = 0.9, min_support: int = 2, id_col: str
     texts = rows.where("size(entities) > 0").select("text_key", F.explode("entities").alias("entity")).distinct()
     chosen = materialize(texts.join(found, "entity").groupBy("text_key", "term").agg(F.max("action").alias("action"))
                          .groupBy("text_key").agg(F.collect_list(F.struct("term", "action")).alias("wanted")))
-    places = _keyed(docs, id_col, text_col).select("text_key", "text").join(chosen, "text_key") \
+    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen  # a row for each text to look at; no text is shuffled for few
+    places = _keyed(docs, id_col, text_col).select("text_key", "text").join(few, "text_key") \
         .mapInArrow(_find, "text_key long, t array<struct<start:long,end:long,action:string>>")
     added = materialize(places.groupBy("text_key").agg(F.first("t").alias("t")))  # copies of a text have the same places
     none = "array<struct<kind:string,start:bigint,end:bigint,action:string>>"

@@ -87,6 +87,23 @@ def test_lag_windows_of_a_burst_and_of_ties(spark):
     _check_windows(scoring.replay(_ticks(spark, pdf)).toPandas(), pdf)
 
 
+def test_one_series_waits_by_spans_and_sparse_spans_are_linked(spark):
+    """A hot series is dealt over tasks by its spans; a span with fewer values than a window needs
+    takes them from many earlier ones, over micro-batches too; a quiet time forgets only if asked."""
+    folder, base = _folder(spark), pd.Timestamp("2024-01-01")
+    spans = scoring.closed_spans(live.tick_stream(spark, folder))
+    plan = spans._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate [series_id" in plan and "window" in plan and "TransformWithState" not in plan
+    rng = np.random.default_rng(5)
+    at = [0, *np.cumsum(rng.integers(20, 400, 89)).tolist()]  # minutes: some spans have rows, most have none or one
+    rows = [(i, base + pd.Timedelta(minutes=m), 1, "hot", float(rng.normal()), "") for i, m in enumerate(at)]
+    later = [(100 + i, base + pd.Timedelta(days=60, minutes=7 * i), 1, "hot", float(rng.normal()), "") for i in range(30)]
+    pdf = _events(rows + later)
+    _check_windows(scoring.replay(_ticks(spark, pdf)).toPandas(), pdf)
+    got = scoring.replay(_ticks(spark, pdf), idle_hours=24 * 20).toPandas()
+    assert len(got) == 70 + 10 and got[got.ts >= base + pd.Timedelta(days=60)].ts.min() == base + pd.Timedelta(days=60, minutes=140)
+
+
 def test_late_row_within_the_bound_is_used_and_restart_resumes(spark):
     folder, base = _folder(spark), pd.Timestamp("2024-01-01")
     rows = [(i, base + pd.Timedelta(minutes=10 * i), 1, "a", float(i), "") for i in range(60)]

@@ -1,4 +1,5 @@
 import os
+import threading
 
 from pyspark.ml import PipelineModel
 
@@ -104,3 +105,17 @@ def test_multivariate_forecasts_cover_the_last_windows(spark):
     ds = ml.multivariate_dataset(B.bars_orders(spark, SF001))
     fc = ml.multivariate_forecasts(ds.cache(), "linear")
     assert fc.count() == 25 * 5 and fc.where("forecast IS NULL").count() == 0
+
+
+def test_the_two_tree_fits_of_a_query_run_side_by_side(spark, monkeypatch):
+    from tsforge.plans import catalog
+    both, fit = threading.Barrier(2, timeout=120), ml.fit_pipeline
+
+    def waits(train, cols, label, kind, **params):
+        both.wait()  # breaks if one fit has to end before the other begins
+        return fit(train, cols, label, kind, maxIter=2, **params)
+    monkeypatch.setattr(ml, "fit_pipeline", waits)
+    got = catalog._tree_query(spark, SF001, "gbt")
+    n = {r["model"]: r["count"] for r in got.groupBy("model").count().collect()}
+    assert set(n) == {"gbt_same_day", "gbt_lagged"} and n["gbt_same_day"] > n["gbt_lagged"] > 0
+    assert got.where("forecast IS NULL").count() == 0

@@ -2,6 +2,7 @@
 
 import math
 import os
+import types
 from collections import defaultdict
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.test_corpus_operators import brute_components
 from tests.llm.test_text_operators import NASTY, frame
-from tsforge.llm import brown, dac, dedup, jaccard, pii, pu_classifier, queries
+from tsforge.llm import brown, dac, dedup, jaccard, packing, pii, pu_classifier, queries
 from tsforge.llm.tokens import PieceEncoder
 
 
@@ -286,3 +287,36 @@ def test_packed_neighbours_hold_every_pair(spark):
                 assert ((b, a) if turn else (a, b)) not in got
                 got[(b, a) if turn else (a, b)] = n
         assert got == dict(want)
+
+
+def test_open_windows_do_not_hold_the_ids_of_a_whole_call(monkeypatch):
+    """A view of a call's ids would keep them all for as long as its window is open."""
+    seen, put = [], packing.Windows.put
+
+    def noted(self, size, item):
+        seen.append(item[2].base is None)
+        return put(self, size, item)
+    monkeypatch.setattr(packing.Windows, "put", noted)
+    monkeypatch.setattr(packing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["one two three", None, "four " * 3000]})
+    for chars in (10, 4_000_000):
+        out = list(packing._pack_partition(queries.tokenizer("word_bpe_49k.json"), 2, 1024, 4, call_chars=chars)(iter([batch])))
+        got = sorted((r["doc_id"], r["start"], r["ids"]) for b in out for r in b.to_pylist())
+        assert [g[0] for g in got][:2] == [1, 2] and got[1][2] == np.array([2], "<u4").tobytes()
+        assert sum(len(g[2]) for g in got if g[0] == 3) == 4 * next(r["doc_tokens"] for b in out for r in b.to_pylist() if r["doc_id"] == 3)
+    assert seen and all(seen)
+
+
+def test_pairs_are_packed_a_bounded_number_of_tokens_at_a_time(monkeypatch):
+    texts = pa.table({"text": ["a b a b c"] * 20 + [None, "c"]})
+    words = pa.table({"word": pa.array([b"a", b"b", b"c"]), "open": pa.array([1, 2, 3], pa.int32()), "id": pa.array([2, 3, None], pa.int32())})
+
+    def counted(tokens):
+        monkeypatch.setattr(brown, "PAIR_TOKENS", tokens)
+        most, dealt = [], brown._dealt
+        monkeypatch.setattr(brown, "_dealt", lambda i, v, n, parts: (most.append(int(n.sum())), dealt(i, v, n, parts))[1])
+        out = brown._pairs(4, 1)(texts, words)
+        monkeypatch.setattr(brown, "_dealt", dealt)
+        return max(most), [x.tolist() for x in brown._added(out.column("after").to_pylist())]
+    (few, a), (whole, b) = counted(10), counted(1_000_000)
+    assert few <= 16 and whole == 20 * 6 + 3 and a == b and sum(a[2]) == whole

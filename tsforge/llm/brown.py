@@ -39,6 +39,7 @@ END, START = 0, 1       # ids and classes of the end token and of the start of a
 OPEN = 64               # open classes
 MAX_WORDS = 400_000     # words counted in a task before the counts are passed on
 CHUNK_BYTES = 16 << 20  # of input files for each chunk
+PAIR_TOKENS = 1_000_000  # whose pairs a task counts at a time
 SHORTLIST = 8           # classes whose gains a round computes exactly for a word
 
 
@@ -152,11 +153,12 @@ def _pairs(base: int, parts: int):
         ids, local = np.unique(np.concatenate([[END, START], np.where(own < 0, base + opened, own)]), return_inverse=True)
         at = dict(zip(words.column("word").to_pylist(), local[2:].tolist(), strict=True))
         size, codes, held = len(ids), [], 0
-        found: list = []
+        got: list = []
 
         def settle():
-            found.append(np.unique(np.concatenate(codes), return_counts=True))
+            code, n = np.unique(np.concatenate(codes), return_counts=True)
             codes.clear()
+            got.extend(_dealt(ids[code // size], ids[code % size], n, parts))  # packed at once: few MB wait, not all pairs
         for text in batches(texts.column("text")):
             doc = words_of(text)
             try:
@@ -166,13 +168,11 @@ def _pairs(base: int, parts: int):
             s = np.concatenate([local[1:2], s, local[:1]])
             codes.append(s[:-1] * size + s[1:])
             held += len(s)
-            if held >= 4_000_000:
+            if held >= PAIR_TOKENS:
                 settle()
                 held = 0
         if codes:
             settle()
-        code, n = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        got = list(_dealt(ids[code // max(size, 1)], ids[code % max(size, 1)], n, parts))
         return pa.table({"part": pa.array([p for p, _ in got], pa.int32()), "after": pa.array([d for _, d in got], pa.binary())})
     return run
 

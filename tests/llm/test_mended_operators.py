@@ -320,3 +320,15 @@ def test_pairs_are_packed_a_bounded_number_of_tokens_at_a_time(monkeypatch):
         return max(most), [x.tolist() for x in brown._added(out.column("after").to_pylist())]
     (few, a), (whole, b) = counted(10), counted(1_000_000)
     assert few <= 16 and whole == 20 * 6 + 3 and a == b and sum(a[2]) == whole
+
+
+def test_writers_of_token_files_remember_more_pieces():
+    """Beyond the bound a worker holds a piece for one call only and encodes it again in the next."""
+    from tsforge.llm import token_files, tokens
+    path = queries.tokenizer("byte_bpe_50k.json")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, None], "text": ["one two three", "one  two"]})
+    (docs, ids, at), = token_files.segments(iter([batch]), path, 0)
+    enc = tokens._ENCODERS[path, False, token_files.PIECES]
+    assert enc.pieces.room == token_files.PIECES > tokens.CACHE_PIECES and docs.tolist() == [1, token_files.NULL_ID]
+    small = PieceEncoder(path, pieces=2)  # nothing fits, so all is learned call by call: the same ids
+    assert [small.encode(batch.column(1), 0)[0].tolist() for _ in range(2)] == [ids.tolist()] * 2

@@ -20,6 +20,7 @@ from .tokens import encoder, slices
 
 NULL_ID = -(1 << 63)    # stands for a null id inside files
 SEGMENT_IDS = 1 << 20   # ids that a writing task holds at a time
+PIECES = 320_000        # pieces that a writing worker remembers: texts come in order of id, and it holds little else
 
 
 def put_file(folder: str, name: str, chunks) -> str:
@@ -49,7 +50,7 @@ def ascending(docs: DataFrame, shards: int | None = None, id_col: str = "doc_id"
 def segments(it, tokenizer: str, end: int, segment_ids: int = SEGMENT_IDS, special: bool = False):
     """Documents of a partition in order, about ``segment_ids`` ids at a time and never cut:
     (ids of documents, token ids, offsets)."""
-    enc, docs, parts, lengths, held = encoder(tokenizer, special), [], [], [], 0
+    enc, docs, parts, lengths, held = encoder(tokenizer, special, PIECES), [], [], [], 0
 
     def done():
         at = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype(np.int64)

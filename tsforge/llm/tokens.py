@@ -30,13 +30,13 @@ _STEP = 256  # runs in one call; the tokenizer's cost grows faster than the text
 _ENCODERS: dict = {}
 
 
-def encoder(path: str, special: bool = False) -> "PieceEncoder":
-    """The worker's encoder for a tokenizer file (one for each process). With ``special``, strings like
+def encoder(path: str, special: bool = False, pieces: int = CACHE_PIECES) -> "PieceEncoder":
+    """The worker's encoder for a tokenizer file (one for each process), which remembers ``pieces``. With ``special``, strings like
     ``<|endoftext|>`` in a text become the special tokens' ids, as in the library's own call; without, they
     are ordinary text."""
-    key = path, special
+    key = path, special, pieces
     if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, special)
+        _ENCODERS[key] = PieceEncoder(path, special, pieces)
     return _ENCODERS[key]
 
 
@@ -94,7 +94,7 @@ class Store:
 
 
 class PieceEncoder:
-    def __init__(self, path: str, special: bool = False):
+    def __init__(self, path: str, special: bool = False, pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = not special
@@ -109,7 +109,7 @@ class PieceEncoder:
         self.runs = re.compile(f"{lead}[{_LETTER}]+|{lead}{digits}|{lead}[{_PUNCT}]+|{_MARK}{line}")
         if hasattr(self.tok.model, "_resize_cache"):
             self.tok.model._resize_cache(0)  # runs are remembered here
-        self.pieces, self.parts, self.risky = Store(CACHE_PIECES), Store(CACHE_RUNS), np.zeros(0, bool)
+        self.pieces, self.parts, self.risky = Store(pieces), Store(CACHE_RUNS), np.zeros(0, bool)
 
     def _marked(self, text: str) -> bool:
         """Whether a special token stands in the text, which is then encoded as a whole."""

@@ -12,12 +12,14 @@ the shape of a special token whole.
 from __future__ import annotations
 
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import listed
+
 CACHE_PIECES = 160_000  # pieces that a Python worker remembers; frequent ones come early, so it then
 CACHE_RUNS = 400_000    # keeps those and holds others for one call only. The same for runs
 _SAFE = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
@@ -75,8 +77,7 @@ class Store:
 
     def find(self, texts: list[str], learn=None) -> np.ndarray:
         """Positions of texts; those that are not there are first given to ``learn``."""
-        get = self.at.get
-        at = np.fromiter([get(t, -1) for t in texts], np.int64, len(texts))
+        at = np.fromiter(map(self.at.get, texts, repeat(-1)), np.int64, len(texts))
         gone = np.flatnonzero(at < 0)
         if len(gone):
             new = [texts[i] for i in gone.tolist()]
@@ -141,9 +142,10 @@ class PieceEncoder:
     def _learn(self, new: list[str]) -> None:
         """Pieces that were not seen before. A piece that begins a text, or follows a cut that is
         not a space, is written with a leading mark if spaces are part of pieces."""
-        plain, odd = [], []
+        plain, odd, looks_plain = [], [], _PLAIN.fullmatch
+        marked = self._marked(_MARK.join(new))  # one search for all: no special token spans two pieces
         for p in new:
-            (plain if _PLAIN.fullmatch(p) and not self._marked(p) else odd).append(p)
+            (plain if looks_plain(p) and not (marked and self._marked(p)) else odd).append(p)
         if odd:
             self.pieces.add(odd, *self._one_by_one([self._text(p) for p in odd]))
             bare = [p[1:] if p[:1] == _FIRST else p for p in odd]
@@ -151,7 +153,7 @@ class PieceEncoder:
             self.risky = np.concatenate([self.risky, np.array(flags, bool)])
         for lo in range(0, len(plain), 50_000):
             some = plain[lo:lo + 50_000]
-            joined = _MARK.join(map(self._text, some))
+            joined = (" " + f"{_MARK} ".join(some)).replace(" " + _FIRST, "") if self.spaced else _MARK.join(some)  # as _text, all at once
             found = self.runs.findall(joined if self.cased else joined.lower())
             marks = np.array([r == _MARK for r in found], bool)
             of = np.cumsum(marks)[~marks]
@@ -178,7 +180,7 @@ class PieceEncoder:
         cut = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
         of = np.asarray(cut.offsets, np.int64)
         of, words = of - of[0], cut.flatten().dictionary_encode()
-        code, uniq = words.indices.to_numpy(), words.dictionary.to_pylist()
+        code, uniq = words.indices.to_numpy(), listed(words.dictionary)
         first = code[of[:-1]]
         at = self.pieces.find(uniq, self._learn)[code] if len(uniq) else np.zeros(0, np.int64)
         if self.spaced and len(first):

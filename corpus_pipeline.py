@@ -55,7 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 4,096 ids, with their sequence and place."""
     prepare(spark)
-    return packing.pack(docs, tokenizer("word_bpe_49k.json"), end=2, special=True, call_chars=1_000_000)  # less at once, beside what earlier stages left
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"), end=2, special=True, call_chars=1_000_000,
+                        cache=40_000)  # less at once and less remembered, beside what earlier stages left
 
 
 STAGES = [

@@ -45,3 +45,25 @@ def test_new_pieces_are_searched_for_special_tokens_once(name):
     for x in NASTY + ["a <|endoftext|> b", text + "<|endoftext|>" + text]:
         x = x[1] if isinstance(x, tuple) else x
         assert enc.encode(pa.array([x], pa.string()))[0].tolist() == whole._whole(x or "")
+
+
+def test_the_pipelines_packing_remembers_less_and_packs_the_same(spark, monkeypatch):
+    import corpus_pipeline
+    from tests.llm.test_text_operators import frame
+    from tsforge.llm import packing
+    queries.prepare(spark)
+    docs, given = frame(spark, NASTY), []
+    real = packing.pack
+
+    def pack(*a, **k):
+        given.append(k)
+        return real(*a, **k)
+    monkeypatch.setattr(packing, "pack", pack)
+
+    def rows(df):
+        return sorted((r["doc_id"] is None, r["doc_id"] or 0, r["start"], bytes(r["ids"]), r["doc_tokens"]) for r in df.collect())
+    got = rows(corpus_pipeline.pack(spark, docs, ""))
+    assert given[0]["cache"] <= tokens.CACHE_PIECES // 4  # beside an executor's heap that earlier stages filled
+    path = queries.tokenizer("word_bpe_49k.json")
+    assert got == rows(real(docs, path, end=2, special=True)) == rows(real(docs, path, end=2, special=True, cache=2))
+    assert tokens.PieceEncoder(path, pieces=40_000).parts.room == 100_000

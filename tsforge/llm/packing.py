@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_memory, materialize
-from .tokens import encoder, slices
+from .tokens import CACHE_PIECES, encoder, slices
 
 PIECES = "doc_id long, start long, ids binary, doc_tokens long, sequence_id long, offset long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
@@ -75,9 +75,10 @@ def _rows(windows: list, base: int, part: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SCHEMA, strict=True)], schema=_SCHEMA)
 
 
-def _pack_partition(path: str, end: int, seq_len: int, space: int, special: bool = False, call_chars: int = 4_000_000):
+def _pack_partition(path: str, end: int, seq_len: int, space: int, special: bool = False, call_chars: int = 4_000_000,
+                    cache: int = CACHE_PIECES):
     def run(it):
-        enc, part = encoder(path, special), TaskContext.get().partitionId()
+        enc, part = encoder(path, special, cache), TaskContext.get().partitionId()
         win, out, base = Windows(seq_len, space), [], part << 32
         for b in it:
             ids_col, texts = b.column(0).to_pylist(), b.column(1)
@@ -133,16 +134,18 @@ def _merge_group(seq_len: int, fan: int):
 
 
 def pack(docs: DataFrame, tokenizer: str, end: int, seq_len: int = 4096, open_windows: int = 64, fan: int = 8,
-         id_col: str = "doc_id", text_col: str = "text", special: bool = False, call_chars: int = 4_000_000) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", special: bool = False, call_chars: int = 4_000_000,
+         cache: int = CACHE_PIECES) -> DataFrame:
     """Pack the ids of ``docs`` into sequences of at most ``seq_len``. Returns one row for each
     piece: doc_id, start, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     The packed pieces are written once to the shared folder: full windows are read from there as
     they are, and only windows left open (at most ``open_windows`` for each partition) are shuffled.
-    ``call_chars`` is the text that the tokenizer gets at once: less takes less memory and more time.
+    ``call_chars`` is the text that the tokenizer gets at once, ``cache`` the pieces that a worker
+    remembers: less takes less memory and more time.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = materialize(src.mapInArrow(_pack_partition(tokenizer, end, seq_len, open_windows, special, call_chars), PIECES + ", part int"))
+    pieces = materialize(src.mapInArrow(_pack_partition(tokenizer, end, seq_len, open_windows, special, call_chars, cache), PIECES + ", part int"))
     loose = pieces.where("part >= 0").withColumn("grp", F.floor(F.col("part") / F.lit(fan)))
     merged = loose.groupBy("grp").applyInArrow(lambda t: _merge_group(seq_len, fan)(t.drop_columns(["grp"])), PIECES)
     return pieces.where("part < 0").drop("part").unionByName(merged)

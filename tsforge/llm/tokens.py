@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from .common import listed
 
 CACHE_PIECES = 160_000  # pieces that a Python worker remembers; frequent ones come early, so it then
-CACHE_RUNS = 400_000    # keeps those and holds others for one call only. The same for runs
+CACHE_RUNS = 400_000    # keeps those and holds others for one call only. The same for runs, of
+                        # which a worker remembers at most 5 for each 2 pieces
 _SAFE = re.compile(r"(?<=[^\s\x00-\x20\x7f-\xa0]) (?=[^\s\x00-\x20\x7f-\xa0])")
 _LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PUNCT = r"!-&(-/:-@\[-`{-~"  # ASCII, without the apostrophe
@@ -110,7 +111,7 @@ class PieceEncoder:
         self.runs = re.compile(f"{lead}[{_LETTER}]+|{lead}{digits}|{lead}[{_PUNCT}]+|{_MARK}{line}")
         if hasattr(self.tok.model, "_resize_cache"):
             self.tok.model._resize_cache(0)  # runs are remembered here
-        self.pieces, self.parts, self.risky = Store(pieces), Store(CACHE_RUNS), np.zeros(0, bool)
+        self.pieces, self.parts, self.risky = Store(pieces), Store(min(CACHE_RUNS, 5 * pieces // 2)), np.zeros(0, bool)
 
     def _marked(self, text: str) -> bool:
         """Whether a special token stands in the text, which is then encoded as a whole."""

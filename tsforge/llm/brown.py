@@ -23,16 +23,18 @@ scored whole; without training rows every count is 0; an empty table gives no ro
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reuse_input
-from .common import batches, discard, free_memory, materialize, parts_for, run_bounds
+from .common import discard, free_memory, listed, materialize, parts_for, run_bounds
+from .tokens import slices
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 END, START = 0, 1       # ids and classes of the end token and of the start of a text
@@ -40,6 +42,7 @@ OPEN = 64               # open classes
 MAX_WORDS = 400_000     # words counted in a task before the counts are passed on
 CHUNK_BYTES = 16 << 20  # of input files for each chunk
 PAIR_TOKENS = 1_000_000  # whose pairs a task counts at a time
+TEXT_CHARS = 8_000_000  # of text whose words are looked up at a time
 SHORTLIST = 8           # classes whose gains a round computes exactly for a word
 
 
@@ -47,6 +50,41 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
 
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` all texts in a row, and how many each text has. Null texts have none."""
+    own = texts.take(pa.array(np.arange(len(texts))))  # a copy: ascii_lower reads amiss what is sliced from a longer array
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(own.cast(pa.large_string()).fill_null("")))
+    of, flat = np.asarray(cut.offsets, np.int64), cut.flatten().cast(pa.large_binary())
+    of = of - of[0]
+    some = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at an end leaves an empty one
+    if not some.all():
+        of = np.concatenate([[0], np.cumsum(some)])[of]
+        flat = flat.filter(pa.array(some))
+    return flat, np.diff(of)
+
+
+def places(texts: pa.ChunkedArray, words: pa.ChunkedArray):
+    """For some texts at a time: the places in ``words`` of all their words in a row, and how many each
+    text has."""
+    known = pa.concat_arrays([c.cast(pa.large_binary()) for c in words.chunks]) if words.num_chunks else pa.array([], pa.large_binary())
+    for whole in texts.chunks:
+        for lo, hi in slices(whole, TEXT_CHARS):
+            flat, n = words_in(whole[lo:hi])
+            at = pc.index_in(flat, value_set=known)
+            if at.null_count:
+                raise RuntimeError("a chunk's words differ between two scans of the same input")
+            yield at.to_numpy(zero_copy_only=False), n
+
+
+def _paths(tokens: np.ndarray, n: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's tokens between ``start`` and ``end``, in a row, and the offsets of the texts in it."""
+    at = np.concatenate([[0], np.cumsum(n + 2)])
+    out, own = np.empty(int(at[-1]), np.int64), np.ones(int(at[-1]), bool)
+    own[at[:-1]] = own[at[1:] - 1] = False
+    out[at[:-1]], out[at[1:] - 1], out[own] = start, end, tokens
+    return out, at
+
+
 def open_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % OPEN
 
@@ -64,28 +102,40 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, held_out) -> DataFrame:
 
 def _count(it):
     """Words of each chunk with their training counts (0 if only held-out texts have them)."""
-    held: dict[int, Counter] = defaultdict(Counter)
+    held: dict[int, list[tuple[pa.Array, np.ndarray]]] = defaultdict(list)
+
+    def merge():
+        for chunk, got in held.items():
+            if len(got) > 1:
+                all_words = pa.concat_arrays([w for w, _ in got]).dictionary_encode()
+                n = np.bincount(all_words.indices.to_numpy(), np.concatenate([c for _, c in got]), len(all_words.dictionary))
+                held[chunk] = [(all_words.dictionary, n.astype(np.int64))]
 
     def rows():
-        for chunk, c in held.items():
-            ws = list(c)
+        merge()
+        for chunk, ((ws, n),) in held.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ws), chunk, np.int32)), pa.array(ws, pa.binary()), pa.array(list(c.values()), pa.int64()),
-                 pa.array([open_class(w) for w in ws], pa.int32())], names=["chunk", "word", "n", "open"])
+                [pa.array(np.full(len(ws), chunk, np.int32)), ws.cast(pa.binary()), pa.array(n),
+                 pa.array([open_class(w) for w in listed(ws)], pa.int32())], names=["chunk", "word", "n", "open"])
         held.clear()
 
+    def size():
+        return sum(len(w) for got in held.values() for w, _ in got)
+
     for b in it:
-        for chunk, out, text in zip(b.column("chunk").to_pylist(), b.column("held_out").to_pylist(), batches(b.column("text")), strict=True):
-            ws = words_of(text)
-            if out:
-                c = held[chunk]
-                for w in set(ws):
-                    if w not in c:
-                        c[w] = 0
-            else:
-                held[chunk].update(ws)
-        if sum(map(len, held.values())) >= MAX_WORDS:
-            yield from rows()
+        chunks, train = b.column("chunk").to_numpy(), ~b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        for chunk in np.unique(chunks).tolist():
+            mine = chunks == chunk
+            texts, trains = b.column("text").filter(pa.array(mine)), train[mine]
+            for lo, hi in slices(texts, TEXT_CHARS):
+                flat, n = words_in(texts[lo:hi])
+                found = flat.dictionary_encode()
+                counts = np.bincount(found.indices.to_numpy(), np.repeat(trains[lo:hi], n), len(found.dictionary))
+                held[chunk].append((found.dictionary, counts.astype(np.int64)))
+        if size() >= 2 * MAX_WORDS:  # as batches have them: many are the same
+            merge()
+            if size() >= MAX_WORDS:
+                yield from rows()
     yield from rows()
     free_memory()
 
@@ -151,7 +201,6 @@ def _pairs(base: int, parts: int):
         opened = words.column("open").to_numpy().astype(np.int64)
         own = words.column("id").fill_null(-1).to_numpy().astype(np.int64)
         ids, local = np.unique(np.concatenate([[END, START], np.where(own < 0, base + opened, own)]), return_inverse=True)
-        at = dict(zip(words.column("word").to_pylist(), local[2:].tolist(), strict=True))
         size, codes, held = len(ids), [], 0
         got: list = []
 
@@ -159,18 +208,19 @@ def _pairs(base: int, parts: int):
             code, n = np.unique(np.concatenate(codes), return_counts=True)
             codes.clear()
             got.extend(_dealt(ids[code // size], ids[code % size], n, parts))  # packed at once: few MB wait, not all pairs
-        for text in batches(texts.column("text")):
-            doc = words_of(text)
-            try:
-                s = np.fromiter(map(at.__getitem__, doc), np.int64, len(doc))
-            except KeyError as e:
-                raise RuntimeError("a chunk's words differ between two scans of the same input") from e
-            s = np.concatenate([local[1:2], s, local[:1]])
-            codes.append(s[:-1] * size + s[1:])
-            held += len(s)
-            if held >= PAIR_TOKENS:
-                settle()
-                held = 0
+        local = local.astype(np.int64)
+        for found, n in places(texts.column("text"), words.column("word")):
+            path, at = _paths(local[2:][found], n, int(local[1]), int(local[0]))
+            lo = 0
+            while lo < len(n):  # whole texts with about PAIR_TOKENS tokens
+                hi = max(lo + 1, int(np.searchsorted(at, at[lo] + PAIR_TOKENS - held, "right")) - 1)
+                code = path[at[lo]:at[hi] - 1] * size + path[at[lo] + 1:at[hi]]
+                codes.append(np.delete(code, at[lo + 1:hi] - at[lo] - 1))  # no pair leads from one text to the next
+                held += int(at[hi] - at[lo])
+                if held >= PAIR_TOKENS or hi < len(n):
+                    settle()
+                    held = 0
+                lo = hi
         if codes:
             settle()
         return pa.table({"part": pa.array([p for p, _ in got], pa.int32()), "after": pa.array([d for _, d in got], pa.binary())})
@@ -400,7 +450,7 @@ class Model:
         np.add.at(total, cls[2:2 + len(counts)], counts)
         self.log_word = np.log10(counts / total[cls[2:2 + len(counts)]]) if len(counts) else np.zeros(0)
 
-    def table(self, words: list[bytes], counts: np.ndarray, opened: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def table(self, counts: np.ndarray, opened: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class and log10 emission of each word; ``number`` is -1 for words that are not clustered."""
         cls = 2 + opened.astype(np.int64)
         emit = np.log10((counts + 1.0) / self.open_room[opened])
@@ -433,24 +483,20 @@ _OUT_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_to
 
 def _score(model: Model):
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
-        ws = words.column("word").to_pylist()
         counts, opened = words.column("c").to_numpy(), words.column("open").to_numpy()
-        at = {w: i for i, w in enumerate(ws)}
-        cls, emit = model.table(ws, counts, opened, words.column("id").fill_null(-1).to_numpy())
+        cls, emit = model.table(counts, opened, words.column("id").fill_null(-1).to_numpy())
         room = model.tokens + model.types + 1.0
         base, known = np.log10((counts + 1.0) / room), counts > 0
         end_base, end_known = np.log10((model.end_count + 1.0) / room), int(model.end_count > 0)
         cols: list[list] = [[] for _ in range(4)]
-        for text in batches(texts.column("text")):
-            doc = words_of(text)
-            try:
-                i = np.fromiter(map(at.__getitem__, doc), np.int64, len(doc))
-            except KeyError as e:
-                raise RuntimeError("a chunk's words differ between two scans of the same input") from e
-            path = np.concatenate([[START], cls[i], [END]])
-            for c, v in zip(cols, (len(doc) + 1, int(known[i].sum()) + end_known, float(base[i].sum() + end_base),
-                                   float(model.log_step[path[:-1], path[1:]].sum() + emit[i].sum())), strict=True):
-                c.append(v)
+        for i, per in places(texts.column("text"), words.column("word")):
+            path, at = _paths(cls[i], per, START, END)
+            steps, own_base, own_known, own_emit = model.log_step[path[:-1], path[1:]], base[i], known[i], emit[i]
+            for k, (p, q) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+                x, y = p - 2 * k, q - 2 * k - 2  # the text's own words
+                for c, v in zip(cols, (y - x + 1, int(own_known[x:y].sum()) + end_known, float(own_base[x:y].sum() + end_base),
+                                       float(steps[p:q - 1].sum() + own_emit[x:y].sum())), strict=True):
+                    c.append(v)
         n = texts.num_rows
         return pa.Table.from_arrays([texts.column("doc_id"), texts.column("held_out"), pa.array(cols[0], pa.int64()),
                                      pa.array(cols[1], pa.int64()), pa.array(np.full(n, model.tokens, np.int64)),

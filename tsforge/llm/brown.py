@@ -42,7 +42,7 @@ OPEN = 64               # open classes
 MAX_WORDS = 400_000     # words counted in a task before the counts are passed on
 CHUNK_BYTES = 16 << 20  # of input files for each chunk
 PAIR_TOKENS = 1_000_000  # whose pairs a task counts at a time
-TEXT_CHARS = 8_000_000  # of text whose words are looked up at a time
+TEXT_CHARS = 4_000_000  # of text whose words are looked up at a time
 SHORTLIST = 8           # classes whose gains a round computes exactly for a word
 
 

@@ -42,7 +42,9 @@ OPEN = 64               # open classes
 MAX_WORDS = 400_000     # words counted in a task before the counts are passed on
 CHUNK_BYTES = 16 << 20  # of input files for each chunk
 PAIR_TOKENS = 1_000_000  # whose pairs a task counts at a time
-TEXT_CHARS = 4_000_000  # of text whose words are looked up at a time
+TEXT_CHARS = 4_000_000  # of text split at a time
+LOOKUP_WORDS = 1_500_000  # split before they are looked up in one call
+SMALL = 8               # counts up to this, of a word with a class, take their logarithms from a table
 SHORTLIST = 8           # classes whose gains a round computes exactly for a word
 
 
@@ -66,14 +68,32 @@ def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def places(texts: pa.ChunkedArray, words: pa.ChunkedArray):
     """For some texts at a time: the places in ``words`` of all their words in a row, and how many each
     text has."""
-    known = pa.concat_arrays([c.cast(pa.large_binary()) for c in words.chunks]) if words.num_chunks else pa.array([], pa.large_binary())
+    kind = pa.binary() if words.nbytes < 1 << 31 else pa.large_binary()
+    known = pa.concat_arrays([c.cast(kind) for c in words.chunks]) if words.num_chunks else pa.array([], kind)
+    waiting, held = [], 0
+
+    def look():  # a call hashes all of ``known`` first
+        at = pc.index_in(pa.chunked_array([flat for flat, _ in waiting]), value_set=known)
+        if at.null_count:
+            raise RuntimeError("a chunk's words differ between two scans of the same input")
+        counts, lo = [n for _, n in waiting], 0
+        waiting.clear()
+        for n in counts:
+            hi = lo + int(n.sum())
+            yield at.slice(lo, hi - lo).to_numpy(), n
+            lo = hi
+
     for whole in texts.chunks:
         for lo, hi in slices(whole, TEXT_CHARS):
             flat, n = words_in(whole[lo:hi])
-            at = pc.index_in(flat, value_set=known)
-            if at.null_count:
-                raise RuntimeError("a chunk's words differ between two scans of the same input")
-            yield at.to_numpy(zero_copy_only=False), n
+            waiting.append((flat.cast(kind), n))
+            held += len(flat)
+            del flat
+            if held >= LOOKUP_WORDS:
+                yield from look()
+                held = 0
+    if waiting:
+        yield from look()
 
 
 def _paths(tokens: np.ndarray, n: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,8 +164,9 @@ def count_words(chunks: DataFrame) -> DataFrame:
     """(chunk, word, c, open, lead): the corpus-wide training count of each chunk's words, from
     one exchange by word; ``lead`` marks one row for each word. Written."""
     rows = chunks.select("chunk", "held_out", "text").mapInArrow(_count, "chunk int, word binary, n long, open int")
-    return materialize(rows.selectExpr("chunk", "word", "open", "sum(n) OVER (PARTITION BY word) AS c",
-                                       "row_number() OVER (PARTITION BY word ORDER BY chunk) = 1 AS lead"))
+    over = "OVER (PARTITION BY word ORDER BY chunk {})"  # one order for both: the rows are sorted once
+    return materialize(rows.selectExpr("chunk", "word", "open", f"sum(n) {over.format('ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING')} AS c",
+                                       f"row_number() {over.format('')} = 1 AS lead"))
 
 
 def numbered(vocab: DataFrame, min_count: int, top_words: int | None = None) -> tuple[DataFrame, int]:
@@ -158,40 +179,66 @@ def numbered(vocab: DataFrame, min_count: int, top_words: int | None = None) ->
     buckets = max(1, min(1 << 16, lead.count() // 200))
     words = lead.select("word", F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b")) \
         .selectExpr("word", f"cast(1 + b + (row_number() OVER (PARTITION BY b ORDER BY xxhash64(word, 7), word) - 1) * {buckets} + 1 AS int) AS id")
-    out = materialize(vocab.join(words, "word", "left"))
+    out = materialize(vocab.join(words.hint("shuffle_hash"), "word", "left"))  # the rows by chunk need no sort
     return out, 1 + (out.agg(F.max("id")).first()[0] or 1)
 
 
 def _pack(i: np.ndarray, v: np.ndarray, n: np.ndarray) -> bytes:
-    """Counted pairs (i, v), sorted by both, as compressed bytes: gaps of i, then v, then n."""
-    raw = np.array([len(i)], "<i8").tobytes() + np.diff(i, prepend=0).astype("<i4").tobytes() + v.astype("<i4").tobytes() + n.astype("<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    """Counted pairs (i, v), sorted by both, as compressed bytes: gaps of the different i, how many
+    pairs each has, then v, then n (in 4 bytes if that is enough for all)."""
+    at = run_bounds(i)
+    width = "<i4" if not len(n) or n.max() < 1 << 31 else "<i8"
+    raw = [np.array([len(at) - 1, len(i)], "<i8"), np.diff(i[at[:-1]], prepend=0).astype("<i4"), np.diff(at).astype("<i4"), v.astype("<i4"), n.astype(width)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in raw))
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A pack's different i, how many pairs each has, and the v and n of all pairs."""
     raw = zstandard.ZstdDecompressor().decompress(data)
-    m = int(np.frombuffer(raw, "<i8", 1)[0])
-    return (np.cumsum(np.frombuffer(raw, "<i4", m, 8), dtype=np.int64), np.frombuffer(raw, "<i4", m, 8 + 4 * m).astype(np.int64),
-            np.frombuffer(raw, "<i8", m, 8 + 8 * m))
+    k, m = np.frombuffer(raw, "<i8", 2).tolist()
+    at = 16 + 8 * k + 4 * m
+    return (np.cumsum(np.frombuffer(raw, "<i4", k, 16), dtype=np.int64), np.frombuffer(raw, "<i4", k, 16 + 4 * k), np.frombuffer(raw, "<i4", m, 16 + 8 * k),
+            np.frombuffer(raw, "<i4" if len(raw) == at + 4 * m else "<i8", m, at))
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    i, each, v, n = _runs(data)
+    return np.repeat(i, each), v.astype(np.int64), n.astype(np.int64)
 
 
 def _dealt(i: np.ndarray, v: np.ndarray, n: np.ndarray, parts: int):
     """(part, packed pairs) for the pairs of each part; words are dealt to parts by number."""
-    part = (i * 2_654_435_761 % 4_294_967_291) % parts
-    order = np.lexsort((v, i, part))
-    i, v, n, part = i[order], v[order], n[order], part[order]
-    at = run_bounds(part)
-    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-        yield int(part[lo]), _pack(i[lo:hi], v[lo:hi], n[lo:hi])
+    key = i << 32 | v
+    if (key[1:] < key[:-1]).any():
+        order = np.argsort(key)
+        i, v, n = i[order], v[order], n[order]
+    at = run_bounds(i)
+    own, each = i[at[:-1]], np.diff(at)
+    part = (own * 2_654_435_761 % 4_294_967_291) % parts
+    by = np.argsort(part, kind="stable")  # words, not pairs, are sorted by part
+    part, each = part[by], each[by]
+    end = np.cumsum(each)
+    order = np.repeat(at[:-1][by] - (end - each), each) + np.arange(len(i))
+    i, v, n = i[order], v[order], n[order]
+    bounds = run_bounds(part)
+    to = np.concatenate([[0], end])[bounds]
+    for p, lo, hi in zip(part[bounds[:-1]].tolist(), to[:-1].tolist(), to[1:].tolist(), strict=True):
+        yield p, _pack(i[lo:hi], v[lo:hi], n[lo:hi])
 
 
 def _added(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The pairs of several packs, sorted, equal ones added up."""
-    i, v, n = (np.concatenate(x) for x in zip(*map(_unpack, packed), strict=True))
-    order = np.lexsort((v, i))
-    i, v, n = i[order], v[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (v[1:] != v[:-1])])) if len(i) else np.zeros(0, np.int64)
-    return i[first], v[first], np.add.reduceat(n, first) if len(first) else n
+    keys, counts = [], []
+    for i, each, v, n in map(_runs, packed):
+        keys.append(np.repeat(i << 32, each) | v)
+        counts.append(n)
+    key, n = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
+    keys.clear()
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = run_bounds(key)[:-1]
+    key = key[first]
+    return key >> 32, key & 0xFFFFFFFF, np.add.reduceat(n, first) if len(first) else n
 
 
 def _pairs(base: int, parts: int):
@@ -223,6 +270,7 @@ def _pairs(base: int, parts: int):
                 lo = hi
         if codes:
             settle()
+        free_memory()
         return pa.table({"part": pa.array([p for p, _ in got], pa.int32()), "after": pa.array([d for _, d in got], pa.binary())})
     return run
 
@@ -277,8 +325,8 @@ def _matrix(cls: np.ndarray, nc: int):
         m = np.zeros(nc * nc)
         for b in it:
             for data in b.column(0).to_pylist():
-                u, v, n = _unpack(data)
-                m += np.bincount(cls[u].astype(np.int64) * nc + cls[v], n, minlength=nc * nc)
+                u, each, v, n = _runs(data)
+                m += np.bincount(np.repeat(cls[u].astype(np.int64) * nc, each) + cls[v], n, minlength=nc * nc)
         at = np.flatnonzero(m)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(m[at].astype(np.int64))], names=["cell", "n"])
     return run
@@ -329,23 +377,42 @@ def shortlist(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, f
     return first + np.argpartition(-near, size - 1, axis=1)[:, :size]
 
 
-def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, same: np.ndarray, to: np.ndarray) -> np.ndarray:
+def small_steps(m: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For the matrix and its transpose: what x more, for x up to ``SMALL``, add to x log x of each cell,
+    and the same for cells that held these x. Far fewer logarithms than the words have counts."""
+    x = np.arange(1.0, SMALL + 1)[:, None]
+    out = []
+    for c in (m, m.T):
+        cells = c.ravel()
+        less = np.maximum(cells - x, 0)
+        out.append(((_xlogx(cells + x) - _xlogx(cells)).ravel(), (_xlogx(less + x) - _xlogx(less)).ravel()))
+    return out
+
+
+def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, same: np.ndarray, to: np.ndarray,
+             steps: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
     """``move_gains`` of many words at once (a row each), for the classes ``to`` of each word, at the cost
-    of their nonzero counts."""
-    n, row = len(a), np.arange(len(a))[:, None]
+    of their nonzero counts. ``steps``: ``small_steps(m)``."""
+    row, nc = np.arange(len(a))[:, None], len(m)
     own = to == a[:, None]
+    stays, column = own.any(1), own.argmax(1)
     gain = np.zeros(to.shape)
-    for c, mine, other in ((m, out, into), (m.T, into, out)):
-        at, cell = np.nonzero(mine)
+    for c, mine, other, (step, back) in zip((m, m.T), (out, into), (into, out), steps or small_steps(m), strict=True):
+        at = np.flatnonzero(mine)
         for lo in range(0, len(at), 200_000):
-            w, k = at[lo:lo + 200_000], cell[lo:lo + 200_000]
+            w, k = np.divmod(at[lo:lo + 200_000], nc)
             x, t = mine[w, k], to[w]
-            base = c[t, k[:, None]]
-            e = np.flatnonzero(k == a[w])  # the word's own share of its class leaves the cells
-            base[e] -= other[w[e][:, None], t[e]] + own[w[e]] * same[w[e]][:, None]
-            base -= own[w] * x[:, None]
+            cell = ((np.minimum(x, SMALL).astype(np.int64) - 1) * nc * nc + k)[:, None] + t * nc
+            more = step.take(cell)
+            f = np.flatnonzero(stays[w])
+            g = column[w[f]]
+            more[f, g] = back.take(cell[f, g])  # the word leaves the cells of its own class
+            e = np.flatnonzero((x > SMALL) | (k == a[w]))
+            we, ke, xe, te = w[e], k[e], x[e][:, None], t[e]
+            base = c[te, ke[:, None]]
+            base -= np.where((ke == a[we])[:, None], other[we[:, None], te] + own[we] * same[we][:, None], 0) + own[we] * xe
             np.maximum(base, 0, out=base)
-            more = _xlogx(base + x[:, None]) - _xlogx(base)
+            more[e] = _xlogx(base + xe) - _xlogx(base)
             start = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
             gain[w[start]] += np.add.reduceat(more, start, axis=0)
     diag = m[to, to] - own * (out[row, to] + into[row, to] + same[:, None])
@@ -358,14 +425,19 @@ def gains_of(m: np.ndarray, a: np.ndarray, out: np.ndarray, into: np.ndarray, sa
     return gain - (_xlogx(rows + ro[:, None]) - _xlogx(rows)) - (_xlogx(cols + ci[:, None]) - _xlogx(cols))
 
 
-def _counts(i: np.ndarray, v: np.ndarray, n: np.ndarray, words: np.ndarray, cls: np.ndarray, nc: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each of ``words`` its counts with the classes of other words, and with itself."""
+def _counts(i: np.ndarray, of: np.ndarray, v: np.ndarray, n: np.ndarray, words: np.ndarray, cls: np.ndarray, nc: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``words`` its counts with the classes of other words, and with itself. The pairs of
+    i[k] are those from of[k] to of[k + 1]."""
     lo, hi = np.searchsorted(i, words[0]), np.searchsorted(i, words[-1], "right")
-    i, v, n = i[lo:hi], v[lo:hi], n[lo:hi]
-    row = np.searchsorted(words, i)
-    own = i == v
-    full = np.bincount(row[~own] * nc + cls[v[~own]], n[~own], minlength=len(words) * nc).reshape(len(words), nc)
-    return full, np.bincount(row[own], n[own], minlength=len(words))
+    mine, each = i[lo:hi], np.diff(of[lo:hi + 1])
+    v, n = v[of[lo]:of[hi]], n[of[lo]:of[hi]].astype(np.float64)
+    row = np.searchsorted(words, mine)
+    own = np.flatnonzero(np.repeat(mine, each) == v)
+    same = np.zeros(len(words))
+    same[np.searchsorted(words, v[own])] = n[own]
+    n[own] = 0
+    full = np.bincount(np.repeat(row * nc, each) + cls[v], n, minlength=len(words) * nc).reshape(len(words), nc)
+    return full, same
 
 
 def _moves(cls: np.ndarray, m: np.ndarray, first: int, words: int):
@@ -374,17 +446,18 @@ def _moves(cls: np.ndarray, m: np.ndarray, first: int, words: int):
     nc = len(m)
 
     def run(it):
+        steps = small_steps(m)
         for b in it:
             for after, before in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                x, y = _unpack(after), _unpack(before)
-                ids = np.unique(np.concatenate([x[0], y[0]]))
+                x, y = ((i, np.concatenate([[0], np.cumsum(each)]), v, n) for i, each, v, n in (_runs(after), _runs(before)))
+                ids = np.union1d(x[0], y[0])
                 ids = ids[(ids >= 2) & (ids < words)]
                 for lo in range(0, len(ids), 500):
                     w = ids[lo:lo + 500]
                     (out, same), (into, _) = _counts(*x, w, cls, nc), _counts(*y, w, cls, nc)
                     a = cls[w].astype(np.int64)
                     to = shortlist(m, a, out, into, first, SHORTLIST)
-                    gain = gains_of(m, a, out, into, same, to)
+                    gain = gains_of(m, a, out, into, same, to, steps)
                     best = gain.argmax(1)
                     more = gain.max(1) - gain[to == a[:, None]]
                     on = more > 1e-6
@@ -497,6 +570,7 @@ def _score(model: Model):
                 for c, v in zip(cols, (y - x + 1, int(own_known[x:y].sum()) + end_known, float(own_base[x:y].sum() + end_base),
                                        float(steps[p:q - 1].sum() + own_emit[x:y].sum())), strict=True):
                     c.append(v)
+        free_memory()
         n = texts.num_rows
         return pa.Table.from_arrays([texts.column("doc_id"), texts.column("held_out"), pa.array(cols[0], pa.int64()),
                                      pa.array(cols[1], pa.int64()), pa.array(np.full(n, model.tokens, np.int64)),

@@ -19,7 +19,9 @@ WS = "[\\x20\\x09-\\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings and package code that every operator needs; safe to call again."""
+    """Settings and package code that every operator needs; safe to call again. What an operator before it
+    has freed on the driver goes back to the system."""
+    free_memory()
     for k in ("spark.sql.session.timeZone", "spark.sql.execution.arrow.pyspark.enabled"):
         spark.conf.set(k, DEFAULT_CONF[k])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts: a few MB each
@@ -84,8 +86,8 @@ def listed(column) -> list:
 
 
 def free_memory() -> None:
-    """Give memory that a task has freed back to the system: Python workers live on and serve later
-    stages, beside an executor's heap that does not shrink."""
+    """Give memory that a task (or the driver) has freed back to the system: Python workers live on and serve
+    later stages, beside an executor's heap that does not shrink; so does the driver's Python beside its JVM."""
     import ctypes
 
     import pyarrow as pa

@@ -59,12 +59,17 @@ class Rows:
     """Feature rows as one dense block and one list of (row, bin, share)."""
 
     def __init__(self, texts: list[str]):
-        got = [features(t) for t in texts]
-        self.n = len(got)
-        self.dense = np.array([g[0] for g in got]).reshape(self.n, N_DENSE)
-        self.row = np.repeat(np.arange(self.n), [len(g[1]) for g in got])
-        self.bin = np.concatenate([g[1] for g in got]) if got else np.zeros(0, np.int64)
-        self.share = np.concatenate([g[2] for g in got]) if got else np.zeros(0)
+        parts = []  # each text's small arrays give way to a block's: thousands of them would break up the heap
+        for lo in range(0, len(texts), 256):
+            got = [features(t) for t in texts[lo:lo + 256]]
+            parts.append((np.array([g[0] for g in got]), np.array([len(g[1]) for g in got]),
+                          np.concatenate([g[1] for g in got]), np.concatenate([g[2] for g in got])))
+        dense, each, bins, share = zip(*parts, strict=True) if parts else [()] * 4
+        self.n = len(texts)
+        self.dense = np.concatenate([np.zeros((0, N_DENSE)), *dense])
+        self.row = np.repeat(np.arange(self.n), np.concatenate([np.zeros(0, np.int64), *each]))
+        self.bin = np.concatenate([np.zeros(0, np.int64), *bins])
+        self.share = np.concatenate([np.zeros(0), *share])
 
     def take(self, keep: np.ndarray) -> "Rows":
         out = object.__new__(Rows)
@@ -86,12 +91,16 @@ class Model:
         return np.clip((r.dense - self.mean) / self.std, -6, 6)
 
     def margin(self, r: Rows) -> np.ndarray:
-        words = np.bincount(r.row, r.share * self.w[N_DENSE + r.bin], minlength=r.n)
+        of_words = self.w[N_DENSE:-1][r.bin]
+        of_words *= r.share
+        words = np.bincount(r.row, of_words, minlength=r.n)
         return self._z(r) @ self.w[:N_DENSE] + words + self.w[-1]
 
     def gradient(self, r: Rows, slope: np.ndarray) -> np.ndarray:
         """Sum of slope times the features, over rows."""
-        return np.concatenate([slope @ self._z(r), np.bincount(r.bin, r.share * slope[r.row], minlength=BINS), [slope.sum()]])
+        of_rows = slope[r.row]
+        of_rows *= r.share
+        return np.concatenate([slope @ self._z(r), np.bincount(r.bin, of_rows, minlength=BINS), [slope.sum()]])
 
 
 def _sigmoid(x):
@@ -171,11 +180,17 @@ def sample_texts(docs: DataFrame, ids: DataFrame | None, limit: int) -> list[str
 
 
 def train(docs: DataFrame, positives: DataFrame, max_positive: int = 3000, max_unlabelled: int = 6000) -> tuple[Model | None, float]:
-    """Fit on (doc_id, text) and the ids of trusted positives."""
-    p, u = sample_texts(docs, positives, max_positive), sample_texts(docs, None, max_unlabelled)
-    if not p or not u:
-        return None, 0.5
-    return fit(Rows(p), Rows(u), scale=moments(docs))
+    """Fit on (doc_id, text) and the ids of trusted positives. The driver holds the texts of one sample
+    at a time, only until they are measured, and keeps none of this memory for the jobs to come."""
+    p = Rows(sample_texts(docs, positives, max_positive))
+    free_memory()
+    u = Rows(sample_texts(docs, None, max_unlabelled))
+    free_memory()
+    try:
+        return fit(p, u, scale=moments(docs)) if p.n and u.n else (None, 0.5)
+    finally:
+        del p, u
+        free_memory()
 
 
 def with_score(docs: DataFrame, model: Model | None, text_col: str = "text", out: str = "pu_score") -> DataFrame:
